@@ -2,10 +2,454 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from gazette.functions import text, urls
+from gazette.operators import select, similar
+from gazette.sources.tables import candidates, fetch_log, table
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLES: dict[str, str] = {}
+
+#: Policy terms for the driver's invented prose: frequent words of its languages stand in for topic words.
+POSITIVE, NEGATIVE = ["tion", "ing", "ent", "ver", "que"], ["thing", "eine"]
+TRUSTED = ["src1", "src3", "src5", "src7"]
+CAND = """c AS (SELECT doc_id AS seq, lang AS chapter, source, split_part(text, chr(10), 1) AS title,
+  substr(text, length(split_part(text, chr(10), 1)) + 2) AS summary, 'https://' || source || '.example.com/' || lang || '/' || doc_id AS link,
+  CAST(doc_id % 240 AS INTEGER) AS age_h, text, n_chars FROM documents)"""
+HOST = "nullif(regexp_replace(regexp_extract(lower(url), '^https?://([^/?#:]+)', 1), '^www\\.', ''), '')"
+KEY = "regexp_replace(regexp_replace(trim(url), '[?#].*$', ''), '/+$', '')"
+NORM = "trim(regexp_replace(lower({}), '[^a-z0-9가-힣]+', ' ', 'g'))"
+LISTED = "[" + ", ".join(f"'{t}'" for t in POSITIVE) + "]"
+LISTED_NO = "[" + ", ".join(f"'{t}'" for t in NEGATIVE) + "]"
+TOKENS = "list_distinct(regexp_extract_all(lower({}), '([가-힣a-z0-9]{{2,}})', 1))"
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Registers a query under its function's name, with the SQL that gives the same rows."""
+
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+# --- projections ---------------------------------------------------------------------------------------------------
+
+
+@query(f"WITH {CAND} SELECT seq, CASE WHEN regexp_matches(title, '^.* - .{{0,20}}$') THEN regexp_extract(title, '^(.*) - (.{{0,20}})$', 1) ELSE title END AS headline, "
+       "CASE WHEN regexp_matches(title, '^.* - .{0,20}$') THEN regexp_extract(title, '^(.*) - (.{0,20})$', 2) ELSE source END AS publisher FROM c")
+def p1_headline_publisher(spark: SparkSession, sf: str) -> DataFrame:
+    c = candidates(spark, sf)
+    has = F.col("title").rlike("^.* - .{0,20}$")
+    part = lambda k: F.regexp_extract("title", "^(.*) - (.{0,20})$", k)
+    return c.select("seq", F.when(has, part(1)).otherwise(F.col("title")).alias("headline"), F.when(has, part(2)).otherwise(F.col("source")).alias("publisher"))
+
+
+def _clean_sql(c: str) -> str:
+    out = f"regexp_replace({c}, '<[^>]*>', ' ', 'g')"
+    for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&")):
+        out = f"replace({out}, '{entity}', '{char}')"
+    return f"trim(regexp_replace({out}, '[ \\t\\r\\n]+', ' ', 'g'))"
+
+
+@query(f"SELECT page_id, {_clean_sql('html')} AS cleaned FROM pages")
+def p2_text_cleanup(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "pages").select("page_id", text.clean_html(F.col("html")).alias("cleaned"))
+
+
+@query(f"WITH {CAND} SELECT seq, substr(sha256(chapter || '::' || title || '::' || link), 1, 16) AS article_id FROM c")
+def p3_article_identity(spark: SparkSession, sf: str) -> DataFrame:
+    c = candidates(spark, sf)
+    return c.select("seq", F.substring(F.sha2(F.concat_ws("::", "chapter", "title", "link"), 256), 1, 16).alias("article_id"))
+
+
+@query(f"WITH {CAND} SELECT seq, chapter AS section, title, CASE WHEN age_h <= 24 THEN 'today' WHEN age_h <= 72 THEN 'three days' WHEN age_h <= 168 THEN 'this week' ELSE 'older' END AS freshness_note, "
+       "CASE WHEN length(summary) > 0 THEN substr(summary, 1, 200) ELSE title END AS summary, CASE seq % 4 WHEN 0 THEN 'CONFIRMED' WHEN 1 THEN 'PARTIALLY CONFIRMED' WHEN 2 THEN 'DISPUTED' ELSE 'UNVERIFIED' END AS status FROM c")
+def p4_story_flattening(spark: SparkSession, sf: str) -> DataFrame:
+    age, k = F.col("age_h"), F.col("seq") % 4
+    fresh = F.when(age <= 24, "today").when(age <= 72, "three days").when(age <= 168, "this week").otherwise("older")
+    status = F.when(k == 0, "CONFIRMED").when(k == 1, "PARTIALLY CONFIRMED").when(k == 2, "DISPUTED").otherwise("UNVERIFIED")
+    short = F.when(F.length("summary") > 0, F.substring("summary", 1, 200)).otherwise(F.col("title"))
+    return candidates(spark, sf).select("seq", F.col("chapter").alias("section"), "title", fresh.alias("freshness_note"), short.alias("summary"), status.alias("status"))
+
+
+STUDY = (("licensed", "GUIDELINE"), ("entin", "RCT"), ("verein", "META-ANALYSIS"), ("ation", "REVIEW"))
+
+
+@query("SELECT doc_id, CASE " + " ".join(f"WHEN contains(lower(text), '{w}') THEN '{k}'" for w, k in STUDY) + " ELSE 'OTHER' END AS study_type FROM documents")
+def p6_study_type(spark: SparkSession, sf: str) -> DataFrame:
+    low, kind = F.lower("text"), None
+    for word, name in STUDY:
+        kind = F.when(low.contains(word), name) if kind is None else kind.when(low.contains(word), name)
+    return table(spark, sf, "documents").select("doc_id", kind.otherwise("OTHER").alias("study_type"))
+
+
+@query("""WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '([a-z가-힣]{2,})', 1)) AS token, generate_subscripts(regexp_extract_all(lower(text), '([a-z가-힣]{2,})', 1), 1) AS pos FROM documents),
+g AS (SELECT doc_id, token, count(*) AS n, min(pos) AS first FROM t WHERE token NOT IN ('the', 'and', 'der', 'die', 'la', 'le', 'de') GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, first) AS rank FROM g)
+SELECT doc_id, CAST(rank AS INTEGER) AS rank, token, n FROM r WHERE rank <= 4""")
+def p9_keywords(spark: SparkSession, sf: str) -> DataFrame:
+    words = F.regexp_extract_all(F.lower("text"), F.lit("([a-z가-힣]{2,})"), F.lit(1))
+    t = table(spark, sf, "documents").select("doc_id", F.posexplode(words).alias("pos", "token")).filter(~F.col("token").isin("the", "and", "der", "die", "la", "le", "de"))
+    g = t.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first"))
+    w = Window.partitionBy("doc_id").orderBy(F.desc("n"), "first")
+    return g.withColumn("rank", F.row_number().over(w)).filter("rank <= 4").select("doc_id", "rank", "token", "n")
+
+
+@query("""WITH w AS (SELECT chr(CAST(44032 + doc_id % 11172 AS INTEGER)) AS word, doc_id FROM documents)
+SELECT doc_id, word || CASE WHEN doc_id % 11172 % 28 > 0 THEN '을' ELSE '를' END AS with_particle FROM w""")
+def p11_particle(spark: SparkSession, sf: str) -> DataFrame:
+    word = F.decode(F.unhex(F.format_string("%04X", (44032 + F.col("doc_id") % 11172).cast("int"))), "UTF-16BE")
+    return table(spark, sf, "documents").select("doc_id", text.object_particle(word).alias("with_particle"))
+
+
+@query("""SELECT event_id, CASE WHEN value >= 28 THEN 'linen' WHEN value >= 23 THEN 'short sleeves' WHEN value >= 17 THEN 'long sleeves' WHEN value >= 10 THEN 'jacket' WHEN value >= 5 THEN 'coat' ELSE 'padded coat' END
+|| CASE WHEN event_id % 100 >= 50 THEN ', umbrella' ELSE '' END AS clothing FROM events WHERE value IS NOT NULL""")
+def p13_weather_bands(spark: SparkSession, sf: str) -> DataFrame:
+    v = F.col("value")
+    band = F.when(v >= 28, "linen").when(v >= 23, "short sleeves").when(v >= 17, "long sleeves").when(v >= 10, "jacket").when(v >= 5, "coat").otherwise("padded coat")
+    return table(spark, sf, "events").filter(v.isNotNull()).select("event_id", F.concat(band, F.when(F.col("event_id") % 100 >= 50, ", umbrella").otherwise("")).alias("clothing"))
+
+
+# --- filters with reasons ------------------------------------------------------------------------------------------
+
+MARKS = {"ellipsis": "…", "exclamation": "!", "question": "?"}
+
+
+@query(f"""WITH {CAND} SELECT seq, CASE WHEN length(title) < 10 THEN 'short' WHEN length(title) > 120 THEN 'long' WHEN contains(title, '###') OR contains(title, '|') THEN 'blacklist'
+WHEN length(title) - length(replace(title, '!', '')) > 2 THEN 'exclamation' WHEN length(title) - length(replace(title, '?', '')) > 2 THEN 'question' END AS reason FROM c""")
+def f1_headline_quality(spark: SparkSession, sf: str) -> DataFrame:
+    t = F.col("title")
+    count = lambda mark: F.length(t) - F.length(F.replace(t, F.lit(mark), F.lit("")))
+    reason = F.when(F.length(t) < 10, "short").when(F.length(t) > 120, "long").when(t.contains("###") | t.contains("|"), "blacklist").when(count("!") > 2, "exclamation").when(count("?") > 2, "question")
+    return candidates(spark, sf).select("seq", reason.alias("reason"))
+
+
+@query("""WITH e AS (SELECT event_id, (epoch(TIMESTAMP '2024-01-20 00:00:00') - epoch(ts)) / 86400.0 AS age, CASE WHEN event_type = 'purchase' THEN 7 ELSE 3 END AS most FROM events)
+SELECT event_id, CASE WHEN age IS NULL THEN 'missing_date' WHEN age < -0.25 THEN 'future_date' WHEN age > most THEN 'stale' ELSE 'fresh' END AS reason FROM e""")
+def f2_freshness(spark: SparkSession, sf: str) -> DataFrame:
+    age = (F.unix_micros(F.lit("2024-01-20 00:00:00 UTC").cast("timestamp")) - F.unix_micros(F.col("ts").cast("timestamp"))) / 86_400_000_000
+    most = F.when(F.col("event_type") == "purchase", 7).otherwise(3)
+    reason = F.when(age.isNull(), "missing_date").when(age < -0.25, "future_date").when(age > most, "stale").otherwise("fresh")
+    return table(spark, sf, "events").select("event_id", reason.alias("reason"))
+
+
+@query(f"""WITH {CAND}, h AS (SELECT seq, chapter, list_filter({LISTED}, lambda k: contains(lower(title), k)) AS th, list_filter({LISTED}, lambda k: contains(lower(summary), k)) AS sh,
+len(list_filter({LISTED_NO}, lambda k: contains(lower(title), k))) AS neg FROM c)
+SELECT seq, CASE WHEN chapter = 'en' THEN 'broad' WHEN neg > 0 AND len(th) = 0 THEN 'negative_title' WHEN len(th) >= 1 THEN 'title' WHEN len(sh) >= 2 THEN 'summary' ELSE 'no_match' END AS reason,
+round(CASE WHEN chapter = 'en' THEN 1.0 WHEN neg > 0 AND len(th) = 0 THEN -1.0 WHEN len(th) >= 1 THEN least(1.0, 0.65 + 0.1 * (len(th) - 1) + 0.05 * least(len(sh), 3)) WHEN len(sh) >= 2 THEN least(0.6, 0.25 + 0.1 * len(sh)) ELSE 0.0 END, 4) AS relevance,
+len(th) AS title_hits, len(sh) AS summary_hits FROM h""")
+def f3_chapter_relevance(spark: SparkSession, sf: str) -> DataFrame:
+    hits = lambda terms, c: F.filter(F.array(*[F.lit(k) for k in terms]), lambda k: F.instr(F.lower(c), k) > 0)
+    h = candidates(spark, sf).select("seq", "chapter", F.size(hits(POSITIVE, F.col("title"))).alias("t"), F.size(hits(POSITIVE, F.col("summary"))).alias("s"), F.size(hits(NEGATIVE, F.col("title"))).alias("neg"))
+    broad, no, title, summary = F.col("chapter") == "en", (F.col("neg") > 0) & (F.col("t") == 0), F.col("t") >= 1, F.col("s") >= 2
+    reason = F.when(broad, "broad").when(no, "negative_title").when(title, "title").when(summary, "summary").otherwise("no_match")
+    score = F.when(broad, 1.0).when(no, -1.0).when(title, F.least(F.lit(1.0), 0.65 + 0.1 * (F.col("t") - 1) + 0.05 * F.least("s", F.lit(3)))).when(summary, F.least(F.lit(0.6), 0.25 + 0.1 * F.col("s"))).otherwise(0.0)
+    return h.select("seq", reason.alias("reason"), F.round(score, 4).alias("relevance"), F.col("t").cast("long").alias("title_hits"), F.col("s").cast("long").alias("summary_hits"))
+
+
+URL_REASON = f"""CASE WHEN url IS NULL OR NOT regexp_matches(url, '^https?://[^/?#]+') THEN 'bad_url'
+WHEN regexp_replace(lower(regexp_extract(url, '^https?://[^/?#]+(/[^?#]*)', 1)), '/+$', '') IN ('', '/news', '/latest', '/index.html', '/home') THEN 'generic_url'
+WHEN regexp_matches(url, '\\?$') OR regexp_matches(regexp_replace(lower(regexp_extract(url, '^https?://[^/?#]+(/[^?#]*)', 1)), '/+$', ''), '/(id|article|story)$') THEN 'incomplete_url' END"""
+
+
+@query(f"SELECT page_id, {HOST} AS domain, {KEY} AS canonical_key, {URL_REASON} AS reason FROM pages")
+def f5_url_validity(spark: SparkSession, sf: str) -> DataFrame:
+    u = F.col("url")
+    return table(spark, sf, "pages").select("page_id", urls.domain(u).alias("domain"), urls.canonical_key(u).alias("canonical_key"), urls.reject_reason(u).alias("reason"))
+
+
+@query(f"WITH {CAND}, n AS (SELECT seq, ' ' || {NORM.format('text')} || ' ' AS padded FROM c), h AS (SELECT seq, list_filter(['and', 'der', 'que', 'entin'], lambda t: contains(padded, ' ' || t || ' ')) AS hits FROM n) SELECT seq, array_to_string(hits, ',') AS topics FROM h WHERE len(hits) > 0")
+def f7_topic_relevance(spark: SparkSession, sf: str) -> DataFrame:
+    h = candidates(spark, sf).select("seq", text.term_hits(text.norm_title(F.col("text")), ["and", "der", "que", "entin"]).alias("hits"))
+    return h.filter(F.size("hits") > 0).select("seq", F.array_join("hits", ",").alias("topics"))
+
+
+@query("""SELECT doc_id, CASE WHEN regexp_matches(lower(text), 'lorem|placeholder|todo') THEN 'placeholder' END AS reason, regexp_matches(text, '[가-힣]') AS has_hangul, regexp_matches(text, '!!|###') AS noisy FROM documents""")
+def f12_placeholder_and_script(spark: SparkSession, sf: str) -> DataFrame:
+    t = F.col("text")
+    return table(spark, sf, "documents").select("doc_id", F.when(F.lower(t).rlike("lorem|placeholder|todo"), "placeholder").alias("reason"), t.rlike("[가-힣]").alias("has_hangul"), t.rlike("!!|###").alias("noisy"))
+
+
+# --- scores --------------------------------------------------------------------------------------------------------
+
+IMPORTANCE = """5.0 + CASE WHEN source IN ('src1', 'src3', 'src5', 'src7') THEN 2 ELSE 0 END + CASE WHEN length(title) BETWEEN 25 AND 70 THEN 1.5 WHEN length(title) < 20 THEN -1 ELSE 0 END
++ CASE WHEN length(summary) >= 60 THEN 1 ELSE 0 END + CASE WHEN regexp_matches(title, '[%0-9]') THEN 1 ELSE 0 END + CASE WHEN age_h <= 24 THEN 2 WHEN age_h <= 48 THEN 1 WHEN age_h <= 72 THEN 0.25 ELSE 0 END"""
+
+
+def importance() -> F.Column:
+    size = F.length("title")
+    return (
+        F.lit(5.0) + F.when(F.col("source").isin(TRUSTED), 2).otherwise(0) + F.when(size.between(25, 70), 1.5).when(size < 20, -1).otherwise(0) + F.when(F.length("summary") >= 60, 1).otherwise(0)
+        + F.when(F.col("title").rlike("[%0-9]"), 1).otherwise(0) + F.when(F.col("age_h") <= 24, 2).when(F.col("age_h") <= 48, 1).when(F.col("age_h") <= 72, 0.25).otherwise(0)
+    ).cast("double")
+
+
+@query(f"WITH {CAND} SELECT seq, CAST({IMPORTANCE} AS DOUBLE) AS importance FROM c")
+def c1_importance(spark: SparkSession, sf: str) -> DataFrame:
+    return candidates(spark, sf).select("seq", importance().alias("importance"))
+
+
+@query("""SELECT event_id, round(10 * greatest(0, 1 - (epoch(TIMESTAMP '2024-01-30 00:00:00') - epoch(ts)) / 864000.0) + greatest(0, 4 - user_id % 5), 6) AS score FROM events WHERE ts IS NOT NULL""")
+def c5_video_score(spark: SparkSession, sf: str) -> DataFrame:
+    age = (F.unix_micros(F.lit("2024-01-30 00:00:00 UTC").cast("timestamp")) - F.unix_micros(F.col("ts").cast("timestamp"))) / 1_000_000
+    score = 10 * F.greatest(F.lit(0), 1 - age / 864000) + F.greatest(F.lit(0), 4 - F.col("user_id") % 5)
+    return table(spark, sf, "events").filter("ts IS NOT NULL").select("event_id", F.round(score, 6).alias("score"))
+
+
+# --- dedupe, aggregation -------------------------------------------------------------------------------------------
+
+
+@query(f"WITH {CAND}, k AS (SELECT seq, {NORM.format('title')} AS key FROM c) SELECT min(seq) AS seq, key FROM k WHERE key <> '' GROUP BY key")
+def d1_keep_first(spark: SparkSession, sf: str) -> DataFrame:
+    k = candidates(spark, sf).select("seq", F.nullif(text.norm_title(F.col("title")), F.lit("")).alias("key")).filter("key IS NOT NULL")
+    return k.groupBy("key").agg(F.min("seq").alias("seq")).select("seq", "key")
+
+
+@query("""WITH RECURSIVE c AS (SELECT lang AS chapter, doc_id AS seq, n_chars // 40 AS url, split_part(text, chr(10), 1) AS title, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS rk FROM documents),
+r AS (SELECT chapter, 0::BIGINT AS rk, []::BIGINT[] AS urls, []::VARCHAR[] AS titles, NULL::BIGINT AS kept FROM (SELECT DISTINCT chapter FROM c)
+UNION ALL SELECT r.chapter, c.rk, CASE WHEN list_contains(urls, c.url) OR list_contains(titles, c.title) THEN urls ELSE list_append(urls, c.url) END,
+CASE WHEN list_contains(urls, c.url) OR list_contains(titles, c.title) THEN titles ELSE list_append(titles, c.title) END,
+CASE WHEN list_contains(urls, c.url) OR list_contains(titles, c.title) THEN NULL ELSE c.seq END FROM r JOIN c ON r.chapter = c.chapter AND c.rk = r.rk + 1)
+SELECT chapter, kept AS seq FROM r WHERE kept IS NOT NULL""")
+def d2_keep_first_either(spark: SparkSession, sf: str) -> DataFrame:
+    c = candidates(spark, sf).select("chapter", "seq", F.floor(F.col("n_chars") / 40).alias("url"), "title")
+    return select.keep_first_either(c, "chapter", "url", "title", "seq").select("chapter", "seq")
+
+
+@query("SELECT user_id, arg_min(event_id, (CASE WHEN event_type = 'purchase' THEN 0 ELSE 1 END, event_id)) AS event_id FROM events GROUP BY user_id")
+def d3_live_first(spark: SparkSession, sf: str) -> DataFrame:
+    e = table(spark, sf, "events").select("user_id", "event_id", F.when(F.col("event_type") == "purchase", 0).otherwise(1).alias("late"))
+    return e.groupBy("user_id").agg(F.min_by("event_id", F.struct("late", "event_id")).alias("event_id"))
+
+
+@query(f"WITH {CAND} SELECT chapter, count(*) AS candidates, count(*) FILTER (age_h <= 72) AS dated, count(DISTINCT source) AS publishers, count(*) >= 30 AS target_met FROM c GROUP BY chapter")
+def a1_chapter_report(spark: SparkSession, sf: str) -> DataFrame:
+    g = candidates(spark, sf).groupBy("chapter")
+    return g.agg(F.count(F.lit(1)).alias("candidates"), F.count_if(F.col("age_h") <= 72).alias("dated"), F.count_distinct("source").alias("publishers"), (F.count(F.lit(1)) >= 30).alias("target_met"))
+
+
+@query(f"""WITH {CAND}, q AS (SELECT chapter, CASE WHEN length(title) < 10 THEN 'short' WHEN length(title) > 120 THEN 'long' WHEN age_h > 72 THEN 'stale' ELSE 'kept' END AS reason FROM c)
+SELECT chapter, reason, count(*) AS n FROM q GROUP BY ALL""")
+def a2_reject_counts(spark: SparkSession, sf: str) -> DataFrame:
+    reason = F.when(F.length("title") < 10, "short").when(F.length("title") > 120, "long").when(F.col("age_h") > 72, "stale").otherwise("kept")
+    return candidates(spark, sf).groupBy("chapter", reason.alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"""WITH {CAND}, d AS (SELECT chapter, source, count(*) AS n FROM c GROUP BY ALL)
+SELECT chapter, CAST(sum(n) AS BIGINT) AS articles, count(*) AS domains, round(max(n) / sum(n), 6) AS top_share, round(coalesce(sum(n) FILTER (source IN ('src1', 'src3', 'src5', 'src7')), 0) / sum(n), 6) AS wire_share FROM d GROUP BY chapter""")
+def a3_domain_share(spark: SparkSession, sf: str) -> DataFrame:
+    d = candidates(spark, sf).groupBy("chapter", "source").agg(F.count(F.lit(1)).alias("n"))
+    wire = F.coalesce(F.sum(F.when(F.col("source").isin(TRUSTED), F.col("n"))), F.lit(0))
+    return d.groupBy("chapter").agg(F.sum("n").alias("articles"), F.count(F.lit(1)).alias("domains"), F.round(F.max("n") / F.sum("n"), 6).alias("top_share"), F.round(wire / F.sum("n"), 6).alias("wire_share"))
+
+
+@query("""WITH p AS (SELECT lang AS chapter, toxic = 1 AS truth, (length(text) % 7 = 0) AS said FROM documents JOIN labels USING (doc_id)),
+m AS (SELECT chapter, count(*) FILTER (truth AND said) AS tp, count(*) FILTER (NOT truth AND said) AS fp, count(*) FILTER (truth AND NOT said) AS fn FROM p GROUP BY chapter)
+SELECT chapter, tp, fp, fn, round(CASE WHEN tp + fp = 0 THEN 1.0 ELSE tp / (tp + fp) END, 6) AS precision, round(CASE WHEN tp + fn = 0 THEN 1.0 ELSE tp / (tp + fn) END, 6) AS recall FROM m""")
+def a4_gold_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    p = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id").select(F.col("lang").alias("chapter"), (F.col("toxic") == 1).alias("truth"), (F.length("text") % 7 == 0).alias("said"))
+    t, s = F.col("truth"), F.col("said")
+    m = p.groupBy("chapter").agg(F.count_if(t & s).alias("tp"), F.count_if(~t & s).alias("fp"), F.count_if(t & ~s).alias("fn"))
+    rate = lambda a, b: F.round(F.when(a + b == 0, 1.0).otherwise(a / (a + b)), 6)
+    return m.select("*", rate(F.col("tp"), F.col("fp")).alias("precision"), rate(F.col("tp"), F.col("fn")).alias("recall"))
+
+
+@query(f"""WITH {CAND}, t AS (SELECT seq, chapter, unnest({TOKENS.format('title')}) AS token FROM c), g AS (SELECT token, count(*) AS n, arg_max(chapter, seq) AS category FROM t GROUP BY token)
+SELECT token, n, category FROM g ORDER BY n DESC, token LIMIT 20""")
+def a5_trending(spark: SparkSession, sf: str) -> DataFrame:
+    words = F.array_distinct(F.regexp_extract_all(F.lower("title"), F.lit("([가-힣a-z0-9]{2,})"), F.lit(1)))
+    t = candidates(spark, sf).select("seq", "chapter", F.explode(words).alias("token"))
+    return t.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.max_by("chapter", "seq").alias("category")).orderBy(F.desc("n"), "token").limit(20)
+
+
+@query("SELECT n_name AS registry, count(*) AS sources, count(DISTINCT s_name) AS names, count(*) - count(DISTINCT s_suppkey) AS duplicate_ids FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY n_name")
+def a6_registry_counts(spark: SparkSession, sf: str) -> DataFrame:
+    s = table(spark, sf, "supplier").join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    n = F.count(F.lit(1))
+    return s.groupBy(F.col("n_name").alias("registry")).agg(n.alias("sources"), F.count_distinct("s_name").alias("names"), (n - F.count_distinct("s_suppkey")).alias("duplicate_ids"))
+
+
+# --- selection -----------------------------------------------------------------------------------------------------
+
+
+def _scored(spark: SparkSession, sf: str) -> DataFrame:
+    c = candidates(spark, sf).select("seq", "chapter", "source", "title", importance().alias("score"), F.array_distinct(F.regexp_extract_all(F.lower(F.substring("title", 1, 200)), F.lit("([가-힣a-z0-9]{2,})"), F.lit(1))).alias("tokens"))
+    return c.withColumn("turn", -F.col("seq"))
+
+
+@query(f"""WITH RECURSIVE {CAND}, s AS (SELECT seq, chapter, source, CAST({IMPORTANCE} AS DOUBLE) AS score, {TOKENS.format('substr(title, 1, 200)')} AS tokens FROM c),
+o AS (SELECT *, row_number() OVER (PARTITION BY chapter ORDER BY score DESC, seq) AS rk FROM s),
+r AS (SELECT chapter, 0::BIGINT AS rk, []::STRUCT(seq BIGINT, source VARCHAR, score DOUBLE, tokens VARCHAR[])[] AS got FROM (SELECT DISTINCT chapter FROM o)
+UNION ALL SELECT r.chapter, o.rk, CASE WHEN len(got) < 10 AND len(list_filter(got, lambda g: g.source = o.source)) < 2
+AND len(list_filter(got, lambda g: len(list_distinct(list_concat(g.tokens, o.tokens))) > 0 AND len(list_intersect(g.tokens, o.tokens)) / len(list_distinct(list_concat(g.tokens, o.tokens))) >= 0.45)) = 0
+THEN list_append(got, {{'seq': o.seq, 'source': o.source, 'score': o.score, 'tokens': o.tokens}}) ELSE got END FROM r JOIN o ON r.chapter = o.chapter AND o.rk = r.rk + 1),
+l AS (SELECT chapter, arg_max(got, rk) AS got FROM r GROUP BY chapter), u AS (SELECT chapter, unnest(got) AS g, generate_subscripts(got, 1) AS pick FROM l)
+SELECT chapter, CAST(pick AS INTEGER) AS pick, g.seq AS seq, g.source AS source, g.score AS score FROM u WHERE chapter IN (SELECT chapter FROM l WHERE len(list_distinct(list_transform(got, lambda g: g.source))) >= 5)""")
+def w1_diverse_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    alike = lambda a, b: text.jaccard(F.col(f"{a}.tokens"), F.col(f"{b}.tokens")) >= 0.45
+    got = select.greedy_select(_scored(spark, sf), ["chapter"], ["score", "turn"], 10, {"source": 2}, alike)
+    return select.at_least(got, ["chapter"], "source", 5).select("chapter", "pick", "seq", "source", "score")
+
+
+@query(f"""WITH {CAND}, s AS (SELECT seq, chapter, source, CAST({IMPORTANCE} AS DOUBLE) AS score FROM c), a AS (SELECT *, row_number() OVER (PARTITION BY chapter ORDER BY score DESC, seq) AS r FROM s),
+b AS (SELECT *, row_number() OVER (ORDER BY (r > 1), score DESC, seq) AS rank FROM a) SELECT seq, chapter, score, CAST(rank AS INTEGER) AS rank FROM b WHERE rank <= 5""")
+def w5_top5(spark: SparkSession, sf: str) -> DataFrame:
+    return select.one_each_then_fill(_scored(spark, sf).select("seq", "chapter", "score"), [], "chapter", 5, [F.desc("score"), F.asc("seq")])
+
+
+@query("""WITH a AS (SELECT event_id, event_type, user_id, ts, row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts DESC, event_id) AS r FROM events),
+b AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id) AS rank FROM a WHERE r <= 3) SELECT event_type, event_id, user_id, CAST(rank AS INTEGER) AS rank FROM b WHERE rank <= 10""")
+def w8_video_select(spark: SparkSession, sf: str) -> DataFrame:
+    e = table(spark, sf, "events").select("event_id", "event_type", "user_id", "ts")
+    return select.capped_top(e, ["event_type"], "user_id", 3, 10, [F.desc("ts"), F.asc("event_id")]).select("event_type", "event_id", "user_id", "rank")
+
+
+@query(f"""WITH {CAND}, n AS (SELECT chapter, d, count(DISTINCT source) AS n FROM c JOIN (VALUES (7), (14), (30)) w(d) ON age_h <= d * 6 GROUP BY ALL)
+SELECT chapter, min(d) AS window_days, CAST(arg_min(n, d) AS BIGINT) AS publishers FROM n WHERE n >= 5 GROUP BY chapter""")
+def w9_widening_window(spark: SparkSession, sf: str) -> DataFrame:
+    days = F.explode(F.filter(F.array(*[F.lit(d) for d in (7, 14, 30)]), lambda d: F.col("age_h") <= d * 6))
+    n = candidates(spark, sf).select("chapter", "source", days.alias("d")).groupBy("chapter", "d").agg(F.count_distinct("source").alias("n"))
+    return n.filter("n >= 5").groupBy("chapter").agg(F.min("d").alias("window_days"), F.min_by("n", "d").alias("publishers"))
+
+
+@query(f"""WITH {CAND}, q AS (SELECT chapter, source, count(*) AS n, CAST(substr(source, 4) AS INTEGER) AS k FROM c GROUP BY ALL), s AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY chapter ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM q)
+SELECT chapter, source, n, CAST(before AS BIGINT) AS before FROM s WHERE before < 30""")
+def w10_candidate_caps(spark: SparkSession, sf: str) -> DataFrame:
+    q = candidates(spark, sf).groupBy("chapter", "source").agg(F.count(F.lit(1)).alias("n")).withColumn("k", F.substring("source", 4, 9).cast("int"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("chapter").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return q.withColumn("before", before).filter("before < 30").select("chapter", "source", "n", "before")
+
+
+# --- joins ---------------------------------------------------------------------------------------------------------
+
+STOP = ["the", "and", "of", "to", "in", "der", "die", "la", "le", "de", "que"]
+STOPPED = "[" + ", ".join(f"'{w}'" for w in STOP) + "]"
+INFORMATIVE = f"list_distinct(list_filter(regexp_extract_all(lower({{}}), '([가-힣a-z0-9]{{{{2,}}}})', 1), lambda w: NOT list_contains({STOPPED}, w) AND NOT regexp_matches(w, '^[0-9]+$')))"
+
+
+@query(f"""WITH {CAND}, l AS (SELECT seq AS id, {INFORMATIVE.format('substr(title, 1, 200)')} AS t FROM c), r AS (SELECT item_id AS id, {INFORMATIVE.format('substr(text, 1, 200)')} AS t FROM benchmark),
+p AS (SELECT l.id AS doc_id, r.id AS item_id, len(list_intersect(l.t, r.t)) AS k, len(list_distinct(list_concat(l.t, r.t))) AS u, least(len(l.t), len(r.t)) AS m FROM l JOIN r ON len(list_intersect(l.t, r.t)) >= 2)
+SELECT doc_id, item_id, k AS shared FROM p WHERE k / u >= 0.25 OR k / m >= 0.5""")
+def j1_same_event(spark: SparkSession, sf: str) -> DataFrame:
+    left = candidates(spark, sf).select(F.col("seq").alias("id"), text.informative_tokens(F.substring("title", 1, 200), STOP).alias("tokens"))
+    right = table(spark, sf, "benchmark").select(F.col("item_id").alias("id"), text.informative_tokens(F.substring("text", 1, 200), STOP).alias("tokens"))
+    p = similar.shared_token_pairs(left, right, 2).filter(similar.same_event(F.col("lt"), F.col("rt")))
+    return p.select(F.col("l").alias("doc_id"), F.col("r").alias("item_id"), F.size(F.array_intersect("lt", "rt")).cast("long").alias("shared"))
+
+
+@query(f"""WITH p AS (SELECT page_id, {HOST} AS domain FROM pages) SELECT page_id, domain, CASE WHEN domain IS NULL THEN 'none' WHEN domain = 'example.org' OR domain LIKE '%.example.org' THEN 'official' WHEN domain = 'example.com' OR domain LIKE '%.example.com' THEN 'primary' ELSE 'other' END AS kind FROM p""")
+def j8_domain_suffix(spark: SparkSession, sf: str) -> DataFrame:
+    p = table(spark, sf, "pages").select("page_id", urls.domain(F.col("url")).alias("domain"))
+    lists = spark.createDataFrame([("example.org", 0, "official"), ("example.com", 1, "primary")], "suffix string, turn int, kind string")
+    met = p.select("page_id", F.explode(urls.suffixes(F.col("domain"))).alias("suffix")).join(F.broadcast(lists), "suffix").groupBy("page_id").agg(F.min_by("kind", "turn").alias("kind"))
+    return p.join(met, "page_id", "left").select("page_id", "domain", F.when(F.col("domain").isNull(), "none").otherwise(F.coalesce("kind", F.lit("other"))).alias("kind"))
+
+
+@query("SELECT o_orderkey AS key, 'no lines' AS problem FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem) UNION ALL SELECT DISTINCT l_orderkey, 'no order' FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)")
+def j6_set_equality(spark: SparkSession, sf: str) -> DataFrame:
+    o, l_ = table(spark, sf, "orders").select(F.col("o_orderkey").alias("key")), table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("key")).distinct()
+    return o.join(l_, "key", "left_anti").withColumn("problem", F.lit("no lines")).unionByName(l_.join(o, "key", "left_anti").withColumn("problem", F.lit("no order")))
+
+
+@query(f"""WITH p AS (SELECT page_id, {KEY} AS key, CASE page_id % 3 WHEN 0 THEN 'company' WHEN 1 THEN 'economy' ELSE 'world' END AS chapter FROM pages),
+q AS (SELECT regexp_extract(key, '^https?://[^/]+', 0) AS grp, chapter FROM p), g AS (SELECT grp, count(DISTINCT chapter) AS n, min(chapter) AS winner, count(*) AS rows_in FROM q GROUP BY grp) SELECT grp, n AS chapters, winner, rows_in FROM g WHERE n > 1""")
+def j11_conflicts(spark: SparkSession, sf: str) -> DataFrame:
+    k = F.col("page_id") % 3
+    chapter = F.when(k == 0, "company").when(k == 1, "economy").otherwise("world")
+    q = table(spark, sf, "pages").select(F.regexp_extract(urls.canonical_key(F.col("url")), "^https?://[^/]+", 0).alias("grp"), chapter.alias("chapter"))
+    g = q.groupBy("grp").agg(F.count_distinct("chapter").alias("chapters"), F.min("chapter").alias("winner"), F.count(F.lit(1)).alias("rows_in"))
+    return g.filter("chapters > 1")
+
+
+# --- evidence, pages -----------------------------------------------------------------------------------------------
+
+LOG = f"f AS (SELECT page_id, url, {HOST} AS domain, html, CASE WHEN page_id % 11 = 0 THEN 404 WHEN page_id % 13 = 0 THEN 500 ELSE 200 END AS http_status, CASE WHEN page_id % 17 = 0 THEN 'application/pdf' ELSE 'text/html' END AS content_type FROM pages)"
+
+
+@query(f"""WITH {LOG} SELECT page_id, CASE WHEN domain IS NULL THEN 'INVALID_URL' WHEN http_status <> 200 THEN 'HTTP_' || http_status WHEN content_type <> 'text/html' THEN 'NON_HTML' WHEN regexp_extract(html, '<title>([^<]*)</title>', 1) = '' THEN 'TITLE_MISSING' ELSE 'VERIFIED' END AS status,
+regexp_extract(html, '<title>([^<]*)</title>', 1) AS title FROM f""")
+def s5_article_verification(spark: SparkSession, sf: str) -> DataFrame:
+    title = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
+    status = F.when(F.col("domain").isNull(), "INVALID_URL").when(F.col("http_status") != 200, F.concat(F.lit("HTTP_"), F.col("http_status").cast("string"))).when(F.col("content_type") != "text/html", "NON_HTML").when(title == "", "TITLE_MISSING").otherwise("VERIFIED")
+    return fetch_log(spark, sf).select("page_id", status.alias("status"), title.alias("title"))
+
+
+@query(f"""WITH {LOG}, a AS (SELECT page_id, list_distinct(list_filter(list_transform(regexp_extract_all(html, '<p>([^<]*)</p>', 1), lambda p: trim(p)), lambda p: length(p) >= 30)) AS ps FROM f WHERE http_status = 200)
+SELECT page_id, len(ps) AS paragraphs, CASE WHEN coalesce(list_sum(list_transform(ps, lambda p: length(p))), 0) >= 220 THEN 'QUALIFIED' ELSE 'NO_QUALIFIED_BODY' END AS status, CAST(coalesce(list_sum(list_transform(ps, lambda p: length(p))), 0) AS BIGINT) AS chars FROM a""")
+def s6_body_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    parts = F.transform(F.regexp_extract_all("html", F.lit("<p>([^<]*)</p>"), F.lit(1)), F.trim)
+    a = fetch_log(spark, sf).filter("http_status = 200").select("page_id", F.array_distinct(F.filter(parts, lambda p: F.length(p) >= 30)).alias("ps"))
+    chars = F.aggregate("ps", F.lit(0).cast("long"), lambda n, p: n + F.length(p))
+    return a.select("page_id", F.size("ps").cast("long").alias("paragraphs"), F.when(chars >= 220, "QUALIFIED").otherwise("NO_QUALIFIED_BODY").alias("status"), chars.alias("chars"))
+
+
+@query("""WITH a AS (SELECT page_id, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href, generate_subscripts(regexp_extract_all(html, '<a href="([^"]*)"', 1), 1) AS pos, regexp_extract(url, '^https?://[^/]+', 0) AS base FROM pages),
+k AS (SELECT page_id, CASE WHEN href LIKE 'http%' THEN href ELSE base || href END AS link, min(pos) AS pos FROM a WHERE length(href) > 4 GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS rank FROM k)
+SELECT page_id, link, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 5""")
+def s3_link_discovery(spark: SparkSession, sf: str) -> DataFrame:
+    hrefs = F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), F.lit(1))
+    a = table(spark, sf, "pages").select("page_id", F.regexp_extract("url", "^https?://[^/]+", 0).alias("base"), F.posexplode(hrefs).alias("pos", "href")).filter(F.length("href") > 4)
+    link = F.when(F.col("href").startswith("http"), F.col("href")).otherwise(F.concat("base", "href"))
+    k = a.groupBy("page_id", link.alias("link")).agg(F.min("pos").alias("pos"))
+    return k.withColumn("rank", F.row_number().over(Window.partitionBy("page_id").orderBy("pos"))).filter("rank <= 5").select("page_id", "link", "rank")
+
+
+@query("""WITH h AS (SELECT doc_id, sha256(text) AS hash FROM documents) SELECT doc_id, hash, CASE WHEN row_number() OVER (PARTITION BY hash ORDER BY doc_id) = 1 THEN 'VERIFIED' ELSE 'DUPLICATE_IMAGE' END AS status FROM h""")
+def e4_duplicate_images(spark: SparkSession, sf: str) -> DataFrame:
+    h = table(spark, sf, "documents").select("doc_id", F.sha2("text", 256).alias("hash"))
+    first = h.groupBy("hash").agg(F.min("doc_id").alias("first"))  # aggregated before the shuffle: one image may be most rows
+    return h.join(first, "hash").select("doc_id", "hash", F.when(F.col("doc_id") == F.col("first"), "VERIFIED").otherwise("DUPLICATE_IMAGE").alias("status"))
+
+
+@query("""SELECT event_type AS provider, count(*) AS attempts, count(*) FILTER (value >= 10) AS good, CASE WHEN count(*) FILTER (value >= 10) = count(*) THEN 'HEALTHY' WHEN count(*) FILTER (value >= 10) > 0 THEN 'DEGRADED' ELSE 'UNAVAILABLE' END AS health FROM events GROUP BY event_type""")
+def e5_source_health(spark: SparkSession, sf: str) -> DataFrame:
+    n, good = F.count(F.lit(1)), F.count_if(F.col("value") >= 10)
+    return table(spark, sf, "events").groupBy(F.col("event_type").alias("provider")).agg(n.alias("attempts"), good.alias("good"), F.when(good == n, "HEALTHY").when(good > 0, "DEGRADED").otherwise("UNAVAILABLE").alias("health"))
+
+
+# --- gates, fingerprints, sinks ------------------------------------------------------------------------------------
+
+
+@query(f"""WITH {CAND} SELECT chapter AS edition, 'min_articles' AS rule, CAST(count(*) AS VARCHAR) AS detail FROM c GROUP BY chapter HAVING count(*) < 150
+UNION ALL SELECT chapter, 'unique_title', title FROM c GROUP BY chapter, title HAVING count(*) > 1 UNION ALL SELECT chapter, 'short_body', CAST(seq AS VARCHAR) FROM c WHERE length(text) < 10""")
+def g1_edition_gate(spark: SparkSession, sf: str) -> DataFrame:
+    c = candidates(spark, sf).select(F.col("chapter").alias("edition"), "title", "seq", F.length("text").alias("n"))
+    few = c.groupBy("edition").count().filter("count < 150").select("edition", F.lit("min_articles").alias("rule"), F.col("count").cast("string").alias("detail"))
+    same = c.groupBy("edition", "title").count().filter("count > 1").select("edition", F.lit("unique_title").alias("rule"), F.col("title").alias("detail"))
+    short = c.filter("n < 10").select("edition", F.lit("short_body").alias("rule"), F.col("seq").cast("string").alias("detail"))
+    return few.unionByName(same).unionByName(short)
+
+
+@query("SELECT o_orderstatus AS edition, sha256(string_agg(o_orderkey || '|' || o_custkey, chr(10) ORDER BY o_orderkey)) AS fingerprint FROM orders GROUP BY o_orderstatus")
+def h1_ordered_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
+    line = F.struct("o_orderkey", F.concat_ws("|", "o_orderkey", "o_custkey").alias("line"))
+    rows = table(spark, sf, "orders").groupBy(F.col("o_orderstatus").alias("edition")).agg(F.sort_array(F.collect_list(line)).alias("lines"))
+    return rows.select("edition", F.sha2(F.array_join(F.transform("lines", lambda x: x.line), "\n"), 256).alias("fingerprint"))
+
+
+@query("""WITH r AS (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS k FROM documents) SELECT lang AS edition, CAST(k // 30 AS BIGINT) AS bundle, count(*) AS stories, min(doc_id) AS first, max(doc_id) AS last FROM r WHERE k < 150 GROUP BY ALL""")
+def s16_story_bundles(spark: SparkSession, sf: str) -> DataFrame:
+    r = table(spark, sf, "documents").select("doc_id", F.col("lang").alias("edition"), (F.row_number().over(Window.partitionBy("lang").orderBy("doc_id")) - 1).alias("k")).filter("k < 150")
+    return r.groupBy("edition", F.floor(F.col("k") / 30).alias("bundle")).agg(F.count(F.lit(1)).alias("stories"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+
+
+@query("SELECT user_id, event_type, min(ts) AS first_seen, count(*) AS seen FROM events GROUP BY ALL")
+def u3_distinct_in_order(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "events").groupBy("user_id", "event_type").agg(F.min("ts").alias("first_seen"), F.count(F.lit(1)).alias("seen"))
+
+
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
