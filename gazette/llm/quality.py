@@ -136,10 +136,11 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_ROWS, column: s
     The logit is shifted so that classes count as often as in all labelled rows, not as in the sample.
     """
     known = labels.select("doc_id", F.col(column).cast("int").alias("y")).dropna().dropDuplicates(["doc_id"])
-    rows = docs.filter(~held_out(F.col("doc_id"), 5, 0)).select("doc_id", "text").join(known, "doc_id")
-    counts = {r[0]: r[1] for r in rows.groupBy("y").count().collect()}
-    sample = bounded_sample(rows, "y", ["doc_id", "text"], bound).select("doc_id", "text", "y").collect()
-    sample = sorted(((r[1], r[2]) for r in sample), key=lambda r: (r[1], r[0] or ""))
+    known = known.filter(~held_out(F.col("doc_id"), 5, 0))
+    counts = {r[0]: r[1] for r in known.groupBy("y").count().collect()}
+    chosen = bounded_sample(known, "y", ["doc_id"], bound)  # bounded, so it is broadcast and its texts are collected
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "y").collect()
+    sample = sorted(((r[0], r[1]) for r in sample), key=lambda r: (r[1], r[0] or ""))
     net = fit(sample)
     taken = {y: max(1, sum(s[1] == y for s in sample)) for y in (0, 1)}
     shift = np.log(max(1, counts.get(1, 0)) / taken[1]) - np.log(max(1, counts.get(0, 0)) / taken[0])
