@@ -53,3 +53,19 @@ def object_particle(word: Column) -> Column:
     code = F.ascii(F.substring(word, -1, 1))
     hangul = (code >= 44032) & (code <= 55203)
     return F.concat(word, F.when(hangul & ((code - 44032) % 28 > 0), F.lit("을")).otherwise(F.lit("를")))
+
+
+def event_tokens(c: Column, aliases: dict[str, str], stopwords: list[str]) -> Column:
+    """Distinct words of a normalised text in their base form, of three or more letters, without stop words and numbers."""
+    words = F.split(norm_title(c), " ")
+    base = F.create_map(*[F.lit(x) for pair in aliases.items() for x in pair])
+    return F.array_distinct(F.filter(F.transform(words, lambda w: F.coalesce(base[w], w)), lambda w: (F.length(w) >= 3) & ~w.isin(stopwords) & ~w.rlike("^[0-9]+$")))
+
+
+def one_line(c: Column) -> Column:
+    return F.trim(F.regexp_replace(c, r"[ \t\r\n]+", " "))
+
+
+def sentences(c: Column) -> Column:
+    """The parts of a text after each end of a sentence."""
+    return F.split(one_line(c), r"(?<=[.!?]) ")

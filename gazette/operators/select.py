@@ -12,6 +12,7 @@ from gazette.functions.lineage import settle
 
 def greedy_select(
     df: DataFrame, group: list[str], order: list[str], target: int, caps: dict[str, int] | None = None, conflict: Callable[[str, str], Column] | None = None, columns: list[str] | None = None,
+    seed: DataFrame | None = None,
 ) -> DataFrame:
     """Of each group the first ``target`` rows by ``order`` (descending) that fit those chosen before; ``pick`` is their turn, from 1.
 
@@ -21,32 +22,94 @@ def greedy_select(
     The i-th pick is the best row that fits picks 1..i-1, so at most ``target`` rounds do: each takes the best row of
     each group by a partial aggregate, and drops what no longer fits. No group is ever collected into one task. The
     picks of a round, a row for each group, are joined to the rest by the group.
+
+    Rows of ``seed`` (columns of ``df``, at most ``target`` a group) count as chosen before: they fill places, caps and
+    conflicts, and come first in the result.
     """
     columns = columns or df.columns
     left = settle(df)
     chosen: DataFrame | None = None
+    if seed is not None:
+        kept = Window.partitionBy(*group).orderBy(*[F.desc(o) for o in order])
+        chosen = settle(seed.select(*df.columns).withColumn("pick", F.row_number().over(kept)))
+        left = settle(_fitting(left, chosen, chosen, group, order, caps, conflict, target))
     for turn in range(1, target + 1):
         best = left.groupBy(*group).agg(F.max_by(F.struct(*left.columns), F.struct(*order)).alias("best"))
-        best = settle(best.select("best.*").withColumn("pick", F.lit(turn)))
+        place = F.lit(turn)
+        if seed is not None:
+            held = chosen.groupBy(*group).agg(F.max("pick").alias("__held"))
+            best, place = best.join(held, group, "left"), F.coalesce("__held", F.lit(0)) + 1
+        best = settle(best.select("best.*", place.alias("pick")))
         if best.isEmpty():
             break
         chosen = best if chosen is None else chosen.unionByName(best)
         if turn == target:
             break
-        same_group = [F.col(f"b.{g}").eqNullSafe(F.col(f"r.{g}")) for g in group]
-        same_row = F.lit(True)
-        for o in order:
-            same_row = same_row & F.col(f"b.{o}").eqNullSafe(F.col(f"r.{o}"))
-        bad = same_row | F.coalesce(conflict("b", "r"), F.lit(False)) if conflict else same_row
-        rest = left.alias("r").join(best.alias("b"), same_group).filter(~bad).select("r.*")
-        for column, cap in (caps or {}).items():
-            full = chosen.groupBy(*group, column).count().filter(F.col("count") >= cap).drop("count")
-            rest = rest.join(full, [*group, column], "left_anti").select(left.columns)
-        left = settle(rest)
+        left = settle(_fitting(left, best, chosen, group, order, caps, conflict, target if seed is not None else None))
     out = chosen if chosen is not None else settle(df.limit(0).withColumn("pick", F.lit(0)))
     return out.select(*columns, "pick")
 
 
+def _fitting(
+    left: DataFrame, new: DataFrame, chosen: DataFrame, group: list[str], order: list[str], caps: dict[str, int] | None, conflict: Callable[[str, str], Column] | None, target: int | None,
+) -> DataFrame:
+    """Rows of ``left`` that are not among ``new``, clash with none of them, and stay within the caps and, if given, the target."""
+    same_group = [F.col(f"b.{g}").eqNullSafe(F.col(f"r.{g}")) for g in group]
+    same_row = F.lit(True)
+    for o in order:
+        same_row = same_row & F.col(f"b.{o}").eqNullSafe(F.col(f"r.{o}"))
+    bad = same_row | F.coalesce(conflict("b", "r"), F.lit(False)) if conflict else same_row
+    clash = bad
+    for same in same_group:
+        clash = clash & same
+    rest = left.alias("r").join(new.alias("b"), clash, "left_anti")
+    for column, cap in (caps or {}).items():
+        full = chosen.groupBy(*group, column).count().filter(F.col("count") >= cap).drop("count")
+        rest = rest.join(full, [*group, column], "left_anti").select(left.columns)
+    if target is not None:
+        full = chosen.groupBy(*group).count().filter(F.col("count") >= target).drop("count")
+        rest = rest.join(full, group, "left_anti").select(left.columns)
+    return rest
+
+
+def domain_diverse(df: DataFrame, group: list[str], domain: str, topic: str, order: list[str], target: int, least: int, cap: int) -> DataFrame:
+    """``target`` rows of each group in three passes, none of a topic more than ``cap`` times; ``pick`` is their turn.
+
+    First rows of new domains until there are ``least``, then the best row of each topic not yet met, then the best of
+    the rest. Groups with fewer rows or domains are empty. Only the first pass takes rounds; the others are windows.
+    """
+    best = [F.desc(o) for o in order]
+    first = settle(greedy_select(df, group, order, least, {domain: 1, topic: cap}))
+    met = first.groupBy(*group, topic).count().withColumnRenamed("count", "__met")
+    rest = df.join(first.select(*group, *order), [*group, *order], "left_anti").join(met, [*group, topic], "left")
+    rest = rest.withColumn("__place", F.row_number().over(Window.partitionBy(*group, topic).orderBy(*best)) + F.coalesce("__met", F.lit(0))).filter(F.col("__place") <= cap)
+    turn = Window.partitionBy(*group).orderBy(F.when(F.col("__met").isNull() & (F.col("__place") == 1), 0).otherwise(1), *best)
+    held = first.groupBy(*group).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") >= least)
+    more = rest.join(held, group).withColumn("pick", (F.row_number().over(turn) + F.col("__n")).cast("int"))
+    both = first.unionByName(more.filter(F.col("pick") <= target).select(first.columns))
+    full = both.groupBy(*group).agg(F.count(F.lit(1)).alias("__n"), F.count_distinct(domain).alias("__d")).filter((F.col("__n") == target) & (F.col("__d") >= least)).select(*group)
+    return both.join(full, group, "left_semi")
+
+
+def allocate(df: DataFrame, edition: str, chapter: str, key: str, order: list[str], target: int, caps: dict[str, int], conflict: Callable[[str, str], Column] | None, ranks: int) -> DataFrame:
+    """Greedy picks of each chapter of an edition, chapters with the fewest different ``key`` values first; a key is given out once.
+
+    All editions take their turn together, so that there are as many passes as an edition has chapters, at most ``ranks``.
+    """
+    scarce = df.groupBy(edition, chapter).agg(F.count_distinct(key).alias("__n"))
+    scarce = scarce.withColumn("__turn", F.row_number().over(Window.partitionBy(edition).orderBy("__n", chapter))).drop("__n")
+    turns = settle(df.join(F.broadcast(scarce), [edition, chapter]))
+    got: DataFrame | None = None
+    for turn in range(1, ranks + 1):
+        pool = turns.filter(F.col("__turn") == turn).select(df.columns)
+        if got is not None:
+            pool = pool.join(got.select(edition, key).distinct(), [edition, key], "left_anti").select(df.columns)
+        # Within one chapter a title is given out once, too: a cap of one on the key.
+        new = settle(greedy_select(pool, [edition, chapter], order, target, {**caps, key: 1}, conflict).withColumn("turn_of_chapter", F.lit(turn)))
+        got = new if got is None else got.unionByName(new)
+    return got
+
+
 def at_least(df: DataFrame, group: list[str], column: str, least: int) -> DataFrame:
     """Rows of the groups that have ``least`` different values of ``column``; other groups are empty."""
     good = df.groupBy(*group).agg(F.count_distinct(column).alias("__n")).filter(F.col("__n") >= least).drop("__n")

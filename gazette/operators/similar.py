@@ -38,3 +38,11 @@ def corroboration(lt: Column, rt: Column) -> Column:
     near = F.bround(both / F.size(F.array_union(lt, rt)), 4)
     over = F.bround(both / F.least(F.size(lt), F.size(rt)), 4)
     return F.bround(2 * near + over + 0.05 * both, 4)
+
+
+def same_action(lt: Column, rt: Column, actions: list[str], entities: list[str]) -> Column:
+    """Three or more tokens in common, and: an action with containment .34, or Jaccard .45, or an action and an entity with containment .30."""
+    common = F.array_intersect(lt, rt)
+    has = lambda terms: F.arrays_overlap(common, F.array(*[F.lit(t) for t in terms]))
+    contained, near = F.size(common) / F.least(F.size(lt), F.size(rt)), F.size(common) / F.size(F.array_union(lt, rt))
+    return (F.size(common) >= 3) & ((has(actions) & (contained >= 0.34)) | (near >= 0.45) | (has(actions) & has(entities) & (contained >= 0.30)))

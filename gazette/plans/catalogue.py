@@ -447,9 +447,15 @@ def u3_distinct_in_order(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").groupBy("user_id", "event_type").agg(F.min("ts").alias("first_seen"), F.count(F.lit(1)).alias("seen"))
 
 
+def _all() -> None:
+    from gazette.plans import audits, choosing, evidence, readers, rules  # noqa: F401  (each registers its queries)
+
+
 def queries() -> dict[str, Query]:
+    _all()
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _all()
     return dict(ORACLES)
