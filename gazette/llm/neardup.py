@@ -18,6 +18,8 @@ from gazette.llm.common import cut, read
 BANDS, WIDTH = 10, 2
 #: Ids of documents to verify are broadcast up to this many (16 MB), beyond it joined by a shuffle.
 BROADCAST_IDS = 1_000_000
+#: Rows of one part of a key of very many nodes; every part meets every other. Rows with their whole sets are held in smaller parts.
+PART, PART_OF_SETS = 4_000, 500
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -73,7 +75,8 @@ def table_keys(signatures: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     for k in range(1, WIDTH):
         half = _mix(half * _A + bands[:, :, k])
     table = np.arange(BANDS * BANDS, dtype=np.uint64).reshape(1, BANDS, BANDS)
-    keys = _mix(_mix(half[:, :BANDS, None] * _A + half[:, None, BANDS:]) + table * _B).reshape(len(signatures), -1)
+    keys = _mix(_mix(half[:, :BANDS, None] * _A + half[:, None, BANDS:]) + table * _B)
+    keys = (keys & ~np.uint64(127) | table).reshape(len(signatures), -1)  # the last 7 bits tell the table
     short = half >> np.uint64(48)
     order = np.zeros_like(keys)
     for k in range(_ORDERS.shape[1]):
@@ -199,8 +202,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     2. Each node is verified against the candidate it meets in most tables; groups of linked nodes are components.
     3. Candidates across components are verified, unless their minhashes rule 0.8 out, and components joined. Pairs
        within a component are not looked at.
-    4. Nodes under a key whose most central node is of another component meet the most central one among themselves;
-       and so on, as long as links are found.
+    4. Under keys of several components, all pairs across them are looked at in blocks: compared by minhashes and, unless
+       these rule 0.8 out, on their whole sets. No link depends on which node was central or stood beside.
 
     Two sets at similarity 0.8 share a table with probability 0.99993, and 41 of the 100 tables on average.
 
@@ -243,20 +246,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     links = links.union(new)
     if not new.isEmpty():
         comps = _settled(components(links))
-    done = best
-    while True:
-        label = comps.select("node", "comp")
-        rows = shared.join(label, "node", "left").select("key", "node", "central", F.coalesce("comp", "node").alias("comp"))
-        theirs = hubs.join(label.withColumnRenamed("node", "hub"), "hub", "left").select("key", F.coalesce("comp", "hub").alias("hub_comp"))
-        shared = _settled(rows.join(theirs, "key").filter("comp <> hub_comp").select("key", "node", "central"))
-        hubs = _settled(_hubs(shared))
-        if hubs.isEmpty():
-            break
-        new = linked(star(shared, hubs).select("a", "b"), done)
-        if new.isEmpty():
-            break
-        links = links.union(new)
-        comps = _settled(components(links))
+    new = _across(met.select("key", "node"), comps, raw, nodes, words, percent)
+    if not new.isEmpty():
+        comps = _settled(components(links.union(new)))
 
     groups = base.select("doc_id", "node").filter("node IS NOT NULL").join(comps, "node", "left").select("node", "doc_id", F.coalesce("comp", "node").alias("comp"))
     first = _settled(groups.groupBy("comp").agg(F.min("doc_id").alias("component_id")))
@@ -266,13 +258,141 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "node")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
-    """Those of the ``pairs`` (a, b) of nodes with 100 * intersection >= percent * union, on the sets of their whole texts.
+def _blocks(rows: DataFrame, most: int) -> DataFrame:
+    """``rows`` with part and block: keys of over ``most`` rows are cut into parts, and each two parts make a block."""
+    parts = rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("parts"))
+    rows = rows.join(parts, "key").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    others = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: F.least("part", k).cast("long") * (1 << 31) + F.greatest("part", k))
+    return rows.withColumn("block", F.explode(others)).drop("parts")
+
+
+def _whole_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows sorted by key and block (the first two columns), handed on in tables of whole blocks."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([batch])
+        rows = rows if held is None else pa.concat_tables([held, rows])
+        key, block = rows.column(0).to_numpy(), rows.column(1).to_numpy()
+        other = np.flatnonzero((key != key[-1]) | (block != block[-1]))
+        cut_at = int(other[-1]) + 1 if len(other) else 0
+        if cut_at:
+            yield rows.slice(0, cut_at)
+        held = rows.slice(cut_at)
+    if held is not None:
+        yield held
+
+
+def _alike(rows: pa.Table, least: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of two rows of one block and of two components with ``least`` equal minhashes, in the first table that both share.
+
+    The columns are key, block, part, node, comp, and short: the last 16 bits of each minhash.
+    """
+    key, block, part, _, comp = (rows.column(k).to_numpy() for k in range(5))
+    short = np.frombuffer(b"".join(rows.column(5).to_pylist()), np.uint16).reshape(len(key), -1)
+    starts = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (block[1:] != block[:-1])))
+    ends = np.append(starts[1:], len(key))
+    end = np.repeat(ends, ends - starts)
+    within = (block >> 31) == (block & ((1 << 31) - 1))
+    table = key & 127
+    at, step = np.arange(len(key)), 0
+    while True:
+        step += 1
+        at = at[at + step < end[at]]
+        if not len(at):
+            return
+        p = at[(comp[at] != comp[at + step]) & (within[at] | (part[at] != part[at + step]))]
+        if not len(p):
+            continue
+        equal = short[p] == short[p + step]
+        eights = equal.view(np.uint64)
+        count = (sum(eights[:, k] for k in range(1, eights.shape[1])) + eights[:, 0]) * np.uint64(0x0101010101010101) >> np.uint64(56)
+        like = count >= least
+        p, bands = p[like], equal[like].reshape(-1, 2 * BANDS, WIDTH).all(2)
+        first = bands[:, :BANDS].argmax(1) * BANDS + bands[:, BANDS:].argmax(1)
+        p = p[first == table[p]]
+        if len(p):
+            yield p, p + step
+
+
+def _across(met: DataFrame, comps: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) that join all components which a pair of nodes under one key links: every pair across components is looked at.
+
+    Minhashes are compared first, without sets; blocks keep the nodes with a likely pair. Their sets are then compared in
+    blocks again, but for pairs that links of the same blocks have joined already, so that links are not as many as pairs.
+    """
+    rows = met.join(comps.select("node", "comp"), "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
+    mixed = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key")
+    rows = cut(rows.join(mixed, "key"))
+    most = 2 * BANDS * WIDTH
+    least = int(most * (percent / 100 - 0.25))
+
+    def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            short = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint64).astype(np.uint16).reshape(batch.num_rows, -1)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in short], pa.binary())], names=["node", "short"])
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        return rows.repartition("key", "block").sortWithinPartitions("key", "block", "node")
+
+    shorts = nodes.join(rows.select("node").distinct(), "node", "left_semi").select("node", "sketch").mapInArrow(shorten, "node long, short binary")
+    columns = ["key", "block", "part", "node", "comp", "short"]
+
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _whole_blocks(batches):
+            keep = np.zeros(rows.num_rows, bool)
+            for p, q in _alike(rows, least):
+                keep[p] = keep[q] = True
+            found = rows.filter(pa.array(keep)).select(["key", "node", "comp"]).combine_chunks()
+            yield from found.to_batches()
+
+    kept = dealt(_blocks(rows, PART).join(shorts, "node").select(*columns)).mapInArrow(likely, "key long, node long, comp long")
+    kept = _settled(kept.distinct())
+    sets = _sets(kept.select("node").distinct(), docs, nodes, words)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _whole_blocks(batches):
+            node, comp, items = rows.column(3).to_numpy(), rows.column(4).to_numpy(), rows.column(6)
+            over: dict[int, int] = {}  # components that links have joined
+            links = []
+
+            def root(x: int) -> int:
+                while x in over:
+                    over[x] = x = over.get(over[x], over[x])  # noqa: B023
+                return x
+
+            held: dict[int, np.ndarray] = {}
+
+            def items_of(k: int) -> np.ndarray:
+                if k not in held:  # noqa: B023
+                    held[k] = np.frombuffer(items[k].as_py(), np.uint64)  # noqa: B023
+                return held[k]  # noqa: B023
+
+            for left, right in _alike(rows, least):
+                for p, q in zip(left.tolist(), right.tolist(), strict=True):
+                    a, b = root(int(comp[p])), root(int(comp[q]))
+                    if a != b and _similar(items_of(p), items_of(q), percent):
+                        over[max(a, b)] = min(a, b)
+                        links.append((node[p], node[q]))
+            yield pa.RecordBatch.from_arrays([pa.array([int(x[k]) for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    kept = _blocks(kept, PART_OF_SETS).join(shorts, "node").join(sets, "node").select(*columns, "items")
+    return _settled(dealt(kept).mapInArrow(compare, "a long, b long").distinct())
+
+
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    if min(len(x), len(y)) * 100 < percent * max(len(x), len(y)):
+        return False
+    same = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * same >= percent * (len(x) + len(y) - same)
+
+
+def _sets(ends: DataFrame, docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
+    """node, items: the set of each of the nodes ``ends``, of its whole text.
 
     A node's text is that of its least doc_id; a row whose text has another set is told by its hash and left out.
     """
-    asked = _settled(pairs.select("a", "b").distinct())
-    ends = asked.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = _settled(ends.join(nodes.select("node", "doc_id"), "node").select("node", F.col("doc_id").alias("d")))
     near = F.broadcast if wanted.count() <= BROADCAST_IDS else (lambda x: x)
     texts = docs.join(near(wanted), docs["doc_id"].eqNullSafe(wanted["d"])).select("node", "text")
@@ -283,21 +403,20 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, p
             sound = [k for k, (x, node) in enumerate(zip(found, batch.column(0).to_pylist(), strict=True)) if int(np.array(xxhash.xxh3_64_intdigest(x), np.uint64).astype(np.int64)) == node]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(sound, pa.int64())), pa.array([found[k] for k in sound], pa.binary())], names=["node", "items"])
 
-    known = texts.mapInArrow(sets, "node long, items binary")
+    return texts.mapInArrow(sets, "node long, items binary")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
+    """Those of the ``pairs`` (a, b) of nodes with 100 * intersection >= percent * union, on the sets of their whole texts."""
+    asked = _settled(pairs.select("a", "b").distinct())
+    known = _sets(asked.select(F.explode(F.array("a", "b")).alias("node")).distinct(), docs, nodes, words)
     left = asked.join(known.select(F.col("node").alias("a"), F.col("items").alias("x")), "a")
     both = left.join(known.select(F.col("node").alias("b"), F.col("items").alias("y")), "b").select("a", "b", "x", "y")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for k in range(batch.num_rows):
-                x, y = (np.frombuffer(batch.column(c)[k].as_py(), np.uint64) for c in (2, 3))
-                if min(len(x), len(y)) * 100 < percent * max(len(x), len(y)):
-                    continue
-                same = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * same >= percent * (len(x) + len(y) - same):
-                    keep.append(k)
-            at = pa.array(keep, pa.int64())
+            sets = [[np.frombuffer(batch.column(c)[k].as_py(), np.uint64) for c in (2, 3)] for k in range(batch.num_rows)]
+            at = pa.array([k for k, (x, y) in enumerate(sets) if _similar(x, y, percent)], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at)], names=["a", "b"])
 
     return _settled(both.mapInArrow(compare, "a long, b long").distinct())

@@ -228,3 +228,31 @@ def test_fingerprint(spark, rows):
     a, b = ("".join(draw.choice("abcdefgh ") for _ in range(5000)) for _ in range(2))
     one, _ = fingerprint.fingerprints([a, "xyz" + a, b])
     assert fingerprint.likeness(one[:1], one[1:2])[0] > 0.85 and fingerprint.likeness(one[:1], one[2:])[0] < 0.1
+
+
+def test_near_duplicates_linked_only_through_members_of_the_hubs_group(spark):
+    """600 variants of one text differ in a word; of each one more text is made, 0.8 like this variant and no other text."""
+    draw = random.Random(11)
+    hub = [f"h{k}" for k in range(200)]
+    texts = [hub]
+    for k in range(600):
+        places = draw.sample(range(1, 199, 2), 12)
+        near, far = list(hub), None
+        near[places[0]] = f"n{k}"
+        far = list(near)
+        for p in places[1:]:
+            far[p] = f"f{k}-{p}"
+        texts += [near, far]
+    draw.shuffle(texts)
+    sets = [frozenset(zip(t, t[1:], strict=False)) for t in texts]
+    least = list(range(len(sets)))
+    for a, x in enumerate(sets):
+        for b in range(a):
+            same = len(x & sets[b])
+            if 100 * same >= 80 * (len(x) + len(sets[b]) - same) and least[a] != least[b]:
+                lo, hi = sorted((least[a], least[b]))
+                least = [lo if c == hi else c for c in least]
+    rows = [(k, " ".join(t), "en", "s") for k, t in enumerate(texts)]
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(table(spark, rows), 2).collect()}
+    assert len(set(least)) == 1
+    assert sum(got[k] != c for k, c in enumerate(least)) == 0
