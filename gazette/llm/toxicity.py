@@ -22,10 +22,13 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "
 #: Costs of the channel (negative logarithms): a letter that stands for another, a lost mark, a letter for a mark
 #: that stands for several, a repeated letter that was single.
 SUBSTITUTED, DROPPED, REPEATED = 1.2, 2.5, 0.7
+#: Costs of a word's edge at the narrowest gap of spaced letters, and of none at a wider one.
+NARROW, WIDE = 0.7, 3.0
 
 _WORD = re.compile(r"[^\W\d_]+")
 _MARKS = "!?.,;:*#$%&|+()\"'-_~^=/"
 _SPACED = re.compile(r"(?<!\S)(?:\S[ \t]+){2,}\S(?!\S)")
+_INNER = re.compile(r"\w[.\-_/,=~&]+\S")
 _RUN = re.compile(r"([^\W\d_])\1\1")
 _PLAIN = re.compile(r"(?!.*([^\W\d_])\1\1)[^\W\d_]+(?:['’-][^\W\d_]{2,}|['’][^\W\d_])*")
 
@@ -79,7 +82,7 @@ class Channel:
         self.single: dict[int, int] = {}
         for pair, n in self.back.items():
             self.single[pair // SYMBOLS] = self.single.get(pair // SYMBOLS, 0) + n
-        self.known: dict[str, str] = {}
+        self.known: dict[tuple[str, bool], str] = {}
 
     def cost(self, a: int, b: int, c: int) -> float:
         """-log P(c | a, b), mixed with the pair's and a floor."""
@@ -89,42 +92,64 @@ class Channel:
         return -math.log(0.7 * three + 0.25 * two + 0.05 / 60)
 
     @staticmethod
-    def lattice(token: str) -> list[list[tuple[str, float]]]:
-        """For each run of one character what it may stand for, with the channel's cost."""
+    def lattice(token: str, edges: bool = False) -> list[list[tuple[str, float]]]:
+        """For each run of one character what it may stand for, with the channel's cost; a blank stands for a word's edge.
+
+        Gaps between spaced letters are edges or nothing. With ``edges``, marks that are lost may be edges too.
+        """
         out = []
-        for run in re.finditer(r"(.)\1*", token, re.DOTALL):
+        gaps = [len(x) for x in re.findall(r"\s+", token)]
+        for run in re.finditer(r"\s+|(\S)\1*", token):
             char, n = run[1], len(run[0])
-            if char.isalpha():
+            if char is None:
+                options = [("", 0.0), (" ", NARROW)] if n == min(gaps) else [("", WIDE), (" ", 0.0)]
+            elif char.isalpha():
                 options = [(char, REPEATED * min(n - 1, 1)), (char * 2, 0.3 if n == 2 else REPEATED)] if n > 1 else [(char, 0.0)]
             else:
                 letters = LEET.get(char, "")
                 more = 0.0 if n < 3 else 2.0  # three marks in turn are rather marks
                 options = [(x, SUBSTITUTED + more + math.log(len(letters))) for x in letters] + [(x * 2, SUBSTITUTED + more + 0.5) for x in letters if n > 1]
-                options.append(("", DROPPED * 2 if char.isdigit() else DROPPED if n < 3 else DROPPED / 4))
+                lost = DROPPED * 2 if char.isdigit() else DROPPED if n < 3 else DROPPED / 4
+                options.append(("", lost))
+                if edges and not char.isdigit():
+                    options.append((" ", lost))
             out.append(options)
         return out
 
-    def decode(self, token: str) -> str:
-        """The likeliest word for a token in lower case; tokens that were met before come from a small store."""
-        if token in self.known:
-            return self.known[token]
-        states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-        for options in self.lattice(token):
-            after: dict[tuple[int, int], tuple[float, str]] = {}
+    def decode(self, token: str, edges: bool = False) -> str:
+        """The likeliest word for a token in lower case, or words with blanks between; tokens that were met before come from a small store.
+
+        Time and memory grow with the token's length, whatever it is.
+        """
+        if (token, edges) in self.known:
+            return self.known[token, edges]
+        states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
+        for options in self.lattice(token, edges):
+            after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             for (a, b), (spent, word) in states.items():
                 for letters, price in options:
                     x, y, total = a, b, spent + price
                     for letter in letters:
+                        if letter == " ":
+                            total += self.cost(x, y, 0) if y else 0.0
+                            x, y = 0, 0
+                            continue
                         z = symbol(letter)
                         total += self.cost(x, y, z)
                         x, y = y, z
                     if (x, y) not in after or total < after[x, y][0]:
-                        after[x, y] = (total, word + letters)
+                        after[x, y] = (total, (word, letters) if letters else word)
             states = after
-        best = min((spent + self.cost(a, b, 0), word) for (a, b), (spent, word) in states.items())[1]
-        if len(self.known) > 50_000:
-            self.known.clear()
-        self.known[token] = best
+        last = min(((spent + self.cost(a, b, 0), word) for (a, b), (spent, word) in states.items()), key=lambda x: x[0])[1]
+        parts = []
+        while last is not None:
+            last, letters = last
+            parts.append(letters)
+        best = "".join(reversed(parts))
+        if len(token) <= 100:
+            if len(self.known) > 50_000:
+                self.known.clear()
+            self.known[token, edges] = best
         return best
 
     def words(self, text: str | None) -> set[str]:
@@ -144,17 +169,27 @@ class Channel:
                     continue
             else:
                 found.update(_WORD.findall(token))
-            if 3 <= len(token) <= 40 and sum(map(str.isalpha, token)) * 3 >= len(token) and not _PLAIN.fullmatch(bare):
+            if len(token) >= 3 and not _PLAIN.fullmatch(bare) and _lettered(token):
                 found.update(_WORD.findall(self.decode(token)))
                 if bare != token and len(bare) > 2:
                     found.update(_WORD.findall(self.decode(bare)))
+                if _INNER.search(bare):
+                    found.update(_WORD.findall(self.decode(bare, True)))
         for run in _SPACED.finditer(text):
-            joined = re.sub(r"\s+", "", run[0])
-            if 3 <= len(joined) <= 40:
-                found.update(_WORD.findall(self.decode(joined)))
+            found.update(_WORD.findall(self.decode(run[0])))
+            gap = min(map(len, re.findall(r"\s+", run[0])))
+            for part in re.split(rf"\s{{{gap + 1},}}", run[0]):  # also as one word between wider gaps
+                joined = re.sub(r"\s+", "", part)
+                if len(joined) >= 3:
+                    found.update(_WORD.findall(self.decode(joined)))
         return found
 
 
+def _lettered(token: str) -> bool:
+    """Whether a token has a letter, or a mark that LEET gives a letter for; digits alone are numbers."""
+    return any(c.isalpha() or (not c.isdigit() and LEET.get(c)) for c in token)
+
+
 def features(words: set[str]) -> set[str]:
     """What the classifier may look at: whole words, and beginnings of 4 to 6 letters of longer ones."""
     out = {f"={w}" for w in words if len(w) > 1}

@@ -256,3 +256,18 @@ def test_near_duplicates_linked_only_through_members_of_the_hubs_group(spark):
     got = {r.doc_id: r.component_id for r in neardup.near_duplicates(table(spark, rows), 2).collect()}
     assert len(set(least)) == 1
     assert sum(got[k] != c for k, c in enumerate(least)) == 0
+
+
+def test_toxicity_decodes_long_and_spaced_disguises():
+    text = "you are a moron and an idiot or an asshole as the river by the house of light is a small town with paper " * 50
+    counts = defaultdict(int)
+    for code in toxicity.trigram_codes(text).tolist():
+        counts[code] += 1
+    channel = toxicity.Channel(dict(counts))
+    wanted = {
+        "a m o r o n": "moron", "y o u i d i o t": "idiot", " ".join("youareamoronandanidiotorthehouseofthelightriver"): "moron",
+        "a  m o r o n": "moron", "m  o  r  o  n": "moron", "m o r o n": "moron", "mor" + "o" * 60 + "n": "moron", "@$$h0l3": "asshole", "m-.-o-.-r-.-o-.-n": "moron",
+        "the.river.by.the.house.of.light.m0r0n.is.a.small.town": "moron",
+    }
+    assert {t: w for t, w in wanted.items() if w not in channel.words(t)} == {}
+    assert channel.words("12 345 2,000 10.5%") == set()
