@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizer
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gazette.llm.common import cut, read, unit
@@ -53,12 +54,14 @@ OTHER = (
     "Copyright infringement is a growing problem.", "The license expired last year.", "They reserved all rooms in the hotel.", "This work was done in the morning.",
 )
 UNKNOWN = "unknown"
-#: A paragraph is looked at if it has one of these words; every template has one.
+#: Documents with one of these words teach nothing of what is no licence; every template has one. All paragraphs are scanned.
 GATE = r"(?i)licen[cs]|copyright|spdx|creative commons|\bCC0\b|\bCC BY|public domain|rights reserved|redistribut|permission|unauthorized copying|\bGPL\b"
 #: Paragraphs of the documents that teach what is no licence, at most about.
 TRAIN_PARAGRAPHS = 1_000
 #: Share of a template's word pairs that confirms it.
 CONFIRMED = 0.6
+#: Words of a window of a longer paragraph, and from one window to the next; every template fits into half a window.
+WINDOW, STEP = 80, 40
 
 
 def words(text: Column) -> Column:
@@ -87,8 +90,8 @@ def paragraphs(docs: DataFrame) -> DataFrame:
     return docs.filter("text IS NOT NULL").select("doc_id", F.posexplode(parts).alias("paragraph", "text"))
 
 
-def learn(docs: DataFrame, bound: int = TRAIN_PARAGRAPHS) -> tuple[DataFrame, list[str], list[float]]:
-    """Weights (term, w: one for each family and unknown), the families, and their intercepts, divided by a temperature.
+def learn(docs: DataFrame, bound: int = TRAIN_PARAGRAPHS) -> tuple[CountVectorizerModel, LogisticRegressionModel, list[str], float]:
+    """The vocabulary, the regression, the families with unknown, and a temperature that divides its scores.
 
     Multinomial logistic regression on the n-grams of templates, of other sentences and of about ``bound`` paragraphs of
     documents without a word of GATE. The temperature is the one under which a third of the rows, left out of a first
@@ -110,8 +113,6 @@ def learn(docs: DataFrame, bound: int = TRAIN_PARAGRAPHS) -> tuple[DataFrame, li
     regression = LogisticRegression(family="multinomial", regParam=0.002, maxIter=30)
     first = regression.fit(ready.filter("fold <> 0"))
     tested = first.transform(ready.filter("fold = 0")).select("label", F.expr("rawPrediction").alias("raw"))
-    from pyspark.ml.functions import vector_to_array
-
     tested = tested.select("label", vector_to_array("raw").alias("raw"))
     losses = []
     for t in (0.5, 0.75, 1.0, 1.5, 2.0, 3.0, 4.0):
@@ -121,43 +122,50 @@ def learn(docs: DataFrame, bound: int = TRAIN_PARAGRAPHS) -> tuple[DataFrame, li
     best = min(((loss if loss is not None else 9.0, t) for loss, (_, t) in zip(found, losses, strict=True)), key=lambda x: x[0])[1]
     model = regression.fit(ready)
     ready.unpersist()
-    matrix = model.coefficientMatrix.toArray() / best
-    kept = [(term, [float(x) for x in matrix[: len(names), k]]) for k, term in enumerate(vectors.vocabulary) if abs(matrix[:, k]).max() > 1e-3]
-    weights = spark.createDataFrame(kept, "term string, w array<double>")
-    return weights, names, [float(x) / best for x in model.interceptVector]
+    return vectors, model, names, best
+
+
+def windows(tokens: Column) -> Column:
+    """Overlapping windows of a paragraph's words; a paragraph of WINDOW words or fewer is one."""
+    starts = F.sequence(F.lit(1), F.greatest(F.size(tokens) - WINDOW, F.lit(0)) + STEP, F.lit(STEP))
+    several = F.transform(starts, lambda i: F.slice(tokens, i, WINDOW))
+    return F.when(F.size(tokens) <= WINDOW, F.array(tokens)).otherwise(several)
 
 
 def scan(docs: DataFrame, bound: int = TRAIN_PARAGRAPHS, least: float = 0.5, confirmed: float = CONFIRMED) -> DataFrame:
     """doc_id, paragraph, family, probability, similarity, confirmed, text: paragraphs that are taken for a licence notice.
 
-    similarity is the largest share of the word pairs of one of the family's templates that the paragraph has. Rows are
-    those whose likeliest class is a family with probability ``least`` or more, or that hold a template. Null and empty
-    texts have no paragraphs. Repeated rows are repeated. The vocabulary and the templates are fixed and broadcast.
+    similarity is the largest share of the word pairs of one of the family's templates that a window of the paragraph has.
+    Rows are those with a window whose likeliest class is a family with probability ``least`` or more, or that holds
+    ``confirmed`` of a template of any family: the family is that of the template then, unless a template of the
+    likeliest family is confirmed too. Of several windows the confirmed one, then the most probable one tells. Null and
+    empty texts have no paragraphs. Repeated rows are repeated. The vocabulary and the templates are fixed and broadcast.
     """
-    weights, names, base = learn(docs, bound)
-    speaking = docs.filter(F.col("text").rlike(GATE)).select("doc_id", "text").withColumn("row", F.monotonically_increasing_id())
-    parts = F.split("text", r"(?<=[.!?:])[ \t]*\r?\n|\n[ \t\r]*\n")
-    rows = speaking.select("doc_id", "row", F.posexplode(parts).alias("paragraph", "text")).filter(F.col("text").rlike(GATE))
-    rows = cut(rows.withColumn("tokens", words(F.col("text"))))
-    terms = rows.select("row", "paragraph", F.explode(ngrams(F.col("tokens"))).alias("term")).join(F.broadcast(weights), "term")
-    sums = terms.groupBy("row", "paragraph").agg(*[F.sum(F.col("w")[k]).alias(f"s{k}") for k in range(len(names))])
-    scores = F.array(*[F.coalesce(F.col(f"s{k}"), F.lit(0.0)) + base[k] for k in range(len(names))])
-    top = F.array_max("scores")
-    odds = F.transform("scores", lambda x: F.exp(x - top))
-    shares = rows.join(sums, ["row", "paragraph"], "left").withColumn("scores", scores)
-    shares = shares.withColumn("share", F.transform(odds, lambda x: x / F.aggregate(odds, F.lit(0.0), lambda a, y: a + y)))
-    likeliest = F.array_position("share", F.array_max("share")).cast("int")
-    called = F.element_at(F.array(*[F.lit(n) for n in names]), likeliest)
-    shares = shares.select("doc_id", "row", "paragraph", "text", "tokens", called.alias("family"), F.array_max("share").alias("probability"))
+    vectors, model, names, heat = learn(docs, bound)
     spark = docs.sparkSession
-    texts = [(name, text) for name, many in TEMPLATES.items() for text in many]
-    templates = spark.createDataFrame(texts, "template string, notice string").select("template", pairs(words(F.col("notice"))).alias("wanted"))
-    own = pairs(F.col("tokens"))
-    near = shares.join(F.broadcast(templates), F.col("family") == F.col("template"), "left")
-    like = F.coalesce(F.size(F.array_intersect("wanted", own)) / F.size("wanted"), F.lit(0.0))
-    keys = ["doc_id", "row", "paragraph", "family", "probability", "text"]
-    near = near.groupBy(*keys).agg(F.max(like).alias("similarity")).filter((F.col("family") != UNKNOWN) & (F.col("probability") >= least))
-    return near.select("doc_id", "paragraph", "family", "probability", "similarity", (F.col("similarity") >= confirmed).alias("confirmed"), "text")
+    rows = paragraphs(docs.select("doc_id", "text")).withColumn("row", F.monotonically_increasing_id())
+    rows = rows.withColumn("tokens", F.explode(windows(words(F.col("text")))))
+    rows = model.transform(vectors.transform(rows.withColumn("terms", ngrams(F.col("tokens")))))
+    rows = rows.select("doc_id", "row", "paragraph", "text", "tokens", vector_to_array("rawPrediction").alias("raw"))
+    top = F.array_max("raw")
+    odds = F.transform("raw", lambda x: F.exp((x - top) / heat))
+    rows = rows.withColumn("odds", odds).withColumn("share", F.transform("odds", lambda x: x / F.aggregate("odds", F.lit(0.0), lambda a, y: a + y)))
+    likeliest = F.array_position("share", F.array_max("share")).cast("int")
+    rows = rows.withColumn("called", F.element_at(F.array(*[F.lit(n) for n in names]), likeliest)).withColumn("own", pairs(F.col("tokens")))
+    texts = [(name, k, text) for k, (name, many) in enumerate(TEMPLATES.items()) for text in many]
+    templates = spark.createDataFrame(texts, "template string, at int, notice string").select("template", "at", pairs(words(F.col("notice"))).alias("wanted"))
+    known = sorted({x for r in templates.select("wanted").collect() for x in r[0]})  # of the fixed templates
+    said = (F.col("called") != UNKNOWN) & (F.array_max("share") >= least)
+    rows = rows.filter(said | F.arrays_overlap("own", F.array(*[F.lit(x) for x in known])))
+    like = F.size(F.array_intersect("wanted", "own")) / F.size("wanted")
+    near = rows.withColumn("said", said).crossJoin(F.broadcast(templates)).withColumn("similarity", like)
+    near = near.filter((F.col("similarity") >= confirmed) | (F.col("said") & (F.col("template") == F.col("called"))))
+    found = F.struct(
+        (F.col("similarity") >= confirmed).alias("confirmed"), (F.col("template") == F.col("called")).alias("agreed"),
+        F.element_at("share", F.col("at") + 1).alias("probability"), "similarity", F.col("template").alias("family"),
+    )
+    best = near.groupBy("doc_id", "row", "paragraph", "text").agg(F.max(found).alias("x"))
+    return best.select("doc_id", "paragraph", "x.family", "x.probability", "x.similarity", "x.confirmed", "text")
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -271,3 +271,12 @@ def test_toxicity_decodes_long_and_spaced_disguises():
     }
     assert {t: w for t, w in wanted.items() if w not in channel.words(t)} == {}
     assert channel.words("12 345 2,000 10.5%") == set()
+
+
+def test_license_scan_finds_notices_without_gate_words_and_inside_long_paragraphs(spark):
+    filler = " ".join(f"{a} {b}" for a in "river house light paper stone".split() for b in "small town north water green".split()) + " "
+    notice = license_scan.TEMPLATES["bsd"][0].rstrip(".")
+    texts = [(1, "This Source Code Form is subject to the terms of the Mozilla Public, v. 2.0."), (4, filler * 40 + notice + " " + filler * 40), (5, filler * 40)]
+    got = {(r.doc_id, r.family) for r in license_scan.scan(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert {(1, "mpl"), (4, "bsd")} <= got
+    assert 5 not in {i for i, _ in got}
