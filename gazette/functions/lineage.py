@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder; a local one is set only where the session names none."""
+    """``df`` written to the shared checkpoint folder of :func:`folder`."""
     context = df.sparkSession.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir", "/tmp/checkpoints"))
+        context.setCheckpointDir(folder(df.sparkSession))
     return df.checkpoint()
+
+
+def folder(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``; without one, a new folder of a session on a single machine. A cluster has to name one."""
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not shared and not re.match(r"local($|\[)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return shared or tempfile.mkdtemp(prefix="spark-checkpoints-")

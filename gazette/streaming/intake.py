@@ -7,10 +7,12 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gazette.functions import lineage
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder under ``spark.checkpoint.dir``; only where that is unset (tests) a local one."""
-    return f"{spark.conf.get('spark.checkpoint.dir', 'file:///tmp/checkpoints')}/stream-{uuid.uuid4().hex}"
+    """A new folder under the shared checkpoint folder."""
+    return f"{lineage.folder(spark)}/stream-{uuid.uuid4().hex}"
 
 
 def arrivals(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
