@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -9,21 +12,48 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows and bytes of one Arrow batch that a Python worker gets, at most (but for a single longer row).
+BATCH_ROWS, BATCH_BYTES = 5_000, 4 << 20
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return small_batches(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``; its session hands Python workers batches of bounded rows and bytes from now on, so that memory does not follow the length of texts.
+
+    Smaller bounds that the session has already stay.
+    """
+    conf = df.sparkSession.conf
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = re.sub(r"\D", "", str(conf.get(key)))
+        if not now or int(now) <= 0 or int(now) > most:
+            conf.set(key, str(most))
+    return df
 
 
 def cut(df: DataFrame) -> DataFrame:
     """``df``, written to the shared checkpoint folder, so that lost executors cost no earlier work.
 
-    The folder is that of ``spark.checkpoint.dir``; only where the session has none (tests) a local one is set.
+    The folder is that of ``spark.checkpoint.dir``. Without one, a session on a single machine (tests) gets a folder there;
+    on a cluster that would lose rows with a machine, and is refused.
     """
     context = df.sparkSession.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir", "/tmp/checkpoints"))
+        shared = context.getConf().get("spark.checkpoint.dir")
+        if not shared and not re.match(r"local($|\[)", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="spark-checkpoints-"))
     return df.checkpoint()
 
 
+def one_label(labels: DataFrame, column: str) -> DataFrame:
+    """doc_id, y: the label of each document that has one. Where rows of a document disagree, the smallest label counts."""
+    known = labels.select("doc_id", F.col(column).cast("int").alias("y")).dropna()
+    return known.groupBy("doc_id").agg(F.min("y").alias("y"))
+
+
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:
     """crc32(doc_id as text) mod ``folds`` = ``fold``; a null doc_id is in no fold."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % folds == fold, F.lit(False))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -18,6 +18,8 @@ _APART = re.compile(r"[\W\d_]+")
 TRAIN_ROWS = 20_000
 #: n-grams of a profile.
 TOP = 300
+#: Characters of a text, and n-grams, that are looked at together.
+PIECE, AT_ONCE = 1 << 18, 1 << 19
 
 
 def grams(text: str) -> np.ndarray:
@@ -35,9 +37,44 @@ def grams(text: str) -> np.ndarray:
     return np.concatenate([codes[~gap], pairs, triples[~gap[1:-1]]])
 
 
+def in_pieces(text: str) -> Iterator[str]:
+    """A text in pieces of about PIECE characters that end between words; n-grams never join two, so none is lost or made."""
+    start = 0
+    while len(text) - start > PIECE:
+        gap = _APART.search(text, start + PIECE)
+        if not gap:
+            break
+        yield text[start : gap.end()]
+        start = gap.end()
+    yield text[start:] if start else text
+
+
+def counted(texts: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct grams of all texts and how often each occurs. Memory follows the distinct grams, not the texts."""
+    found, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+    held: list[np.ndarray] = []
+    size = 0
+
+    def merged() -> tuple[np.ndarray, np.ndarray]:
+        new, n = np.unique(np.concatenate(held), return_counts=True)
+        if not len(found):
+            return new, n
+        both, at = np.unique(np.concatenate([found, new]), return_inverse=True)
+        return both, np.bincount(at, np.concatenate([counts, n]), len(both)).astype(np.int64)
+
+    for text in texts:
+        for piece in in_pieces(text):
+            held.append(grams(piece))
+            size += len(held[-1])
+            if size >= AT_ONCE:
+                found, counts = merged()
+                held, size = [], 0
+    return merged() if held else (found, counts)
+
+
 def ranked(text: str, top: int = TOP) -> np.ndarray:
     """The most frequent grams of a text, most frequent first, ties by number."""
-    found, counts = np.unique(grams(text), return_counts=True)
+    found, counts = counted([text])
     return found[np.lexsort((found, -counts))[:top]]
 
 
@@ -55,7 +92,7 @@ def profiles(labelled: DataFrame, top: int = TOP, bound: int = TRAIN_ROWS) -> di
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for lang, rows in batch.groupby("lang"):
-                found, n = np.unique(np.concatenate([grams(x) for x in rows.text]), return_counts=True)
+                found, n = counted(rows.text)
                 yield pd.DataFrame({"lang": lang, "gram": found.astype(np.int64), "n": n})
 
     summed = sample.select("lang", "text").mapInPandas(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
@@ -88,7 +125,7 @@ class Identifier:
         return out.sum(0) / (self.top * len(own))
 
     def identify(self, text: str | None) -> tuple[str, float]:
-        if not text or not self.langs or not has_letter(text) or not len(grams(text[:1000])) and not len(grams(text)):
+        if not text or not self.langs or not has_letter(text):
             return "und", 0.0
         far = self.distances(text)
         weight = np.exp(-self.sharpness * (far - far.min()))
@@ -116,7 +153,11 @@ def learn(docs: DataFrame, bound: int = TRAIN_ROWS) -> dict[str, list[int]]:
 
 
 def identify(docs: DataFrame, made: dict[str, list[int]]) -> DataFrame:
-    """doc_id, held_out, lang_pred, score: one row for each row of ``docs``, repeated rows included."""
+    """doc_id, held_out, lang_pred, score: one row for each row of ``docs``, repeated rows included.
+
+    A null doc_id is not held out. Ties between languages go to the first by name. No rows give no rows; columns other
+    than doc_id and text are not looked at.
+    """
     rows = docs.select("doc_id", held_out(F.col("doc_id"), 3, 1).alias("held_out"), predicted(F.col("text"), made).alias("p"))
     return rows.select("doc_id", "held_out", "p.lang_pred", "p.score")
 
