@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import json
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -17,24 +18,47 @@ from gazette.llm.common import cut, read
 
 #: Rests of documents may be cut at multiples of this, if whole rests pack with more than PADDING of their length as padding.
 GRAIN, PADDING = 512, 0.01
-#: Pieces of one length that get their ranks in one task, about.
-RANK_ROWS = 100_000
+#: Pieces of one length that get their ranks in one task, about; pieces that a Python worker holds, about.
+RANK_ROWS, OUT_ROWS = 100_000, 500
 
 
 @lru_cache
-def _encoder(vocabulary: str):
-    """The byte-level BPE of ``vocabulary`` (ranks of the same tokens as byte_bpe_50k.json; the ids are equal, and come four times as fast)."""
+def _tokenizer(vocabulary: str):
+    """The tokenizer of the contract: byte-level BPE with added tokens."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(public_tokenizers.path(f"{vocabulary}.json"))
+
+
+@lru_cache
+def _added(vocabulary: str) -> tuple[str, ...]:
+    """The strings that the tokenizer takes as one token wherever they stand."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(f"{vocabulary}.json"), encoding="utf-8") as file:
+        return tuple(x["content"] for x in json.load(file)["added_tokens"])
+
+
+@lru_cache
+def _ranks(vocabulary: str):
+    """The same vocabulary from its file of ranks. It knows no added tokens; texts without one get the same ids four times as fast."""
     import public_tokenizers
     import tiktoken
 
-    with open(public_tokenizers.path(vocabulary), "rb") as lines:
+    with open(public_tokenizers.path(f"{vocabulary}.tiktoken"), "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines)}
     return tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def token_ids(text: str | None, end_id: int = 1, vocabulary: str = "byte_bpe_50k.tiktoken") -> np.ndarray:
-    """The ids of a text as little-endian unsigned 32-bit numbers, then ``end_id``. A null text is empty."""
-    return np.append(_encoder(vocabulary).encode_to_numpy(text or ""), end_id).astype("<u4")
+def token_ids(text: str | None, end_id: int = 1, vocabulary: str = "byte_bpe_50k") -> np.ndarray:
+    """The tokenizer's ids of a text as little-endian unsigned 32-bit numbers, then ``end_id``. A null text is empty."""
+    text = text or ""
+    if any(x in text for x in _added(vocabulary)):
+        ids = _tokenizer(vocabulary).encode(text, add_special_tokens=False).ids
+    else:
+        ids = _ranks(vocabulary).encode_to_numpy(text)
+    return np.append(np.asarray(ids, "<u4"), np.array([end_id], "<u4"))
 
 
 def pieces(docs: DataFrame, size: int = 2048, end_id: int = 1, grain: int = GRAIN) -> DataFrame:
@@ -49,6 +73,9 @@ def pieces(docs: DataFrame, size: int = 2048, end_id: int = 1, grain: int = GRAI
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if len(rows) >= OUT_ROWS:
+                    yield pa.RecordBatch.from_pylist(rows, schema=out)
+                    rows = []
                 ids = token_ids(text.as_py(), end_id)
                 for start in range(0, len(ids), size):
                     piece = ids[start : start + size]
@@ -95,21 +122,22 @@ def pack_histogram(histogram: dict[int, int], size: int = 2048) -> tuple[list[tu
     return placed, sequences, padding
 
 
-def pack(docs: DataFrame, size: int = 2048, end_id: int = 1) -> DataFrame:
+def pack(docs: DataFrame, size: int = 2048, end_id: int = 1, grain: int = GRAIN, most_padding: float = PADDING) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset: every piece of every document and its place.
 
     Documents are cut into pieces of ``size`` ids and a rest. The histogram of lengths (``size`` numbers at most) is
     packed on the driver; pieces of a length are ranked in salted groups, so that a common length is no single task,
-    and find their sequence by length and rank. Should whole rests leave over 1 % of padding, they are packed cut at
-    multiples of 512 as well, and the better packing is taken. A null text is an empty one: its only id is ``end_id``.
-    A null doc_id and repeated rows are packed like others. An empty table gives no rows.
+    and find their sequence by length and rank. Should whole rests leave more than the share ``most_padding`` as padding,
+    they are packed cut at multiples of ``grain`` as well, and the better packing is taken. A null text is an empty one:
+    its only id is ``end_id``. A null doc_id and repeated rows are packed like others. An empty table gives no rows.
+    Other columns are not looked at.
     """
     spark = docs.sparkSession
-    whole = cut(pieces(docs, size, end_id))
+    whole = cut(pieces(docs, size, end_id, grain))
     histogram = lambda df: {r[0]: r[1] for r in df.groupBy("length").count().collect()}  # noqa: E731  at most `size` rows
     counts = histogram(whole)
     placed, sequences, padding = pack_histogram(counts, size)
-    if sequences and padding > PADDING * sequences * size:
+    if sequences and padding > most_padding * sequences * size:
         own = F.array(F.struct("start", "length", "ids_crc32"))
         finer = whole.select("doc_id", "doc_tokens", F.explode(F.coalesce("parts", own)).alias("p")).select("doc_id", "p.start", "p.length", "p.ids_crc32", "doc_tokens")
         other = histogram(finer)
