@@ -9,10 +9,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazette.llm.common import bounded_sample, held_out, read
+from gazette.llm.common import bounded_sample, cut, held_out, one_label, read, unit
 
-#: Labelled rows of each class to learn from, at most about.
-TRAIN_ROWS = 1_500
+#: Labelled rows of each class to learn from, at most about, and the bytes of their texts.
+TRAIN_ROWS, TRAIN_BYTES = 1_500, 32 << 20
 #: Bytes of a chunk, bytes from one chunk to the next, bytes that a filter sees, bytes from one place to the next; filters, numbers for a byte.
 CHUNK, STEP, WIDTH, STRIDE, FILTERS, DIMS = 512, 448, 8, 2, 24, 6
 
@@ -51,10 +51,15 @@ class Network:
         at = values.argmax(1)
         return np.maximum(np.take_along_axis(values, at[:, None, :], 1)[:, 0] + self.bias, 0), at
 
+    def look_over(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """:meth:`look` over the chunks of a very long text, in bounded memory."""
+        parts = [self.look(rows[start : start + 256]) for start in range(0, len(rows), 256)]
+        return np.concatenate([x for x, _ in parts]), np.concatenate([x for _, x in parts])
+
     def logit(self, text: str | None) -> float:
         rows = chunks(text)
         total, most = np.zeros(FILTERS), np.zeros(FILTERS)
-        for start in range(0, len(rows), 256):  # very long texts in bounded memory
+        for start in range(0, len(rows), 256):
             pooled, _ = self.look(rows[start : start + 256])
             total += pooled.sum(0)
             most = np.maximum(most, pooled.max(0))
@@ -89,7 +94,7 @@ class Network:
 
     def gradients(self, text: str | None, truth: int, weight: float) -> list[np.ndarray]:
         rows = chunks(text)
-        pooled, at = self.look(rows)
+        pooled, at = self.look_over(rows)
         top = pooled.argmax(0)
         seen = np.concatenate([pooled.mean(0), pooled.max(0)])
         miss = weight * (1 / (1 + np.exp(-np.clip(seen @ self.out + self.base[0], -30, 30))) - truth)
@@ -97,13 +102,15 @@ class Network:
         back[top, np.arange(FILTERS)] += miss * self.out[FILTERS:]
         back *= pooled > 0
         to_byte, to_filter = np.zeros_like(self.byte), np.zeros_like(self.filter)
-        which, column = np.nonzero(back)
-        starts = at[which, column] * STRIDE
-        held = rows[which[:, None], starts[:, None] + np.arange(WIDTH)]
-        grad = back[which, column]
-        inputs = self.byte[held].reshape(len(held), -1)
-        np.add.at(to_filter.T, column, grad[:, None] * inputs)
-        np.add.at(to_byte, held.reshape(-1), (grad[:, None] * self.filter.T[column]).reshape(-1, DIMS))
+        every_which, every_column = np.nonzero(back)
+        for start in range(0, len(every_which), 16_384):
+            which, column = every_which[start : start + 16_384], every_column[start : start + 16_384]
+            starts = at[which, column] * STRIDE
+            held = rows[which[:, None], starts[:, None] + np.arange(WIDTH)]
+            grad = back[which, column]
+            inputs = self.byte[held].reshape(len(held), -1)
+            np.add.at(to_filter.T, column, grad[:, None] * inputs)
+            np.add.at(to_byte, held.reshape(-1), (grad[:, None] * self.filter.T[column]).reshape(-1, DIMS))
         return [to_byte, to_filter, back.sum(0), miss * seen, np.array([miss])]
 
 
@@ -130,17 +137,26 @@ def fit(rows: list[tuple[str | None, int]], epochs: int = 5, batch: int = 16, ra
     return net
 
 
-def learn(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_ROWS, column: str = "quality") -> Network:
-    """A network from the labelled documents outside the held-out fifth, about ``bound`` of each class at most.
+def learn(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_ROWS, column: str = "quality", most_bytes: int = TRAIN_BYTES) -> Network:
+    """A network from the labelled documents outside the held-out fifth.
 
-    The logit is shifted so that classes count as often as in all labelled rows, not as in the sample.
+    About ``bound`` rows of each class at most, whose texts have ``most_bytes`` bytes a class at most (in the order of a
+    hash; a text that would go beyond is left out). Of several labels of a document the smallest counts; of repeated
+    rows of a document, the least text. The logit is shifted so that classes count as often as in all labelled rows, not
+    as in the sample.
     """
-    known = labels.select("doc_id", F.col(column).cast("int").alias("y")).dropna().dropDuplicates(["doc_id"])
-    known = known.filter(~held_out(F.col("doc_id"), 5, 0))
+    known = one_label(labels, column).filter(~held_out(F.col("doc_id"), 5, 0))
     counts = {r[0]: r[1] for r in known.groupBy("y").count().collect()}
-    chosen = bounded_sample(known, "y", ["doc_id"], bound)  # bounded, so it is broadcast and its texts are collected
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "y").collect()
-    sample = sorted(((r[0], r[1]) for r in sample), key=lambda r: (r[1], r[0] or ""))
+    chosen = bounded_sample(known, "y", ["doc_id"], bound)  # bounded, so it is broadcast
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    found = cut(found)
+    taken_bytes, wanted = {}, []
+    for row in sorted(found.select("y", unit(F.lit(9), "doc_id").alias("h"), "doc_id", F.octet_length("text").alias("n")).collect()):  # `bound` rows a class
+        if taken_bytes.get(row.y, 0) + row.n <= most_bytes:
+            taken_bytes[row.y] = taken_bytes.get(row.y, 0) + row.n
+            wanted.append(row.doc_id)
+    sample = found.filter(F.col("doc_id").isin(wanted)).select("text", "y").collect() if wanted else []
+    sample = sorted(((r[0], r[1]) for r in sample), key=lambda r: (r[1], r[0]))
     net = fit(sample)
     taken = {y: max(1, sum(s[1] == y for s in sample)) for y in (0, 1)}
     shift = np.log(max(1, counts.get(1, 0)) / taken[1]) - np.log(max(1, counts.get(0, 0)) / taken[0])
@@ -160,7 +176,11 @@ def scored(text: Column, net: Network) -> Column:
 
 
 def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
-    """doc_id, held_out, score, predicted: one row for each row of ``docs``, repeated rows included."""
+    """doc_id, held_out, score, predicted: one row for each row of ``docs``, repeated rows included.
+
+    A null doc_id is not held out. Texts of any length are looked at to their ends. Without labels every text gets the
+    score of the untrained network; no rows give no rows. Other columns are not looked at.
+    """
     net = learn(docs, labels)
     rows = docs.select("doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), scored(F.col("text"), net).alias("score"))
     return rows.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
