@@ -11,12 +11,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazette.llm.common import bounded_sample, cut, held_out, read
+from gazette.llm.common import bounded_sample, cut, held_out, one_label, read
 
-#: Labelled rows of each class to learn from, at most about; features that the classifier may use, at most.
-TRAIN_ROWS, FEATURES = 10_000, 4_000
-#: Symbols of the character model: 0 is a word's edge; other characters share the rest by their code points.
-SYMBOLS = 512
+#: Labelled rows of each class to learn from, at most about.
+TRAIN_ROWS = 10_000
+#: Symbols of the character model: 0 is a word's edge, 1 to 26 are a to z; other characters share the rest by their code points.
+SYMBOLS = 128
 #: Letters that a written character may stand for.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "{": "c", "<": "c", "€": "e", "£": "l", "¥": "y", "#": "h", "%": "", "*": "aeiou", "^": "a", "&": "", "_": "", "-": "", ".": "", "~": "", "'": "", "/": "", "=": "", "?": "", ",": "", ")": ""}
 #: Costs of the channel (negative logarithms): a letter that stands for another, a lost mark, a letter for a mark
@@ -34,9 +34,9 @@ _PLAIN = re.compile(r"(?!.*([^\W\d_])\1\1)[^\W\d_]+(?:['’-][^\W\d_]{2,}|['’]
 
 
 def symbol(char: str) -> int:
-    """A small number for a character: Latin letters have their own, others share by code point."""
+    """A small number for a character: a to z have their own, others share by code point."""
     code = ord(char)
-    return code + 1 if code < 400 else 401 + code % (SYMBOLS - 401)
+    return code - 96 if 97 <= code <= 122 else 27 + code % (SYMBOLS - 27)
 
 
 _SYMBOLS_OF = np.array([symbol(chr(c)) if chr(c).isalpha() else 0 for c in range(0x3000)], np.int64)
@@ -53,43 +53,46 @@ def trigram_codes(text: str) -> np.ndarray:
     return ((a * SYMBOLS + b) * SYMBOLS + c)[keep]
 
 
-def character_counts(docs: DataFrame) -> dict[int, int]:
-    """How often each letter trigram occurs in all of ``docs``: counted by batch, summed on Spark; its size is bounded by the letters, not by the documents."""
+def character_counts(docs: DataFrame) -> np.ndarray:
+    """How often each letter trigram occurs in all of ``docs``: counted by batch, summed on Spark. There are SYMBOLS^3, however many documents."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts = [x for x in batch.text if x]
             total: dict[int, int] = {}
-            for start in range(0, len(texts), 256):
-                found, n = np.unique(np.concatenate([trigram_codes(x) for x in texts[start : start + 256]]), return_counts=True)
-                for code, k in zip(found.tolist(), n.tolist(), strict=True):
-                    total[code] = total.get(code, 0) + k
+            held, size = [], 0
+            for text in [*filter(None, batch.text), None]:
+                for start in range(0, len(text or ""), 1 << 18):  # a trigram at the seam counts as a word's edge
+                    held.append(trigram_codes(text[start : start + (1 << 18)]))
+                    size += len(held[-1])
+                if held and (text is None or size > 1 << 19):
+                    found, n = np.unique(np.concatenate(held), return_counts=True)
+                    for code, k in zip(found.tolist(), n.tolist(), strict=True):
+                        total[code] = total.get(code, 0) + k
+                    held, size = [], 0
             yield pd.DataFrame({"code": list(total.keys()), "n": list(total.values())}, dtype="int64")
 
-    rows = docs.select("text").mapInPandas(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-    return dict(map(tuple, rows.filter("n > 1").collect()))
+    rows = docs.select("text").mapInPandas(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(SYMBOLS**3, np.int64)
+    out[rows.column("code").to_numpy()] = rows.column("n").to_numpy()
+    return out
 
 
 class Channel:
     """Viterbi search for the likeliest word behind a disguised one, under a trigram model of characters."""
 
-    def __init__(self, counts: dict[int, int]) -> None:
-        self.counts, self.context, self.back = counts, {}, {}
-        for code, n in counts.items():
-            self.context[code // SYMBOLS] = self.context.get(code // SYMBOLS, 0) + n
-            pair = code % (SYMBOLS * SYMBOLS)
-            self.back[pair] = self.back.get(pair, 0) + n
-        self.single: dict[int, int] = {}
-        for pair, n in self.back.items():
-            self.single[pair // SYMBOLS] = self.single.get(pair // SYMBOLS, 0) + n
+    def __init__(self, counts: np.ndarray | dict[int, int]) -> None:
+        if isinstance(counts, dict):
+            counts = np.bincount(np.array(list(counts), np.int64), np.array(list(counts.values()), float), SYMBOLS**3)
+        three = counts.reshape(SYMBOLS, SYMBOLS, SYMBOLS).astype(np.float64)
+        two = three.sum(0)  # how often c comes after b
+        likely = 0.7 * three / np.maximum(1, three.sum(2, keepdims=True)) + (0.25 * two / np.maximum(1, two.sum(1, keepdims=True)) + 0.05 / 60)
+        #: -log P(c | a, b) of each trigram: mixed with the pair's and a floor.
+        self.costs = -np.log(likely).astype(np.float32).reshape(-1)
         self.known: dict[tuple[str, bool], str] = {}
+        self.view: memoryview | None = None
 
-    def cost(self, a: int, b: int, c: int) -> float:
-        """-log P(c | a, b), mixed with the pair's and a floor."""
-        context = a * SYMBOLS + b
-        three = self.counts.get(context * SYMBOLS + c, 0) / max(1, self.context.get(context, 0))
-        two = self.back.get(b * SYMBOLS + c, 0) / max(1, self.single.get(b, 0))
-        return -math.log(0.7 * three + 0.25 * two + 0.05 / 60)
+    def __getstate__(self) -> dict:
+        return {"costs": self.costs, "known": {}, "view": None}
 
     @staticmethod
     def lattice(token: str, edges: bool = False) -> list[list[tuple[str, float]]]:
@@ -123,6 +126,9 @@ class Channel:
         """
         if (token, edges) in self.known:
             return self.known[token, edges]
+        if self.view is None:
+            self.view = memoryview(self.costs)
+        cost = self.view
         states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
         for options in self.lattice(token, edges):
             after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
@@ -131,16 +137,16 @@ class Channel:
                     x, y, total = a, b, spent + price
                     for letter in letters:
                         if letter == " ":
-                            total += self.cost(x, y, 0) if y else 0.0
+                            total += cost[(x * SYMBOLS + y) * SYMBOLS] if y else 0.0
                             x, y = 0, 0
                             continue
                         z = symbol(letter)
-                        total += self.cost(x, y, z)
+                        total += cost[(x * SYMBOLS + y) * SYMBOLS + z]
                         x, y = y, z
                     if (x, y) not in after or total < after[x, y][0]:
                         after[x, y] = (total, (word, letters) if letters else word)
             states = after
-        last = min(((spent + self.cost(a, b, 0), word) for (a, b), (spent, word) in states.items()), key=lambda x: x[0])[1]
+        last = min(((spent + cost[(a * SYMBOLS + b) * SYMBOLS], word) for (a, b), (spent, word) in states.items()), key=lambda x: x[0])[1]
         parts = []
         while last is not None:
             last, letters = last
@@ -216,15 +222,15 @@ def _fit(rows: list[tuple[list[int], int]], width: int, rounds: int = 300, rate:
     return weights
 
 
-def learn(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_ROWS, top: int = FEATURES) -> tuple[dict[int, int], dict[str, float], float]:
+def learn(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_ROWS) -> tuple[np.ndarray, dict[str, float], float]:
     """Character counts of all documents; weights of the classifier's features, and its intercept.
 
-    Features are those that at least three toxic documents have, and clearly more often than others; their counts are
-    made on Spark. The regression is fitted on the driver, on about ``bound`` rows a class at most, each with the few
-    chosen features that it has.
+    Features are those that at least three toxic documents of the sample have, and clearly more often than others; their
+    counts are made on Spark. The regression is fitted on the driver, on about ``bound`` rows a class at most, each with
+    the few chosen features that it has. Of several labels of a document the smallest counts.
     """
     counts = character_counts(docs)
-    known = labels.select("doc_id", F.col("toxic").cast("int").alias("y")).dropna().dropDuplicates(["doc_id"])
+    known = one_label(labels, "toxic")
     known = bounded_sample(known.filter(~held_out(F.col("doc_id"), 3, 1)), "y", ["doc_id"], bound)
     # The sample of labels is bounded, so it is broadcast; the texts it finds are written once.
     rows = cut(docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("y", "text"))
@@ -239,8 +245,8 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_ROWS, top: int
     bad, good = sizes.get(1, 0), sizes.get(0, 0)
     tally = seen.select("y", F.explode("found").alias("f")).groupBy("f").agg(F.count_if(F.col("y") == 1).alias("bad"), F.count_if(F.col("y") == 0).alias("good"))
     lift = F.log((F.col("bad") + 0.5) / F.lit(bad + 1.0)) - F.log((F.col("good") + 0.5) / F.lit(good + 1.0))
-    chosen = tally.filter("bad >= 3").withColumn("lift", lift).filter(F.col("lift") > 1.5).orderBy(F.desc(F.col("lift") * F.sqrt("bad")), "f").limit(top)
-    index = {r[0]: k for k, r in enumerate(chosen.select("f").collect())}
+    chosen = tally.filter("bad >= 3").withColumn("lift", lift).filter(F.col("lift") > 1.5)
+    index = {f: k for k, f in enumerate(sorted(r[0] for r in chosen.select("f").collect()))}  # of a bounded sample
 
     def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -253,7 +259,7 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_ROWS, top: int
     return counts, {f: float(weights[k]) for f, k in index.items()}, float(weights[-1])
 
 
-def scored(text: Column, model: tuple[dict[int, int], dict[str, float], float]) -> Column:
+def scored(text: Column, model: tuple[np.ndarray, dict[str, float], float]) -> Column:
     """A score of 0 to 1 for a text. A null text is an empty one; where nothing was learned all have one score."""
     counts, weights, base = model
     channel = Channel(counts)
@@ -278,7 +284,10 @@ def scored(text: Column, model: tuple[dict[int, int], dict[str, float], float])
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
-    """doc_id, held_out, score, predicted: one row for each row of ``docs``, repeated rows included."""
+    """doc_id, held_out, score, predicted: one row for each row of ``docs``, repeated rows included.
+
+    A null doc_id is not held out. No rows give no rows; columns other than doc_id and text are not looked at.
+    """
     model = learn(docs, labels)
     rows = docs.select("doc_id", held_out(F.col("doc_id"), 3, 1).alias("held_out"), scored(F.col("text"), model).alias("score"))
     return rows.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
