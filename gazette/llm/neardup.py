@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gazette.llm.common import cut, read
@@ -18,8 +18,11 @@ from gazette.llm.common import cut, read
 BANDS, WIDTH = 10, 2
 #: Ids of documents to verify are broadcast up to this many (16 MB), beyond it joined by a shuffle.
 BROADCAST_IDS = 1_000_000
-#: Rows of one part of a key of very many nodes; every part meets every other. Rows with their whole sets are held in smaller parts.
-PART, PART_OF_SETS = 4_000, 500
+#: Rows of one part of a key or zone of very many nodes, and bytes of their sets, at most about; every part meets every other.
+PART, PART_BYTES = 4_000, 8 << 20
+#: Of the 2 * BANDS * WIDTH minhashes so many less than expected at the threshold still count as likely: at 0.8 that is
+#: 22 of 40, which 0.99991 of all pairs of similarity 0.8 have.
+SLACK = 10
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -91,8 +94,8 @@ def _settled(df: DataFrame, rows: int = 100_000) -> DataFrame:
 
 
 def signatures(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n_shingles, node, sketch: ``node`` is a hash of the whole set (null if empty), ``sketch`` the minhashes."""
-    out = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("sketch", pa.binary())])
+    """doc_id, n_shingles, node, sketch, text_hash: ``node`` is a hash of the whole set (null if empty), ``sketch`` the minhashes."""
+    out = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("sketch", pa.binary()), ("text_hash", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -102,9 +105,10 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
                 sizes.append(len(found))
                 nodes.append(int(np.array(xxhash.xxh3_64_intdigest(found.tobytes()), np.uint64).astype(np.int64)) if len(found) else None)
                 sketches.append(minhashes(found).tobytes() if len(found) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sketches, pa.binary())], schema=out)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sketches, pa.binary()), batch.column(2)], schema=out)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_shingles long, node long, sketch binary")
+    rows = docs.select(F.col("doc_id").cast("long"), "text", text_hash(F.col("text")).alias("text_hash"))
+    return rows.mapInArrow(run, "doc_id long, n_shingles long, node long, sketch binary, text_hash long")
 
 
 def _tables(nodes: DataFrame) -> DataFrame:
@@ -134,23 +138,29 @@ def _shared(nodes: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = [np.empty(0, np.int64)] * 3  # the last key's rows may go on in the next batch
 
-        def shown(columns: list[np.ndarray]) -> pa.RecordBatch:
+        def shown(columns: list[np.ndarray], goes_on_before: bool, goes_on_after: bool) -> pa.RecordBatch:
             key, _, node = columns
             starts = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.empty(0, np.int64)
             runs = np.diff(np.append(starts, len(key)))
             size = np.repeat(runs, runs)
             keep = size > 1
+            if len(key):  # a key may have more rows elsewhere
+                keep |= (key == key[0]) & goes_on_before | (key == key[-1]) & goes_on_after
             beside, last = np.append(node[1:], 0), np.append(key[1:] != key[:-1], True)[: len(key)]
             return pa.RecordBatch.from_arrays([pa.array(key[keep]), pa.array(node[keep]), pa.array(size[keep].astype(np.int64)), pa.array(beside[: len(key)][keep], mask=last[keep])], names=["key", "node", "size", "beside"])
 
+        before = True  # of a partition's first key, rows may be in the one before
         for batch in batches:
             columns = [np.concatenate([h, batch.column(k).to_numpy()]) for k, h in enumerate(held)]
+            if not len(columns[0]):
+                continue
             # A run that fills a whole batch is handed on in parts, so that memory stays bounded.
-            last = np.searchsorted(columns[0], columns[0][-1]) if len(columns[0]) else 0
-            last = last or len(columns[0])
-            yield shown([c[:last] for c in columns])
-            held = [c[last:] for c in columns]
-        yield shown(held)
+            last = int(np.searchsorted(columns[0], columns[0][-1]))
+            cut_at = last or len(columns[0])
+            yield shown([c[:cut_at] for c in columns], before, not last)
+            before = not last
+            held = [c[cut_at:] for c in columns]
+        yield shown(held, before, True)
 
     return rows.mapInArrow(run, "key long, node long, size long, beside long")
 
@@ -188,24 +198,27 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
         if now == seen:
             break
         seen = now
+    else:
+        raise RuntimeError(f"components are not settled after {rounds} rounds")
     least = links.groupBy("u").agg(F.min("v").alias("comp"))
     roots = links.select(F.col("v").alias("node")).distinct().join(least.select(F.col("u").alias("node")), "node", "left_anti")
     return least.select(F.col("u").alias("node"), "comp").union(roots.select("node", F.col("node").alias("comp")))
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept, node: groups of documents linked at ``percent`` similarity or more.
+    """doc_id, n_shingles, component_id, kept, comp, text_hash: groups of documents linked at ``percent`` similarity or more.
 
     1. Equal sets are one node. Under each table key, nodes that stand side by side and each node with the most central
        one are candidates. Central is a node that has many keys of many nodes: among copies of one text, the text
        that they were made from. Candidates are thus as many as table rows, not as the squares of groups.
     2. Each node is verified against the candidate it meets in most tables; groups of linked nodes are components.
-    3. Candidates across components are verified, unless their minhashes rule 0.8 out, and components joined. Pairs
-       within a component are not looked at.
-    4. Under keys of several components, all pairs across them are looked at in blocks: compared by minhashes and, unless
-       these rule 0.8 out, on their whole sets. No link depends on which node was central or stood beside.
+    3. Under keys that hold several components, all pairs across them are looked at in blocks: by size and minhashes.
+       Components with a likely pair make a zone; no link leaves a zone. The sets of the nodes of likely pairs are
+       brought together once, by zone, and all pairs across components are compared exactly, in blocks again.
+       No link depends on which node was central or stood beside, and no key or zone is cut short.
 
-    Two sets at similarity 0.8 share a table with probability 0.99993, and 41 of the 100 tables on average.
+    What can be lost are links that the method itself does not see: two sets at similarity 0.8 share a table with
+    probability 0.99993, and pass the minhash test of step 3 with 0.99991. Above 0.8 both come nearer to 1.
 
     A document without words or with a null text is linked with nothing and is kept. Repeated rows are equal documents:
     they have one component id, and all rows with the doc_id kept. A null doc_id has no part in the least one.
@@ -214,7 +227,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     docs = docs.select("doc_id", "text")
     base = cut(signatures(docs, words))
     raw = docs.select(F.col("doc_id").cast("long"), "text")
-    nodes = _settled(base.filter("node IS NOT NULL").groupBy("node").agg(F.first("sketch").alias("sketch"), F.min("doc_id").alias("doc_id")), 10_000)
+    nodes = _settled(base.filter("node IS NOT NULL").groupBy("node").agg(F.first("sketch").alias("sketch"), F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n")), 10_000)
 
     met = _settled(_shared(nodes))
     central = _settled(met.groupBy("node").agg(F.sum(F.log2("size")).alias("central")))
@@ -230,38 +243,51 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     links = _verified(best, raw, nodes, words, percent)
     comps = _settled(components(links))
 
-    def linked(pairs: DataFrame, done: DataFrame) -> DataFrame:
-        """The links among those of ``pairs`` that go across components and were not looked at before."""
-        label = lambda side: comps.select(F.col("node").alias(side), F.col("comp").alias(f"{side}c"))
-        across = pairs.filter("a <> b").join(label("a"), "a", "left").join(label("b"), "b", "left")
-        across = across.filter(F.coalesce("ac", "a") != F.coalesce("bc", "b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        across = across.distinct().join(done, ["a", "b"], "left_anti")
-        short = lambda side: nodes.select(F.col("node").alias(side), F.col("sketch").alias(f"{side}_sketch"))
-        most = 2 * BANDS * WIDTH
-        same = F.expr(f"aggregate(sequence(0, {most - 1}), 0, (t, i) -> t + IF(substring(a_sketch, 8 * i + 1, 8) = substring(b_sketch, 8 * i + 1, 8), 1, 0))")
-        likely = across.join(short("a"), "a").join(short("b"), "b").filter(same >= int(most * (percent / 100 - 0.25))).select("a", "b")
-        return _verified(likely, raw, nodes, words, percent)
-
-    new = linked(pairs, best)
-    links = links.union(new)
-    if not new.isEmpty():
-        comps = _settled(components(links))
     new = _across(met.select("key", "node"), comps, raw, nodes, words, percent)
     if not new.isEmpty():
         comps = _settled(components(links.union(new)))
 
     groups = base.select("doc_id", "node").filter("node IS NOT NULL").join(comps, "node", "left").select("node", "doc_id", F.coalesce("comp", "node").alias("comp"))
     first = _settled(groups.groupBy("comp").agg(F.min("doc_id").alias("component_id")))
-    owner = nodes.select("node").join(comps, "node", "left").select("node", F.coalesce("comp", "node").alias("comp")).join(first, "comp").select("node", "component_id")
-    out = base.select("doc_id", "n_shingles", "node").join(owner, "node", "left")
+    owner = nodes.select("node").join(comps, "node", "left").select("node", F.coalesce("comp", "node").alias("comp")).join(first, "comp").select("node", "comp", "component_id")
+    out = base.select("doc_id", "n_shingles", "node", "text_hash").join(owner, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "node")
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "comp", "text_hash")
+
 
+def representatives(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each group the row with the least doc_id (null: last) and text hash.
 
-def _blocks(rows: DataFrame, most: int) -> DataFrame:
-    """``rows`` with part and block: keys of over ``most`` rows are cut into parts, and each two parts make a block."""
-    parts = rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("parts"))
-    rows = rows.join(parts, "key").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    Repeated rows of one document leave once, also of documents without words, which are linked with nothing. A doc_id
+    that stands on several texts is told apart by the text.
+    """
+    found = near_duplicates(docs, words, percent)
+    rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")
+    alone = found.filter("comp IS NULL").select("doc_id", "text_hash").distinct()
+    chosen = found.filter("comp IS NOT NULL").groupBy("comp").agg(F.min(rank).alias("x")).select("x.doc_id", "x.text_hash").union(alone)
+    times = found.groupBy("doc_id", "text_hash").count()
+    same = lambda a, b: F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & F.col(f"{a}.text_hash").eqNullSafe(F.col(f"{b}.text_hash"))
+    chosen = chosen.alias("c").join(times.alias("t"), same("c", "t")).select(F.col("c.doc_id").alias("__id"), F.col("c.text_hash").alias("__hash"), F.col("count").alias("__times"))
+    chosen = _settled(chosen)
+    keyed = docs.withColumn("__text", text_hash(F.col("text")))
+    kept = keyed.join(chosen, keyed["doc_id"].cast("long").eqNullSafe(chosen["__id"]) & (keyed["__text"] == chosen["__hash"]))
+    once = kept.filter("__times = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    again = kept.filter("__times > 1")
+    if again.isEmpty():
+        return once
+    first = again.groupBy("__id", "__hash").agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("x")).select("x.*")
+    return once.union(first)
+
+
+def text_hash(text: Column) -> Column:
+    """64 bits that tell texts apart; a null text has one of its own."""
+    return F.xxhash64(text, text.isNull())
+
+
+def _blocks(rows: DataFrame, key: str, parts: Column) -> DataFrame:
+    """``rows`` with part and block: the rows of each ``key`` are cut into as many parts as the aggregate ``parts`` tells, and each two parts make a block."""
+    many = rows.groupBy(key).agg(F.greatest(F.lit(1), F.ceil(parts)).cast("int").alias("parts"))
+    rows = rows.join(many, key).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     others = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: F.least("part", k).cast("long") * (1 << 31) + F.greatest("part", k))
     return rows.withColumn("block", F.explode(others)).drop("parts")
 
@@ -284,101 +310,139 @@ def _whole_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield held
 
 
-def _alike(rows: pa.Table, least: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places of two rows of one block and of two components with ``least`` equal minhashes, in the first table that both share.
+def _alike(rows: pa.Table, least: int, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of two rows of one block and of two components that can be ``percent`` alike by size and have ``least`` equal minhashes.
 
-    The columns are key, block, part, node, comp, and short: the last 16 bits of each minhash.
+    The columns are key, block, part, node, comp, n, and short: the last 8 bits of each minhash.
     """
-    key, block, part, _, comp = (rows.column(k).to_numpy() for k in range(5))
-    short = np.frombuffer(b"".join(rows.column(5).to_pylist()), np.uint16).reshape(len(key), -1)
+    key, block, part, _, comp, size = (rows.column(k).to_numpy() for k in range(6))
+    short = np.frombuffer(b"".join(rows.column(6).to_pylist()), np.uint8).reshape(len(key), -1)
     starts = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (block[1:] != block[:-1])))
     ends = np.append(starts[1:], len(key))
     end = np.repeat(ends, ends - starts)
     within = (block >> 31) == (block & ((1 << 31) - 1))
-    table = key & 127
     at, step = np.arange(len(key)), 0
     while True:
         step += 1
         at = at[at + step < end[at]]
         if not len(at):
             return
-        p = at[(comp[at] != comp[at + step]) & (within[at] | (part[at] != part[at + step]))]
+        a, b = size[at], size[at + step]
+        p = at[(comp[at] != comp[at + step]) & (within[at] | (part[at] != part[at + step])) & (100 * np.minimum(a, b) >= percent * np.maximum(a, b))]
         if not len(p):
             continue
-        equal = short[p] == short[p + step]
-        eights = equal.view(np.uint64)
+        eights = (short[p] == short[p + step]).view(np.uint64)
         count = (sum(eights[:, k] for k in range(1, eights.shape[1])) + eights[:, 0]) * np.uint64(0x0101010101010101) >> np.uint64(56)
-        like = count >= least
-        p, bands = p[like], equal[like].reshape(-1, 2 * BANDS, WIDTH).all(2)
-        first = bands[:, :BANDS].argmax(1) * BANDS + bands[:, BANDS:].argmax(1)
-        p = p[first == table[p]]
+        p = p[count >= least]
         if len(p):
             yield p, p + step
 
 
+def _root(over: dict[int, int], x: int) -> int:
+    """The least number that ``over`` leads to from ``x``; the way is shortened."""
+    while x in over:
+        over[x] = x = over.get(over[x], over[x])
+    return x
+
+
+def _joined(over: dict[int, int], a: int, b: int) -> bool:
+    """Joins the groups of ``a`` and ``b``; whether they were two."""
+    a, b = _root(over, a), _root(over, b)
+    if a != b:
+        over[max(a, b)] = min(a, b)
+    return a != b
+
+
+def linked_rows(items: list[np.ndarray], comp: np.ndarray, side: np.ndarray | None, percent: int) -> Iterator[tuple[int, int]]:
+    """Pairs of rows of two components whose sets are ``percent`` alike, but for pairs that earlier ones have joined already.
+
+    All pairs across components are compared by the exact size of their intersection: of each set's items, the other rows
+    that have them are counted. With ``side``, only rows of two sides are compared.
+    """
+    size = np.array([len(x) for x in items])
+    _, code = np.unique(np.concatenate(items), return_inverse=True)
+    row = np.repeat(np.arange(len(items)), size)
+    have = row[np.argsort(code, kind="stable")]  # rows by item
+    first = np.append(0, np.cumsum(np.bincount(code)))
+    edge = np.append(0, np.cumsum(size))
+    over: dict[int, int] = {}
+    group = comp.copy()
+    for p in range(len(items) - 1):
+        other = group != group[p]
+        other[: p + 1] = False
+        if side is not None:
+            other &= side != side[p]
+        other &= (100 * np.minimum(size, size[p]) >= percent * np.maximum(size, size[p]))
+        if not other.any():
+            continue
+        own = code[edge[p] : edge[p + 1]]
+        many = first[own + 1] - first[own]
+        place = np.repeat(first[own] - np.append(0, np.cumsum(many)[:-1]), many) + np.arange(many.sum())
+        same = np.bincount(have[place], minlength=len(items))
+        changed = False
+        for q in np.flatnonzero(other & (100 * same >= percent * (size + size[p] - same))).tolist():
+            if _joined(over, int(comp[p]), int(comp[q])):
+                changed = True
+                yield p, q
+        if changed:
+            names, at = np.unique(comp, return_inverse=True)
+            group = np.array([_root(over, int(x)) for x in names])[at]
+
+
 def _across(met: DataFrame, comps: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links (a, b) that join all components which a pair of nodes under one key links: every pair across components is looked at.
+    """Links (a, b) that join all components which a pair of nodes under one key links: step 3 of :func:`near_duplicates`.
 
-    Minhashes are compared first, without sets; blocks keep the nodes with a likely pair. Their sets are then compared in
-    blocks again, but for pairs that links of the same blocks have joined already, so that links are not as many as pairs.
+    Blocks of keys give each node of a likely pair with the components that it is likely to be joined to, as one row;
+    blocks of zones give links that join components, so that neither grows with the number of pairs.
     """
     rows = met.join(comps.select("node", "comp"), "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
     mixed = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key")
     rows = cut(rows.join(mixed, "key"))
-    most = 2 * BANDS * WIDTH
-    least = int(most * (percent / 100 - 0.25))
+    least = int(2 * BANDS * WIDTH * percent / 100) - SLACK
 
     def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            short = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint64).astype(np.uint16).reshape(batch.num_rows, -1)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in short], pa.binary())], names=["node", "short"])
+            short = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint64).astype(np.uint8).reshape(batch.num_rows, -1)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x.tobytes() for x in short], pa.binary())], names=["node", "n", "short"])
 
-    def dealt(rows: DataFrame) -> DataFrame:
-        return rows.repartition("key", "block").sortWithinPartitions("key", "block", "node")
+    def dealt(rows: DataFrame, key: str) -> DataFrame:
+        return rows.repartition(key, "block").sortWithinPartitions(key, "block", "node")
 
-    shorts = nodes.join(rows.select("node").distinct(), "node", "left_semi").select("node", "sketch").mapInArrow(shorten, "node long, short binary")
-    columns = ["key", "block", "part", "node", "comp", "short"]
+    shorts = nodes.join(rows.select("node").distinct(), "node", "left_semi").select("node", "n", "sketch").mapInArrow(shorten, "node long, n long, short binary")
 
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _whole_blocks(batches):
-            keep = np.zeros(rows.num_rows, bool)
-            for p, q in _alike(rows, least):
-                keep[p] = keep[q] = True
-            found = rows.filter(pa.array(keep)).select(["key", "node", "comp"]).combine_chunks()
-            yield from found.to_batches()
-
-    kept = dealt(_blocks(rows, PART).join(shorts, "node").select(*columns)).mapInArrow(likely, "key long, node long, comp long")
-    kept = _settled(kept.distinct())
-    sets = _sets(kept.select("node").distinct(), docs, nodes, words)
+            node, comp = rows.column(3).to_numpy(), rows.column(4).to_numpy()
+            keep, over = np.zeros(rows.num_rows, bool), {}
+            for left, right in _alike(rows, least, percent):
+                keep[left] = keep[right] = True
+                for a, b in np.unique(np.column_stack([comp[left], comp[right]]), axis=0).tolist():
+                    _joined(over, a, b)
+            at = np.flatnonzero(keep)
+            joined = np.array([_root(over, x) for x in comp[at].tolist()], np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(node[at]), pa.array(comp[at]), pa.array(joined)], names=["node", "comp", "joined"])
+
+    blocks = _blocks(rows, "key", F.count(F.lit(1)) / PART).join(shorts, "node").select("key", "block", "part", "node", "comp", "n", "short")
+    found = _settled(dealt(blocks, "key").mapInArrow(likely, "node long, comp long, joined long").distinct())
+    zones = components(found.filter("comp <> joined").select(F.col("comp").alias("a"), F.col("joined").alias("b")))
+    zones = zones.select(F.col("node").alias("comp"), F.col("comp").alias("zone"))
+    members = _settled(found.select("node", "comp").distinct().join(zones, "comp").join(nodes.select("node", "n"), "node"))
+    sets = _sets(members.select("node"), docs, nodes, words)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _whole_blocks(batches):
-            node, comp, items = rows.column(3).to_numpy(), rows.column(4).to_numpy(), rows.column(6)
-            over: dict[int, int] = {}  # components that links have joined
+            zone, block, part, node, comp = (rows.column(k).to_numpy() for k in range(5))
+            starts = np.flatnonzero(np.append(True, (zone[1:] != zone[:-1]) | (block[1:] != block[:-1])))
             links = []
-
-            def root(x: int) -> int:
-                while x in over:
-                    over[x] = x = over.get(over[x], over[x])  # noqa: B023
-                return x
-
-            held: dict[int, np.ndarray] = {}
-
-            def items_of(k: int) -> np.ndarray:
-                if k not in held:  # noqa: B023
-                    held[k] = np.frombuffer(items[k].as_py(), np.uint64)  # noqa: B023
-                return held[k]  # noqa: B023
-
-            for left, right in _alike(rows, least):
-                for p, q in zip(left.tolist(), right.tolist(), strict=True):
-                    a, b = root(int(comp[p])), root(int(comp[q]))
-                    if a != b and _similar(items_of(p), items_of(q), percent):
-                        over[max(a, b)] = min(a, b)
-                        links.append((node[p], node[q]))
+            for lo, hi in zip(starts, np.append(starts[1:], len(zone)), strict=True):
+                items = [np.frombuffer(x.as_py(), np.uint64) for x in rows.column(5)[lo:hi]]
+                side = part[lo:hi] if block[lo] >> 31 != block[lo] & ((1 << 31) - 1) else None
+                links += [(node[lo + p], node[lo + q]) for p, q in linked_rows(items, comp[lo:hi], side, percent)]
             yield pa.RecordBatch.from_arrays([pa.array([int(x[k]) for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    kept = _blocks(kept, PART_OF_SETS).join(shorts, "node").join(sets, "node").select(*columns, "items")
-    return _settled(dealt(kept).mapInArrow(compare, "a long, b long").distinct())
+    blocks = _blocks(members, "zone", F.greatest(F.count(F.lit(1)) / PART, F.sum("n") * 8 / PART_BYTES)).join(sets, "node")
+    blocks = blocks.select("zone", "block", "part", "node", "comp", "items")
+    return _settled(dealt(blocks, "zone").mapInArrow(compare, "a long, b long").distinct())
 
 
 def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
