@@ -27,9 +27,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates (five-word shingles, 80 %) the document with the least doc_id."""
-    gone = neardup.near_duplicates(docs).filter("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    """Of each group of near duplicates (five-word shingles, 80 %) the document with the least doc_id, once."""
+    return neardup.representatives(docs)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
