@@ -7,7 +7,7 @@ import random
 #: Tag and class or id of containers of main text, and of other parts of a page.
 MAIN = (
     ("article", ""), ("main", ""), ("article", "post"), ("div", "content"), ("div", "main-content"), ("div", "article-body"), ("div", "post-content"),
-    ("div", "entry-content"), ("section", "story"), ("div", "story-body"), ("div", "text"), ("article", "entry"), ("div", "body-copy"), ("div", ""), ("section", "article"),
+    ("div", "entry-content"), ("section", "story"), ("div", "story-body"), ("div", "text"), ("div", "main"), ("article", "entry"), ("div", "body-copy"), ("div", ""), ("section", "article"),
 )
 OTHER = (
     ("nav", ""), ("nav", "menu"), ("div", "navigation"), ("div", "navbar"), ("ul", "menu"), ("div", "breadcrumb"), ("header", ""), ("header", "site-header"), ("div", "header"),
@@ -87,7 +87,7 @@ def _main(draw: random.Random, part: tuple[str, str]) -> str:
     return f"<{tag}{attr} {MARK}>{''.join(blocks)}</{tag}>"
 
 
-def labelled_pages(n: int = 800, seed: int = 2) -> list[str]:
+def labelled_pages(n: int = 1_200, seed: int = 2) -> list[str]:
     """``n`` pages, always the same: a main part among others, at times in wrappers. Main text is under ``data-main``, but not under ``data-other``."""
     draw = random.Random(seed)
     pages = []
@@ -95,14 +95,27 @@ def labelled_pages(n: int = 800, seed: int = 2) -> list[str]:
         before = [_other(draw, draw.choice(OTHER)) for _ in range(draw.randint(0, 4))]
         after = [_other(draw, draw.choice(OTHER)) for _ in range(draw.randint(0, 5))]
         main = _main(draw, draw.choice(MAIN))
+        if draw.random() < 0.15:  # the heading stands before the container
+            main = f"<{draw.choice(('h1', 'h1', 'h2'))} {MARK}>{_sentence(draw, 1, 9)}</h1>" + main
         kind = draw.random()
         if kind < 0.06:  # paragraphs straight in the body
-            main = "".join(f"<{t} {MARK}>{_sentence(draw, 3, 60)}</{t}>" for t in ("h1", *["p"] * draw.randint(1, 6)))
+            main = "".join(f"<{t} {MARK}>{_sentence(draw, 3, 60)}</{t}>" for t in (draw.choice(("h1", "h1", "h2")), *["p"] * draw.randint(1, 6)))
         elif kind < 0.1:  # a fragment of a page
             pages.append("".join(f"<p {MARK}>{_sentence(draw, 3, 60)}</p>" for _ in range(draw.randint(1, 6))))
             continue
+        elif kind < 0.16:  # bare text in a container, with a part between
+            inner = [p for p in OTHER if p[0] not in ("nav", "header") and p[1] != "header"]
+            tag, name = draw.choice(MAIN)
+            attr = f' class="{name}"' if name else ""
+            part = _other(draw, draw.choice(inner)).replace(">", " data-other>", 1) if draw.random() < 0.7 else "<br>"
+            title = draw.choice(("h1", "h2", "h3"))
+            heading = f"<{title} {MARK}>{_sentence(draw, 1, 9)}</{title}>" if draw.random() < 0.7 else ""
+            inside, outside = (heading, "") if draw.random() < 0.5 else ("", heading)
+            main = f"{outside}<{tag}{attr} {MARK}>{inside}{_sentence(draw, 3, 60)}{part}{_sentence(draw, 3, 60)}</{tag}>"
         body = "".join(before) + main + "".join(after)
         if draw.random() < 0.4:
             body = f'<div {draw.choice(("class", "id"))}="{draw.choice(("wrapper", "container", "page", "site", "layout", "row"))}">{body}</div>'
+        if draw.random() < 0.12:  # a form around the whole page is no form of it
+            body = f"<form>{body}</form>"
         pages.append(f"<html><head><title>{_sentence(draw, 2, 6)}</title><script>x=1</script></head><body>{body}</body></html>")
     return pages
