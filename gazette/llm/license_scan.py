@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from dataclasses import dataclass
+
+import numpy as np
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,13 +55,31 @@ OTHER = (
     "The court ruled on the copyright case.", "Please renew your fishing license before spring.", "The warranty covers parts and labour for two years.", "The city issued a permit and a license to the shop.",
     "A software license can be expensive.", "Which license should I choose for my project?", "The minister spoke about public libraries.", "The foundation gave free software to schools.",
     "He asked for permission to use the hall.", "The general public was invited.", "Version 2.0 of the program was released.", "Redistribution of income was debated.", "Their licence number is printed on the van.",
-    "Copyright infringement is a growing problem.", "The license expired last year.", "They reserved all rooms in the hotel.", "This work was done in the morning.",
+    "Copyright infringement is a growing problem.", "The license expired last year.", "Students at MIT built a robot.", "An Apache helicopter landed at noon.", "The new version 3.0 of the software is faster.", "You may use the hall for free.", "All rooms are reserved for the guests.", "See the report for details.", "They reserved all rooms in the hotel.", "This work was done in the morning.",
 )
+#: Short names and identifiers of each licence family.
+NAMES = {
+    "apache": ("Apache License 2.0", "Apache-2.0", "Apache License", "Apache Software License", "Apache 2.0", "ASL 2.0"),
+    "mit": ("MIT License", "MIT licence", "MIT/X11 license", "Expat license"),
+    "bsd": ("BSD License", "BSD-3-Clause", "BSD-2-Clause", "BSD 3-Clause License", "new BSD license", "3-clause BSD"),
+    "gpl": ("GPL", "GPLv3", "GPLv2", "GPLv2+", "GPLv3+", "GNU GPL", "GPL-2.0-only", "GPL-3.0-only", "GPL-3.0-or-later", "GNU General Public License"),
+    "lgpl": ("LGPL", "LGPLv3", "LGPLv2.1", "GNU LGPL", "LGPL-2.1-or-later", "LGPL-3.0-only", "GNU Lesser General Public License"),
+    "agpl": ("AGPL", "AGPLv3", "GNU AGPL", "AGPL-3.0-or-later", "GNU Affero General Public License"),
+    "mpl": ("MPL", "MPL-2.0", "MPL 2.0", "Mozilla Public License 2.0", "Mozilla Public License"),
+    "isc": ("ISC License", "ISC-style license"),
+    "cc-by": ("CC BY 4.0", "CC-BY-4.0", "CC BY 3.0", "CC-BY", "Creative Commons Attribution"),
+    "cc-by-sa": ("CC BY-SA 4.0", "CC-BY-SA-4.0", "CC-BY-SA", "CC BY-SA 3.0", "Creative Commons Attribution-ShareAlike"),
+    "cc-by-nc": ("CC BY-NC 4.0", "CC-BY-NC-4.0", "CC-BY-NC", "CC BY-NC-SA 4.0", "Creative Commons Attribution-NonCommercial"),
+    "cc0": ("CC0", "CC0 1.0", "CC0-1.0", "CC0 public domain dedication"),
+    "unlicense": ("Unlicense", "The Unlicense"),
+}
+#: Ways to name a licence, with which the classifier is taught.
+FORMS = ("{}", "License: {}", "Licensed under the {}.", "Released under the {}.", "Distributed under the terms of the {}.", "This work is licensed under {}.", "SPDX-License-Identifier: {}", "See the {} for details.")
 UNKNOWN = "unknown"
-#: Documents with one of these words teach nothing of what is no licence; every template has one. All paragraphs are scanned.
+#: Paragraphs with one of these words may be notices and teach nothing of what is no licence. All paragraphs are scanned.
 GATE = r"(?i)licen[cs]|copyright|spdx|creative commons|\bCC0\b|\bCC BY|public domain|rights reserved|redistribut|permission|unauthorized copying|\bGPL\b"
-#: Paragraphs of the documents that teach what is no licence, at most about.
-TRAIN_PARAGRAPHS = 1_000
+#: Paragraphs of the documents that teach what is no licence, at most about; how many of them have a word pattern that is learned.
+TRAIN_PARAGRAPHS, LEAST = 1_500, 4
 #: Share of a template's word pairs that confirms it.
 CONFIRMED = 0.6
 #: Words of a window of a longer paragraph, and from one window to the next; every template fits into half a window.
@@ -84,45 +106,110 @@ def pairs(tokens: Column) -> Column:
     return F.array_distinct(two)
 
 
+def parts(text: Column) -> Column:
+    """The paragraphs of a text: what is between empty lines, or line ends after the end of a sentence."""
+    return F.split(text, r"(?<=[.!?:])[ \t]*\r?\n|\n[ \t\r]*\n")
+
+
 def paragraphs(docs: DataFrame) -> DataFrame:
-    """doc_id, paragraph (from 0), text: parts of each text between empty lines, or line ends after the end of a sentence."""
-    parts = F.split("text", r"(?<=[.!?:])[ \t]*\r?\n|\n[ \t\r]*\n")
-    return docs.filter("text IS NOT NULL").select("doc_id", F.posexplode(parts).alias("paragraph", "text"))
+    """doc_id, paragraph (from 0), text: the paragraphs of each text."""
+    return docs.filter("text IS NOT NULL").select("doc_id", F.posexplode(parts(F.col("text"))).alias("paragraph", "text"))
+
+
+def notices() -> list[tuple[str, str]]:
+    """(family, text): the templates, the two halves of longer ones, the names in every form, and sentences that are no notice."""
+    out = [(family, text) for family, texts in TEMPLATES.items() for text in texts]
+    for family, text in list(out):
+        parts = text.split()
+        if len(parts) >= 16:
+            out += [(family, " ".join(parts[: len(parts) // 2])), (family, " ".join(parts[len(parts) // 2 :]))]
+    out += [(family, form.format(name)) for family, names in NAMES.items() for name in names for form in FORMS]
+    return out + [(UNKNOWN, text) for text in OTHER]
+
+
+@dataclass
+class Classifier:
+    """A fitted classifier: terms to numbers, the regression, the names of its classes, the temperature, and words of which every positive window has one."""
+
+    terms: CountVectorizerModel
+    regression: LogisticRegressionModel
+    names: list[str]
+    heat: float
+    needed: list[str]
 
 
-def learn(docs: DataFrame, bound: int = TRAIN_PARAGRAPHS) -> tuple[CountVectorizerModel, LogisticRegressionModel, list[str], float]:
-    """The vocabulary, the regression, the families with unknown, and a temperature that divides its scores.
+def needed_words(terms: list[str], weights: np.ndarray, base: np.ndarray, common: dict[str, int], templates: list[list[str]], confirmed: float) -> list[str]:
+    """Words of which any window has at least one that the classifier can take for a family, or that holds ``confirmed`` of a template.
 
-    Multinomial logistic regression on the n-grams of templates, of other sentences and of about ``bound`` paragraphs of
-    documents without a word of GATE. The temperature is the one under which a third of the rows, left out of a first
-    fit, are likeliest; it brings down the confidence of the final fit to what held-out rows bear out.
+    A family f beats the last class, unknown, only if the terms of a window bring more than base[unknown] - base[f]. A
+    term can be there only with all its words, so its gain is put down to its rarest word; the most common words, as
+    many as cannot reach that margin together, are not needed. A word that is left over in every way is in no such window.
+    """
+    rare = lambda word: (-common.get(word, 0), word)
+    needed: set[str] = set()
+    for family in range(len(base) - 1):
+        gain: Counter[str] = Counter()
+        for term, x in zip(terms, weights[family] - weights[-1], strict=True):
+            if x > 0:
+                gain[max(term.split(" "), key=rare)] += float(x)
+        left = float(base[-1] - base[family]) * 0.999
+        for word in sorted(gain, key=rare):  # the most common first
+            if gain[word] < left and word not in needed:
+                left -= gain[word]
+            else:
+                needed.add(word)
+    for wanted in templates:
+        for word in sorted({w for pair in wanted for w in pair.split(" ")}, key=rare, reverse=True):
+            bare = sum(not needed & set(pair.split(" ")) for pair in wanted)
+            if bare < confirmed * len(wanted):
+                break
+            needed.add(word)
+    return sorted(needed)
+
+
+def learn(docs: DataFrame, bound: int = TRAIN_PARAGRAPHS, confirmed: float = CONFIRMED) -> Classifier:
+    """Multinomial logistic regression on the n-grams of :func:`notices` and of about ``bound`` windows of the documents.
+
+    Of as many documents, chosen by a hash of their texts, one window of one paragraph without a word of GATE is taken
+    as no notice. The temperature is the one under which a third of the rows, left out of a first fit, are likeliest; it
+    brings down the confidence of the final fit to what held-out rows bear out.
     """
     spark = docs.sparkSession
-    given = [(name, text) for name, texts in TEMPLATES.items() for text in texts] + [(UNKNOWN, text) for text in OTHER]
     names = [*TEMPLATES, UNKNOWN]
     label = F.element_at(F.create_map(*[x for k, n in enumerate(names) for x in (F.lit(n), F.lit(float(k)))]), F.col("family"))
     total = docs.count()
-    plain = docs.filter((unit(F.lit(3), F.xxhash64("text")) < F.lit(bound / max(1, total))) & ~F.col("text").rlike(GATE))
-    plain = plain.select(F.lit(UNKNOWN).alias("family"), F.element_at(F.split("text", "\n"), 1).alias("text"))
-    rows = spark.createDataFrame(given, "family string, text string").unionByName(plain)
-    rows = cut(rows.select(label.alias("label"), ngrams(words(F.col("text"))).alias("terms"), F.pmod(F.xxhash64("text"), F.lit(3)).alias("fold")))
-    count = CountVectorizer(inputCol="terms", outputCol="features", minDF=1.0, vocabSize=20_000, binary=True)
-    known = cut(rows.filter(F.col("label") < len(names) - 1).union(rows.filter(F.col("label") == len(names) - 1).limit(400)))
-    vectors = count.fit(known)
-    ready = vectors.transform(rows).coalesce(1).cache()  # a bounded sample: one task is enough
-    regression = LogisticRegression(family="multinomial", regParam=0.002, maxIter=30)
+    chosen = docs.filter(unit(F.lit(3), F.xxhash64("text")) < F.lit(bound / max(1, total))).select(parts(F.col("text")).alias("ps"), F.abs(F.xxhash64("text") % 1_000_003).alias("h"))
+    plain = chosen.select("h", F.element_at("ps", (F.col("h") % F.size("ps") + 1).cast("int")).alias("text")).filter(~F.col("text").rlike(GATE))
+    several = windows(words(F.col("text")))
+    plain = plain.select(F.lit(UNKNOWN).alias("family"), F.element_at(several, (F.col("h") % F.size(several) + 1).cast("int")).alias("tokens")).filter(F.size("tokens") > 0)
+    given = spark.createDataFrame(notices(), "family string, text string").select("family", words(F.col("text")).alias("tokens"))
+    rows = cut(given.withColumn("given", F.lit(True)).unionByName(plain.withColumn("given", F.lit(False))).select(label.alias("label"), "given", "tokens", ngrams(F.col("tokens")).alias("terms"), F.pmod(F.xxhash64("tokens"), F.lit(3)).alias("fold")))
+    seen = rows.select("given", F.explode("terms").alias("term")).groupBy("term").agg(F.max("given").alias("own"), F.count(F.lit(1)).alias("n"))
+    found = {r.term: r.n for r in seen.filter(F.col("own") | (F.col("n") >= LEAST)).collect()}  # of a bounded sample
+    vocabulary = sorted(found)
+    terms = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="terms", outputCol="features", binary=True)
+    ready = cut(terms.transform(rows).select("label", "fold", "features")).coalesce(1)  # a bounded sample: one task is enough
+    regression = LogisticRegression(family="multinomial", regParam=0.001, maxIter=40)
     first = regression.fit(ready.filter("fold <> 0"))
-    tested = first.transform(ready.filter("fold = 0")).select("label", F.expr("rawPrediction").alias("raw"))
-    tested = tested.select("label", vector_to_array("raw").alias("raw"))
+    tested = first.transform(ready.filter("fold = 0")).select("label", vector_to_array("rawPrediction").alias("raw"))
+    tested = tested.filter(F.col("label") < F.size("raw"))
     losses = []
     for t in (0.5, 0.75, 1.0, 1.5, 2.0, 3.0, 4.0):
         sums = F.log(F.aggregate(F.transform("raw", lambda x: F.exp(x / t)), F.lit(0.0), lambda a, x: a + x))  # noqa: B023
         losses.append((F.avg(sums - F.element_at("raw", (F.col("label") + 1).cast("int")) / t), t))
-    found = tested.agg(*[x.alias(str(k)) for k, (x, _) in enumerate(losses)]).first()
-    best = min(((loss if loss is not None else 9.0, t) for loss, (_, t) in zip(found, losses, strict=True)), key=lambda x: x[0])[1]
+    found_losses = tested.agg(*[x.alias(str(k)) for k, (x, _) in enumerate(losses)]).first()
+    best = min(((loss if loss is not None else 9.0, t) for loss, (_, t) in zip(found_losses, losses, strict=True)), key=lambda x: x[0])[1]
     model = regression.fit(ready)
-    ready.unpersist()
-    return vectors, model, names, best
+    wanted = [list(r[0]) for r in template_pairs(spark).collect()]
+    needed = needed_words(vocabulary, model.coefficientMatrix.toArray(), model.interceptVector.toArray(), {t: n for t, n in found.items() if " " not in t}, wanted, confirmed)
+    return Classifier(terms, model, names, best, needed)
+
+
+def template_pairs(spark: SparkSession) -> DataFrame:
+    """wanted, template, notice: the distinct word pairs of each template, its family and its number."""
+    rows = [(name, text) for name, texts in TEMPLATES.items() for text in texts]
+    made = spark.createDataFrame([(name, k, text) for k, (name, text) in enumerate(rows)], "template string, notice int, text string")
+    return made.select(pairs(words(F.col("text"))).alias("wanted"), "template", "notice")
 
 
 def windows(tokens: Column) -> Column:
@@ -132,40 +219,52 @@ def windows(tokens: Column) -> Column:
     return F.when(F.size(tokens) <= WINDOW, F.array(tokens)).otherwise(several)
 
 
-def scan(docs: DataFrame, bound: int = TRAIN_PARAGRAPHS, least: float = 0.5, confirmed: float = CONFIRMED) -> DataFrame:
+def scan(docs: DataFrame, bound: int = TRAIN_PARAGRAPHS, least: float = 0.5, confirmed: float = CONFIRMED, made: Classifier | None = None) -> DataFrame:
     """doc_id, paragraph, family, probability, similarity, confirmed, text: paragraphs that are taken for a licence notice.
 
     similarity is the largest share of the word pairs of one of the family's templates that a window of the paragraph has.
     Rows are those with a window whose likeliest class is a family with probability ``least`` or more, or that holds
     ``confirmed`` of a template of any family: the family is that of the template then, unless a template of the
-    likeliest family is confirmed too. Of several windows the confirmed one, then the most probable one tells. Null and
-    empty texts have no paragraphs. Repeated rows are repeated. The vocabulary and the templates are fixed and broadcast.
+    likeliest family is confirmed too. Of several windows the confirmed one, then the most probable one tells.
+
+    Every paragraph is judged. Texts and windows without any of the classifier's needed words cannot be positive (see
+    :func:`needed_words`) and are left out first; this changes no result. Null and empty texts have no paragraphs;
+    repeated rows are repeated, null doc_ids stay, no rows give no rows. The vocabulary and the templates are fixed in size.
     """
-    vectors, model, names, heat = learn(docs, bound)
-    spark = docs.sparkSession
-    rows = paragraphs(docs.select("doc_id", "text")).withColumn("row", F.monotonically_increasing_id())
-    rows = rows.withColumn("tokens", F.explode(windows(words(F.col("text")))))
-    rows = model.transform(vectors.transform(rows.withColumn("terms", ngrams(F.col("tokens")))))
-    rows = rows.select("doc_id", "row", "paragraph", "text", "tokens", vector_to_array("rawPrediction").alias("raw"))
+    made = made or learn(docs, bound, confirmed)
+    needed = F.array(*[F.lit(x) for x in made.needed])
+    hopeful = docs.select("doc_id", "text").filter(F.arrays_overlap(words(F.col("text")), needed))
+    paras = cut(paragraphs(hopeful).filter(F.arrays_overlap(words(F.col("text")), needed))).withColumn("row", F.monotonically_increasing_id())
+    rows = paras.select("row", F.posexplode(windows(words(F.col("text")))).alias("window", "tokens")).filter(F.arrays_overlap("tokens", needed))
+    rows = made.regression.transform(made.terms.transform(rows.withColumn("terms", ngrams(F.col("tokens")))))
+    rows = rows.select("row", "window", "tokens", vector_to_array("rawPrediction").alias("raw"))
     top = F.array_max("raw")
-    odds = F.transform("raw", lambda x: F.exp((x - top) / heat))
-    rows = rows.withColumn("odds", odds).withColumn("share", F.transform("odds", lambda x: x / F.aggregate("odds", F.lit(0.0), lambda a, y: a + y)))
+    rows = rows.withColumn("odds", F.transform("raw", lambda x: F.exp((x - top) / made.heat)))
+    rows = rows.withColumn("share", F.transform("odds", lambda x: x / F.aggregate("odds", F.lit(0.0), lambda a, y: a + y)))
     likeliest = F.array_position("share", F.array_max("share")).cast("int")
-    rows = rows.withColumn("called", F.element_at(F.array(*[F.lit(n) for n in names]), likeliest)).withColumn("own", pairs(F.col("tokens")))
-    texts = [(name, k, text) for k, (name, many) in enumerate(TEMPLATES.items()) for text in many]
-    templates = spark.createDataFrame(texts, "template string, at int, notice string").select("template", "at", pairs(words(F.col("notice"))).alias("wanted"))
-    known = sorted({x for r in templates.select("wanted").collect() for x in r[0]})  # of the fixed templates
+    called = F.element_at(F.array(*[F.lit(n) for n in made.names]), likeliest)
+    spark = docs.sparkSession
+    templates = template_pairs(spark)
+    known = F.array(*[F.lit(x) for x in sorted({x for r in templates.collect() for x in r[0]})])  # of the fixed templates
+    scored = rows.select("row", "window", "share", called.alias("called"), F.array_intersect(pairs(F.col("tokens")), known).alias("own"))
     said = (F.col("called") != UNKNOWN) & (F.array_max("share") >= least)
-    rows = rows.filter(said | F.arrays_overlap("own", F.array(*[F.lit(x) for x in known])))
-    like = F.size(F.array_intersect("wanted", "own")) / F.size("wanted")
-    near = rows.withColumn("said", said).crossJoin(F.broadcast(templates)).withColumn("similarity", like)
+    scored = cut(scored.withColumn("said", said).filter("said OR size(own) > 0"))
+    size = F.size("wanted").alias("size")
+    wanted = templates.select(F.explode("wanted").alias("pair"), "template", "notice", size)
+    held = scored.select("row", "window", F.explode("own").alias("pair")).join(F.broadcast(wanted), "pair")
+    held = held.groupBy("row", "window", "template", "notice").agg((F.count(F.lit(1)) / F.first("size")).alias("similarity"))
+    held = held.groupBy("row", "window", "template").agg(F.max("similarity").alias("similarity"))
+    spoken = scored.filter("said").select("row", "window", F.col("called").alias("template"), F.lit(0.0).alias("similarity"))
+    near = held.union(spoken).groupBy("row", "window", "template").agg(F.max("similarity").alias("similarity"))
+    near = near.join(scored.select("row", "window", "share", "called", "said"), ["row", "window"])
     near = near.filter((F.col("similarity") >= confirmed) | (F.col("said") & (F.col("template") == F.col("called"))))
+    places = F.create_map(*[x for k, n in enumerate(made.names) for x in (F.lit(n), F.lit(k + 1))])
     found = F.struct(
         (F.col("similarity") >= confirmed).alias("confirmed"), (F.col("template") == F.col("called")).alias("agreed"),
-        F.element_at("share", F.col("at") + 1).alias("probability"), "similarity", F.col("template").alias("family"),
+        F.element_at("share", F.element_at(places, F.col("template"))).alias("probability"), "similarity", F.col("template").alias("family"),
     )
-    best = near.groupBy("doc_id", "row", "paragraph", "text").agg(F.max(found).alias("x"))
-    return best.select("doc_id", "paragraph", "x.family", "x.probability", "x.similarity", "x.confirmed", "text")
+    best = near.groupBy("row").agg(F.max(found).alias("x"))
+    return paras.join(best, "row").select("doc_id", "paragraph", "x.family", "x.probability", "x.similarity", "x.confirmed", "text")
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
