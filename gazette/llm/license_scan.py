@@ -6,7 +6,7 @@ from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -78,8 +78,8 @@ FORMS = ("{}", "License: {}", "Licensed under the {}.", "Released under the {}."
 UNKNOWN = "unknown"
 #: Paragraphs with one of these words may be notices and teach nothing of what is no licence. All paragraphs are scanned.
 GATE = r"(?i)licen[cs]|copyright|spdx|creative commons|\bCC0\b|\bCC BY|public domain|rights reserved|redistribut|permission|unauthorized copying|\bGPL\b"
-#: Paragraphs of the documents that teach what is no licence, at most about; how many of them have a word pattern that is learned.
-TRAIN_PARAGRAPHS, LEAST = 1_500, 4
+#: Paragraphs of the documents that teach what is no licence, at most about.
+TRAIN_PARAGRAPHS = 1_000
 #: Share of a template's word pairs that confirms it.
 CONFIRMED = 0.6
 #: Words of a window of a longer paragraph, and from one window to the next; every template fits into half a window.
@@ -129,10 +129,10 @@ def notices() -> list[tuple[str, str]]:
 
 @dataclass
 class Classifier:
-    """A fitted classifier: terms to numbers, the regression, the names of its classes, the temperature, and words of which every positive window has one."""
+    """A fitted classifier: the weights of each term for each class, their bases, the names of the classes, the temperature, and words of which every positive window has one."""
 
-    terms: CountVectorizerModel
-    regression: LogisticRegressionModel
+    weights: dict[str, list[float]]
+    base: list[float]
     names: list[str]
     heat: float
     needed: list[str]
@@ -184,12 +184,13 @@ def learn(docs: DataFrame, bound: int = TRAIN_PARAGRAPHS, confirmed: float = CON
     plain = plain.select(F.lit(UNKNOWN).alias("family"), F.element_at(several, (F.col("h") % F.size(several) + 1).cast("int")).alias("tokens")).filter(F.size("tokens") > 0)
     given = spark.createDataFrame(notices(), "family string, text string").select("family", words(F.col("text")).alias("tokens"))
     rows = cut(given.withColumn("given", F.lit(True)).unionByName(plain.withColumn("given", F.lit(False))).select(label.alias("label"), "given", "tokens", ngrams(F.col("tokens")).alias("terms"), F.pmod(F.xxhash64("tokens"), F.lit(3)).alias("fold")))
-    seen = rows.select("given", F.explode("terms").alias("term")).groupBy("term").agg(F.max("given").alias("own"), F.count(F.lit(1)).alias("n"))
-    found = {r.term: r.n for r in seen.filter(F.col("own") | (F.col("n") >= LEAST)).collect()}  # of a bounded sample
-    vocabulary = sorted(found)
+    own = rows.filter("given").select(F.explode("terms").alias("term"), "label").distinct().groupBy("term").agg(F.collect_set("label").alias("of"))
+    had = {r.term: {int(x) for x in r.of} for r in own.collect()}  # of the fixed notices
+    vocabulary = sorted(had)
+    common = {r.word: r.n for r in rows.filter("NOT given").select(F.explode(F.array_distinct("tokens")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").collect()}  # of a bounded sample
     terms = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="terms", outputCol="features", binary=True)
     ready = cut(terms.transform(rows).select("label", "fold", "features")).coalesce(1)  # a bounded sample: one task is enough
-    regression = LogisticRegression(family="multinomial", regParam=0.001, maxIter=40)
+    regression = LogisticRegression(family="multinomial", regParam=0.0002, maxIter=40)
     first = regression.fit(ready.filter("fold <> 0"))
     tested = first.transform(ready.filter("fold = 0")).select("label", vector_to_array("rawPrediction").alias("raw"))
     tested = tested.filter(F.col("label") < F.size("raw"))
@@ -200,9 +201,14 @@ def learn(docs: DataFrame, bound: int = TRAIN_PARAGRAPHS, confirmed: float = CON
     found_losses = tested.agg(*[x.alias(str(k)) for k, (x, _) in enumerate(losses)]).first()
     best = min(((loss if loss is not None else 9.0, t) for loss, (_, t) in zip(found_losses, losses, strict=True)), key=lambda x: x[0])[1]
     model = regression.fit(ready)
+    weights, base = model.coefficientMatrix.toArray().copy(), model.interceptVector.toArray()
+    for k, term in enumerate(vocabulary):  # a term speaks for a family only if one of its notices has it
+        for family in range(len(names) - 1):
+            if family not in had[term]:
+                weights[family, k] = min(weights[family, k], weights[-1, k])
     wanted = [list(r[0]) for r in template_pairs(spark).collect()]
-    needed = needed_words(vocabulary, model.coefficientMatrix.toArray(), model.interceptVector.toArray(), {t: n for t, n in found.items() if " " not in t}, wanted, confirmed)
-    return Classifier(terms, model, names, best, needed)
+    needed = needed_words(vocabulary, weights, base, common, wanted, confirmed)
+    return Classifier(dict(zip(vocabulary, weights.T.tolist(), strict=True)), base.tolist(), names, best, needed)
 
 
 def template_pairs(spark: SparkSession) -> DataFrame:
@@ -236,14 +242,17 @@ def scan(docs: DataFrame, bound: int = TRAIN_PARAGRAPHS, least: float = 0.5, con
     hopeful = docs.select("doc_id", "text").filter(F.arrays_overlap(words(F.col("text")), needed))
     paras = cut(paragraphs(hopeful).filter(F.arrays_overlap(words(F.col("text")), needed))).withColumn("row", F.monotonically_increasing_id())
     rows = paras.select("row", F.posexplode(windows(words(F.col("text")))).alias("window", "tokens")).filter(F.arrays_overlap("tokens", needed))
-    rows = made.regression.transform(made.terms.transform(rows.withColumn("terms", ngrams(F.col("tokens")))))
-    rows = rows.select("row", "window", "tokens", vector_to_array("rawPrediction").alias("raw"))
+    spark = docs.sparkSession
+    weights = spark.createDataFrame(list(made.weights.items()), "term string, weight array<double>")  # the fixed vocabulary
+    terms = rows.select("row", "window", F.explode(ngrams(F.col("tokens"))).alias("term")).join(F.broadcast(weights), "term", "left")
+    sums = [(F.coalesce(F.sum(F.element_at("weight", k + 1)), F.lit(0.0)) + x).alias(f"raw{k}") for k, x in enumerate(made.base)]
+    summed = terms.groupBy("row", "window").agg(*sums).select("row", "window", F.array(*[f"raw{k}" for k in range(len(made.base))]).alias("raw"))
+    rows = rows.join(summed, ["row", "window"])
     top = F.array_max("raw")
     rows = rows.withColumn("odds", F.transform("raw", lambda x: F.exp((x - top) / made.heat)))
     rows = rows.withColumn("share", F.transform("odds", lambda x: x / F.aggregate("odds", F.lit(0.0), lambda a, y: a + y)))
     likeliest = F.array_position("share", F.array_max("share")).cast("int")
     called = F.element_at(F.array(*[F.lit(n) for n in made.names]), likeliest)
-    spark = docs.sparkSession
     templates = template_pairs(spark)
     known = F.array(*[F.lit(x) for x in sorted({x for r in templates.collect() for x in r[0]})])  # of the fixed templates
     scored = rows.select("row", "window", "share", called.alias("called"), F.array_intersect(pairs(F.col("tokens")), known).alias("own"))
