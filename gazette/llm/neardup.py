@@ -18,8 +18,8 @@ from gazette.llm.common import cut, read
 BANDS, WIDTH = 10, 2
 #: Ids of documents to verify are broadcast up to this many (16 MB), beyond it joined by a shuffle.
 BROADCAST_IDS = 1_000_000
-#: Rows of one part of a key or zone of very many nodes, and bytes of their sets, at most about; every part meets every other.
-PART, PART_BYTES = 4_000, 8 << 20
+#: Rows of one part of a key of very many nodes, of a zone of very many, and bytes of the sets in it, at most about; every part meets every other.
+PART, ZONE_PART, PART_BYTES = 4_000, 1_000, 8 << 20
 #: Of the 2 * BANDS * WIDTH minhashes so many less than expected at the threshold still count as likely: at 0.8 that is
 #: 22 of 40, which 0.99991 of all pairs of similarity 0.8 have.
 SLACK = 10
@@ -440,7 +440,7 @@ def _across(met: DataFrame, comps: DataFrame, docs: DataFrame, nodes: DataFrame,
                 links += [(node[lo + p], node[lo + q]) for p, q in linked_rows(items, comp[lo:hi], side, percent)]
             yield pa.RecordBatch.from_arrays([pa.array([int(x[k]) for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    blocks = _blocks(members, "zone", F.greatest(F.count(F.lit(1)) / PART, F.sum("n") * 8 / PART_BYTES)).join(sets, "node")
+    blocks = _blocks(members, "zone", F.greatest(F.count(F.lit(1)) / ZONE_PART, F.sum("n") * 8 / PART_BYTES)).join(sets, "node")
     blocks = blocks.select("zone", "block", "part", "node", "comp", "items")
     return _settled(dealt(blocks, "zone").mapInArrow(compare, "a long, b long").distinct())
 
