@@ -96,7 +96,8 @@ def labelled_pages(n: int = 1_200, seed: int = 2) -> list[str]:
         after = [_other(draw, draw.choice(OTHER)) for _ in range(draw.randint(0, 5))]
         main = _main(draw, draw.choice(MAIN))
         if draw.random() < 0.15:  # the heading stands before the container
-            main = f"<{draw.choice(('h1', 'h1', 'h2'))} {MARK}>{_sentence(draw, 1, 9)}</h1>" + main
+            title = draw.choice(("h1", "h1", "h2"))
+            main = f"<{title} {MARK}>{_sentence(draw, 1, 9)}</{title}>" + main
         kind = draw.random()
         if kind < 0.06:  # paragraphs straight in the body
             main = "".join(f"<{t} {MARK}>{_sentence(draw, 3, 60)}</{t}>" for t in (draw.choice(("h1", "h1", "h2")), *["p"] * draw.randint(1, 6)))
