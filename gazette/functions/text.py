@@ -18,6 +18,13 @@ def tokens(c: Column) -> Column:
     return F.array_distinct(F.concat(words, pairs))
 
 
+def title_tokens(c: Column) -> Column:
+    """Distinct words of two or more letters or digits as they are written, and neighbouring pairs joined by ``_``."""
+    words = F.regexp_extract_all(c, F.lit("([가-힣a-zA-Z0-9]{2,})"), F.lit(1))
+    rest = F.greatest(F.size(words) - 1, F.lit(0))
+    return F.array_distinct(F.concat(words, F.zip_with(F.slice(words, 1, rest), F.slice(words, 2, rest), lambda a, b: F.concat(a, F.lit("_"), b))))
+
+
 def informative_tokens(c: Column, stopwords: list[str]) -> Column:
     """Distinct words, lower case, without stop words and numbers."""
     words = F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit("([가-힣a-z0-9]{2,})"), F.lit(1)))

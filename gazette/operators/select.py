@@ -7,31 +7,90 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gazette.functions import text
 from gazette.functions.lineage import settle
 
 
+#: Chapters of all editions, up to which their turns are broadcast as one small table.
+BROADCAST_CHAPTERS = 100_000
+#: Rows of a group that one fold walks through; groups that it does not fill go on in rounds.
+PREFIX = 256
+
+
 def greedy_select(
     df: DataFrame, group: list[str], order: list[str], target: int, caps: dict[str, int] | None = None, conflict: Callable[[str, str], Column] | None = None, columns: list[str] | None = None,
-    seed: DataFrame | None = None,
+    seed: DataFrame | None = None, likeness: Callable[[Column, Column], Column] | None = None, on: str = "tokens",
 ) -> DataFrame:
     """Of each group the first ``target`` rows by ``order`` (descending) that fit those chosen before; ``pick`` is their turn, from 1.
 
     A row fits if its value of each column in ``caps`` was chosen less often than the cap, and if ``conflict(a, b)``
-    (of aliases of a chosen row and the row) is not true. ``order`` must end with a column that tells rows apart.
+    (of aliases of a chosen row and the row) or ``likeness(x, y)`` (of their columns ``on``) is not true. ``order`` must
+    end with a column that tells rows apart.
 
-    The i-th pick is the best row that fits picks 1..i-1, so at most ``target`` rounds do: each takes the best row of
-    each group by a partial aggregate, and drops what no longer fits. No group is ever collected into one task. The
-    picks of a round, a row for each group, are joined to the rest by the group.
+    Greedy picks come in the order of the rows, so that a group that the first PREFIX rows fill needs no more of them:
+    with ``likeness``, these rows (a bounded number, cut by a rank within the group before they are brought together) are
+    walked through by one fold. Groups that are not full then, and selections by ``conflict``, go on in rounds: the i-th
+    pick is the best row that fits picks 1..i-1, so at most ``target`` rounds do. Each takes the best row of each group
+    by a partial aggregate and drops what no longer fits. No whole group is ever collected into one task.
 
     Rows of ``seed`` (columns of ``df``, at most ``target`` a group) count as chosen before: they fill places, caps and
     conflicts, and come first in the result.
     """
     columns = columns or df.columns
+    if likeness is not None:
+        by_alias = lambda a, b: likeness(F.col(f"{a}.{on}"), F.col(f"{b}.{on}"))
+        chosen, rest = _folded(settle(df), group, order, target, caps, likeness, on, seed)
+        if rest.isEmpty():
+            return chosen.select(*columns, "pick")
+        open_groups = rest.select(*group).distinct()
+        done = chosen.join(open_groups, group, "left_anti")
+        more = _rounds(rest, group, order, target, caps, by_alias, chosen.join(open_groups, group, "left_semi"))
+        return done.select(*columns, "pick").unionByName(more.select(*columns, "pick"))
+    if seed is not None:
+        kept = Window.partitionBy(*group).orderBy(*[F.desc(o) for o in order])
+        seed = seed.select(*df.columns).withColumn("pick", F.row_number().over(kept))
+    return _rounds(df, group, order, target, caps, conflict, seed).select(*columns, "pick")
+
+
+def _folded(
+    df: DataFrame, group: list[str], order: list[str], target: int, caps: dict[str, int] | None, likeness: Callable[[Column, Column], Column], on: str, seed: DataFrame | None,
+) -> tuple[DataFrame, DataFrame]:
+    """The picks among the first PREFIX rows of each group, with those of ``seed``; and the further rows of groups that are not full."""
+    best = [F.desc(o) for o in order]
+    if seed is not None:
+        df = df.join(seed.select(*group, *order), [*group, *order], "left_anti").select(df.columns)
+    placed = df.withColumn("__place", F.row_number().over(Window.partitionBy(*group).orderBy(*best)))
+    few = placed.filter(F.col("__place") <= PREFIX)
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    walk = few.groupBy(*group).agg(F.sort_array(F.collect_list(F.struct("__place", row.alias("row")))).alias("rows"))
+    kind = f"array<{df.select(row.alias('x')).schema['x'].dataType.simpleString()}>"
+    start = F.array().cast(kind)
+    if seed is not None:
+        kept = Window.partitionBy(*group).orderBy(*best)
+        first = seed.select(*df.columns).withColumn("__place", F.row_number().over(kept))
+        first = first.groupBy(*group).agg(F.transform(F.sort_array(F.collect_list(F.struct("__place", row.alias("row")))), lambda x: x.row).alias("held"))
+        walk = walk.join(first, group, "full").withColumn("rows", F.coalesce("rows", F.array().cast(few.select(F.array(F.struct("__place", row.alias("row"))).alias("x")).schema["x"].dataType)))
+        start = F.coalesce(F.col("held").cast(kind), start)
+
+    def step(chosen: Column, x: Column) -> Column:
+        fits = (F.size(chosen) < target) & ~F.exists(chosen, lambda c: F.coalesce(likeness(c[on], x.row[on]), F.lit(False)))
+        for column, cap in (caps or {}).items():
+            fits = fits & (F.size(F.filter(chosen, lambda c: c[column].eqNullSafe(x.row[column]))) < cap)  # noqa: B023
+        return F.when(fits, F.concat(chosen, F.array(x.row))).otherwise(chosen)
+
+    got = settle(walk.select(*group, F.aggregate("rows", start, step).alias("chosen"), F.size("rows").alias("__seen")))
+    picks = got.select(F.posexplode("chosen").alias("at", "x")).select("x.*", (F.col("at") + 1).alias("pick"))
+    short = got.filter((F.size("chosen") < target) & (F.col("__seen") == PREFIX)).select(*group)
+    rest = placed.filter(F.col("__place") > PREFIX).join(short, group, "left_semi").select(df.columns)
+    return picks, settle(rest)
+
+
+def _rounds(df: DataFrame, group: list[str], order: list[str], target: int, caps: dict[str, int] | None, conflict: Callable[[str, str], Column] | None, seed: DataFrame | None) -> DataFrame:
+    """The picks of each group, round by round, after those of ``seed``, which has their ``pick``."""
     left = settle(df)
     chosen: DataFrame | None = None
     if seed is not None:
-        kept = Window.partitionBy(*group).orderBy(*[F.desc(o) for o in order])
-        chosen = settle(seed.select(*df.columns).withColumn("pick", F.row_number().over(kept)))
+        chosen = settle(seed.select(*df.columns, "pick"))
         left = settle(_fitting(left, chosen, chosen, group, order, caps, conflict, target))
     for turn in range(1, target + 1):
         best = left.groupBy(*group).agg(F.max_by(F.struct(*left.columns), F.struct(*order)).alias("best"))
@@ -46,8 +105,7 @@ def greedy_select(
         if turn == target:
             break
         left = settle(_fitting(left, best, chosen, group, order, caps, conflict, target if seed is not None else None))
-    out = chosen if chosen is not None else settle(df.limit(0).withColumn("pick", F.lit(0)))
-    return out.select(*columns, "pick")
+    return chosen if chosen is not None else settle(df.limit(0).withColumn("pick", F.lit(0)))
 
 
 def _fitting(
@@ -91,25 +149,112 @@ def domain_diverse(df: DataFrame, group: list[str], domain: str, topic: str, ord
     return both.join(full, group, "left_semi")
 
 
-def allocate(df: DataFrame, edition: str, chapter: str, key: str, order: list[str], target: int, caps: dict[str, int], conflict: Callable[[str, str], Column] | None, ranks: int) -> DataFrame:
-    """Greedy picks of each chapter of an edition, chapters with the fewest different ``key`` values first; a key is given out once.
+def allocate(
+    df: DataFrame, edition: str, chapter: str, key: str, order: list[str], target: int, caps: dict[str, int], likeness: Callable[[Column, Column], Column], least: tuple[str, int] | None = None, place: Column | None = None,
+) -> DataFrame:
+    """Greedy picks of each chapter of an edition, chapters with the fewest different ``key`` values first, then by ``place``; a key goes to one chapter.
 
-    All editions take their turn together, so that there are as many passes as an edition has chapters, at most ``ranks``.
+    All editions take their turn together, so that there are as many passes as the edition with most chapters has. A
+    chapter that ends with fewer than ``least`` (column, number) different values is empty and reserves nothing.
     """
-    scarce = df.groupBy(edition, chapter).agg(F.count_distinct(key).alias("__n"))
-    scarce = scarce.withColumn("__turn", F.row_number().over(Window.partitionBy(edition).orderBy("__n", chapter))).drop("__n")
-    turns = settle(df.join(F.broadcast(scarce), [edition, chapter]))
-    got: DataFrame | None = None
-    for turn in range(1, ranks + 1):
-        pool = turns.filter(F.col("__turn") == turn).select(df.columns)
-        if got is not None:
-            pool = pool.join(got.select(edition, key).distinct(), [edition, key], "left_anti").select(df.columns)
-        # Within one chapter a title is given out once, too: a cap of one on the key.
-        new = settle(greedy_select(pool, [edition, chapter], order, target, {**caps, key: 1}, conflict).withColumn("turn_of_chapter", F.lit(turn)))
-        got = new if got is None else got.unionByName(new)
+    scarce = df.groupBy(edition, chapter).agg(F.count_distinct(key).alias("__n"), F.min(place if place is not None else F.col(chapter)).alias("__at"))
+    scarce = settle(scarce.withColumn("__turn", F.row_number().over(Window.partitionBy(edition).orderBy("__n", "__at"))).drop("__n", "__at"))
+    turns = scarce.agg(F.max("__turn")).first()[0] or 0
+    small = scarce.count() <= BROADCAST_CHAPTERS
+    placed = settle(df.join(F.broadcast(scarce) if small else scarce, [edition, chapter]))
+    got = settle(df.limit(0).withColumn("pick", F.lit(0)))
+    for turn in range(1, turns + 1):
+        pool = placed.filter(F.col("__turn") == turn).select(df.columns)
+        pool = pool.join(got.select(edition, key).distinct(), [edition, key], "left_anti").select(df.columns)
+        new = greedy_select(pool, [edition, chapter], order, target, caps, likeness=likeness)
+        if least is not None:
+            new = at_least(new, [edition, chapter], *least).select(*df.columns, "pick")
+        got = settle(got.unionByName(new))
     return got
 
 
+def arbitrate(df: DataFrame, key: str, chapter: str, title: str, seq: str, terms: dict[str, list[str]], company: str = "company", economy: str = "economy", international: str = "international") -> DataFrame:
+    """``df`` with chapters (of its key), winner (null without a conflict) and kept.
+
+    A key that several chapters have goes to one: to ``company`` if that is among them and a title has one of its terms;
+    else, where both are among them, to ``economy`` if a title has one of its terms, to ``international`` if not; else to
+    the chapter of the first row by ``seq``. The winner keeps its first row. Keys of one chapter keep all rows.
+    """
+    norm = text.norm_title(F.col(title))
+    has = lambda name: F.size(text.term_hits(norm, terms.get(name, []))) > 0 if terms.get(name) else F.lit(False)
+    g = df.groupBy(key).agg(
+        F.count_distinct(chapter).alias("chapters"), F.bool_or(F.col(chapter) == company).alias("__co"), F.bool_or(F.col(chapter) == economy).alias("__ec"), F.bool_or(F.col(chapter) == international).alias("__in"),
+        F.bool_or(has(company)).alias("__coterm"), F.bool_or(has(economy)).alias("__ecterm"), F.min_by(chapter, seq).alias("__first"),
+    )
+    winner = F.when(F.col("__co") & F.col("__coterm"), company).when(F.col("__in") & F.col("__ec"), F.when(F.col("__ecterm"), economy).otherwise(international)).otherwise(F.col("__first"))
+    g = g.select(key, "chapters", winner.alias("winner"))
+    keeper = df.groupBy(key, chapter).agg(F.min(seq).alias("__keeper"))
+    g = g.join(keeper.select(F.col(key).alias("__k"), F.col(chapter).alias("__c"), "__keeper"), F.col(key).eqNullSafe(F.col("__k")) & (F.col("winner") == F.col("__c")))
+    g = g.select(F.col(key).alias("__k"), "chapters", "winner", "__keeper")
+    met = df.join(g, F.col(key).eqNullSafe(F.col("__k")))
+    return met.select(*df.columns, "chapters", F.when(F.col("chapters") > 1, F.col("winner")).alias("winner"), ((F.col("chapters") == 1) | (F.col(seq) == F.col("__keeper"))).alias("kept"))
+
+
+def refill(
+    kept: DataFrame, ranked: DataFrame, chapter: str, key: str, order: list[str], target: int, caps: dict[str, int], likeness: Callable[[Column, Column], Column], chapters: list[str],
+) -> tuple[DataFrame, DataFrame]:
+    """Chapters filled up after an arbitration: the rows with mode (kept, backfill, rebuilt) and pick; and chapter, reason, n of what was passed over.
+
+    ``kept`` has columns of ``ranked``. Chapters take their turn in the order of ``chapters`` (a short list). A row is
+    passed over if its ``key`` is used anywhere (global_url), its caps are full (domain_cap), or it is like a chosen row
+    (same_event). A chapter that cannot be filled beside what it kept is built anew from its whole pool; reasons of
+    this second walk begin with resolve_.
+    """
+    used = settle(kept.select(chapter, key))
+    out: DataFrame | None = None
+    reasons: DataFrame | None = None
+    for name in chapters:
+        mine = settle(kept.filter(F.col(chapter) == name).select(ranked.columns))
+        pool = settle(ranked.filter(F.col(chapter) == name))
+        got, passed, n = mine.withColumns({"pick": F.lit(0), "mode": F.lit("kept")}), None, mine.count()
+        if n < target:
+            free = pool.join(used.select(key).distinct(), key, "left_anti").select(ranked.columns)
+            got = settle(greedy_select(free, [chapter], order, target, {**caps, key: 1}, likeness=likeness, seed=mine))
+            got = got.join(mine.select(key, F.lit("kept").alias("mode")), key, "left").select(*ranked.columns, "pick", F.coalesce("mode", F.lit("backfill")).alias("mode"))
+            passed = passed_over(pool, got, used, chapter, key, order, caps, likeness, target, "")
+            if got.count() < target:
+                others = used.filter(F.col(chapter) != name)
+                free = pool.join(others.select(key).distinct(), key, "left_anti").select(ranked.columns)
+                got = greedy_select(free, [chapter], order, target, {**caps, key: 1}, likeness=likeness).withColumn("mode", F.lit("rebuilt"))
+                got = settle(got)
+                passed = passed.unionByName(passed_over(pool, got, others, chapter, key, order, caps, likeness, target, "resolve_"))
+                used = others
+        used = settle(used.unionByName(got.filter("mode <> 'kept'").select(chapter, key)))
+        got = settle(got.select(*ranked.columns, "pick", "mode"))
+        out = got if out is None else out.unionByName(got)
+        if passed is not None:
+            reasons = passed if reasons is None else reasons.unionByName(passed)
+    return out, reasons
+
+
+def passed_over(
+    pool: DataFrame, got: DataFrame, used: DataFrame, chapter: str, key: str, order: list[str], caps: dict[str, int], likeness: Callable[[Column, Column], Column], target: int, prefix: str,
+) -> DataFrame:
+    """chapter, reason, n: rows of ``pool`` that a walk in ``order`` passed over until it was full, and the first test that each failed.
+
+    Each row is compared with the chosen rows (``target`` a chapter at most) that were chosen before it.
+    """
+    rank = F.struct(*order)
+    held = got.select("mode", F.col(chapter).alias("__c"), F.col(key).alias("__key"), rank.alias("__rank"), *[F.col(c).alias(f"__{c}") for c in caps], F.col("tokens").alias("__tokens"))
+    full = got.groupBy(chapter).agg(F.count(F.lit(1)).alias("__n"), F.min(F.when(F.col("mode") != "kept", rank)).alias("__last"))
+    rows = pool.join(got.select(*order), order, "left_anti").join(full, chapter, "left").filter((F.coalesce("__n", F.lit(0)) < target) | F.col("__last").isNull() | (rank > F.col("__last")))
+    rows = rows.join(used.select(F.col(key).alias("__used")).distinct(), F.col(key) == F.col("__used"), "left")
+    before = (F.col("mode") == "kept") | (F.col("__rank") > rank)
+    met = rows.join(F.broadcast(held), (F.col(chapter) == F.col("__c")) & before, "left")
+    taken = F.max(F.coalesce(F.col("__key") == F.col(key), F.lit(False)) | F.col("__used").isNotNull())
+    capped = F.lit(False)
+    for c, cap in caps.items():
+        capped = capped | (F.count_if(F.col(f"__{c}") == F.col(c)) >= cap)
+    near = F.max(F.coalesce(likeness(F.col("__tokens"), F.col("tokens")), F.lit(False)))
+    told = met.groupBy(chapter, *order).agg(F.when(taken, "global_url").when(capped, "domain_cap").when(near, "same_event").alias("reason"))
+    return told.filter("reason IS NOT NULL").groupBy(chapter, F.concat(F.lit(prefix), "reason").alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def at_least(df: DataFrame, group: list[str], column: str, least: int) -> DataFrame:
     """Rows of the groups that have ``least`` different values of ``column``; other groups are empty."""
     good = df.groupBy(*group).agg(F.count_distinct(column).alias("__n")).filter(F.col("__n") >= least).drop("__n")
@@ -149,9 +294,9 @@ def keep_first_either(df: DataFrame, group: str, left: str, right: str, seq: str
     open_ = settle(df)
     kept: DataFrame | None = None
     while True:
-        first = lambda c: F.min(seq).over(Window.partitionBy(group, c))
-        marked = open_.withColumn("__first", (F.col(seq) == first(left)) & (F.col(seq) == first(right)))
-        new = settle(marked.filter("__first").drop("__first"))
+        # Least numbers are aggregated before they are shuffled: one key may have most of the rows.
+        first = lambda c: open_.groupBy(group, c).agg(F.min(seq).alias(seq)).select(group, seq)  # noqa: B023, E731
+        new = settle(first(left).join(first(right), [group, seq]).join(open_, [group, seq]).select(df.columns))
         if new.isEmpty():
             return kept if kept is not None else new
         kept = new if kept is None else kept.unionByName(new)

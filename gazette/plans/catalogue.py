@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gazette.functions import text, urls
@@ -72,12 +72,12 @@ def p3_article_identity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"WITH {CAND} SELECT seq, chapter AS section, title, CASE WHEN age_h <= 24 THEN 'today' WHEN age_h <= 72 THEN 'three days' WHEN age_h <= 168 THEN 'this week' ELSE 'older' END AS freshness_note, "
-       "CASE WHEN length(summary) > 0 THEN substr(summary, 1, 200) ELSE title END AS summary, CASE seq % 4 WHEN 0 THEN 'CONFIRMED' WHEN 1 THEN 'PARTIALLY CONFIRMED' WHEN 2 THEN 'DISPUTED' ELSE 'UNVERIFIED' END AS status FROM c")
+       "CASE WHEN length(summary) > 0 THEN summary ELSE title END AS summary, CASE seq % 4 WHEN 0 THEN 'CONFIRMED' WHEN 1 THEN 'PARTIALLY CONFIRMED' WHEN 2 THEN 'DISPUTED' ELSE 'UNVERIFIED' END AS status FROM c")
 def p4_story_flattening(spark: SparkSession, sf: str) -> DataFrame:
     age, k = F.col("age_h"), F.col("seq") % 4
     fresh = F.when(age <= 24, "today").when(age <= 72, "three days").when(age <= 168, "this week").otherwise("older")
     status = F.when(k == 0, "CONFIRMED").when(k == 1, "PARTIALLY CONFIRMED").when(k == 2, "DISPUTED").otherwise("UNVERIFIED")
-    short = F.when(F.length("summary") > 0, F.substring("summary", 1, 200)).otherwise(F.col("title"))
+    short = F.when(F.length("summary") > 0, F.col("summary")).otherwise(F.col("title"))
     return candidates(spark, sf).select("seq", F.col("chapter").alias("section"), "title", fresh.alias("freshness_note"), short.alias("summary"), status.alias("status"))
 
 
@@ -282,22 +282,55 @@ def a6_registry_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _scored(spark: SparkSession, sf: str) -> DataFrame:
-    c = candidates(spark, sf).select("seq", "chapter", "source", "title", importance().alias("score"), F.array_distinct(F.regexp_extract_all(F.lower(F.substring("title", 1, 200)), F.lit("([가-힣a-z0-9]{2,})"), F.lit(1))).alias("tokens"))
+    c = candidates(spark, sf).select("seq", "chapter", "source", "title", importance().alias("score"), text.title_tokens(F.col("title")).alias("tokens"))
     return c.withColumn("turn", -F.col("seq"))
 
 
-@query(f"""WITH RECURSIVE {CAND}, s AS (SELECT seq, chapter, source, CAST({IMPORTANCE} AS DOUBLE) AS score, {TOKENS.format('substr(title, 1, 200)')} AS tokens FROM c),
+#: Days that news of a chapter stays fresh, if not three.
+LONG_FRESH = {"es": 7}
+TITLE_WORDS = "regexp_extract_all({}, '([가-힣a-zA-Z0-9]{{2,}})', 1)"
+
+
+def title_tokens_sql(c: str) -> str:
+    return f"list_transform([{TITLE_WORDS.format(c)}], lambda w: list_distinct(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || '_' || w[i + 1]))))[1]"
+
+
+RELEVANT = f"""{CAND}, rh AS (SELECT seq, list_filter({LISTED}, lambda k: contains(lower(title), k)) AS th, list_filter({LISTED}, lambda k: contains(lower(summary), k)) AS sh, len(list_filter({LISTED_NO}, lambda k: contains(lower(title), k))) AS neg, chapter FROM c),
+rel AS (SELECT seq, CASE WHEN chapter = 'en' THEN 1.0 WHEN neg > 0 AND len(th) = 0 THEN NULL WHEN len(th) >= 1 THEN round(least(1.0, 0.65 + 0.1 * (len(th) - 1) + 0.05 * least(len(sh), 3)), 3) WHEN len(sh) >= 2 THEN round(least(0.6, 0.25 + 0.1 * len(sh)), 3) END AS relevance FROM rh),
+fit AS (SELECT c.seq, chapter, source, title, CAST(round(CAST({IMPORTANCE} AS DOUBLE), 2) + relevance AS DOUBLE) AS score FROM c JOIN rel USING (seq) WHERE relevance IS NOT NULL AND age_h / 24.0 BETWEEN -0.25 AND CASE WHEN chapter = 'es' THEN 7 ELSE 3 END)"""
+
+
+def eligible(spark: SparkSession, sf: str) -> DataFrame:
+    """seq, chapter, source, title, score, turn: fresh candidates that belong to their chapter; the score is importance with relevance."""
+    r = f3_chapter_relevance(spark, sf).filter("reason IN ('broad', 'title', 'summary')").select("seq", F.round("relevance", 3).alias("relevance"))
+    most = F.lit(3)
+    for chapter, days in LONG_FRESH.items():
+        most = F.when(F.col("chapter") == chapter, days).otherwise(most)
+    c = candidates(spark, sf).filter((F.col("age_h") / 24).between(-0.25, most)).select("seq", "chapter", "source", "title", importance().alias("importance"))
+    return c.join(r, "seq").select("seq", "chapter", "source", "title", (F.round("importance", 2) + F.col("relevance")).alias("score"), (-F.col("seq")).alias("turn"))
+
+
+def alike(a: Column, b: Column) -> Column:
+    """Token sets of two titles too near each other to stand in one chapter."""
+    return text.jaccard(a, b) >= 0.45
+
+
+ALIKE_SQL = "len(list_distinct(list_concat(g.tokens, o.tokens))) > 0 AND len(list_intersect(g.tokens, o.tokens)) / len(list_distinct(list_concat(g.tokens, o.tokens))) >= 0.45"
+
+
+@query(f"""WITH RECURSIVE {RELEVANT}, s AS (SELECT seq, chapter, source, score, {title_tokens_sql('title')} AS tokens FROM fit),
 o AS (SELECT *, row_number() OVER (PARTITION BY chapter ORDER BY score DESC, seq) AS rk FROM s),
 r AS (SELECT chapter, 0::BIGINT AS rk, []::STRUCT(seq BIGINT, source VARCHAR, score DOUBLE, tokens VARCHAR[])[] AS got FROM (SELECT DISTINCT chapter FROM o)
-UNION ALL SELECT r.chapter, o.rk, CASE WHEN len(got) < 10 AND len(list_filter(got, lambda g: g.source = o.source)) < 2
-AND len(list_filter(got, lambda g: len(list_distinct(list_concat(g.tokens, o.tokens))) > 0 AND len(list_intersect(g.tokens, o.tokens)) / len(list_distinct(list_concat(g.tokens, o.tokens))) >= 0.45)) = 0
+UNION ALL SELECT r.chapter, o.rk, CASE WHEN len(got) < 10 AND len(list_filter(got, lambda g: g.source = o.source)) < 2 AND len(list_filter(got, lambda g: {ALIKE_SQL})) = 0
 THEN list_append(got, {{'seq': o.seq, 'source': o.source, 'score': o.score, 'tokens': o.tokens}}) ELSE got END FROM r JOIN o ON r.chapter = o.chapter AND o.rk = r.rk + 1),
 l AS (SELECT chapter, arg_max(got, rk) AS got FROM r GROUP BY chapter), u AS (SELECT chapter, unnest(got) AS g, generate_subscripts(got, 1) AS pick FROM l)
-SELECT chapter, CAST(pick AS INTEGER) AS pick, g.seq AS seq, g.source AS source, g.score AS score FROM u WHERE chapter IN (SELECT chapter FROM l WHERE len(list_distinct(list_transform(got, lambda g: g.source))) >= 5)""")
+SELECT chapter, CAST(pick AS INTEGER) AS pick, g.seq AS seq, g.source AS source, round(g.score, 3) AS score FROM u WHERE chapter IN (SELECT chapter FROM l WHERE len(got) < 10 OR len(list_distinct(list_transform(got, lambda g: g.source))) >= 5)""")
 def w1_diverse_top_k(spark: SparkSession, sf: str) -> DataFrame:
-    alike = lambda a, b: text.jaccard(F.col(f"{a}.tokens"), F.col(f"{b}.tokens")) >= 0.45
-    got = select.greedy_select(_scored(spark, sf), ["chapter"], ["score", "turn"], 10, {"source": 2}, alike)
-    return select.at_least(got, ["chapter"], "source", 5).select("chapter", "pick", "seq", "source", "score")
+    """Fresh and relevant candidates of each chapter, best first: two of a publisher, no two alike, ten; ten of fewer than five publishers are none."""
+    pool = eligible(spark, sf).withColumn("tokens", text.title_tokens(F.col("title"))).drop("title")
+    got = select.greedy_select(pool, ["chapter"], ["score", "turn"], 10, {"source": 2}, likeness=alike)
+    full = got.groupBy("chapter").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("source").alias("publishers")).filter("n < 10 OR publishers >= 5").select("chapter")
+    return got.join(full, "chapter", "left_semi").select("chapter", "pick", "seq", "source", F.round("score", 3).alias("score"))
 
 
 @query(f"""WITH {CAND}, s AS (SELECT seq, chapter, source, CAST({IMPORTANCE} AS DOUBLE) AS score FROM c), a AS (SELECT *, row_number() OVER (PARTITION BY chapter ORDER BY score DESC, seq) AS r FROM s),
@@ -336,14 +369,23 @@ STOPPED = "[" + ", ".join(f"'{w}'" for w in STOP) + "]"
 INFORMATIVE = f"list_distinct(list_filter(regexp_extract_all(lower({{}}), '([가-힣a-z0-9]{{{{2,}}}})', 1), lambda w: NOT list_contains({STOPPED}, w) AND NOT regexp_matches(w, '^[0-9]+$')))"
 
 
-@query(f"""WITH {CAND}, l AS (SELECT seq AS id, {INFORMATIVE.format('substr(title, 1, 200)')} AS t FROM c), r AS (SELECT item_id AS id, {INFORMATIVE.format('substr(text, 1, 200)')} AS t FROM benchmark),
-p AS (SELECT l.id AS doc_id, r.id AS item_id, len(list_intersect(l.t, r.t)) AS k, len(list_distinct(list_concat(l.t, r.t))) AS u, least(len(l.t), len(r.t)) AS m FROM l JOIN r ON len(list_intersect(l.t, r.t)) >= 2)
-SELECT doc_id, item_id, k AS shared FROM p WHERE k / u >= 0.25 OR k / m >= 0.5""")
+EVENT_PAIRS = f"""{CAND}, jl AS (SELECT seq AS id, source, {INFORMATIVE.format('title')} AS t FROM c), jr AS (SELECT item_id AS id, 'src' || item_id % 20 AS source, {INFORMATIVE.format('text')} AS t FROM benchmark),
+jp AS (SELECT jl.id AS l, jr.id AS r, len(list_intersect(jl.t, jr.t)) AS k, len(jl.t) AS a, len(jr.t) AS b FROM jl JOIN jr ON jl.source <> jr.source),
+je AS (SELECT l, r, round_even(2 * round_even(k / (a + b - k), 3) + round_even(k / least(a, b), 3) + 0.05 * k, 4) AS score FROM jp WHERE k >= 2 AND (k / (a + b - k) >= 0.25 OR k / least(a, b) >= 0.5)),
+jk AS (SELECT *, row_number() OVER (PARTITION BY l ORDER BY score DESC, r) AS rank FROM je)"""
+
+
+def event_sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Documents by their headlines, and the passages of the benchmark as a pool of other publishers: id, link, source, tokens."""
+    left = candidates(spark, sf).select(F.col("seq").alias("id"), "link", "source", text.informative_tokens(F.col("title"), STOP).alias("tokens"))
+    b, k = table(spark, sf, "benchmark"), F.col("item_id")
+    right = b.select(k.alias("id"), F.concat(F.lit("https://bench.example.org/"), k.cast("string")).alias("link"), F.concat(F.lit("src"), (k % 20).cast("string")).alias("source"), text.informative_tokens(F.col("text"), STOP).alias("tokens"))
+    return left, right
+
+
+@query(f"WITH {EVENT_PAIRS} SELECT l AS doc_id, r AS item_id, score, CAST(rank AS INTEGER) AS rank FROM jk WHERE rank <= 3")
 def j1_same_event(spark: SparkSession, sf: str) -> DataFrame:
-    left = candidates(spark, sf).select(F.col("seq").alias("id"), text.informative_tokens(F.substring("title", 1, 200), STOP).alias("tokens"))
-    right = table(spark, sf, "benchmark").select(F.col("item_id").alias("id"), text.informative_tokens(F.substring("text", 1, 200), STOP).alias("tokens"))
-    p = similar.shared_token_pairs(left, right, 2).filter(similar.same_event(F.col("lt"), F.col("rt")))
-    return p.select(F.col("l").alias("doc_id"), F.col("r").alias("item_id"), F.size(F.array_intersect("lt", "rt")).cast("long").alias("shared"))
+    return similar.corroborating(*event_sides(spark, sf)).select(F.col("l").alias("doc_id"), F.col("r").alias("item_id"), "score", "rank")
 
 
 @query(f"""WITH p AS (SELECT page_id, {HOST} AS domain FROM pages) SELECT page_id, domain, CASE WHEN domain IS NULL THEN 'none' WHEN domain = 'example.org' OR domain LIKE '%.example.org' THEN 'official' WHEN domain = 'example.com' OR domain LIKE '%.example.com' THEN 'primary' ELSE 'other' END AS kind FROM p""")
@@ -360,14 +402,20 @@ def j6_set_equality(spark: SparkSession, sf: str) -> DataFrame:
     return o.join(l_, "key", "left_anti").withColumn("problem", F.lit("no lines")).unionByName(l_.join(o, "key", "left_anti").withColumn("problem", F.lit("no order")))
 
 
-@query(f"""WITH p AS (SELECT page_id, {KEY} AS key, CASE page_id % 3 WHEN 0 THEN 'company' WHEN 1 THEN 'economy' ELSE 'world' END AS chapter FROM pages),
-q AS (SELECT regexp_extract(key, '^https?://[^/]+', 0) AS grp, chapter FROM p), g AS (SELECT grp, count(DISTINCT chapter) AS n, min(chapter) AS winner, count(*) AS rows_in FROM q GROUP BY grp) SELECT grp, n AS chapters, winner, rows_in FROM g WHERE n > 1""")
+SITE_CHAPTER = "CASE page_id % 3 WHEN 0 THEN 'company' WHEN 1 THEN 'economy' ELSE 'international' END"
+
+
+@query(f"""WITH p AS (SELECT page_id, regexp_extract({KEY}, '^https?://[^/]+', 0) AS grp, {SITE_CHAPTER} AS chapter, ' ' || {NORM.format("regexp_extract(html, '<title>([^<]*)</title>', 1)")} || ' ' AS title FROM pages),
+g AS (SELECT grp, count(DISTINCT chapter) AS n, count(*) AS rows_in, bool_or(chapter = 'company') AS co, bool_or(chapter = 'economy') AS ec, bool_or(chapter = 'international') AS world, bool_or(contains(title, ' tionth ') OR contains(title, ' onth ')) AS coterm, bool_or(contains(title, ' er ') OR contains(title, ' of ')) AS ecterm, arg_min(chapter, page_id) AS first FROM p GROUP BY grp),
+w AS (SELECT *, CASE WHEN co AND coterm THEN 'company' WHEN world AND ec THEN CASE WHEN ecterm THEN 'economy' ELSE 'international' END ELSE first END AS winner FROM g),
+k AS (SELECT p.grp, min(page_id) AS keeper FROM p JOIN w ON p.grp = w.grp AND p.chapter = w.winner GROUP BY p.grp)
+SELECT p.page_id, p.grp, p.chapter, n AS chapters, CASE WHEN n > 1 THEN winner END AS winner, n = 1 OR page_id = keeper AS kept FROM p JOIN w USING (grp) JOIN k USING (grp)""")
 def j11_conflicts(spark: SparkSession, sf: str) -> DataFrame:
+    """Sites stand for addresses, so that there are conflicts."""
     k = F.col("page_id") % 3
-    chapter = F.when(k == 0, "company").when(k == 1, "economy").otherwise("world")
-    q = table(spark, sf, "pages").select(F.regexp_extract(urls.canonical_key(F.col("url")), "^https?://[^/]+", 0).alias("grp"), chapter.alias("chapter"))
-    g = q.groupBy("grp").agg(F.count_distinct("chapter").alias("chapters"), F.min("chapter").alias("winner"), F.count(F.lit(1)).alias("rows_in"))
-    return g.filter("chapters > 1")
+    chapter = F.when(k == 0, "company").when(k == 1, "economy").otherwise("international")
+    q = table(spark, sf, "pages").select("page_id", F.regexp_extract(urls.canonical_key(F.col("url")), "^https?://[^/]+", 0).alias("grp"), chapter.alias("chapter"), F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"))
+    return select.arbitrate(q, "grp", "chapter", "title", "page_id", {"company": ["tionth", "onth"], "economy": ["er", "of"]}).select("page_id", "grp", "chapter", "chapters", "winner", "kept")
 
 
 # --- evidence, pages -----------------------------------------------------------------------------------------------

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gazette.functions import text, urls
 from gazette.operators import similar
-from gazette.plans.catalogue import CAND, HOST, INFORMATIVE, KEY, LOG, STOP, query
+from gazette.plans.catalogue import CAND, EVENT_PAIRS, HOST, KEY, LOG, event_sides, query
 from gazette.sources.tables import candidates, fetch_log, table
 
 #: Relays pass on what others publish; they are no evidence of their own.
@@ -150,20 +150,17 @@ def p16_best_source_url(spark: SparkSession, sf: str) -> DataFrame:
     return p.select("page_id", F.coalesce(good, "doi", F.lit("")).alias("best_url"), F.when(pub.isNull() & F.col("doi").isNull(), "unresolved").otherwise("resolved").alias("state"))
 
 
-@query(f"""WITH {CAND}, o AS (SELECT seq, {INFORMATIVE.format('substr(title, 1, 200)')} AS t FROM c), b AS (SELECT item_id, {INFORMATIVE.format('substr(text, 1, 200)')} AS t FROM benchmark),
-p AS (SELECT seq, item_id, len(list_intersect(o.t, b.t)) AS k, len(list_distinct(list_concat(o.t, b.t))) AS u, least(len(o.t), len(b.t)) AS m FROM o JOIN b ON len(list_intersect(o.t, b.t)) >= 2),
-r AS (SELECT seq, item_id, 'd' || item_id % 7 || '.example.org' AS domain, row_number() OVER (PARTITION BY seq ORDER BY round(2 * k / u + k / m + 0.05 * k, 3) DESC, item_id) AS rank FROM p WHERE k / u >= 0.25 OR k / m >= 0.5),
-f AS (SELECT seq, domain, arg_min(item_id, rank) AS item_id, min(rank) AS rank FROM r WHERE rank <= 3 GROUP BY seq, domain), z AS (SELECT *, row_number() OVER (PARTITION BY seq ORDER BY rank) AS place FROM f)
-SELECT seq, domain, item_id, CAST(place AS INTEGER) AS place FROM z WHERE place <= 2""")
+@query(f"""WITH {EVENT_PAIRS}, x AS (SELECT l, r, rank, 'd' || r % 7 || '.example.org' AS domain FROM jk WHERE rank <= 3 AND r % 11 <> 0 AND 'd' || r % 7 || '.example.org' <> 'd' || l % 7 || '.example.org'),
+f AS (SELECT l, domain, arg_min(r, rank) AS r, min(rank) AS rank FROM x GROUP BY l, domain), z AS (SELECT *, row_number() OVER (PARTITION BY l ORDER BY rank) AS place FROM f)
+SELECT l AS seq, domain, 'https://' || domain || '/' || r AS url, CAST(place AS INTEGER) AS place FROM z WHERE place <= 2""")
 def j4_corroborating_urls(spark: SparkSession, sf: str) -> DataFrame:
-    left = candidates(spark, sf).select(F.col("seq").alias("id"), text.informative_tokens(F.substring("title", 1, 200), STOP).alias("tokens"))
-    right = table(spark, sf, "benchmark").select(F.col("item_id").alias("id"), text.informative_tokens(F.substring("text", 1, 200), STOP).alias("tokens"))
-    p = similar.shared_token_pairs(left, right, 2).filter(similar.same_event(F.col("lt"), F.col("rt")))
-    k, u, m = F.size(F.array_intersect("lt", "rt")), F.size(F.array_union("lt", "rt")), F.least(F.size("lt"), F.size("rt"))
-    r = p.select(F.col("l").alias("seq"), F.col("r").alias("item_id"), F.round(2 * k / u + k / m + 0.05 * k, 3).alias("score"), F.concat(F.lit("d"), (F.col("r") % 7).cast("string"), F.lit(".example.org")).alias("domain"))
-    r = r.withColumn("rank", F.row_number().over(Window.partitionBy("seq").orderBy(F.desc("score"), "item_id"))).filter("rank <= 3")
-    f = r.groupBy("seq", "domain").agg(F.min_by("item_id", "rank").alias("item_id"), F.min("rank").alias("rank"))
-    return f.withColumn("place", F.row_number().over(Window.partitionBy("seq").orderBy("rank"))).filter("place <= 2").select("seq", "domain", "item_id", "place")
+    """Of the corroborating passages those whose address could be resolved (here: ids that 11 does not divide), one for each domain but the article's own."""
+    left, right = event_sides(spark, sf)
+    host = lambda k: F.concat(F.lit("d"), (k % 7).cast("string"), F.lit(".example.org"))
+    k = F.col("id")
+    resolved = right.filter(k % 11 != 0).select(k.alias("r"), F.concat(F.lit("https://"), host(k), F.lit("/"), k.cast("string")).alias("url"), host(k).alias("domain"))
+    own = left.select(k.alias("l"), host(k).alias("domain"))
+    return similar.attached(similar.corroborating(left, right), resolved, own).select(F.col("l").alias("seq"), "domain", "url", "place")
 
 
 @query(f"""WITH p AS (SELECT {KEY} AS key, min(page_id) AS page_id, count(*) - 1 AS duplicates FROM pages WHERE url IS NOT NULL AND page_id % 3 <> 0 GROUP BY 1), o AS (SELECT page_id AS id, {KEY} AS key, CASE page_id % 5 WHEN 0 THEN 'b' ELSE 'a' END AS chapter FROM pages)

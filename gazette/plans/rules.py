@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gazette.functions import text, urls
 from gazette.operators import similar
-from gazette.plans.catalogue import CAND, HOST, INFORMATIVE, NORM, STOP, STUDY, query
+from gazette.plans.catalogue import CAND, EVENT_PAIRS, HOST, INFORMATIVE, NORM, STOP, STUDY, event_sides, query
 from gazette.sources.tables import candidates, table
 
 #: Policy of the driver's chapters: days that news stays fresh, topic words, excluded words, strong title words.
@@ -112,10 +112,10 @@ def f14_relay_noise(spark: SparkSession, sf: str) -> DataFrame:
     return candidates(spark, sf).select("seq", reason.alias("reason"))
 
 
-@query(f"""WITH {CAND}, t AS (SELECT seq, {INFORMATIVE.format('substr(title, 1, 200)')} AS a, {INFORMATIVE.format('substr(summary, 1, 400)')} AS b FROM c), k AS (SELECT seq, len(list_intersect(a, b)) AS n, len(list_distinct(list_concat(a, b))) AS u, least(len(a), len(b)) AS m FROM t)
+@query(f"""WITH {CAND}, t AS (SELECT seq, {INFORMATIVE.format('title')} AS a, {INFORMATIVE.format('summary')} AS b FROM c), k AS (SELECT seq, len(list_intersect(a, b)) AS n, len(list_distinct(list_concat(a, b))) AS u, least(len(a), len(b)) AS m FROM t)
 SELECT seq, coalesce(n >= 2 AND n / m >= 0.5 AND n / u >= 0.25, false) AS same_event FROM k""")
 def f15_same_event_clause(spark: SparkSession, sf: str) -> DataFrame:
-    t = candidates(spark, sf).select("seq", text.informative_tokens(F.substring("title", 1, 200), STOP).alias("a"), text.informative_tokens(F.substring("summary", 1, 400), STOP).alias("b"))
+    t = candidates(spark, sf).select("seq", text.informative_tokens(F.col("title"), STOP).alias("a"), text.informative_tokens(F.col("summary"), STOP).alias("b"))
     a, b = F.col("a"), F.col("b")
     return t.select("seq", ((F.size(F.array_intersect(a, b)) >= 2) & (text.overlap(a, b) >= 0.5) & (text.jaccard(a, b) >= 0.25)).alias("same_event"))
 
@@ -257,12 +257,12 @@ def event_words(c: Column) -> Column:
     return text.event_tokens(c, ALIASES, NO_EVENT)
 
 
-@query(f"""WITH {CAND}, l AS (SELECT seq AS doc_id, {EVENT.format('substr(title, 1, 200)')} AS a FROM c), r AS (SELECT item_id, {EVENT.format('substr(text, 1, 200)')} AS b FROM benchmark)
+@query(f"""WITH {CAND}, l AS (SELECT seq AS doc_id, {EVENT.format('title')} AS a FROM c), r AS (SELECT item_id, {EVENT.format('text')} AS b FROM benchmark)
 SELECT doc_id, item_id, len(list_intersect(a, b)) AS shared FROM l JOIN r ON {same_action_sql('a', 'b')}""")
 def j2_same_event_english(spark: SparkSession, sf: str) -> DataFrame:
-    left = candidates(spark, sf).select(F.col("seq").alias("id"), event_words(F.substring("title", 1, 200)).alias("tokens"))
-    right = table(spark, sf, "benchmark").select(F.col("item_id").alias("id"), event_words(F.substring("text", 1, 200)).alias("tokens"))
-    p = similar.shared_token_pairs(left, right, 3).filter(similar.same_action(F.col("lt"), F.col("rt"), ACTIONS, ENTITIES))
+    left = candidates(spark, sf).select(F.col("seq").alias("id"), event_words(F.col("title")).alias("tokens"))
+    right = table(spark, sf, "benchmark").select(F.col("item_id").alias("id"), event_words(F.col("text")).alias("tokens"))
+    p = similar.shared_token_pairs(left, right, 3, share=0.3).filter(similar.same_action(F.col("lt"), F.col("rt"), ACTIONS, ENTITIES))
     return p.select(F.col("l").alias("doc_id"), F.col("r").alias("item_id"), F.size(F.array_intersect("lt", "rt")).cast("long").alias("shared"))
 
 
@@ -297,12 +297,8 @@ def p12_three_lines(spark: SparkSession, sf: str) -> DataFrame:
     return lines.join(F.broadcast(high)).select("chapter", "first", "second", F.format_string("High of %d degrees", F.floor("high")).alias("third"))
 
 
-@query(f"""WITH {CAND}, o AS (SELECT seq, chapter, {INFORMATIVE.format('substr(title, 1, 200)')} AS t FROM c), r AS (SELECT item_id, {INFORMATIVE.format('substr(text, 1, 200)')} AS t FROM benchmark),
-p AS (SELECT seq, item_id, len(list_intersect(o.t, r.t)) AS k, len(list_distinct(list_concat(o.t, r.t))) AS u, least(len(o.t), len(r.t)) AS m FROM o JOIN r ON len(list_intersect(o.t, r.t)) >= 2)
-SELECT seq, item_id, round(2 * k / u + k / m + 0.05 * k, 3) AS corroboration FROM p WHERE k / u >= 0.25 OR k / m >= 0.5""")
+@query(f"WITH {EVENT_PAIRS} SELECT l AS seq, r AS item_id, score AS corroboration FROM je")
 def c6_corroboration(spark: SparkSession, sf: str) -> DataFrame:
-    left = candidates(spark, sf).select(F.col("seq").alias("id"), text.informative_tokens(F.substring("title", 1, 200), STOP).alias("tokens"))
-    right = table(spark, sf, "benchmark").select(F.col("item_id").alias("id"), text.informative_tokens(F.substring("text", 1, 200), STOP).alias("tokens"))
-    p = similar.shared_token_pairs(left, right, 2).filter(similar.same_event(F.col("lt"), F.col("rt")))
-    k, u, m = F.size(F.array_intersect("lt", "rt")), F.size(F.array_union("lt", "rt")), F.least(F.size("lt"), F.size("rt"))
-    return p.select(F.col("l").alias("seq"), F.col("r").alias("item_id"), F.round(2 * k / u + k / m + 0.05 * k, 3).alias("corroboration"))
+    left, right = event_sides(spark, sf)
+    p = similar.event_pairs(left.select("id", "tokens"), right.select("id", "tokens")).join(left.select(F.col("id").alias("l"), F.col("source").alias("ls")), "l").join(right.select(F.col("id").alias("r"), F.col("source").alias("rs")), "r")
+    return p.filter("ls <> rs").select(F.col("l").alias("seq"), F.col("r").alias("item_id"), similar.corroboration(F.col("lt"), F.col("rt")).alias("corroboration"))
