@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def norm_title(c: Column) -> Column:
     """Lower case; everything but Latin letters, digits and Hangul becomes one space."""
     return F.trim(F.regexp_replace(F.lower(c), "[^a-z0-9가-힣]+", " "))
@@ -76,3 +83,46 @@ def one_line(c: Column) -> Column:
 def sentences(c: Column) -> Column:
     """The parts of a text after each end of a sentence."""
     return F.split(one_line(c), r"(?<=[.!?]) ")
+
+
+def squeezed(c: Column) -> Column:
+    """One space for white space; blanks, dashes, dots in the middle, bars and commas at the ends go."""
+    return F.btrim(one_line(F.coalesce(c, F.lit(""))), F.lit(" -·|,"))
+
+
+def without_labels(c: Column) -> Column:
+    """A headline without the labels in brackets before it."""
+    return squeezed(F.regexp_replace(F.coalesce(c, F.lit("")), r"^\s*(?:\[[^\]]{1,30}\]\s*)+", ""))
+
+
+def has_any(c: Column, parts: list[str]) -> Column:
+    """Whether a text contains one of ``parts``, whatever the case."""
+    def found(low: Column) -> Column:
+        out = F.lit(False)
+        for part in parts:
+            out = out | low.contains(part.lower())
+        return out
+
+    return let(F.lower(c), found)
+
+
+#: Hangul syllables without a final consonant, by rule, for a class of characters.
+_OPEN = "".join(chr(0xAC00 + 28 * k) for k in range((0xD7A3 - 0xAC00) // 28 + 1))
+
+
+def has_final_consonant(c: Column) -> Column:
+    """Whether the last letter or digit of a text is a Hangul syllable with a final consonant."""
+    last = F.regexp_extract(c, r"([\p{L}\p{N}])[^\p{L}\p{N}]*$", 1)
+    return last.rlike(f"^[가-힣&&[^{_OPEN}]]$")
+
+
+def particle(c: Column) -> Column:
+    """The object particle that a text asks for: 을 after a final consonant, else 를."""
+    return F.when(has_final_consonant(c), F.lit("을")).otherwise(F.lit("를"))
+
+
+def polish_summary_line(c: Column) -> Column:
+    """The object particle after each quoted headline before 비롯한, by the headline's last letter or digit."""
+    closed = rf"('[^']*[가-힣&&[^{_OPEN}]][^\p{{L}}\p{{N}}']*')[을를](?= 비롯한)"
+    other = rf"('(?:[^']*(?:[\p{{L}}\p{{N}}&&[^가-힣]]|[{_OPEN}]))?[^\p{{L}}\p{{N}}']*')[을를](?= 비롯한)"
+    return F.regexp_replace(F.regexp_replace(c, other, "$1를"), closed, "$1을")

@@ -92,18 +92,6 @@ def p6_study_type(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", kind.otherwise("OTHER").alias("study_type"))
 
 
-@query("""WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '([a-z가-힣]{2,})', 1)) AS token, generate_subscripts(regexp_extract_all(lower(text), '([a-z가-힣]{2,})', 1), 1) AS pos FROM documents),
-g AS (SELECT doc_id, token, count(*) AS n, min(pos) AS first FROM t WHERE token NOT IN ('the', 'and', 'der', 'die', 'la', 'le', 'de') GROUP BY ALL),
-r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, first) AS rank FROM g)
-SELECT doc_id, CAST(rank AS INTEGER) AS rank, token, n FROM r WHERE rank <= 4""")
-def p9_keywords(spark: SparkSession, sf: str) -> DataFrame:
-    words = F.regexp_extract_all(F.lower("text"), F.lit("([a-z가-힣]{2,})"), F.lit(1))
-    t = table(spark, sf, "documents").select("doc_id", F.posexplode(words).alias("pos", "token")).filter(~F.col("token").isin("the", "and", "der", "die", "la", "le", "de"))
-    g = t.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first"))
-    w = Window.partitionBy("doc_id").orderBy(F.desc("n"), "first")
-    return g.withColumn("rank", F.row_number().over(w)).filter("rank <= 4").select("doc_id", "rank", "token", "n")
-
-
 @query("""WITH w AS (SELECT chr(CAST(44032 + doc_id % 11172 AS INTEGER)) AS word, doc_id FROM documents)
 SELECT doc_id, word || CASE WHEN doc_id % 11172 % 28 > 0 THEN '을' ELSE '를' END AS with_particle FROM w""")
 def p11_particle(spark: SparkSession, sf: str) -> DataFrame:
@@ -431,15 +419,6 @@ def s5_article_verification(spark: SparkSession, sf: str) -> DataFrame:
     return fetch_log(spark, sf).select("page_id", status.alias("status"), title.alias("title"))
 
 
-@query(f"""WITH {LOG}, a AS (SELECT page_id, list_distinct(list_filter(list_transform(regexp_extract_all(html, '<p>([^<]*)</p>', 1), lambda p: trim(p)), lambda p: length(p) >= 30)) AS ps FROM f WHERE http_status = 200)
-SELECT page_id, len(ps) AS paragraphs, CASE WHEN coalesce(list_sum(list_transform(ps, lambda p: length(p))), 0) >= 220 THEN 'QUALIFIED' ELSE 'NO_QUALIFIED_BODY' END AS status, CAST(coalesce(list_sum(list_transform(ps, lambda p: length(p))), 0) AS BIGINT) AS chars FROM a""")
-def s6_body_extraction(spark: SparkSession, sf: str) -> DataFrame:
-    parts = F.transform(F.regexp_extract_all("html", F.lit("<p>([^<]*)</p>"), F.lit(1)), F.trim)
-    a = fetch_log(spark, sf).filter("http_status = 200").select("page_id", F.array_distinct(F.filter(parts, lambda p: F.length(p) >= 30)).alias("ps"))
-    chars = F.aggregate("ps", F.lit(0).cast("long"), lambda n, p: n + F.length(p))
-    return a.select("page_id", F.size("ps").cast("long").alias("paragraphs"), F.when(chars >= 220, "QUALIFIED").otherwise("NO_QUALIFIED_BODY").alias("status"), chars.alias("chars"))
-
-
 @query("""WITH a AS (SELECT page_id, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href, generate_subscripts(regexp_extract_all(html, '<a href="([^"]*)"', 1), 1) AS pos, regexp_extract(url, '^https?://[^/]+', 0) AS base FROM pages),
 k AS (SELECT page_id, CASE WHEN href LIKE 'http%' THEN href ELSE base || href END AS link, min(pos) AS pos FROM a WHERE length(href) > 4 GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS rank FROM k)
 SELECT page_id, link, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 5""")
@@ -496,7 +475,7 @@ def u3_distinct_in_order(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _all() -> None:
-    from gazette.plans import audits, choosing, evidence, readers, rules  # noqa: F401  (each registers its queries)
+    from gazette.plans import audits, choosing, desk, evidence, readers, rules  # noqa: F401  (each registers its queries)
 
 
 def queries() -> dict[str, Query]:

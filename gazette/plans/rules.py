@@ -106,12 +106,6 @@ def f11_source_flags(spark: SparkSession, sf: str) -> DataFrame:
     return p.join(met, "page_id", "left").select("page_id", F.col("path").isin("", "/news", "/world", "/business").alias("generic_path"), flag("discovery").alias("discovery_only"), flag("wire").alias("wire"))
 
 
-@query(f"""WITH {CAND} SELECT seq, CASE WHEN contains(lower(title), 'news.example') THEN 'relay' WHEN regexp_matches(summary, '(?i)copyright|subscribe|all rights reserved') THEN 'noise' WHEN length(source) > 0 AND contains(summary, source) THEN 'publisher_fragment' END AS reason FROM c""")
-def f14_relay_noise(spark: SparkSession, sf: str) -> DataFrame:
-    reason = F.when(F.lower("title").contains("news.example"), "relay").when(F.col("summary").rlike("(?i)copyright|subscribe|all rights reserved"), "noise").when((F.length("source") > 0) & F.col("summary").contains(F.col("source")), "publisher_fragment")
-    return candidates(spark, sf).select("seq", reason.alias("reason"))
-
-
 @query(f"""WITH {CAND}, t AS (SELECT seq, {INFORMATIVE.format('title')} AS a, {INFORMATIVE.format('summary')} AS b FROM c), k AS (SELECT seq, len(list_intersect(a, b)) AS n, len(list_distinct(list_concat(a, b))) AS u, least(len(a), len(b)) AS m FROM t)
 SELECT seq, coalesce(n >= 2 AND n / m >= 0.5 AND n / u >= 0.25, false) AS same_event FROM k""")
 def f15_same_event_clause(spark: SparkSession, sf: str) -> DataFrame:
@@ -120,56 +114,6 @@ def f15_same_event_clause(spark: SparkSession, sf: str) -> DataFrame:
     return t.select("seq", ((F.size(F.array_intersect(a, b)) >= 2) & (text.overlap(a, b) >= 0.5) & (text.jaccard(a, b) >= 0.25)).alias("same_event"))
 
 
-NOISE = "(?i)copyright|subscribe|log in|all rights reserved|😊|✨"
-LINE = "trim(regexp_replace({}, '[ \\t\\r\\n]+', ' ', 'g'))"
-SENTENCES = "string_split(regexp_replace(" + LINE + ", '([.!?]) ', '\\1' || chr(1), 'g'), chr(1))"
-SAFE = f"""{CAND}, x AS (SELECT seq, {LINE.format('title')} AS head, unnest({SENTENCES.format('summary')}) AS sentence, generate_subscripts({SENTENCES.format('summary')}, 1) - 1 AS pos FROM c),
-y AS (SELECT seq, head, sentence, pos, {INFORMATIVE.format('head')} AS a, {INFORMATIVE.format('sentence')} AS b FROM x WHERE length(sentence) BETWEEN 30 AND 240 AND regexp_matches(sentence, '[.!?]$') AND NOT regexp_matches(sentence, '{NOISE}')),
-z AS (SELECT *, len(list_intersect(a, b)) AS shared FROM y WHERE NOT (length(head) > 0 AND starts_with(sentence, head) AND length(trim(substr(sentence, length(head) + 1))) < 60)),
-safe AS (SELECT * FROM z WHERE NOT (len(a) > 0 AND len(b) > 0 AND shared / len(a) >= 0.9 AND len(b) - shared < 3))"""
-
-
-def safe_sentences(c: DataFrame) -> DataFrame:
-    """seq, pos, sentence, a, b, shared: sentences of summaries that may stand as evidence, the tokens of title and sentence, and how many both have."""
-    x = c.select("seq", text.one_line(F.col("title")).alias("head"), F.posexplode(text.sentences(F.col("summary"))).alias("pos", "sentence"))
-    s, head = F.col("sentence"), F.col("head")
-    y = x.filter(F.length(s).between(30, 240) & s.rlike("[.!?]$") & ~s.rlike(NOISE))
-    y = y.filter(~((F.length(head) > 0) & F.startswith(s, head) & (F.length(F.trim(F.substr(s, F.length(head) + 1))) < 60)))
-    y = y.select("seq", "pos", "sentence", text.informative_tokens(head, STOP).alias("a"), text.informative_tokens(s, STOP).alias("b")).withColumn("shared", F.size(F.array_intersect("a", "b")))
-    n = F.size("a")
-    return y.filter(~((n > 0) & (F.size("b") > 0) & (F.col("shared") / F.greatest(n, F.lit(1)) >= 0.9) & (F.size("b") - F.col("shared") < 3)))
-
-
-@query(f"WITH {SAFE} SELECT seq, count(*) AS safe, CAST(min(pos) AS INTEGER) AS first FROM safe GROUP BY seq")
-def f16_safe_sentences(spark: SparkSession, sf: str) -> DataFrame:
-    return safe_sentences(candidates(spark, sf)).groupBy("seq").agg(F.count(F.lit(1)).alias("safe"), F.min("pos").alias("first"))
-
-
-BEST = f"{SAFE}, best AS (SELECT seq, arg_min(sentence, (-shared / len(a), -shared, length(sentence), pos)) AS sentence FROM safe WHERE shared >= 2 AND shared / len(a) >= 0.4 GROUP BY seq)"
-
-
-def best_sentences(c: DataFrame) -> DataFrame:
-    """seq, sentence: the safe sentence that covers most of its title; then more common words, then the shorter, then the earlier."""
-    share = F.col("shared") / F.greatest(F.size("a"), F.lit(1))
-    fit = safe_sentences(c).filter((F.col("shared") >= 2) & (share >= 0.4))
-    return fit.groupBy("seq").agg(F.min_by("sentence", F.struct((-share).alias("x"), (-F.col("shared")).alias("y"), F.length("sentence").alias("z"), "pos")).alias("sentence"))
-
-
-@query(f"WITH {BEST} SELECT seq, sentence FROM best")
-def p8_best_evidence_sentence(spark: SparkSession, sf: str) -> DataFrame:
-    return best_sentences(candidates(spark, sf))
-
-
-@query(f"""WITH {BEST} SELECT c.seq, coalesce(best.sentence, CASE WHEN length({LINE.format('summary')}) >= 30 THEN substr({LINE.format('summary')}, 1, 160) END, title) AS fact, 'Reported by ' || source || ' in ' || chapter || '.' AS background,
-CASE WHEN best.sentence IS NOT NULL THEN 'body' WHEN length({LINE.format('summary')}) >= 30 THEN 'summary' ELSE 'headline' END AS basis, 'Compare with ' || source || '.example.com' AS checkpoint FROM c LEFT JOIN best USING (seq)""")
-def p7_editorial(spark: SparkSession, sf: str) -> DataFrame:
-    c = candidates(spark, sf)
-    line = text.one_line(F.col("summary"))
-    short = F.when(F.length(line) >= 30, F.substring(line, 1, 160))
-    basis = F.when(F.col("sentence").isNotNull(), "body").when(F.length(line) >= 30, "summary").otherwise("headline")
-    return c.join(best_sentences(c), "seq", "left").select("seq", F.coalesce("sentence", short, "title").alias("fact"), F.format_string("Reported by %s in %s.", "source", "chapter").alias("background"), basis.alias("basis"), F.format_string("Compare with %s.example.com", "source").alias("checkpoint"))
-
-
 BAD_IMAGE = r"(?i)logo|icon|sprite|avatar|banner|\.(svg|ico)($|\?)"
 
 
@@ -266,15 +210,6 @@ def j2_same_event_english(spark: SparkSession, sf: str) -> DataFrame:
     return p.select(F.col("l").alias("doc_id"), F.col("r").alias("item_id"), F.size(F.array_intersect("lt", "rt")).cast("long").alias("shared"))
 
 
-@query(f"""WITH {CAND} SELECT seq, CASE WHEN source IN ('src0', 'src2') THEN 'the press' WHEN source LIKE 'src1%' THEN 'Source One ' || substr(source, 5) ELSE source END AS publisher,
-trim(regexp_replace(regexp_replace(title, '^(\\s*\\[[^\\]]{{1,30}}\\])+', ''), ' - [^-]{{1,20}}$', '')) AS clean_title FROM c""")
-def p10_publisher_and_title(spark: SparkSession, sf: str) -> DataFrame:
-    s = F.col("source")
-    name = F.when(s.isin("src0", "src2"), "the press").when(s.startswith("src1"), F.concat(F.lit("Source One "), F.substring(s, 5, 99))).otherwise(s)
-    title = F.trim(F.regexp_replace(F.regexp_replace("title", r"^(\s*\[[^\]]{1,30}\])+", ""), " - [^-]{1,20}$", ""))
-    return candidates(spark, sf).select("seq", name.alias("publisher"), title.alias("clean_title"))
-
-
 @query(f"""WITH {RESEARCH}, t AS (SELECT * FROM (VALUES ('src0', 'screening'), ('src1', 'therapy'), ('src2', 'devices')) v(source, meaning))
 SELECT seq, substr(sha256('vision|' || CASE WHEN seq % 3 = 0 THEN '10.1000/' || seq WHEN seq % 5 = 0 THEN 'pm' || seq ELSE title END), 1, 16) AS article_id, coalesce(meaning, 'research') AS meaning, kind,
 CASE WHEN seq % 4 = 0 THEN 'Journal of ' || source WHEN seq % 4 = 1 THEN source ELSE 'unknown' END AS source_name FROM rs LEFT JOIN t USING (source)""")
