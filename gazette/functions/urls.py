@@ -39,3 +39,22 @@ def suffixes(host: Column) -> Column:
     """The host and all domains above it, so that a sub-domain match becomes an equality join."""
     parts = F.split(host, r"\.")
     return F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
+
+
+def resolved(link: Column, page: Column) -> Column:
+    """An address as it stands on a page: whole, without scheme, from the root, or beside the page (``./`` and ``../`` steps taken)."""
+    scheme, root = F.regexp_extract(page, r"^(https?):", 1), F.regexp_extract(page, r"^https?://[^/?#]+", 0)
+    folder = F.regexp_replace(F.regexp_replace(page, r"[?#].*$", ""), r"(?<=[^/:])/[^/]*$", "")
+    joined = F.concat(F.when(F.length(folder) > F.length(root), folder).otherwise(root), F.lit("/"), F.regexp_replace(link, r"^(?:\./)+", ""))
+    for _ in range(4):  # each pass takes one step up
+        joined = F.regexp_replace(joined, r"(?<=[^/:])/(?:(?!\.\.)[^/?#]+)/\.\./", "/")
+    joined = F.regexp_replace(joined, r"^(https?://[^/?#]+)(?:/\.\.)+(?=/)", "$1")
+    return (
+        F.when(link.rlike("(?i)^https?://"), link).when(link.startswith("//"), F.concat(scheme, F.lit(":"), link)).when(link.startswith("/"), F.concat(root, link))
+        .when(link.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*:"), F.lit(None)).when(link.startswith("?"), F.concat(F.regexp_replace(page, r"[?#].*$", ""), link)).when(link.startswith("#"), F.regexp_replace(page, "#.*$", "")).when(link != "", joined)
+    )
+
+
+def same_site(a: Column, b: Column) -> Column:
+    """Whether two hosts are one, or one is below the other."""
+    return F.coalesce((a == b) | F.endswith(a, F.concat(F.lit("."), b)) | F.endswith(b, F.concat(F.lit("."), a)), F.lit(False))
