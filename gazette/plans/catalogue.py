@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gazette.functions import text, urls
-from gazette.operators import select, similar
+from gazette.operators import pages, select, similar
 from gazette.sources.tables import candidates, fetch_log, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -196,12 +196,6 @@ def c5_video_score(spark: SparkSession, sf: str) -> DataFrame:
 # --- dedupe, aggregation -------------------------------------------------------------------------------------------
 
 
-@query(f"WITH {CAND}, k AS (SELECT seq, {NORM.format('title')} AS key FROM c) SELECT min(seq) AS seq, key FROM k WHERE key <> '' GROUP BY key")
-def d1_keep_first(spark: SparkSession, sf: str) -> DataFrame:
-    k = candidates(spark, sf).select("seq", F.nullif(text.norm_title(F.col("title")), F.lit("")).alias("key")).filter("key IS NOT NULL")
-    return k.groupBy("key").agg(F.min("seq").alias("seq")).select("seq", "key")
-
-
 @query("""WITH RECURSIVE c AS (SELECT lang AS chapter, doc_id AS seq, n_chars // 40 AS url, split_part(text, chr(10), 1) AS title, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS rk FROM documents),
 r AS (SELECT chapter, 0::BIGINT AS rk, []::BIGINT[] AS urls, []::VARCHAR[] AS titles, NULL::BIGINT AS kept FROM (SELECT DISTINCT chapter FROM c)
 UNION ALL SELECT r.chapter, c.rk, CASE WHEN list_contains(urls, c.url) OR list_contains(titles, c.title) THEN urls ELSE list_append(urls, c.url) END,
@@ -419,15 +413,12 @@ def s5_article_verification(spark: SparkSession, sf: str) -> DataFrame:
     return fetch_log(spark, sf).select("page_id", status.alias("status"), title.alias("title"))
 
 
-@query("""WITH a AS (SELECT page_id, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href, generate_subscripts(regexp_extract_all(html, '<a href="([^"]*)"', 1), 1) AS pos, regexp_extract(url, '^https?://[^/]+', 0) AS base FROM pages),
-k AS (SELECT page_id, CASE WHEN href LIKE 'http%' THEN href ELSE base || href END AS link, min(pos) AS pos FROM a WHERE length(href) > 4 GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS rank FROM k)
-SELECT page_id, link, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 5""")
+@query(f"""WITH a AS (SELECT page_id, url, unnest(regexp_extract_all(html, '<a href="([^"]*)">[^<]*</a', 1)) AS href, unnest(regexp_extract_all(html, '<a href="[^"]*">([^<]*)</a', 1)) AS label, generate_subscripts(regexp_extract_all(html, '<a href="([^"]*)">[^<]*</a', 1), 1) AS pos, regexp_extract(url, '^https?://[^/]+', 0) AS base FROM pages),
+k AS (SELECT page_id, base || href AS link, min(pos) AS pos FROM a WHERE length({_clean_sql('label')}) >= 4 AND href LIKE '/%' AND base || href <> url GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS rank FROM k)
+SELECT page_id, link, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 15""")
 def s3_link_discovery(spark: SparkSession, sf: str) -> DataFrame:
-    hrefs = F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), F.lit(1))
-    a = table(spark, sf, "pages").select("page_id", F.regexp_extract("url", "^https?://[^/]+", 0).alias("base"), F.posexplode(hrefs).alias("pos", "href")).filter(F.length("href") > 4)
-    link = F.when(F.col("href").startswith("http"), F.col("href")).otherwise(F.concat("base", "href"))
-    k = a.groupBy("page_id", link.alias("link")).agg(F.min("pos").alias("pos"))
-    return k.withColumn("rank", F.row_number().over(Window.partitionBy("page_id").orderBy("pos"))).filter("rank <= 5").select("page_id", "link", "rank")
+    """Labels of four characters count here: the driver's links are short."""
+    return pages.discover_links(table(spark, sf, "pages"), "page_id", ["/"], 15, 4).select("page_id", "link", "rank")
 
 
 @query("""WITH h AS (SELECT doc_id, sha256(text) AS hash FROM documents) SELECT doc_id, hash, CASE WHEN row_number() OVER (PARTITION BY hash ORDER BY doc_id) = 1 THEN 'VERIFIED' ELSE 'DUPLICATE_IMAGE' END AS status FROM h""")
@@ -475,7 +466,7 @@ def u3_distinct_in_order(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _all() -> None:
-    from gazette.plans import audits, choosing, desk, evidence, readers, rules  # noqa: F401  (each registers its queries)
+    from gazette.plans import audits, choosing, desk, editions, evidence, providers, readers, rules  # noqa: F401  (each registers its queries)
 
 
 def queries() -> dict[str, Query]:
