@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gazette.functions import urls
-from gazette.plans.catalogue import CAND, HOST, IMPORTANCE, KEY, _scored, query
+from gazette.plans.catalogue import CAND, HOST, IMPORTANCE, KEY, _scored, first_stories, query
 from gazette.sources.tables import candidates, table
 
 
@@ -82,8 +82,7 @@ def g7_registry_audit(spark: SparkSession, sf: str) -> DataFrame:
 @query("""WITH r AS (SELECT doc_id, lang, source, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS k FROM documents), b AS MATERIALIZED (SELECT *, k // 30 AS bundle FROM r WHERE k < 150)
 SELECT lang AS edition, 'bundle_size' AS rule, CAST(bundle AS VARCHAR) AS detail FROM b GROUP BY lang, bundle HAVING count(*) <> 30 UNION ALL SELECT lang, 'publisher_share', bundle || ':' || source FROM b GROUP BY lang, bundle, source HAVING count(*) > 3""")
 def g8_bundle_audit(spark: SparkSession, sf: str) -> DataFrame:
-    r = table(spark, sf, "documents").select("doc_id", "lang", "source", (F.row_number().over(Window.partitionBy("lang").orderBy("doc_id")) - 1).alias("k")).filter("k < 150")
-    b = r.withColumn("bundle", F.floor(F.col("k") / 30).cast("string"))
+    b = first_stories(spark, sf).withColumn("bundle", F.floor((F.col("k") - 1) / 30).cast("string"))
     return gate(broken(b.groupBy("lang", "bundle").count().filter("count <> 30"), F.col("lang"), "bundle_size", F.col("bundle")), broken(b.groupBy("lang", "bundle", "source").count().filter("count > 3"), F.col("lang"), "publisher_share", F.concat_ws(":", "bundle", "source")))
 
 
@@ -158,6 +157,8 @@ def u2_difference_intersection(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH p AS (SELECT page_id, {KEY} AS key, {HOST} AS domain, row_number() OVER (PARTITION BY {HOST} ORDER BY page_id) AS n FROM pages) SELECT page_id, domain, 'priority-' || lpad(CAST(n AS VARCHAR), 4, '0') AS staging_id, 'PENDING' AS editorial_status, key FROM p")
 def p17_staging_records(spark: SparkSession, sf: str) -> DataFrame:
+    from gazette.plans.editions import placed
+
     p = table(spark, sf, "pages").select("page_id", urls.canonical_key(F.col("url")).alias("key"), urls.domain(F.col("url")).alias("domain"))
-    n = F.row_number().over(Window.partitionBy("domain").orderBy("page_id"))
-    return p.select("page_id", "domain", F.concat(F.lit("priority-"), F.lpad(n.cast("string"), 4, "0")).alias("staging_id"), F.lit("PENDING").alias("editorial_status"), "key")
+    p = placed(p, "domain", [F.col("page_id")], "n")
+    return p.select("page_id", "domain", F.concat(F.lit("priority-"), F.lpad(F.col("n").cast("string"), 4, "0")).alias("staging_id"), F.lit("PENDING").alias("editorial_status"), "key")

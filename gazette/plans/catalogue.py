@@ -447,17 +447,26 @@ def g1_edition_gate(spark: SparkSession, sf: str) -> DataFrame:
     return few.unionByName(same).unionByName(short)
 
 
-@query("SELECT o_orderstatus AS edition, sha256(string_agg(o_orderkey || '|' || o_custkey, chr(10) ORDER BY o_orderkey)) AS fingerprint FROM orders GROUP BY o_orderstatus")
+@query("""WITH l AS (SELECT o_orderstatus AS edition, o_orderkey // 1000 AS run, o_orderkey AS pos, o_orderkey || '|' || o_custkey AS line FROM orders), r AS (SELECT edition, run, sha256(string_agg(line, chr(10) ORDER BY pos)) AS d FROM l GROUP BY ALL),
+g AS (SELECT edition, run // 1000 AS run, sha256(string_agg(d, chr(10) ORDER BY run)) AS d FROM r GROUP BY edition, run // 1000) SELECT edition, sha256(string_agg(d, chr(10) ORDER BY run)) AS fingerprint FROM g GROUP BY edition""")
 def h1_ordered_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
-    line = F.struct("o_orderkey", F.concat_ws("|", "o_orderkey", "o_custkey").alias("line"))
-    rows = table(spark, sf, "orders").groupBy(F.col("o_orderstatus").alias("edition")).agg(F.sort_array(F.collect_list(line)).alias("lines"))
-    return rows.select("edition", F.sha2(F.array_join(F.transform("lines", lambda x: x.line), "\n"), 256).alias("fingerprint"))
+    """Orders are no bounded selection, so that lines are digested in runs of 1,000 keys, these in runs of 1,000, and those together: no group holds more."""
+    o = table(spark, sf, "orders").select(F.col("o_orderstatus").alias("edition"), F.col("o_orderkey").alias("pos"), F.concat_ws("|", "o_orderkey", "o_custkey").alias("line"))
+    digest = lambda df, by, line: df.groupBy(*by).agg(F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", F.col(line).alias("line")))), lambda x: x.line), "\n"), 256).alias("d"))
+    runs = digest(o.withColumn("run", F.floor(F.col("pos") / 1000)), ["edition", "run"], "line")
+    runs = digest(runs.select("edition", F.floor(F.col("run") / 1000).alias("up"), F.col("run").alias("pos"), "d"), ["edition", "up"], "d")
+    return digest(runs.select("edition", F.col("up").alias("pos"), "d"), ["edition"], "d").select("edition", F.col("d").alias("fingerprint"))
 
 
 @query("""WITH r AS (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS k FROM documents) SELECT lang AS edition, CAST(k // 30 AS BIGINT) AS bundle, count(*) AS stories, min(doc_id) AS first, max(doc_id) AS last FROM r WHERE k < 150 GROUP BY ALL""")
 def s16_story_bundles(spark: SparkSession, sf: str) -> DataFrame:
-    r = table(spark, sf, "documents").select("doc_id", F.col("lang").alias("edition"), (F.row_number().over(Window.partitionBy("lang").orderBy("doc_id")) - 1).alias("k")).filter("k < 150")
-    return r.groupBy("edition", F.floor(F.col("k") / 30).alias("bundle")).agg(F.count(F.lit(1)).alias("stories"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    r = first_stories(spark, sf)
+    return r.groupBy(F.col("lang").alias("edition"), F.floor((F.col("k") - 1) / 30).alias("bundle")).agg(F.count(F.lit(1)).alias("stories"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+
+
+def first_stories(spark: SparkSession, sf: str) -> DataFrame:
+    """doc_id, lang, source, k: the first 150 documents of each language. The limit stands on the rank itself, so that partitions cut to it before the shuffle."""
+    return table(spark, sf, "documents").select("doc_id", "lang", "source", F.row_number().over(Window.partitionBy("lang").orderBy("doc_id")).alias("k")).filter("k <= 150")
 
 
 @query("SELECT user_id, event_type, min(ts) AS first_seen, count(*) AS seen FROM events GROUP BY ALL")

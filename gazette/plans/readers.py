@@ -115,12 +115,28 @@ def s12_gold_corpus(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""WITH {CAND}, k AS (SELECT chapter, source, seq, row_number() OVER (PARTITION BY chapter ORDER BY source, seq) AS pos FROM c) SELECT chapter, source AS chunk, seq, CAST(pos AS INTEGER) AS pos FROM k""")
 def s13_snapshot_materialise(spark: SparkSession, sf: str) -> DataFrame:
-    """Chunks (a source's rows of a chapter) as nested records, joined to their manifest in its order; chunks of another size than it says are left out."""
-    c = candidates(spark, sf).select("chapter", "source", "seq")
-    chunks = c.groupBy("chapter", "source").agg(F.sort_array(F.collect_list("seq")).alias("selected"))
-    manifest = c.groupBy("chapter", "source").agg(F.count(F.lit(1)).alias("wanted"))
-    rows = chunks.join(manifest, ["chapter", "source"]).filter(F.size("selected") == F.col("wanted")).select("chapter", F.col("source").alias("chunk"), F.posexplode("selected").alias("k", "seq"))
-    return rows.select("chapter", "chunk", "seq", F.row_number().over(Window.partitionBy("chapter").orderBy("chunk", "k")).alias("pos"))
+    """Chunks (a source's rows of a chapter) in the order of their manifest, a table of its own; chunks of another size than it says are left out.
+
+    Chunks stay rows and are never brought together: sizes are counted, places come from ranges.
+    """
+    from gazette.plans.editions import placed
+
+    c = candidates(spark, sf).select("chapter", F.col("source").alias("chunk"), "seq")
+    return materialise(c, manifest(spark, sf), placed)
+
+
+def manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """chapter, chunk, wanted: how many rows each chunk has to have, by the table's own counts of languages and sources."""
+    d = table(spark, sf, "documents")
+    return d.groupBy(F.col("lang").alias("chapter"), F.col("source").alias("chunk")).agg(F.count(F.lit(1)).alias("wanted"))
+
+
+def materialise(rows: DataFrame, manifest: DataFrame, placed) -> DataFrame:  # noqa: ANN001
+    """chapter, chunk, seq, pos: the rows (chapter, chunk, seq) of chunks that have as many as ``manifest`` says, in order."""
+    sizes = rows.groupBy("chapter", "chunk").agg(F.count(F.lit(1)).alias("n"))
+    good = manifest.join(sizes, ["chapter", "chunk"]).filter("n = wanted").select("chapter", "chunk")
+    kept = rows.join(good, ["chapter", "chunk"], "left_semi")
+    return placed(kept, "chapter", [F.col("chunk"), F.col("seq")], "pos").select("chapter", "chunk", "seq", "pos")
 
 
 @query(f"WITH {CAND} SELECT chapter AS edition, seq, source FROM c WHERE age_h < 24")
