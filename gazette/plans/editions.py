@@ -9,8 +9,12 @@ from gazette.operators import gates
 from gazette.plans.catalogue import query
 from gazette.sources.tables import candidates, table
 
+
+def seq() -> Column:
+    return F.col("seq")
+
+
 CONTRACT = gates.Contract(chapters=20, place="town")
-K = F.col("seq")
 
 
 def editions(spark: SparkSession, sf: str) -> DataFrame:
@@ -18,12 +22,12 @@ def editions(spark: SparkSession, sf: str) -> DataFrame:
     c = candidates(spark, sf).select(F.col("chapter").alias("edition"), "source", "seq", "link", "title")
     c = c.withColumn("k", F.row_number().over(Window.partitionBy("edition", "source").orderBy("seq"))).filter("k <= 10")
     none = lambda kind: F.lit(None).cast(kind)
-    nth = lambda names: F.element_at(F.array(*[F.lit(n) for n in names]), (K % len(names) + 1).cast("int"))
+    nth = lambda names: F.element_at(F.array(*[F.lit(n) for n in names]), (seq() % len(names) + 1).cast("int"))
     texts = F.struct(F.col("title").alias("fact"), F.concat(F.lit("Reported by "), "source").alias("background"), F.col("title").alias("why_it_matters"), F.array(F.lit("a"), F.lit("b")).alias("checkpoints"))
     check = F.struct(nth([*CONTRACT.statuses, "SURE"]).alias("status"), nth([*CONTRACT.bodies, "HTTP_500"]).alias("body_status"))
-    image = F.struct(F.when(K % 2 == 0, "EXPLICIT_NULL").otherwise("VERIFIED_PROVENANCE").alias("status"), F.when(K % 2 == 1, "link").alias("url"), F.when(K % 2 == 1, (K % 97).cast("string")).alias("content_hash"), F.lit("og").alias("declaration_method"), F.lit("x").alias("source_domain"), F.lit("y").alias("article_domain"))
+    image = F.struct(F.when(seq() % 2 == 0, "EXPLICIT_NULL").otherwise("VERIFIED_PROVENANCE").alias("status"), F.when(seq() % 2 == 1, "link").alias("url"), F.when(seq() % 2 == 1, (seq() % 97).cast("string")).alias("content_hash"), F.lit("og").alias("declaration_method"), F.lit("x").alias("source_domain"), F.lit("y").alias("article_domain"))
     fields = gates.ARTICLE
-    article = F.struct(K.cast("string").alias("id"), "link", "title", texts.alias("editorial"), check.alias("fact_check"), image.alias("image"), none(fields[fields.rindex("research:") + 9 : -1]).alias("research"))
+    article = F.struct(seq().cast("string").alias("id"), "link", "title", texts.alias("editorial"), check.alias("fact_check"), image.alias("image"), none(fields[fields.rindex("research:") + 9 : -1]).alias("research"))
     chapters = c.groupBy("edition", "source").agg(F.transform(F.sort_array(F.collect_list(F.struct("k", article.alias("a")))), lambda x: x.a).alias("articles"))
     chapter = F.struct(F.col("source").alias("id"), F.col("source").alias("name"), "articles")
     e = chapters.groupBy("edition").agg(F.sort_array(F.collect_list(chapter)).alias("chapters"))

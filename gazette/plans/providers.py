@@ -11,7 +11,11 @@ from gazette.plans.readers import xml_text
 from gazette.sources import research
 from gazette.sources.tables import candidates
 
-K = F.col("seq")
+
+def seq() -> Column:
+    return F.col("seq")
+
+
 CONTROL = "regexp_replace({}, '[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F]', '', 'g')"
 
 
@@ -20,11 +24,11 @@ def _tag(name: str, value: Column) -> Column:
 
 
 def articles_raw(spark: SparkSession, sf: str) -> DataFrame:
-    number = K.cast("string")
-    people = F.array_join(F.transform(F.sequence(F.lit(0), (K % 15).cast("int")), lambda n: F.concat(F.lit("<Author><LastName>L"), n.cast("string"), F.lit("</LastName><ForeName>F</ForeName></Author>"))), "")
-    date = F.concat(_tag("Year", F.lit("2024")), F.when(K % 2 == 0, _tag("Month", (K % 12 + 1).cast("string"))).otherwise(""))
+    number = seq().cast("string")
+    people = F.array_join(F.transform(F.sequence(F.lit(0), (seq() % 15).cast("int")), lambda n: F.concat(F.lit("<Author><LastName>L"), n.cast("string"), F.lit("</LastName><ForeName>F</ForeName></Author>"))), "")
+    date = F.concat(_tag("Year", F.lit("2024")), F.when(seq() % 2 == 0, _tag("Month", (seq() % 12 + 1).cast("string"))).otherwise(""))
     article = F.concat(_tag("Journal", F.concat(_tag("JournalIssue", _tag("PubDate", date)), _tag("Title", F.col("source")))), _tag("ArticleTitle", xml_text(F.col("title"))), _tag("AuthorList", people))
-    ids = F.when(K % 3 == 0, F.concat(F.lit('<ArticleId IdType="doi">10.1000/X'), number, F.lit("</ArticleId>"))).otherwise("")
+    ids = F.when(seq() % 3 == 0, F.concat(F.lit('<ArticleId IdType="doi">10.1000/X'), number, F.lit("</ArticleId>"))).otherwise("")
     xml = _tag("PubmedArticle", F.concat(_tag("MedlineCitation", F.concat(_tag("PMID", number), _tag("Article", article))), ids))
     return candidates(spark, sf).select("seq", F.lit("all").alias("topic"), xml.alias("xml"))
 
@@ -38,8 +42,8 @@ def s8a_articles_xml(spark: SparkSession, sf: str) -> DataFrame:
 
 def works_raw(spark: SparkSession, sf: str) -> DataFrame:
     person = F.struct(F.lit("A").alias("given"), F.col("source").alias("family"))
-    date = F.struct(F.array(F.array(F.lit(2024), (K % 12 + 1).cast("int"), (K % 28 + 1).cast("int"))).alias("date-parts"))
-    work = F.struct(F.when(K % 2 == 0, F.concat(F.lit("10.2000/Y"), K.cast("string"))).alias("DOI"), F.array("title").alias("title"), F.array("source").alias("container-title"), F.when(K % 5 != 0, date).alias("published-online"), F.array(person).alias("author"), F.lit("journal-article").alias("type"), F.col("link").alias("URL"))
+    date = F.struct(F.array(F.array(F.lit(2024), (seq() % 12 + 1).cast("int"), (seq() % 28 + 1).cast("int"))).alias("date-parts"))
+    work = F.struct(F.when(seq() % 2 == 0, F.concat(F.lit("10.2000/Y"), seq().cast("string"))).alias("DOI"), F.array("title").alias("title"), F.array("source").alias("container-title"), F.when(seq() % 5 != 0, date).alias("published-online"), F.array(person).alias("author"), F.lit("journal-article").alias("type"), F.col("link").alias("URL"))
     return candidates(spark, sf).select("seq", F.lit("all").alias("topic"), F.to_json(work).alias("json"))
 
 
@@ -52,10 +56,10 @@ def s8c_works_json(spark: SparkSession, sf: str) -> DataFrame:
 def trials_raw(spark: SparkSession, sf: str) -> DataFrame:
     day = F.date_add(F.lit("2024-01-31").cast("date"), -(F.col("age_h") / 24).cast("int")).cast("string")
     when = lambda c: F.struct(c.alias("date"))
-    status = F.struct(F.lit("RECRUITING").alias("overallStatus"), when(F.when(K % 3 == 0, day)).alias("lastUpdatePostDateStruct"), when(F.when(K % 7 == 0, "soon").otherwise(day)).alias("studyFirstPostDateStruct"))
+    status = F.struct(F.lit("RECRUITING").alias("overallStatus"), when(F.when(seq() % 3 == 0, day)).alias("lastUpdatePostDateStruct"), when(F.when(seq() % 7 == 0, "soon").otherwise(day)).alias("studyFirstPostDateStruct"))
     trial = F.struct(F.struct(
-        F.struct(F.concat(F.lit("NCT"), F.lpad(K.cast("string"), 8, "0")).alias("nctId"), F.col("title").alias("briefTitle")).alias("identificationModule"), status.alias("statusModule"),
-        F.struct(F.lit("INTERVENTIONAL").alias("studyType"), F.struct(K.alias("count")).alias("enrollmentInfo")).alias("designModule"),
+        F.struct(F.concat(F.lit("NCT"), F.lpad(seq().cast("string"), 8, "0")).alias("nctId"), F.col("title").alias("briefTitle")).alias("identificationModule"), status.alias("statusModule"),
+        F.struct(F.lit("INTERVENTIONAL").alias("studyType"), F.struct(seq().alias("count")).alias("enrollmentInfo")).alias("designModule"),
     ).alias("protocolSection"))
     return candidates(spark, sf).select("seq", F.lit("all").alias("topic"), F.to_json(trial).alias("json"))
 
@@ -71,8 +75,8 @@ def s8d_trials_json(spark: SparkSession, sf: str) -> DataFrame:
 k AS (SELECT seq, CASE WHEN doi <> '' THEN 'doi:' || doi WHEN pmid <> '' THEN 'pmid:' || pmid WHEN nct <> '' THEN 'nct:' || nct WHEN t <> '' THEN 'title:' || t END AS key FROM r) SELECT min(seq) AS seq, key FROM k WHERE key IS NOT NULL GROUP BY key""")
 def d1_keep_first(spark: SparkSession, sf: str) -> DataFrame:
     some = lambda cond, c: F.when(cond, c).otherwise("")
-    n = lambda m: (K % m).cast("string")
-    r = candidates(spark, sf).select("seq", some(K % 3 == 0, F.concat(F.lit("10.1/"), n(40))).alias("doi"), some(K % 5 == 0, n(60)).alias("pmid"), some(K % 7 == 0, F.concat(F.lit("N"), n(30))).alias("nct_id"), "title", F.lit("all").alias("collector_source"))
+    n = lambda m: (seq() % m).cast("string")
+    r = candidates(spark, sf).select("seq", some(seq() % 3 == 0, F.concat(F.lit("10.1/"), n(40))).alias("doi"), some(seq() % 5 == 0, n(60)).alias("pmid"), some(seq() % 7 == 0, F.concat(F.lit("N"), n(30))).alias("nct_id"), "title", F.lit("all").alias("collector_source"))
     return research.deduped(r).select("seq", research.identity(F.col("doi"), F.col("pmid"), F.col("nct_id"), F.col("title")).alias("key"))
 
 
