@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gazette.functions import text, urls
 from gazette.operators import pages, select, similar
+from gazette.sources import feeds, research
 from gazette.sources.tables import candidates, fetch_log, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,6 +93,21 @@ def p6_study_type(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", kind.otherwise("OTHER").alias("study_type"))
 
 
+KINDS_SQL = "CASE " + " ".join("WHEN " + " OR ".join(f"contains(t, '{w}')" for w in words) + f" THEN '{kind}'" for kind, words in research.KINDS) + f" ELSE '{research.OTHER_KIND}' END"
+
+
+@query(f"""WITH d AS (SELECT doc_id, CASE doc_id % 10 WHEN 0 THEN 'A Randomised study. ' WHEN 1 THEN 'Meta-analysis of ' WHEN 2 THEN 'A systematic review. ' WHEN 3 THEN 'A review. ' WHEN 4 THEN 'Practice pattern. ' WHEN 5 THEN 'Preprint: ' WHEN 6 THEN 'A cohort. ' WHEN 7 THEN 'Interventional. ' ELSE '' END || text AS raw FROM documents),
+k AS (SELECT doc_id, lower(raw) AS t FROM d) SELECT doc_id, {KINDS_SQL} AS kind FROM k""")
+def p6_evidence_kinds(spark: SparkSession, sf: str) -> DataFrame:
+    """All nine kinds: the driver's prose names none, so that beginnings by id do."""
+    k = F.col("doc_id") % 10
+    words = ("A Randomised study. ", "Meta-analysis of ", "A systematic review. ", "A review. ", "Practice pattern. ", "Preprint: ", "A cohort. ", "Interventional. ")
+    start = F.lit("")
+    for n, word in enumerate(words):
+        start = F.when(k == n, word).otherwise(start)
+    return table(spark, sf, "documents").select("doc_id", research.kind_of(F.concat(start, "text")).alias("kind"))
+
+
 @query("""WITH w AS (SELECT chr(CAST(44032 + doc_id % 11172 AS INTEGER)) AS word, doc_id FROM documents)
 SELECT doc_id, word || CASE WHEN doc_id % 11172 % 28 > 0 THEN '을' ELSE '를' END AS with_particle FROM w""")
 def p11_particle(spark: SparkSession, sf: str) -> DataFrame:
@@ -109,16 +125,14 @@ def p13_weather_bands(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- filters with reasons ------------------------------------------------------------------------------------------
 
-MARKS = {"ellipsis": "…", "exclamation": "!", "question": "?"}
+#: The test on headlines for the driver's prose.
+HEADLINES = feeds.Headlines(blacklist=("###", "|", "$$$"), bait=("[xX]{3}", "!!"), marks=(("…", 3), ("!", 2), ("?", 2)))
 
 
-@query(f"""WITH {CAND} SELECT seq, CASE WHEN length(title) < 10 THEN 'short' WHEN length(title) > 120 THEN 'long' WHEN contains(title, '###') OR contains(title, '|') THEN 'blacklist'
-WHEN length(title) - length(replace(title, '!', '')) > 2 THEN 'exclamation' WHEN length(title) - length(replace(title, '?', '')) > 2 THEN 'question' END AS reason FROM c""")
+@query(f"""WITH {CAND} SELECT seq, CASE WHEN length(title) < 10 THEN 'short' WHEN length(title) > 120 THEN 'long' WHEN contains(title, '###') OR contains(title, '|') OR contains(title, '$$$') THEN 'blacklist' WHEN length(title) - length(replace(title, '…', '')) > 3 THEN '…'
+WHEN length(title) - length(replace(title, '!', '')) > 2 THEN '!' WHEN length(title) - length(replace(title, '?', '')) > 2 THEN '?' WHEN regexp_matches(title, '[xX]{{3}}|!!') THEN 'clickbait' END AS reason FROM c""")
 def f1_headline_quality(spark: SparkSession, sf: str) -> DataFrame:
-    t = F.col("title")
-    count = lambda mark: F.length(t) - F.length(F.replace(t, F.lit(mark), F.lit("")))
-    reason = F.when(F.length(t) < 10, "short").when(F.length(t) > 120, "long").when(t.contains("###") | t.contains("|"), "blacklist").when(count("!") > 2, "exclamation").when(count("?") > 2, "question")
-    return candidates(spark, sf).select("seq", reason.alias("reason"))
+    return candidates(spark, sf).select("seq", feeds.headline_reason(F.col("title"), HEADLINES).alias("reason"))
 
 
 @query("""WITH e AS (SELECT event_id, (epoch(TIMESTAMP '2024-01-20 00:00:00') - epoch(ts)) / 86400.0 AS age, CASE WHEN event_type = 'purchase' THEN 7 ELSE 3 END AS most FROM events)

@@ -53,6 +53,12 @@ def g1_edition_rules(spark: SparkSession, sf: str) -> DataFrame:
     return gates.edition_faults(editions(spark, sf), CONTRACT)
 
 
+@query()
+def f12_nested_placeholders(spark: SparkSession, sf: str) -> DataFrame:
+    """Every text of every edition; the word looked for is a common one of the driver's prose."""
+    return gates.leaf_faults(editions(spark, sf), r"(^|[^\p{L}])the([^\p{L}]|$)")
+
+
 @query()
 def g5_release_rules(spark: SparkSession, sf: str) -> DataFrame:
     e = editions(spark, sf)

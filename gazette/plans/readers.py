@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gazette.plans.catalogue import CAND, query
+from gazette.plans.catalogue import CAND, _clean_sql, query
+from gazette.sources import feeds
 from gazette.sources.tables import candidates, table
 from gazette.streaming import intake
 
@@ -22,33 +23,22 @@ def feed(spark: SparkSession, sf: str) -> DataFrame:
     """source, seq, xml: each document as an item of its source's feed."""
     c = candidates(spark, sf).withColumn("head", F.concat("title", F.lit(" - "), "source"))
     tag = lambda name, value: F.concat(F.lit(f"<{name}>"), value, F.lit(f"</{name}>"))
-    body = F.substring(F.regexp_replace("summary", "\\s+", " "), 1, 900)
+    body = F.col("summary")
     return c.select("source", "seq", tag("item", F.concat(tag("title", xml_text(F.col("head"))), tag("link", F.col("link")), tag("pubDate", F.lit("Mon, 08 Jan 2024 10:00:00 GMT")), tag("description", xml_text(body)))).alias("xml"))
 
 
-def feed_candidates(items: DataFrame, limit: int) -> DataFrame:
-    """source, seq, title, link, published, summary: items with a title and an http address, the first ``limit`` of each source.
-
-    ``items`` has source, seq (place in the feed) and xml, one item to a row. The day of the week is taken off before
-    dates are read. Items that are no XML have no title and are dropped.
-    """
-    x = items.select("source", "seq", F.from_xml("xml", "title string, link string, pubDate string, description string").alias("i"))
-    when = F.to_timestamp(F.regexp_replace("i.pubDate", "^[A-Za-z]{3}, | GMT$", ""), "dd MMM yyyy HH:mm:ss")
-    x = x.select("source", "seq", F.trim("i.title").alias("title"), F.trim("i.link").alias("link"), when.alias("published"), F.substring(F.trim(F.regexp_replace(F.coalesce("i.description", F.lit("")), r"\s+", " ")), 1, 700).alias("summary"))
-    x = x.filter("title <> '' AND link LIKE 'http%'")
-    return x.withColumn("__r", F.row_number().over(Window.partitionBy("source").orderBy("seq"))).filter(F.col("__r") <= limit).drop("__r")
-
-
 @query(f"WITH {CAND}, r AS (SELECT seq, source, link, row_number() OVER (PARTITION BY source ORDER BY seq) AS k FROM c) SELECT source, seq, link, TIMESTAMP '2024-01-08 10:00:00' AS published FROM r WHERE k <= 20")
 def s1_feed_candidates(spark: SparkSession, sf: str) -> DataFrame:
-    return feed_candidates(feed(spark, sf), 20).select("source", "seq", "link", "published")
+    return feeds.entries(feed(spark, sf), 20).select("source", "seq", F.col("url").alias("link"), F.col("published_at").alias("published"))
+
+
+RULES = feeds.Headlines(blacklist=("###", "$$$"), bait=("[xX]{3}",), marks=(("!", 2), ("?", 2)))
 
 
-@query(f"WITH {CAND}, r AS (SELECT seq, source, trim(title || ' - ' || source) AS head FROM c) SELECT seq, regexp_extract(head, '^(.*) - (.{{0,20}})$', 2) AS publisher FROM r WHERE length(regexp_extract(head, '^(.*) - (.{{0,20}})$', 1)) BETWEEN 10 AND 120")
+@query(f"""WITH {CAND}, r AS (SELECT seq, source, {_clean_sql(_clean_sql("title"))} AS head FROM c WHERE source NOT LIKE '% - %') SELECT seq, source AS publisher FROM r WHERE length(head) BETWEEN 10 AND 120 AND NOT contains(head, '###') AND NOT contains(head, '$$$') AND NOT regexp_matches(head, '[xX]{{3}}')
+AND length(head) - length(replace(head, '!', '')) <= 2 AND length(head) - length(replace(head, '?', '')) <= 2""")
 def s2_rss_entries(spark: SparkSession, sf: str) -> DataFrame:
-    x = feed_candidates(feed(spark, sf), 1_000_000_000)
-    part = lambda k: F.regexp_extract("title", "^(.*) - (.{0,20})$", k)
-    return x.filter(F.length(part(1)).between(10, 120)).select("seq", part(2).alias("publisher"))
+    return feeds.news_entries(feed(spark, sf), RULES).select("seq", "publisher")
 
 
 PROVIDER = "pmid string, doi string, title string, authorString string, date array<int>"
