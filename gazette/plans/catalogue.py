@@ -489,7 +489,7 @@ def u3_distinct_in_order(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _all() -> None:
-    from gazette.plans import audits, choosing, desk, editions, evidence, providers, readers, rules  # noqa: F401  (each registers its queries)
+    from gazette.plans import audits, choosing, desk, editions, evidence, providers, readers, reports, rules  # noqa: F401  (each registers its queries)
 
 
 def queries() -> dict[str, Query]:

@@ -79,7 +79,7 @@ def contexts(spark: SparkSession) -> DataFrame:
 
 @query()
 def p7_editorial(spark: SparkSession, sf: str) -> DataFrame:
-    """The tests compare it with a plain loop."""
+    """The tests hold the texts against stored samples."""
     made = editorial.polished(editorial.editorial(articles(spark, sf), contexts(spark), DESK), DESK)
     return made.select("seq", "basis", "fact", "background", "why_it_matters", F.array_join("checkpoints", " | ").alias("checkpoints"), "rejected")
 

@@ -52,6 +52,19 @@ def test_verification_and_enrichment(spark):
     assert e["https://a.example/4"].article_metadata_status == e["https://none.example/"].article_metadata_status == "FETCH_ERROR"
 
 
+def test_title_similarity_is_that_of_matching_blocks(spark):
+    import difflib
+    import re
+
+    titles = ["Council opens the river bridge", "River-bridge: council opens!", "한글 제목 하나", "한글 제목 둘", "", "A &amp; B", None]
+    pairs = [(a, b) for a in titles for b in titles]
+    norm = lambda x: re.sub(r"[^a-z0-9가-힣]+", " ", (x or "").replace("&amp;", "&").lower()).strip()
+    got = spark.createDataFrame(pairs, "a string, b string").select("a", "b", pages.title_similarity(F.col("a"), F.col("b")).alias("s")).collect()
+    for r in got:
+        a, b = norm(r.a), norm(r.b)
+        assert abs(r.s - (difflib.SequenceMatcher(None, a, b).ratio() if a and b else 0.0)) < 1e-9
+
+
 def test_fact_check(spark):
     trust = pages.Trust(official=("bok.or.kr",), primary=("nature.com",), wire=("reuters.com",), relay=("v.daum.net",), agencies=("AP",), major=("한국경제",))
     rows = [
