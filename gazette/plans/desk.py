@@ -133,3 +133,19 @@ def g9_editorial_texts(spark: SparkSession, sf: str) -> DataFrame:
     c = candidates(spark, sf).select(F.col("chapter").alias("edition"), F.col("seq").alias("id"), "title", "summary")
     fact = c.select("edition", "id", F.lit("fact").alias("kind"), F.concat(F.lit("src reports: "), "title").alias("text"))
     return editorial.text_faults(fact.unionByName(c.select("edition", "id", F.lit("background").alias("kind"), F.col("summary").alias("text"))), DESK)
+
+
+FIRST = editorial.FirstDesk(
+    told="%s on %s: %s", no_sentence="%s on %s.", no_summary="%s tells of %s.", ending=" it is said.", ends=(".", "!", "a"), background="%s See %s.", why="%s It lasts.", first_point="%s: official word", focus="([a-zA-Z]{4,})", no_focus="the matter", source="the press",
+)
+
+
+@query(f"""WITH {CAND}, f0 AS (SELECT seq, chapter, trim(title) AS t, trim(summary) AS s, source AS p FROM c), f1 AS (SELECT *, trim(replace(CASE WHEN t <> '' THEN trim(replace(s, t, '')) ELSE s END, p, '')) AS clean FROM f0),
+f2 AS (SELECT *, list_filter(list_transform(string_split_regex(clean, '[.!?]\\s+|\\[.*?\\]'), lambda x: trim(x)), lambda x: length(x) >= 10)[1] AS core FROM f1)
+SELECT seq, CASE WHEN length(s) >= 20 AND NOT starts_with(s, 'http') AND core IS NOT NULL THEN p || ' on ' || t || ': ' || core || CASE WHEN right(core, 1) IN ('.', '!', 'a') THEN '' ELSE ' it is said.' END WHEN length(s) >= 20 AND NOT starts_with(s, 'http') THEN p || ' on ' || t || '.' ELSE p || ' tells of ' || t || '.' END AS fact,
+CASE WHEN chapter = 'en' THEN 'Talks go on.' ELSE 'Much is open.' END || ' See ' || p || '.' AS background, coalesce(nullif(regexp_extract(t, '([a-zA-Z]{{4,}})', 1), ''), 'the matter') || ': official word | ' || CASE WHEN chapter = 'en' THEN 'a | b' ELSE 'c | d' END AS checkpoints FROM f2""")
+def p7b_first_editorial(spark: SparkSession, sf: str) -> DataFrame:
+    """The superseded first form."""
+    insights = spark.createDataFrame([(None, "Much is open.", "It matters.", ["c", "d", "e"]), ("en", "Talks go on.", "It counts.", ["a", "b", "z"])], "chapter string, bg string, why string, points array<string>")
+    made = editorial.first_editorial(candidates(spark, sf).select("seq", "chapter", "title", "source", "summary"), insights, FIRST)
+    return made.select("seq", "fact", "background", F.array_join("checkpoints", " | ").alias("checkpoints"))
