@@ -54,10 +54,14 @@ def _ranks(vocabulary: str):
 def token_ids(text: str | None, end_id: int = 1, vocabulary: str = "byte_bpe_50k") -> np.ndarray:
     """The tokenizer's ids of a text as little-endian unsigned 32-bit numbers, then ``end_id``. A null text is empty."""
     text = text or ""
-    if any(x in text for x in _added(vocabulary)):
+    ids = None
+    if not any(x in text for x in _added(vocabulary)):
+        try:
+            ids = _ranks(vocabulary).encode_to_numpy(text)
+        except ValueError:  # its pattern has no room for a run of very many blanks
+            ids = None
+    if ids is None:
         ids = _tokenizer(vocabulary).encode(text, add_special_tokens=False).ids
-    else:
-        ids = _ranks(vocabulary).encode_to_numpy(text)
     return np.append(np.asarray(ids, "<u4"), np.array([end_id], "<u4"))
 
 
