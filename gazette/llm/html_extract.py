@@ -51,6 +51,7 @@ class Tree:
 
     def __init__(self, html: str) -> None:
         self.tag, self.parent, self.names, self.text, self.marks = ["#root"], [-1], [()], [""], [""]
+        self.unseen: set[int] = set()  # elements that say themselves that they are not shown
         self.open = [0]
         self.places: dict[str, list[int]] = defaultdict(list)  # where in ``open`` the open elements of each tag are
         at = 0
@@ -100,7 +101,7 @@ class Tree:
         wanted, limit = ENDS.get(tag) or ((("p",), _AROUND_P) if tag in BLOCK and tag != "br" else ((), ()))
         if (place := self.nearest(wanted)) > self.nearest(limit):
             self.close(place)
-        names, mark = set(), ""
+        names, mark, unseen = set(), "", False
         for key, *values in _ATTRIBUTE.findall(rest):
             key, value = key.lower(), "".join(values)
             if key in ("class", "id", "role") and value:
@@ -110,8 +111,10 @@ class Tree:
             elif key == "data-other":
                 mark = "other"
             elif key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and _UNSEEN.search(value):
-                names.add("hidden")
+                unseen = True
         node = self.add(tag, tuple(sorted(names)), mark=mark)
+        if unseen:
+            self.unseen.add(node)
         if tag not in VOID:
             self.places[tag].append(len(self.open))
             self.open.append(node)
@@ -149,7 +152,7 @@ def observed(tree: Tree) -> tuple[list[tuple[str, ...]], list[bool], list[int]]:
     found: list[tuple[str, ...]] = [()] * n
     for k in range(1, n):
         tag = tree.tag[k]
-        silent[k] = silent[tree.parent[k]] or tag in SILENT or "hidden" in tree.names[k]
+        silent[k] = silent[tree.parent[k]] or tag in SILENT or k in tree.unseen
         if tag == "#":
             continue
         share = linked[k] * 4 // size[k] if size[k] else 5
