@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +34,18 @@ _RUN = re.compile(r"([^\W\d_])\1\1")
 _PLAIN = re.compile(r"(?!.*([^\W\d_])\1\1)[^\W\d_]+(?:['’-][^\W\d_]{2,}|['’][^\W\d_])*")
 
 
+#: Cyrillic and Greek letters that look like a Latin one.
+LOOKS = str.maketrans({"а": "a", "в": "b", "с": "c", "ԁ": "d", "е": "e", "ё": "e", "һ": "h", "н": "h", "і": "i", "ї": "i", "ј": "j", "к": "k", "м": "m", "о": "o", "р": "p", "ԛ": "q", "ѕ": "s", "т": "t", "у": "y", "ѵ": "v", "ԝ": "w", "х": "x", "α": "a", "ε": "e", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u", "χ": "x"})
+_ACCENTS = re.compile("[\u0300-\u036f]+")
+_ALPHABETS = re.compile("[\u0370-\u052f]")
+
+
+def folded(text: str) -> str:
+    """A text in lower case without accents and wide forms, and with Latin letters for those that look like them."""
+    text = _ACCENTS.sub("", unicodedata.normalize("NFKD", text))
+    return text.translate(LOOKS) if _ALPHABETS.search(text) else text
+
+
 def symbol(char: str) -> int:
     """A small number for a character: a to z have their own, others share by code point."""
     code = ord(char)
@@ -101,18 +114,18 @@ class Channel:
         Gaps between spaced letters are edges or nothing. With ``edges``, marks that are lost may be edges too.
         """
         out = []
-        gaps = [len(x) for x in re.findall(r"\s+", token)]
+        least = min((len(x) for x in re.findall(r"\s+", token)), default=0)
         for run in re.finditer(r"\s+|(\S)\1*", token):
             char, n = run[1], len(run[0])
             if char is None:
-                options = [("", 0.0), (" ", NARROW)] if n == min(gaps) else [("", WIDE), (" ", 0.0)]
+                options = [("", 0.0), (" ", NARROW)] if n == least else [("", WIDE), (" ", 0.0)]
             elif char.isalpha():
                 options = [(char, REPEATED * min(n - 1, 1)), (char * 2, 0.3 if n == 2 else REPEATED)] if n > 1 else [(char, 0.0)]
             else:
                 letters = LEET.get(char, "")
                 more = 0.0 if n < 3 else 2.0  # three marks in turn are rather marks
                 options = [(x, SUBSTITUTED + more + math.log(len(letters))) for x in letters] + [(x * 2, SUBSTITUTED + more + 0.5) for x in letters if n > 1]
-                lost = DROPPED * 2 if char.isdigit() else DROPPED if n < 3 else DROPPED / 4
+                lost = DROPPED * 4 if char.isdigit() else DROPPED if n < 3 else DROPPED / 4
                 options.append(("", lost))
                 if edges and not char.isdigit():
                     options.append((" ", lost))
@@ -163,11 +176,16 @@ class Channel:
 
         Disguised are tokens with a digit or mark among letters, with a letter three times in turn, and letters that
         stand alone in turn with spaces between. Such tokens also keep their plain words, as marks may be just marks.
+        Letters with accents, wide ones and those of other alphabets that look like a to z count as those, too.
         """
         text = (text or "").lower()
         found: set[str] = set()
+        tokens = set(text.split())
+        if not text.isascii() and (bare := folded(text)) != text:
+            tokens.update(bare.split())
+            text = bare
         repeats = _RUN.search(text) is not None
-        for token in set(text.split()):
+        for token in tokens:
             bare = token.strip(_MARKS)
             if bare.isalpha():
                 found.add(bare)
@@ -175,9 +193,9 @@ class Channel:
                     continue
             else:
                 found.update(_WORD.findall(token))
-            if len(token) >= 3 and not _PLAIN.fullmatch(bare) and _lettered(token):
+            if len(token) >= 2 and not _PLAIN.fullmatch(bare) and _lettered(token):
                 found.update(_WORD.findall(self.decode(token)))
-                if bare != token and len(bare) > 2:
+                if bare != token and len(bare) > 1:
                     found.update(_WORD.findall(self.decode(bare)))
                 if _INNER.search(bare):
                     found.update(_WORD.findall(self.decode(bare, True)))
@@ -186,7 +204,7 @@ class Channel:
             gap = min(map(len, re.findall(r"\s+", run[0])))
             for part in re.split(rf"\s{{{gap + 1},}}", run[0]):  # also as one word between wider gaps
                 joined = re.sub(r"\s+", "", part)
-                if len(joined) >= 3:
+                if len(joined) >= 2:
                     found.update(_WORD.findall(self.decode(joined)))
         return found
 
