@@ -342,22 +342,6 @@ def w8_video_select(spark: SparkSession, sf: str) -> DataFrame:
     return select.capped_top(e, ["event_type"], "user_id", 3, 10, [F.desc("ts"), F.asc("event_id")]).select("event_type", "event_id", "user_id", "rank")
 
 
-@query(f"""WITH {CAND}, n AS (SELECT chapter, d, count(DISTINCT source) AS n FROM c JOIN (VALUES (7), (14), (30)) w(d) ON age_h <= d * 6 GROUP BY ALL)
-SELECT chapter, min(d) AS window_days, CAST(arg_min(n, d) AS BIGINT) AS publishers FROM n WHERE n >= 5 GROUP BY chapter""")
-def w9_widening_window(spark: SparkSession, sf: str) -> DataFrame:
-    days = F.explode(F.filter(F.array(*[F.lit(d) for d in (7, 14, 30)]), lambda d: F.col("age_h") <= d * 6))
-    n = candidates(spark, sf).select("chapter", "source", days.alias("d")).groupBy("chapter", "d").agg(F.count_distinct("source").alias("n"))
-    return n.filter("n >= 5").groupBy("chapter").agg(F.min("d").alias("window_days"), F.min_by("n", "d").alias("publishers"))
-
-
-@query(f"""WITH {CAND}, q AS (SELECT chapter, source, count(*) AS n, CAST(substr(source, 4) AS INTEGER) AS k FROM c GROUP BY ALL), s AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY chapter ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM q)
-SELECT chapter, source, n, CAST(before AS BIGINT) AS before FROM s WHERE before < 30""")
-def w10_candidate_caps(spark: SparkSession, sf: str) -> DataFrame:
-    q = candidates(spark, sf).groupBy("chapter", "source").agg(F.count(F.lit(1)).alias("n")).withColumn("k", F.substring("source", 4, 9).cast("int"))
-    before = F.coalesce(F.sum("n").over(Window.partitionBy("chapter").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return q.withColumn("before", before).filter("before < 30").select("chapter", "source", "n", "before")
-
-
 # --- joins ---------------------------------------------------------------------------------------------------------
 
 STOP = ["the", "and", "of", "to", "in", "der", "die", "la", "le", "de", "que"]
@@ -489,7 +473,7 @@ def u3_distinct_in_order(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _all() -> None:
-    from gazette.plans import audits, choosing, desk, editions, evidence, providers, readers, reports, rules  # noqa: F401  (each registers its queries)
+    from gazette.plans import audits, choosing, desk, editions, evidence, intake_plans, providers, readers, reports, rules  # noqa: F401  (each registers its queries)
 
 
 def queries() -> dict[str, Query]:

@@ -141,22 +141,6 @@ def s5_title_likeness(spark: SparkSession, sf: str) -> DataFrame:
     return pages.verify_articles(arts, log.drop("page_id")).select("page_id", "title_similarity", "verification_status", "image_status")
 
 
-@query(f"""WITH m AS (SELECT page_id AS key, url AS final_url FROM pages WHERE page_id % 5 <> 0), {CAND} SELECT seq, final_url, final_url IS NOT NULL AS resolved FROM c LEFT JOIN m ON c.seq = m.key""")
-def j3_exact_url(spark: SparkSession, sf: str) -> DataFrame:
-    m = table(spark, sf, "pages").filter("page_id % 5 <> 0").select(F.col("page_id").alias("seq"), F.col("url").alias("final_url"))
-    return candidates(spark, sf).select("seq").join(m, "seq", "left").select("seq", "final_url", F.col("final_url").isNotNull().alias("resolved"))
-
-
-@query("""WITH p AS (SELECT page_id, url, CASE page_id % 4 WHEN 0 THEN 'https://doi.example.org/' || page_id WHEN 1 THEN url END AS doi, CASE WHEN page_id % 6 <> 0 THEN url END AS publisher FROM pages)
-SELECT page_id, coalesce(CASE WHEN publisher LIKE 'http%' AND publisher NOT LIKE '%doi.example.org%' AND publisher NOT LIKE '%login%' THEN publisher END, doi, '') AS best_url, CASE WHEN publisher IS NULL AND doi IS NULL THEN 'unresolved' ELSE 'resolved' END AS state FROM p""")
-def p16_best_source_url(spark: SparkSession, sf: str) -> DataFrame:
-    k, u = F.col("page_id"), F.col("url")
-    p = table(spark, sf, "pages").select("page_id", F.when(k % 4 == 0, F.concat(F.lit("https://doi.example.org/"), k.cast("string"))).when(k % 4 == 1, u).alias("doi"), F.when(k % 6 != 0, u).alias("publisher"))
-    pub = F.col("publisher")
-    good = F.when(pub.startswith("http") & ~pub.contains("doi.example.org") & ~pub.contains("login"), pub)
-    return p.select("page_id", F.coalesce(good, "doi", F.lit("")).alias("best_url"), F.when(pub.isNull() & F.col("doi").isNull(), "unresolved").otherwise("resolved").alias("state"))
-
-
 @query(f"""WITH {EVENT_PAIRS}, x AS (SELECT l, r, rank, 'd' || r % 7 || '.example.org' AS domain FROM jk WHERE rank <= 3 AND r % 11 <> 0 AND 'd' || r % 7 || '.example.org' <> 'd' || l % 7 || '.example.org'),
 f AS (SELECT l, domain, arg_min(r, rank) AS r, min(rank) AS rank FROM x GROUP BY l, domain), z AS (SELECT *, row_number() OVER (PARTITION BY l ORDER BY rank) AS place FROM f)
 SELECT l AS seq, domain, 'https://' || domain || '/' || r AS url, CAST(place AS INTEGER) AS place FROM z WHERE place <= 2""")

@@ -94,66 +94,6 @@ def s11_cached_candidates(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").filter(age.between(-0.25, 7)).join(policy, "user_id", "left_semi").select("event_id", F.lit("cached_verified").alias("tag"))
 
 
-@query("""SELECT doc_id AS id, CASE WHEN quality = 1 THEN 'keep' ELSE 'drop' END AS expected FROM labels WHERE doc_id % 10 <> 3 AND quality IS NOT NULL""")
-def s12_gold_corpus(spark: SparkSession, sf: str) -> DataFrame:
-    """Gold rows as JSON lines; blank lines (here: of ids that end in 3) and rows without a required key are left out."""
-    row = F.struct(F.col("doc_id").alias("id"), F.lit("label").alias("kind"), F.when(F.col("quality") == 1, "keep").when(F.col("quality") == 0, "drop").alias("expected"))
-    lines = table(spark, sf, "labels").select(F.when(F.col("doc_id") % 10 == 3, "").otherwise(F.to_json(row)).alias("line")).filter("trim(line) <> ''")
-    g = lines.select(F.from_json("line", "id long, kind string, expected string").alias("g"))
-    return g.filter("g.id IS NOT NULL AND g.kind IS NOT NULL AND g.expected IS NOT NULL").select("g.id", "g.expected")
-
-
-@query(f"""WITH {CAND}, k AS (SELECT chapter, source, seq, row_number() OVER (PARTITION BY chapter ORDER BY source, seq) AS pos FROM c) SELECT chapter, source AS chunk, seq, CAST(pos AS INTEGER) AS pos FROM k""")
-def s13_snapshot_materialise(spark: SparkSession, sf: str) -> DataFrame:
-    """Chunks (a source's rows of a chapter) in the order of their manifest, a table of its own; chunks of another size than it says are left out.
-
-    Chunks stay rows and are never brought together: sizes are counted, places come from ranges.
-    """
-    from gazette.plans.editions import placed
-
-    c = candidates(spark, sf).select("chapter", F.col("source").alias("chunk"), "seq")
-    return materialise(c, manifest(spark, sf), placed)
-
-
-def manifest(spark: SparkSession, sf: str) -> DataFrame:
-    """chapter, chunk, wanted: how many rows each chunk has to have, by the table's own counts of languages and sources."""
-    d = table(spark, sf, "documents")
-    return d.groupBy(F.col("lang").alias("chapter"), F.col("source").alias("chunk")).agg(F.count(F.lit(1)).alias("wanted"))
-
-
-def materialise(rows: DataFrame, manifest: DataFrame, placed) -> DataFrame:  # noqa: ANN001
-    """chapter, chunk, seq, pos: the rows (chapter, chunk, seq) of chunks that have as many as ``manifest`` says, in order."""
-    sizes = rows.groupBy("chapter", "chunk").agg(F.count(F.lit(1)).alias("n"))
-    good = manifest.join(sizes, ["chapter", "chunk"]).filter("n = wanted").select("chapter", "chunk")
-    kept = rows.join(good, ["chapter", "chunk"], "left_semi")
-    return placed(kept, "chapter", [F.col("chunk"), F.col("seq")], "pos").select("chapter", "chunk", "seq", "pos")
-
-
-@query(f"WITH {CAND} SELECT chapter AS edition, seq, source FROM c WHERE age_h < 24")
-def s15_edition_sink(spark: SparkSession, sf: str) -> DataFrame:
-    """A day's rows written as JSON in a folder for each edition, and read back."""
-    folder = intake.shared_folder(spark)
-    c = candidates(spark, sf).filter("age_h < 24").select(F.col("chapter").alias("edition"), "seq", "source")
-    c.write.partitionBy("edition").mode("overwrite").json(folder)
-    return spark.read.schema("seq long, source string, edition string").json(folder).select("edition", "seq", "source")
-
-
-@query(f"WITH {CAND} SELECT chapter AS edition, count(*) AS candidates, count(*) FILTER (age_h <= 72) AS eligible, count(*) FILTER (age_h > 72) AS stale FROM c GROUP BY chapter")
-def s17_research_report_sink(spark: SparkSession, sf: str) -> DataFrame:
-    folder = intake.shared_folder(spark)
-    fresh = F.col("age_h") <= 72
-    report = candidates(spark, sf).groupBy(F.col("chapter").alias("edition")).agg(F.count(F.lit(1)).alias("candidates"), F.count_if(fresh).alias("eligible"), F.count_if(~fresh).alias("stale"))
-    report.write.partitionBy("edition").mode("overwrite").json(folder)
-    return spark.read.schema("candidates long, eligible long, stale long, edition string").json(folder).select("edition", "candidates", "eligible", "stale")
-
-
-@query("SELECT user_id, event_type, count(*) > 0 AS taken FROM events GROUP BY ALL")
-def st1_streaming_intake(spark: SparkSession, sf: str) -> DataFrame:
-    e = intake.arrivals(spark, sf, "events").select("user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
-    first = intake.keep_first(e, ["user_id", "event_type"], "ts", "40 days")
-    return intake.drained(first).select("user_id", "event_type", F.lit(True).alias("taken"))
-
-
 @query("""WITH w AS (SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, event_type, count(*) AS attempts, count(*) FILTER (value >= 10) AS good FROM events WHERE ts IS NOT NULL GROUP BY ALL)
 SELECT *, CASE WHEN good = attempts THEN 'HEALTHY' WHEN good > 0 THEN 'DEGRADED' ELSE 'UNAVAILABLE' END AS health FROM w WHERE window_start < (SELECT time_bucket(INTERVAL 1 DAY, max(ts)) FROM events)""")
 def st2_rolling_health(spark: SparkSession, sf: str) -> DataFrame:

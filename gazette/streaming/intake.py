@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from gazette.functions import lineage
 
@@ -15,16 +18,21 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{lineage.folder(spark)}/stream-{uuid.uuid4().hex}"
 
 
-def arrivals(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The files of a table as a stream. A pattern as path lets the table be one file as well as a folder."""
-    return spark.readStream.schema(spark.read.parquet(f"{sf_dir}/{name}.parquet").schema).parquet(f"{sf_dir}/{name}.parque[t]")
+def arrivals(spark: SparkSession, sf_dir: str, name: str, files: int | None = None) -> DataFrame:
+    """The files of a table as a stream, ``files`` to a batch. A pattern as path lets the table be one file as well as a folder."""
+    reader = spark.readStream if files is None else spark.readStream.option("maxFilesPerTrigger", files)
+    return reader.schema(spark.read.parquet(f"{sf_dir}/{name}.parquet").schema).parquet(f"{sf_dir}/{name}.parque[t]")
 
 
-def drained(stream: DataFrame, mode: str = "append") -> DataFrame:
-    """All that ``stream`` gives for what is there now, written to the shared folder with exactly one row each, and read back."""
+def drained(stream: DataFrame, mode: str = "append", by: str | None = None) -> DataFrame:
+    """All that ``stream`` gives for what is there now, written to the shared folder with exactly one row each, and read back.
+
+    With ``by``, rows of each of its values are an output of their own, a folder that is read without the others.
+    """
     spark = stream.sparkSession
     folder = shared_folder(spark)
-    query = stream.writeStream.format("parquet").outputMode(mode).option("checkpointLocation", f"{folder}/state").option("path", f"{folder}/rows").trigger(availableNow=True).start()
+    writer = stream.writeStream.format("parquet").outputMode(mode).option("checkpointLocation", f"{folder}/state").option("path", f"{folder}/rows")
+    query = (writer.partitionBy(by) if by else writer).trigger(availableNow=True).start()
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{folder}/rows")
 
@@ -34,6 +42,64 @@ def keep_first(events: DataFrame, key: list[str], time: str, most_age: str) -> D
     return events.withWatermark(time, most_age).dropDuplicatesWithinWatermark(key)
 
 
+#: Groups over which rows that need no state are spread.
+SPREAD = 128
+
+
+def admitted(events: DataFrame, key: list[str], published: str, arrived: str, horizon: Column, ahead: float = 0.25, skew: str = "3 days") -> DataFrame:
+    """id, outcome of each row of a stream: kept, duplicate, stale, future or missing_date.
+
+    ``events`` has id (long), the ``key`` columns, when a row was ``published`` and when it ``arrived``; ``horizon`` is the
+    days for which a row of its chapter stays news. Older rows are stale, rows more than ``ahead`` days from the future
+    are future; nothing is dropped unseen. Of the others the first of each key by arrival (then id) is kept, and those
+    that arrive before its horizon has passed are duplicates; after that the key is free again.
+
+    The horizon's end is a key's only state. Event time is the time of arrival: a timer drops the state when the watermark,
+    ``skew`` behind the latest arrival, has passed it, so that state does not grow with the stream. Arrivals must be at
+    most ``skew`` behind those of earlier batches. Rows that need no state are spread over SPREAD groups, so that a hot
+    key's stale rows are no single task; of a key's fresh rows of one batch three numbers each are in memory.
+    """
+    day = 86_400_000_000
+    at = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    x = events.withColumn(arrived, F.col(arrived).cast("timestamp")).withWatermark(arrived, skew)
+    most = (horizon * day).cast("long")
+    age = at(arrived) - at(published)
+    told = F.when(age.isNull(), "missing_date").when(age < -ahead * day, "future").when(age > most, "stale")
+    x = x.select("id", *key, arrived, at(arrived).alias("__at"), (at(published) + most).alias("__end"), told.alias("__told"))
+    x = x.withColumn("__spread", F.when(F.col("__told").isNull(), 0).otherwise(F.pmod(F.xxhash64("id"), F.lit(SPREAD)) + 1).cast("int"))
+    x = x.withColumns({f"__k{n}": F.when(F.col("__spread") == 0, F.col(k).cast("string")) for n, k in enumerate(key)})
+
+    def walk(_: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        fresh = []
+        for part in rows:
+            done = part["__told"].notna()
+            if done.any():
+                yield pd.DataFrame({"id": part.loc[done, "id"], "outcome": part.loc[done, "__told"]})
+            fresh.append(part.loc[~done, ["__at", "id", "__end"]].astype("int64"))
+        mine = pd.concat(fresh).sort_values(["__at", "id"]) if fresh else pd.DataFrame()
+        if mine.empty:
+            return
+        end = state.get[0] if state.exists else None
+        outcomes = []
+        for arrival, over in zip(mine["__at"].tolist(), mine["__end"].tolist(), strict=True):
+            kept = end is None or arrival >= end
+            end = over if kept else end
+            outcomes.append("kept" if kept else "duplicate")
+        timer = end // 1_000 + 1
+        if timer > state.getCurrentWatermarkMs():
+            state.update((end,))
+            state.setTimeoutTimestamp(timer)
+        elif state.exists:
+            state.remove()
+        yield pd.DataFrame({"id": mine["id"], "outcome": outcomes})
+
+    groups = x.groupBy("__spread", *[f"__k{n}" for n in range(len(key))])
+    return groups.applyInPandasWithState(walk, "id long, outcome string", "end long", "append", GroupStateTimeout.EventTimeTimeout)
+
+
 def health(events: DataFrame, source: str, time: str, good: str, window: str, late: str) -> DataFrame:
     """Attempts and successes of each source in tumbling windows. A window is given out when it is closed."""
     n, ok = F.count(F.lit(1)), F.count_if(F.expr(good))
