@@ -19,7 +19,7 @@ BANDS, WIDTH = 10, 2
 #: Ids of documents to verify are broadcast up to this many (16 MB), beyond it joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 #: Rows of one part of a key of very many nodes, of a zone of very many, and bytes of the sets in it, at most about; every part meets every other.
-PART, ZONE_PART, PART_BYTES = 4_000, 1_000, 8 << 20
+PART, ZONE_PART, PART_BYTES = 4_000, 1_000, 4 << 20
 #: Of the 2 * BANDS * WIDTH minhashes so many less than expected at the threshold still count as likely: at 0.8 that is
 #: 22 of 40, which 0.99991 of all pairs of similarity 0.8 have.
 SLACK = 10
@@ -360,8 +360,8 @@ def linked_rows(items: list[np.ndarray], comp: np.ndarray, side: np.ndarray | No
     that have them are counted. With ``side``, only rows of two sides are compared.
     """
     size = np.array([len(x) for x in items])
-    _, code = np.unique(np.concatenate(items), return_inverse=True)
-    row = np.repeat(np.arange(len(items)), size)
+    code = np.unique(np.concatenate(items), return_inverse=True)[1].astype(np.int32)  # half the bytes: a block has some million items at most
+    row = np.repeat(np.arange(len(items), dtype=np.int32), size)
     have = row[np.argsort(code, kind="stable")]  # rows by item
     first = np.append(0, np.cumsum(np.bincount(code)))
     edge = np.append(0, np.cumsum(size))
