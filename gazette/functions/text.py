@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import html
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -54,12 +56,24 @@ def term_hits(text: Column, terms: list[str]) -> Column:
     return F.filter(F.array(*[F.lit(t) for t in terms]), lambda t: F.instr(padded, F.concat(F.lit(" "), t, F.lit(" "))) > 0)
 
 
+def unescape(c: Column) -> Column:
+    """All character references of HTML, named and numeric, decoded once. Only texts with an ampersand go to Python."""
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda x: html.unescape(x) if x else x)
+
+    return F.when(c.contains("&"), run(F.when(c.contains("&"), c))).otherwise(c)
+
+
 def clean_html(c: Column) -> Column:
-    """Tags and the commonest entities out, white space to single spaces."""
-    out = F.regexp_replace(c, "<[^>]*>", " ")
-    for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&")):
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return F.trim(F.regexp_replace(out, r"[ \t\r\n]+", " "))
+    """References decoded, then tags out, white space of any kind to single spaces."""
+    return untagged(unescape(c))
+
+
+def untagged(c: Column) -> Column:
+    """Tags out, white space of any kind to single spaces."""
+    return F.trim(F.regexp_replace(F.regexp_replace(c, "<[^>]+>", " "), r"(?U)\s+", " "))
 
 
 def object_particle(word: Column) -> Column:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import html
 import json
 import re
 from collections.abc import Iterator
@@ -64,16 +63,6 @@ def structured(page: Column) -> Column:
     return run(F.when(page.contains("ld+json"), page))
 
 
-def unescape(c: Column) -> Column:
-    """All character references of HTML decoded. Only texts with an ampersand go to Python."""
-
-    @F.pandas_udf("string")
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda x: html.unescape(x) if x else x)
-
-    return F.when(c.contains("&"), run(F.when(c.contains("&"), c))).otherwise(c)
-
-
 def paragraphs(page: Column) -> Column:
     """The marked-up paragraphs within the first article of a page, or of the whole page where there is none; tags are blanks then."""
     scope = F.when(page.rlike("(?i)<article[^a-z]"), F.regexp_extract(page, r"(?is)<article(?:\s[^>]*)?>(.*?)(?:</article|\z)", 1)).otherwise(page)
@@ -133,7 +122,7 @@ def validate_bodies(articles: DataFrame, log: DataFrame, stopwords: list[str]) -
     usable = (F.col("f.http_status") == 200) & F.lower("f.content_type").contains("html") & F.col("f.error_class").isNull()
     met = met.withColumn("__page", F.when(usable, F.col("f.html")))
     met = met.withColumn("__said", structured(F.col("__page")).body).withColumn("__joined", F.array_join(paragraphs(F.col("__page")), "\u0001"))
-    parts = F.transform(F.split(unescape(F.col("__joined")), "\u0001"), text.one_line)
+    parts = F.transform(F.split(text.unescape(F.col("__joined")), "\u0001"), text.one_line)
     met = met.withColumn("__read", body_of(parts)).withColumn("__body", F.coalesce("__said", "__read"))
     mine, theirs = text.informative_tokens(F.col("title"), stopwords), text.informative_tokens(F.substring("__body", 1, ENOUGH), stopwords)
     met = met.withColumn("__shared", F.array_sort(F.array_intersect(mine, theirs))).withColumn("__n", F.size(mine))

@@ -41,7 +41,7 @@ def declared(pages: DataFrame, url: str = "url", html: str = "html") -> DataFram
     time = F.nullif(attribute(F.regexp_extract(html, r"(?is)<time\s[^>]*datetime[^>]*>", 0), "datetime"), F.lit(""))
     canonical = F.get(F.filter(_tags(F.col(html), "link"), lambda t: F.array_contains(F.split(F.lower(attribute(t, "rel")), r"\s+"), "canonical") & (attribute(t, "href") != "")), F.lit(0))
     images = F.filter(F.transform(F.array(first(["og:image"]), first(["twitter:image"]), F.col("__said.image")), lambda i: urls.resolved(i, F.col(url))), lambda i: i.rlike("^https?://") & ~i.rlike(NO_PICTURE))
-    title = text.one_line(bodies.unescape(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title", 1)))
+    title = text.one_line(text.unescape(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title", 1)))
     return rows.select(
         *pages.columns, F.nullif(title, F.lit("")).alias("title"), first(["og:title"]).alias("og_title"), urls.resolved(F.nullif(F.trim(attribute(canonical, "href")), F.lit("")), F.col(url)).alias("canonical"),
         F.coalesce(first(PUBLISHED), time, F.col("__said.published")).alias("published"), F.substring(first(DESCRIPTION), 1, 700).alias("description"), F.get(images, F.lit(0)).alias("image"),
@@ -67,7 +67,7 @@ def title_similarity(a: Column, b: Column) -> Column:
     def run(x: pd.Series, y: pd.Series) -> pd.Series:
         return pd.Series([difflib.SequenceMatcher(None, p, q).ratio() if p and q else 0.0 for p, q in zip(x, y, strict=True)], dtype=float)
 
-    return run(text.norm_title(bodies.unescape(F.coalesce(a, F.lit("")))), text.norm_title(bodies.unescape(F.coalesce(b, F.lit("")))))
+    return run(text.norm_title(text.unescape(F.coalesce(a, F.lit("")))), text.norm_title(text.unescape(F.coalesce(b, F.lit("")))))
 
 
 def verify_articles(articles: DataFrame, log: DataFrame) -> DataFrame:

@@ -54,11 +54,16 @@ def p1_headline_publisher(spark: SparkSession, sf: str) -> DataFrame:
     return c.select("seq", F.when(has, part(1)).otherwise(F.col("title")).alias("headline"), F.when(has, part(2)).otherwise(F.col("source")).alias("publisher"))
 
 
+def _unescape_sql(c: str) -> str:
+    """The references that occur in the driver's tables, decoded once; ``&amp`` needs no semicolon."""
+    out = c
+    for entity, char in (("&nbsp;?", " "), ("&lt;?", "<"), ("&gt;?", ">"), ("&quot;?", '"'), ("&#39;", "''"), ("&middot;?", "·"), ("&copy;?", "©"), ("&amp;?", "&")):
+        out = f"regexp_replace({out}, '{entity}', '{char}', 'g')"
+    return out
+
+
 def _clean_sql(c: str) -> str:
-    out = f"regexp_replace({c}, '<[^>]*>', ' ', 'g')"
-    for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&")):
-        out = f"replace({out}, '{entity}', '{char}')"
-    return f"trim(regexp_replace({out}, '[ \\t\\r\\n]+', ' ', 'g'))"
+    return f"trim(regexp_replace(regexp_replace({_unescape_sql(c)}, '<[^>]+>', ' ', 'g'), '[ \\t\\r\\n]+', ' ', 'g'))"
 
 
 @query(f"SELECT page_id, {_clean_sql('html')} AS cleaned FROM pages")

@@ -63,9 +63,9 @@ def entries(items: DataFrame, limit: int | None = None, most: int = 700) -> Data
     xml = F.col("xml")
     tag = F.regexp_extract(xml, r"(?is)<link(?:\s[^>]*)?>", 0)
     href = F.regexp_extract(tag, r"""(?is)\shref\s*=\s*["']([^"']*)["']""", 1)
-    plain = lambda c: text.clean_html(text.clean_html(c))  # noqa: E731  references may hide tags
+    plain = lambda c: text.clean_html(text.unescape(c))  # noqa: E731  references of XML, then those of its text, which may hide tags
     summary = F.substring(plain(_inner(xml, "description|summary|content|encoded")), 1, most)
-    x = x.select("source", "seq", plain(_inner(xml, "title")).alias("title"), text.clean_html(F.when(href != "", href).otherwise(_inner(xml, "link"))).alias("url"), text.one_line(_inner(xml, "pubdate|published|updated|date|issued")).alias("published"), summary.alias("summary"))
+    x = x.select("source", "seq", plain(_inner(xml, "title")).alias("title"), text.one_line(text.unescape(F.when(href != "", href).otherwise(_inner(xml, "link")))).alias("url"), text.one_line(_inner(xml, "pubdate|published|updated|date|issued")).alias("published"), summary.alias("summary"))
     x = x.filter((F.col("title") != "") & F.col("url").startswith("http"))
     return x.select("source", "seq", "title", "url", urls.domain(F.col("url")).alias("domain"), "published", times.published(F.col("published")).alias("published_at"), "summary")
 

@@ -23,7 +23,7 @@ designModule:struct<studyType:string,enrollmentInfo:struct<count:long>>,descript
 
 
 def plain(c: Column) -> Column:
-    """A text without tags and the common entities, on one line; a null one is empty."""
+    """A text without tags, all references decoded, on one line; a null one is empty."""
     return text.clean_html(F.coalesce(c.cast("string"), F.lit("")))
 
 
@@ -43,8 +43,9 @@ def kind_of(body: Column) -> Column:
 
 def _names(people: Column, first: str, last: str) -> Column:
     """The names of the first twelve people, empty ones left out."""
-    name = lambda p: plain(F.concat_ws(" ", p[first], p[last]))
-    return F.filter(F.transform(F.slice(F.coalesce(people, F.array().cast("array<struct<" + first + ":string," + last + ":string>>")), 1, AUTHORS), name), lambda n: n != "")
+    written = F.transform(F.slice(F.coalesce(people, F.array().cast("array<struct<" + first + ":string," + last + ":string>>")), 1, AUTHORS), lambda p: F.concat_ws(" ", p[first], p[last]))
+    decoded = F.split(text.unescape(F.array_join(written, "\u0001")), "\u0001")  # all names of a row at once
+    return F.filter(F.transform(decoded, text.untagged), lambda n: n != "")
 
 
 def _records(rows: DataFrame, source: str, **fields: Column) -> DataFrame:
@@ -119,7 +120,7 @@ def trials_json(raw: DataFrame, cutoff: Column | None = None) -> DataFrame:
 
 def query_terms(c: Column) -> Column:
     """The first six terms of a query of alternatives, for providers that do not read OR."""
-    terms = F.filter(F.transform(F.split(c, r"(?i)\s+OR\s+"), plain), lambda t: t != "")
+    terms = F.filter(F.transform(F.split(text.unescape(c), r"(?i)\s+OR\s+"), text.untagged), lambda t: t != "")
     return F.when(F.size(terms) > 0, F.slice(terms, 1, 6)).otherwise(F.array(plain(c)))
 
 

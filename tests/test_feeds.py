@@ -33,3 +33,30 @@ def test_headlines(spark):
     assert {r.t: (r.s.headline, r.s.publisher) for r in got} == split
     df = spark.createDataFrame([("wire", 0, RSS.format("A headline of some length - Paper", 1)), ("wire", 1, RSS.format("Short - Paper", 2)), ("wire", 2, RSS.format("A headline without one", 3))], "source string, seq long, xml string")
     assert [(r.title, r.publisher) for r in feeds.news_entries(df, rules).orderBy("seq").collect()] == [("A headline of some length", "Paper"), ("A headline without one", "wire")]
+
+
+REFERENCES = "It&#8217;s &ndash; caf&eacute; &amp; &#x1F600; 5 &gt; 4 &nbsp; end"
+DECODED = "It’s – café & 😀 5 > 4 end"
+
+
+def test_all_references_are_decoded_in_every_reader(spark):
+    import html
+    import json
+
+    from gazette.functions import text
+    from gazette.operators import pages
+    from gazette.sources import research
+
+    one = spark.range(1)
+    got = one.select(text.clean_html(F.lit(f"<p>{REFERENCES}</p>")).alias("a"), text.clean_html(F.lit("x &lt;i&gt;y&lt;/i&gt;  z")).alias("b"), text.clean_html(F.lit(None).cast("string")).alias("c"), text.unescape(F.lit("&amp;lt;")).alias("d")).first()
+    assert tuple(got) == (DECODED, "x y z", None, "&lt;")
+    item = f"<item><title>{html.escape(REFERENCES)}</title><link>https://a.example/x?a=1&amp;b=2</link><description>{html.escape('<b>' + REFERENCES + '</b>')}</description></item>"
+    row = feeds.entries(spark.createDataFrame([("s", 1, item)], "source string, seq long, xml string")).first()
+    assert (row.title, row.summary, row.url) == (DECODED, DECODED, "https://a.example/x?a=1&b=2")
+    work = json.dumps({"DOI": "10.1/X", "title": [REFERENCES], "container-title": ["Caf&eacute;"], "author": [{"given": "Ren&eacute;", "family": "M&uuml;ller"}, {"given": " ", "family": ""}]})
+    row = research.works_json(spark.createDataFrame([(1, "t", work)], "seq long, topic string, json string")).first()
+    assert (row.title, row.journal, row.authors) == (DECODED, "Café", ["René Müller"])
+    page = f'<a href="/news/1">{REFERENCES}</a>'
+    row = pages.discover_links(spark.createDataFrame([(1, "https://a.example/", page)], "k int, url string, html string"), "k", ["/news"], 5).first()
+    assert row.label == DECODED
+    assert one.select(research.query_terms(F.lit("a &amp; b OR caf&eacute; or  d"))).first()[0] == ["a & b", "café", "d"]
