@@ -25,14 +25,21 @@ def is_http(url: Column) -> Column:
     return F.coalesce(url.rlike(r"^https?://[^/?#]+"), F.lit(False))
 
 
-def reject_reason(url: Column) -> Column:
-    """bad_url, generic_url, incomplete_url or null."""
-    where = F.regexp_replace(F.lower(path(url)), r"/+$", "")
-    return (
-        F.when(~is_http(url), "bad_url")
-        .when(where.isin("", "/news", "/latest", "/index.html", "/home"), "generic_url")
-        .when(url.rlike(r"\?$") | where.rlike(r"/(id|article|story)$"), "incomplete_url")
-    )
+#: Paths of front and section pages.
+GENERIC = ("", "/news", "/world", "/business", "/technology", "/research-highlights")
+
+
+def reject_reason(url: Column, generic: tuple[str, ...] = GENERIC, sites: tuple[tuple[str, str, str], ...] = ()) -> Column:
+    """bad_url, generic_url, incomplete_url or null.
+
+    Incomplete are addresses that end with a question mark or with an id, article or story without a value, and those of
+    ``sites`` (end of the host, end of the path, parameter) without a value of the parameter.
+    """
+    host, where = F.regexp_extract(F.lower(url), r"^https?://([^/?#]+)", 1), F.regexp_replace(path(url), r"/+$", "")
+    incomplete = url.rlike(r"\?$") | url.rlike(r"[?&](id|article|story)=?$")
+    for site, end, key in sites:
+        incomplete = incomplete | (F.endswith(host, F.lit(site)) & F.endswith(path(url), F.lit(end)) & ~url.rlike(rf"[?&]{key}=[^&#]"))
+    return F.when(~is_http(url), "bad_url").when(where.isin(*generic), "generic_url").when(incomplete, "incomplete_url")
 
 
 def suffixes(host: Column) -> Column:

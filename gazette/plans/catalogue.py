@@ -163,15 +163,15 @@ def f3_chapter_relevance(spark: SparkSession, sf: str) -> DataFrame:
     return h.select("seq", reason.alias("reason"), F.round(score, 4).alias("relevance"), F.col("t").cast("long").alias("title_hits"), F.col("s").cast("long").alias("summary_hits"))
 
 
-URL_REASON = f"""CASE WHEN url IS NULL OR NOT regexp_matches(url, '^https?://[^/?#]+') THEN 'bad_url'
-WHEN regexp_replace(lower(regexp_extract(url, '^https?://[^/?#]+(/[^?#]*)', 1)), '/+$', '') IN ('', '/news', '/latest', '/index.html', '/home') THEN 'generic_url'
-WHEN regexp_matches(url, '\\?$') OR regexp_matches(regexp_replace(lower(regexp_extract(url, '^https?://[^/?#]+(/[^?#]*)', 1)), '/+$', ''), '/(id|article|story)$') THEN 'incomplete_url' END"""
+URL_REASON = """CASE WHEN url IS NULL OR NOT regexp_matches(url, '^https?://[^/?#]+') THEN 'bad_url'
+WHEN regexp_replace(regexp_extract(url, '^https?://[^/?#]+(/[^?#]*)', 1), '/+$', '') IN ('', '/news', '/world', '/business', '/technology', '/research-highlights') THEN 'generic_url'
+WHEN regexp_matches(url, '\\?$') OR regexp_matches(url, '[?&](id|article|story)=?$') THEN 'incomplete_url' END"""
 
 
-@query(f"SELECT page_id, {HOST} AS domain, {KEY} AS canonical_key, {URL_REASON} AS reason FROM pages")
+@query(f"""SELECT page_id, {HOST} AS domain, {KEY} AS canonical_key, coalesce({URL_REASON}, CASE WHEN regexp_matches(lower(url), '^https?://[^/?#]*example\\.net([/?#]|$)') AND regexp_matches(url, '^https?://[^/?#]+/[^?#]*/([?#]|$)') AND NOT regexp_matches(url, '[?&]page=[^&#]') THEN 'incomplete_url' END) AS reason FROM pages""")
 def f5_url_validity(spark: SparkSession, sf: str) -> DataFrame:
     u = F.col("url")
-    return table(spark, sf, "pages").select("page_id", urls.domain(u).alias("domain"), urls.canonical_key(u).alias("canonical_key"), urls.reject_reason(u).alias("reason"))
+    return table(spark, sf, "pages").select("page_id", urls.domain(u).alias("domain"), urls.canonical_key(u).alias("canonical_key"), urls.reject_reason(u, sites=(("example.net", "/", "page"),)).alias("reason"))
 
 
 @query(f"WITH {CAND}, n AS (SELECT seq, ' ' || {NORM.format('text')} || ' ' AS padded FROM c), h AS (SELECT seq, list_filter(['and', 'der', 'que', 'entin'], lambda t: contains(padded, ' ' || t || ' ')) AS hits FROM n) SELECT seq, array_to_string(hits, ',') AS topics FROM h WHERE len(hits) > 0")

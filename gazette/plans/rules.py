@@ -2,22 +2,35 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gazette.functions import text, urls
-from gazette.operators import similar
-from gazette.plans.catalogue import CAND, EVENT_PAIRS, HOST, INFORMATIVE, NORM, STOP, STUDY, event_sides, query
+from gazette.operators import ladder, similar
+from gazette.plans.catalogue import CAND, EVENT_PAIRS, HOST, INFORMATIVE, NORM, STOP, STUDY, URL_REASON, event_sides, query
 from gazette.sources.tables import candidates, table
 
-#: Policy of the driver's chapters: days that news stays fresh, topic words, excluded words, strong title words.
-POLICY = [
-    ("en", 3, ["the", "that", "for", "was"], ["whose", "heress"], ["the", "and", "that"]),
-    ("fr", 7, ["les", "que", "pour", "dans"], ["chez"], ["le", "la", "les"]),
-    ("de", 7, ["der", "und", "nicht", "ein"], ["gratis"], ["der", "die", "und"]),
-    ("es", 7, ["los", "que", "para", "con"], ["gratis"], ["el", "la", "los"]),
+#: Policy of the driver's chapters: days that news stays fresh, topic words.
+POLICY = [("en", 3, ["the", "that", "for", "was"]), ("fr", 7, ["les", "que", "pour", "dans"]), ("de", 7, ["der", "und", "nicht", "ein"]), ("es", 7, ["los", "que", "para", "con"])]
+POLICY_SCHEMA = "chapter string, most int, keywords array<string>"
+
+
+def _rule(place: int, reason: str, chapter: str | None, *tests: tuple[str, str, list[str], bool], least: int | None = None, most: int | None = None) -> dict:
+    return {"place": place, "reason": reason, "chapter": chapter, "least_tier": least, "most_tier": most, "tests": [{"field": f, "how": h, "terms": t, "present": p} for f, h, t, p in tests]}
+
+
+#: Of each chapter excluded topics and relevance; then the rules that only one chapter has (en stands for foreign affairs, fr for the economy, de for companies).
+REJECTS = [
+    _rule(1, "excluded_topic", "en", ("text", "words", ["thanea", "sports news"], True)), _rule(1, "excluded_topic", "fr", ("text", "words", ["eauoué", "enmentai"], True)), _rule(1, "excluded_topic", "es", ("text", "words", ["lo"], True)),
+    *[_rule(2, "low_relevance", chapter, ("text", "words", words, False)) for chapter, _, words in POLICY],
+    _rule(3, "macro_wrong_chapter", "en", ("title", "words", ["of", "by"], True), ("title", "words", ["and", "that"], False)),
+    _rule(4, "public_safety_wrong_chapter", "en", ("title", "words", ["in", "with"], True), ("title", "words", ["and", "is", "to"], False)),
+    _rule(5, "low_impact_feature", "en", ("title", "words", ["was", "as"], True), ("title", "words", ["and", "that"], False)),
+    _rule(6, "weak_macro_signal", "fr", ("title", "words", ["la", "le", "et"], False), least=2), _rule(7, "low_impact_primary_update", "fr", ("title", "words", ["du", "une"], True), most=1),
+    _rule(8, "weak_company_signal", "de", ("title", "words", ["der", "die", "und"], False), least=2), _rule(9, "low_impact_primary_update", "de", ("title", "words", ["in", "von"], True), most=1),
 ]
-POLICY_SCHEMA = "chapter string, most int, keywords array<string>, exclude array<string>, strong array<string>"
 PADDED = "' ' || " + NORM + " || ' '"
 
 
@@ -25,30 +38,52 @@ def _list(xs: list[str]) -> str:
     return "[" + ", ".join(f"'{x}'" for x in xs) + "]"
 
 
-POLICY_SQL = "pol AS (SELECT * FROM (VALUES " + ", ".join(f"('{c}', {m}, {_list(k)}, {_list(x)}, {_list(s)})" for c, m, k, x, s in POLICY) + ") v(chapter, most, keywords, exclude, strong))"
-PRIORITY = f"""{CAND}, {POLICY_SQL}, n AS (SELECT seq, chapter, source, title, most, keywords, exclude, strong, {PADDED.format("title || ' ' || summary")} AS body, {PADDED.format('title')} AS head, seq % 5 AS tier,
+def _test_sql(t: dict, columns: dict[str, str]) -> str:
+    seen = columns[f"{t['how']}_{t['field']}"]
+    if t["how"] == "words":
+        found = " OR ".join(f"contains({seen}, ' ' || {NORM.format(repr(x))} || ' ')" for x in t["terms"])
+    elif t["how"] == "segments":
+        found = f"len(list_intersect({seen}, {_list(t['terms'])})) > 0"
+    elif t["how"] == "years_before":
+        found = f"coalesce(list_min({seen}) <= list_max({columns['published']}) - {t['terms'][0]}, false)"
+    else:
+        found = " OR ".join(f"{'starts_with' if t['how'] == 'starts' else 'contains'}({seen}, '{x}')" for x in t["terms"])
+    return f"({found})" if t["present"] else f"NOT ({found})"
+
+
+def ladder_sql(rules: list[dict], columns: dict[str, str]) -> str:
+    """The rules as branches of a CASE, over columns named by way and field."""
+    rows = []
+    for r in rules:
+        cond = [f"chapter = '{r['chapter']}'"] if r["chapter"] else []
+        cond += [f"tier >= {r['least_tier']}"] if r["least_tier"] is not None else []
+        cond += [f"tier <= {r['most_tier']}"] if r["most_tier"] is not None else []
+        rows.append(f"WHEN {' AND '.join(cond + [_test_sql(t, columns) for t in r['tests']])} THEN '{r['reason']}'")
+    return " ".join(rows)
+
+
+POLICY_SQL = "pol AS (SELECT * FROM (VALUES " + ", ".join(f"('{c}', {m}, {_list(k)})" for c, m, k in POLICY) + ") v(chapter, most, keywords))"
+LINK_SQL = "CASE WHEN seq % 31 = 5 THEN link || '?id=' WHEN seq % 31 = 6 THEN 'https://' || source || '.example.com/news/' WHEN seq % 31 = 7 THEN 'ftp://' || source ELSE link END"
+PRIORITY = f"""{CAND}, {POLICY_SQL}, n AS (SELECT seq, chapter, source, title, most, keywords, {LINK_SQL} AS url, {PADDED.format("title || ' ' || summary")} AS body, {PADDED.format('title')} AS head, seq % 5 AS tier,
 CASE WHEN seq % 50 = 7 THEN NULL WHEN seq % 40 = 3 THEN -2.0 ELSE age_h / 24.0 END AS age FROM c JOIN pol USING (chapter)),
-h AS (SELECT *, len(list_filter(keywords, lambda k: contains(body, ' ' || k || ' '))) AS hits, len(list_filter(exclude, lambda k: contains(body, ' ' || k || ' '))) AS bad, len(list_filter(strong, lambda k: contains(head, ' ' || k || ' '))) AS firm FROM n),
-pr AS (SELECT seq, chapter, source, title, age, CASE WHEN bad > 0 THEN 'excluded_topic' WHEN hits < 1 THEN 'low_relevance' WHEN tier >= 2 AND firm < 1 THEN 'weak_signal' WHEN tier <= 1 AND length(title) > 120 THEN 'low_impact_primary_update'
-WHEN age IS NULL THEN 'missing_date' WHEN age < -1 THEN 'future_date' WHEN age > most THEN 'stale' END AS reason, round(hits * 10 + 2 * greatest(0, most - greatest(0, age)) + greatest(0, 4 - tier), 6) AS score FROM h)"""
+h AS (SELECT *, len(list_filter(keywords, lambda k: contains(body, ' ' || k || ' '))) AS hits FROM n),
+pr AS (SELECT seq, chapter, source, title, age, CASE {ladder_sql(REJECTS, {"words_text": "body", "words_title": "head"})}
+WHEN age IS NULL THEN 'missing_date' WHEN age < -1 THEN 'future_date' WHEN age > most THEN 'stale' ELSE {URL_REASON} END AS reason, round(hits * 10 + 2 * greatest(0, most - greatest(0, age)) + greatest(0, 4 - tier), 6) AS score FROM h)"""
 
 
 def priority(spark: SparkSession, sf: str) -> DataFrame:
-    """seq, chapter, source, title, age (days), reason (null: kept), score. The policy is a table of a few rows."""
+    """seq, chapter, source, title, age (days), reason (null: kept), score. Policy and rules are tables of a few rows."""
     pol = F.broadcast(spark.createDataFrame(POLICY, POLICY_SCHEMA))
-    pad = lambda c: F.concat(F.lit(" "), text.norm_title(c), F.lit(" "))
-    age = F.when(F.col("seq") % 50 == 7, None).when(F.col("seq") % 40 == 3, -2.0).otherwise(F.col("age_h") / 24)
-    n = candidates(spark, sf).join(pol, "chapter").select("seq", "chapter", "source", "title", "most", "keywords", "exclude", "strong", pad(F.concat("title", F.lit(" "), "summary")).alias("body"), pad(F.col("title")).alias("head"), (F.col("seq") % 5).alias("tier"), age.alias("age"))
-    hits = lambda terms, where: F.size(F.filter(terms, lambda k: F.instr(F.col(where), F.concat(F.lit(" "), k, F.lit(" "))) > 0))
-    h = n.withColumns({"hits": hits("keywords", "body"), "bad": hits("exclude", "body"), "firm": hits("strong", "head")})
-    a, tier = F.col("age"), F.col("tier")
-    reason = (
-        F.when(F.col("bad") > 0, "excluded_topic").when(F.col("hits") < 1, "low_relevance").when((tier >= 2) & (F.col("firm") < 1), "weak_signal").when((tier <= 1) & (F.length("title") > 120), "low_impact_primary_update")
-        .when(a.isNull(), "missing_date").when(a < -1, "future_date").when(a > F.col("most"), "stale")
-    )
-    fresh = F.greatest(F.lit(0.0), F.col("most") - F.greatest(F.lit(0.0), a))
-    score = F.round(F.col("hits") * 10 + 2 * fresh + F.greatest(F.lit(0), 4 - tier), 6)
-    return h.select("seq", "chapter", "source", "title", "age", reason.alias("reason"), score.alias("score"))
+    s = F.col("seq")
+    age = F.when(s % 50 == 7, None).when(s % 40 == 3, -2.0).otherwise(F.col("age_h") / 24)
+    url = F.when(s % 31 == 5, F.concat("link", F.lit("?id="))).when(s % 31 == 6, F.concat(F.lit("https://"), "source", F.lit(".example.com/news/"))).when(s % 31 == 7, F.concat(F.lit("ftp://"), "source")).otherwise(F.col("link"))
+    n = candidates(spark, sf).join(pol, "chapter").select("seq", "chapter", "source", "title", F.concat("title", F.lit(" "), "summary").alias("body"), "most", "keywords", (s % 5).alias("tier"), age.alias("age"), url.alias("url"))
+    told = ladder.rejected(n, ladder.parse(spark, json.dumps(REJECTS)), {"title": F.col("title"), "text": F.col("body")}, F.col("most"))
+    padded = F.concat(F.lit(" "), text.norm_title(F.col("body")), F.lit(" "))
+    hits = text.let(padded, lambda body: F.size(F.filter("keywords", lambda k: F.contains(body, F.concat(F.lit(" "), k, F.lit(" "))))))
+    fresh = F.greatest(F.lit(0.0), F.col("most") - F.greatest(F.lit(0.0), F.col("age")))
+    score = F.round(hits * 10 + 2 * fresh + F.greatest(F.lit(0), 4 - F.col("tier")), 6)
+    return told.select("seq", "chapter", "source", "title", "age", "reason", score.alias("score"))
 
 
 @query(f"WITH {PRIORITY} SELECT seq, chapter, reason FROM pr")
@@ -61,19 +96,52 @@ def c2_priority_score(spark: SparkSession, sf: str) -> DataFrame:
     return priority(spark, sf).filter("reason IS NULL").select("seq", "chapter", "score")
 
 
+@query(f"""WITH {PRIORITY}, g AS (SELECT chapter, reason, count(*) AS n FROM pr GROUP BY ALL) SELECT chapter, CAST(coalesce(sum(n) FILTER (reason IS NULL), 0) AS BIGINT) AS kept, CAST(coalesce(sum(n) FILTER (reason IS NOT NULL), 0) AS BIGINT) AS rejected,
+string_agg(reason || ':' || n, ',' ORDER BY reason) FILTER (reason IS NOT NULL) AS reasons FROM g GROUP BY chapter""")
+def f4_reject_report(spark: SparkSession, sf: str) -> DataFrame:
+    """How many rows of each chapter the ladder keeps, and how often it gave each reason."""
+    r = ladder.report(priority(spark, sf))
+    written = F.array_join(F.transform(F.array_sort(F.map_entries("reasons")), lambda e: F.concat(e.key, F.lit(":"), e.value.cast("string"))), ",")
+    return r.select("chapter", "kept", "rejected", F.nullif(written, F.lit("")).alias("reasons"))
+
+
 OPINION = ["opinion", "comment", "editorial", "columns", "analysis", "de"]
-YEARS = "list_transform(regexp_extract_all({}, '(?:19|20)[0-9]{{2}}', 0), lambda y: CAST(y AS INTEGER))"
+#: Rules before selection: paths of opinion everywhere, then those of a chapter (a: foreign affairs, b: science, c: economy).
+FACTUAL = [
+    _rule(1, "non_factual_path", None, ("url", "segments", OPINION, True)),
+    _rule(2, "public_safety_incident", "a", ("text", "contains", ["the thnd"], True), ("text", "contains", ["blast", "erhes", "ntha"], True)),
+    _rule(3, "industrial_expansion_wrong_chapter", "a", ("title", "contains", ["hea", "ing"], True), ("title", "contains", ["and", "that"], False)),
+    _rule(4, "science_briefing", "b", ("title", "contains", ["briefing", "erth"], True)), _rule(5, "science_content_filler", "b", ("title", "contains", ["podcast", "ouhe"], True)),
+    _rule(6, "prefer_primary_source", "b", ("source", "starts", ["agency"], True), ("title", "contains", ["th"], True), ("title", "contains", ["launch", "an"], True)),
+    _rule(7, "historical_reference_data", "c", ("source", "contains", ["office for"], True), ("text", "contains", ["the", "de"], True), ("text", "years_before", ["3"], True)),
+]
+YEARS = "list_transform(regexp_extract_all({}, '\\b((?:19|20)[0-9]{{2}})\\b', 1), lambda y: CAST(y AS INTEGER))"
+FACTS = f"""fp AS (SELECT page_id, {_list(["a", "b", "c", "d"])}[CAST(page_id % 4 AS INTEGER) + 1] AS chapter, CASE page_id % 3 WHEN 0 THEN 'Agency of space' WHEN 1 THEN 'Office for numbers' ELSE 'Paper' END AS source, CAST(2023 + page_id % 5 AS VARCHAR) || '-01-08' AS published, 0 AS tier,
+string_split(lower(regexp_extract(url, '^https?://[^/?#]+(/[^?#]*)', 1)), '/') AS segments, lower(regexp_extract(html, '<title>([^<]*)</title>', 1)) AS title, lower(html) AS body FROM pages),
+fr AS (SELECT page_id, chapter, CASE {ladder_sql(FACTUAL, {"segments_url": "segments", "contains_text": "body", "contains_title": "title", "starts_source": "lower(source)", "contains_source": "lower(source)", "years_before_text": YEARS.format("body"), "published": YEARS.format("published")})} END AS reason FROM fp)"""
+
 
+def facts(spark: SparkSession, sf: str) -> DataFrame:
+    k = F.col("page_id")
+    p = table(spark, sf, "pages").select(
+        "page_id", F.element_at(F.array(*[F.lit(x) for x in "abcd"]), (k % 4 + 1).cast("int")).alias("chapter"), F.when(k % 3 == 0, "Agency of space").when(k % 3 == 1, "Office for numbers").otherwise("Paper").alias("source"),
+        F.concat((2023 + k % 5).cast("string"), F.lit("-01-08")).alias("published"), "url", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), "html",
+    )
+    fields = {"url": F.col("url"), "title": F.col("title"), "text": F.col("html"), "source": F.col("source"), "published": F.col("published")}
+    return ladder.reasons(p, ladder.parse(spark, json.dumps(FACTUAL)), fields)
 
-@query(f"""WITH p AS (SELECT page_id, string_split(lower(regexp_extract(url, '^https?://[^/?#]+(/[^?#]*)', 1)), '/') AS segments, lower(regexp_extract(html, '<title>([^<]*)</title>', 1)) AS title, {YEARS.format('html')} AS years FROM pages)
-SELECT page_id, CASE WHEN len(list_intersect(segments, {_list(OPINION)})) > 0 THEN 'non_factual_path' WHEN contains(title, 'briefing') THEN 'science_briefing' WHEN contains(title, 'podcast') THEN 'science_content_filler'
-WHEN len(years) > 0 AND list_min(years) <= 2021 THEN 'historical_reference_data' ELSE '' END AS reason FROM p""")
+
+@query(f"WITH {FACTS} SELECT page_id, chapter, reason FROM fr")
 def f6_factual_prefilter(spark: SparkSession, sf: str) -> DataFrame:
-    segments = F.split(F.lower(urls.path(F.col("url"))), "/")
-    title = F.lower(F.regexp_extract("html", "<title>([^<]*)</title>", 1))
-    years = F.transform(F.regexp_extract_all("html", F.lit("(?:19|20)[0-9]{2}"), F.lit(0)), lambda y: y.cast("int"))
-    reason = F.when(F.arrays_overlap(segments, F.array(*[F.lit(x) for x in OPINION])), "non_factual_path").when(title.contains("briefing"), "science_briefing").when(title.contains("podcast"), "science_content_filler")
-    return table(spark, sf, "pages").select("page_id", reason.when(F.array_min(years) <= 2021, "historical_reference_data").otherwise("").alias("reason"))
+    return facts(spark, sf).select("page_id", "chapter", "reason")
+
+
+@query(f"""WITH {FACTS}, g AS (SELECT chapter, reason, count(*) AS n FROM fr GROUP BY ALL) SELECT chapter, CAST(coalesce(sum(n) FILTER (reason IS NULL), 0) AS BIGINT) AS kept, CAST(coalesce(sum(n) FILTER (reason IS NOT NULL), 0) AS BIGINT) AS rejected,
+string_agg(reason || ':' || n, ',' ORDER BY reason) FILTER (reason IS NOT NULL) AS reasons FROM g GROUP BY chapter""")
+def f6_prefilter_report(spark: SparkSession, sf: str) -> DataFrame:
+    r = ladder.report(facts(spark, sf))
+    written = F.array_join(F.transform(F.array_sort(F.map_entries("reasons")), lambda e: F.concat(e.key, F.lit(":"), e.value.cast("string"))), ",")
+    return r.select("chapter", "kept", "rejected", F.nullif(written, F.lit("")).alias("reasons"))
 
 
 @query("SELECT doc_id, CASE WHEN doc_id % 40 = 3 THEN 'future_publication' WHEN lang NOT IN ('en', 'fr') THEN 'evidence_kind' END AS reason FROM documents")
