@@ -28,10 +28,10 @@ def greedy_select(
     end with a column that tells rows apart.
 
     Greedy picks come in the order of the rows, so that a group that the first PREFIX rows fill needs no more of them:
-    with ``likeness``, these rows (a bounded number, cut by a rank within the group before they are brought together) are
-    walked through by one fold. Groups that are not full then, and selections by ``conflict``, go on in rounds: the i-th
-    pick is the best row that fits picks 1..i-1, so at most ``target`` rounds do. Each takes the best row of each group
-    by a partial aggregate and drops what no longer fits. No whole group is ever collected into one task.
+    with ``likeness``, these rows (a bounded number, cut by a rank in each partition before they are brought together)
+    are walked through by one fold. Groups that are not full then, and selections by ``conflict``, go on in rounds: the
+    i-th pick is the best row that fits picks 1..i-1, so at most ``target`` rounds do. Each takes the best row of each
+    group by a partial aggregate and drops what no longer fits. ``df`` is read again for those rounds alone.
 
     Rows of ``seed`` (columns of ``df``, at most ``target`` a group) count as chosen before: they fill places, caps and
     conflicts, and come first in the result.
@@ -39,7 +39,7 @@ def greedy_select(
     columns = columns or df.columns
     if likeness is not None:
         by_alias = lambda a, b: likeness(F.col(f"{a}.{on}"), F.col(f"{b}.{on}"))
-        chosen, rest = _folded(settle(df), group, order, target, caps, likeness, on, seed)
+        chosen, rest = _folded(df, group, order, target, caps, likeness, on, seed)
         if rest.isEmpty():
             return chosen.select(*columns, "pick")
         open_groups = rest.select(*group).distinct()
@@ -55,33 +55,44 @@ def greedy_select(
 def _folded(
     df: DataFrame, group: list[str], order: list[str], target: int, caps: dict[str, int] | None, likeness: Callable[[Column, Column], Column], on: str, seed: DataFrame | None,
 ) -> tuple[DataFrame, DataFrame]:
-    """The picks among the first PREFIX rows of each group, with those of ``seed``; and the further rows of groups that are not full."""
+    """The picks among the first PREFIX rows of each group, with those of ``seed``; and the further rows of groups that are not full.
+
+    The limit stands on the rank, so that partitions cut groups to it before they are shuffled; only these rows are
+    written. The fold walks over places, capped columns and 64-bit hashes of the elements of ``on``; the rows of its
+    picks are joined back. Rows beyond are those below a group's last row walked through: a filter, no second rank.
+    """
     best = [F.desc(o) for o in order]
     if seed is not None:
         df = df.join(seed.select(*group, *order), [*group, *order], "left_anti").select(df.columns)
-    placed = df.withColumn("__place", F.row_number().over(Window.partitionBy(*group).orderBy(*best)))
-    few = placed.filter(F.col("__place") <= PREFIX)
-    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    walk = few.groupBy(*group).agg(F.sort_array(F.collect_list(F.struct("__place", row.alias("row")))).alias("rows"))
-    kind = f"array<{df.select(row.alias('x')).schema['x'].dataType.simpleString()}>"
+    hashes = F.transform(F.coalesce(on, F.array().cast("array<string>")), lambda t: F.xxhash64(t.cast("string")))
+    placed = df.withColumn("__place", F.row_number().over(Window.partitionBy(*group).orderBy(*best))).filter(F.col("__place") <= PREFIX)
+    few = settle(placed.withColumn("__hashes", hashes))
+    slim = F.struct("__place", *[F.col(f"`{c}`") for c in caps or {}], "__hashes")
+    walk = few.groupBy(*group).agg(F.sort_array(F.collect_list(slim)).alias("rows"), F.min_by(F.struct(*order), F.struct(*order)).alias("__last"))
+    kind = f"array<{few.select(slim.alias('x')).schema['x'].dataType.simpleString()}>"
     start = F.array().cast(kind)
+    first = None
     if seed is not None:
         kept = Window.partitionBy(*group).orderBy(*best)
-        first = seed.select(*df.columns).withColumn("__place", F.row_number().over(kept))
-        first = first.groupBy(*group).agg(F.transform(F.sort_array(F.collect_list(F.struct("__place", row.alias("row")))), lambda x: x.row).alias("held"))
-        walk = walk.join(first, group, "full").withColumn("rows", F.coalesce("rows", F.array().cast(few.select(F.array(F.struct("__place", row.alias("row"))).alias("x")).schema["x"].dataType)))
+        first = settle(seed.select(*df.columns).withColumns({"__place": -F.row_number().over(kept), "__hashes": hashes}))  # places below 0, the best the highest
+        held = first.groupBy(*group).agg(F.reverse(F.sort_array(F.collect_list(slim))).alias("held"))
+        walk = walk.join(held, group, "full").withColumn("rows", F.coalesce("rows", F.array().cast(kind)))
         start = F.coalesce(F.col("held").cast(kind), start)
 
     def step(chosen: Column, x: Column) -> Column:
-        fits = (F.size(chosen) < target) & ~F.exists(chosen, lambda c: F.coalesce(likeness(c[on], x.row[on]), F.lit(False)))
+        fits = (F.size(chosen) < target) & ~F.exists(chosen, lambda c: F.coalesce(likeness(c["__hashes"], x["__hashes"]), F.lit(False)))
         for column, cap in (caps or {}).items():
-            fits = fits & (F.size(F.filter(chosen, lambda c: c[column].eqNullSafe(x.row[column]))) < cap)  # noqa: B023
-        return F.when(fits, F.concat(chosen, F.array(x.row))).otherwise(chosen)
-
-    got = settle(walk.select(*group, F.aggregate("rows", start, step).alias("chosen"), F.size("rows").alias("__seen")))
-    picks = got.select(F.posexplode("chosen").alias("at", "x")).select("x.*", (F.col("at") + 1).alias("pick"))
-    short = got.filter((F.size("chosen") < target) & (F.col("__seen") == PREFIX)).select(*group)
-    rest = placed.filter(F.col("__place") > PREFIX).join(short, group, "left_semi").select(df.columns)
+            fits = fits & (F.size(F.filter(chosen, lambda c: c[column].eqNullSafe(x[column]))) < cap)  # noqa: B023
+        return F.when(fits, F.concat(chosen, F.array(x))).otherwise(chosen)
+
+    got = settle(walk.select(*group, F.transform(F.aggregate("rows", start, step), lambda x: x["__place"]).alias("chosen"), F.size("rows").alias("__seen"), "__last"))
+    turns = got.select(*group, F.posexplode("chosen").alias("__at", "__place"))
+    known = few if first is None else few.unionByName(first)
+    picks = known.join(turns, [*group, "__place"]).select(*df.columns, (F.col("__at") + 1).alias("pick"))
+    short = got.filter((F.size("chosen") < target) & (F.col("__seen") == PREFIX)).select(*group, "__last")
+    if short.isEmpty():
+        return picks, df.limit(0)
+    rest = df.join(short, group).filter(F.struct(*order) < F.col("__last")).select(df.columns)
     return picks, settle(rest)
 
 

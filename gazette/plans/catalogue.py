@@ -155,12 +155,18 @@ SELECT seq, CASE WHEN chapter = 'en' THEN 'broad' WHEN neg > 0 AND len(th) = 0 T
 round(CASE WHEN chapter = 'en' THEN 1.0 WHEN neg > 0 AND len(th) = 0 THEN -1.0 WHEN len(th) >= 1 THEN least(1.0, 0.65 + 0.1 * (len(th) - 1) + 0.05 * least(len(sh), 3)) WHEN len(sh) >= 2 THEN least(0.6, 0.25 + 0.1 * len(sh)) ELSE 0.0 END, 4) AS relevance,
 len(th) AS title_hits, len(sh) AS summary_hits FROM h""")
 def f3_chapter_relevance(spark: SparkSession, sf: str) -> DataFrame:
-    hits = lambda terms, c: F.filter(F.array(*[F.lit(k) for k in terms]), lambda k: F.instr(F.lower(c), k) > 0)
-    h = candidates(spark, sf).select("seq", "chapter", F.size(hits(POSITIVE, F.col("title"))).alias("t"), F.size(hits(POSITIVE, F.col("summary"))).alias("s"), F.size(hits(NEGATIVE, F.col("title"))).alias("neg"))
+    return relevance(candidates(spark, sf), "seq").select("seq", "reason", F.round("relevance", 4).alias("relevance"), F.col("title_hits").cast("long").alias("title_hits"), F.col("summary_hits").cast("long").alias("summary_hits"))
+
+
+def relevance(c: DataFrame, *keep: str) -> DataFrame:
+    """The columns ``keep`` with reason, relevance, title_hits, summary_hits: how candidates belong to their chapter. Terms are looked for once, in lower-case texts."""
+    hits = lambda terms, low: sum((F.contains(low, F.lit(k)).cast("int") for k in terms), F.lit(0))
+    low = c.withColumns({"__t": F.lower("title"), "__s": F.lower("summary")})
+    h = low.select(*c.columns, hits(POSITIVE, F.col("__t")).alias("t"), hits(POSITIVE, F.col("__s")).alias("s"), hits(NEGATIVE, F.col("__t")).alias("neg"))
     broad, no, title, summary = F.col("chapter") == "en", (F.col("neg") > 0) & (F.col("t") == 0), F.col("t") >= 1, F.col("s") >= 2
     reason = F.when(broad, "broad").when(no, "negative_title").when(title, "title").when(summary, "summary").otherwise("no_match")
     score = F.when(broad, 1.0).when(no, -1.0).when(title, F.least(F.lit(1.0), 0.65 + 0.1 * (F.col("t") - 1) + 0.05 * F.least("s", F.lit(3)))).when(summary, F.least(F.lit(0.6), 0.25 + 0.1 * F.col("s"))).otherwise(0.0)
-    return h.select("seq", reason.alias("reason"), F.round(score, 4).alias("relevance"), F.col("t").cast("long").alias("title_hits"), F.col("s").cast("long").alias("summary_hits"))
+    return h.select(*keep, reason.alias("reason"), score.alias("relevance"), F.col("t").alias("title_hits"), F.col("s").alias("summary_hits"))
 
 
 URL_REASON = """CASE WHEN url IS NULL OR NOT regexp_matches(url, '^https?://[^/?#]+') THEN 'bad_url'
@@ -303,12 +309,12 @@ fit AS (SELECT c.seq, chapter, source, title, CAST(round(CAST({IMPORTANCE} AS DO
 
 def eligible(spark: SparkSession, sf: str) -> DataFrame:
     """seq, chapter, source, title, score, turn: fresh candidates that belong to their chapter; the score is importance with relevance."""
-    r = f3_chapter_relevance(spark, sf).filter("reason IN ('broad', 'title', 'summary')").select("seq", F.round("relevance", 3).alias("relevance"))
     most = F.lit(3)
     for chapter, days in LONG_FRESH.items():
         most = F.when(F.col("chapter") == chapter, days).otherwise(most)
-    c = candidates(spark, sf).filter((F.col("age_h") / 24).between(-0.25, most)).select("seq", "chapter", "source", "title", importance().alias("importance"))
-    return c.join(r, "seq").select("seq", "chapter", "source", "title", (F.round("importance", 2) + F.col("relevance")).alias("score"), (-F.col("seq")).alias("turn"))
+    c = candidates(spark, sf).filter((F.col("age_h") / 24).between(-0.25, most)).select("seq", "chapter", "source", "title", "summary", importance().alias("importance"))
+    fit = relevance(c, "seq", "chapter", "source", "title", "importance").filter("reason IN ('broad', 'title', 'summary')")
+    return fit.select("seq", "chapter", "source", "title", (F.round("importance", 2) + F.round("relevance", 3)).alias("score"), (-F.col("seq")).alias("turn"))
 
 
 def alike(a: Column, b: Column) -> Column:
