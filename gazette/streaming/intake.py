@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,24 +70,21 @@ def admitted(events: DataFrame, key: list[str], published: str, arrived: str, ho
     x = x.withColumn("__spread", F.when(F.col("__told").isNull(), 0).otherwise(F.pmod(F.xxhash64("id"), F.lit(SPREAD)) + 1).cast("int"))
     x = x.withColumns({f"__k{n}": F.when(F.col("__spread") == 0, F.col(k).cast("string")) for n, k in enumerate(key)})
 
-    def walk(_: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    def walk(group: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        fresh = []
-        for part in rows:
-            done = part["__told"].notna()
-            if done.any():
-                yield pd.DataFrame({"id": part.loc[done, "id"], "outcome": part.loc[done, "__told"]})
-            fresh.append(part.loc[~done, ["__at", "id", "__end"]].astype("int64"))
-        mine = pd.concat(fresh).sort_values(["__at", "id"]) if fresh else pd.DataFrame()
-        if mine.empty:
+        if group[0]:  # told by the row alone
+            for part in rows:
+                yield pd.DataFrame({"id": part["id"].to_numpy(), "outcome": part["__told"].to_numpy()})
             return
+        ids, at, ends = (np.concatenate(x) for x in zip(*((p["id"].to_numpy(), p["__at"].to_numpy(), p["__end"].to_numpy()) for p in rows), strict=True))
+        order = np.lexsort((ids, at))
         end = state.get[0] if state.exists else None
         outcomes = []
-        for arrival, over in zip(mine["__at"].tolist(), mine["__end"].tolist(), strict=True):
+        for arrival, over in zip(at[order].tolist(), ends[order].tolist(), strict=True):
             kept = end is None or arrival >= end
-            end = over if kept else end
+            end = int(over) if kept else end
             outcomes.append("kept" if kept else "duplicate")
         timer = end // 1_000 + 1
         if timer > state.getCurrentWatermarkMs():
@@ -94,7 +92,7 @@ def admitted(events: DataFrame, key: list[str], published: str, arrived: str, ho
             state.setTimeoutTimestamp(timer)
         elif state.exists:
             state.remove()
-        yield pd.DataFrame({"id": mine["id"], "outcome": outcomes})
+        yield pd.DataFrame({"id": ids[order], "outcome": outcomes})
 
     groups = x.groupBy("__spread", *[f"__k{n}" for n in range(len(key))])
     return groups.applyInPandasWithState(walk, "id long, outcome string", "end long", "append", GroupStateTimeout.EventTimeTimeout)

@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from gazette.functions import text
 from gazette.operators import bodies, editorial
 
-DESK = editorial.Desk()
+DESK = editorial.Desk(
+    from_body="%s 기사 본문: %s", from_summary="%s 요약: %s", from_headline="%s 제목: ‘%s’이라 합니다. 더 알아봅니다.", background="주제는 ‘%s’. %s 출처 %s.", why="‘%s’가 중요한 까닭. %s", official="‘%s’ 공식 자료", agreeing="(%s)의 일치", second="둘째 근거",
+    reports=(("’이라 합니다", "’라 합니다"),), connections=(("와 바로 이어져", "에 바로 이어져"), ("과 바로 이어져", "에 바로 이어져")),
+)
 STOP = list(DESK.stopwords)
 TITLE = "비트코인 8만1000달러 돌파, 금리 우려 완화"
 GROUNDED = "비트코인 8만1000달러 돌파와 금리 우려 완화가 시장에서 확인됐다."
@@ -38,10 +41,10 @@ def test_facts(spark):
     ]
     got = made(spark, *rows)
     got = {int(r.id): r for r in got}
-    assert got[0].basis == "body" and got[0].fact == f"연합뉴스 원문에 따르면, {GROUNDED}"
+    assert got[0].basis == "body" and got[0].fact == DESK.from_body % ("연합뉴스", GROUNDED)
     assert [got[k].basis for k in range(1, 13)] == ["headline", "headline", "summary", *["headline"] * 9]
-    assert got[3].fact == "한국경제 보도에 따르면, 반도체 수출 호황에 7월 경상수지 흑자 규모가 역대 최대를 기록했다."
-    assert "정면승부’이라는 내용" in got[8].fact and got[8].focus.endswith("정면승부")
+    assert got[3].fact == DESK.from_summary % ("한국경제", "반도체 수출 호황에 7월 경상수지 흑자 규모가 역대 최대를 기록했다.")
+    assert "정면승부’이라 합니다" in got[8].fact and got[8].focus.endswith("정면승부")
     assert [got[k].shown for k in (9, 10, 11, 12)] == ["연합뉴스", "원문 매체", "원문 매체", "주요 언론"]
     assert got[7].focus == surplus
 
@@ -53,10 +56,10 @@ def test_background_checkpoints_and_gate(spark):
         {"title": "한국경제을(를) 확인", "source": "연합뉴스"},
     ]
     one, two, three = made(spark, *rows)
-    assert one.background == f"‘{TITLE}’ 관련 보도입니다. 외교 사안입니다. 현재 연합뉴스 등 주요 매체의 후속 보도를 함께 확인할 필요가 있습니다."
+    assert one.background == DESK.background % (TITLE, "외교 사안입니다.", "연합뉴스")
     assert one.why_it_matters.endswith("국제관계를 봅니다.") and two.why_it_matters.endswith("파급을 봅니다.")
-    assert one.checkpoints == [f"‘{TITLE}’ 관련 공식 발표·원문 업데이트", "독립 근거 도메인(a.example, b.example)의 후속 보도 일치 여부", "후속 조치"]
-    assert two.checkpoints[1].startswith("독립된 두 번째 근거")
+    assert one.checkpoints == [DESK.official % TITLE, DESK.agreeing % "a.example, b.example", "후속 조치"]
+    assert two.checkpoints[1] == DESK.second
     assert (one.rejected, two.rejected, three.rejected) == (None, None, "을(를)")
 
 
@@ -67,16 +70,16 @@ def test_korean_polish(spark):
     words = {"최대": "를", "혁신": "을", "혁신!": "을", "ABC": "를", "": "를", "달러 3": "를"}
     got = spark.createDataFrame([(w,) for w in words], "w string").select("w", text.particle(F.col("w")).alias("p")).collect()
     assert {r.w: r.p for r in got} == words
-    report = "조선일보 보도에 따르면, "
+    report = "조선일보 요약: "
     rows = [
-        ("조선일보", "비트코인 급등... 돌파", report + "비트코인, 우려 완화에 급등...", "초청와 직접 연결돼 있어 영향"), ("조선일보", "t", report + "‘하락’이라는 내용이 전해졌습니다.", "w"),
-        ("조선일보", "t", "조선일보 원문에 따르면, 코스피는 올랐습니다.", "w"),
+        ("조선일보", "비트코인 급등... 돌파", report + "비트코인, 우려 완화에 급등...", "초청와 바로 이어져 영향"), ("조선일보", "t", report + "‘하락’이라 합니다.", "w"),
+        ("조선일보", "t", "조선일보 기사 본문: 코스피는 올랐습니다.", "w"),
     ]
     df = spark.createDataFrame(rows, "source string, title string, fact string, why_it_matters string")
     got = editorial.polished(df, DESK).collect()
-    assert got[0].fact == report + "‘비트코인 급등... 돌파’라는 내용이 전해졌습니다. 세부 사실관계는 원문과 추가 근거에서 확인해야 합니다."
-    assert got[0].why_it_matters == "초청에 직접 연결돼 있어 영향"
-    assert got[1].fact == report + "‘하락’라는 내용이 전해졌습니다." and got[2].fact == rows[2][2]
+    assert got[0].fact == "조선일보 제목: ‘비트코인 급등... 돌파’라 합니다. 더 알아봅니다."
+    assert got[0].why_it_matters == "초청에 바로 이어져 영향"
+    assert got[1].fact == report + "‘하락’라 합니다." and got[2].fact == rows[2][2]
     kinds = [("e", 1, "fact", rows[0][2]), ("e", 2, "fact", rows[1][2]), ("e", 3, "background", "한국경제을(를) 확인"), ("e", 4, "line", lines[0]), ("e", 5, "why", rows[0][3]), ("e", 6, "fact", rows[2][2])]
     faults = {(r.detail, r.rule) for r in editorial.text_faults(spark.createDataFrame(kinds, "edition string, id int, kind string, text string"), DESK).collect()}
     assert faults == {("1:fact", "incomplete_fact"), ("2:fact", "unnatural_report"), ("3:background", "particle_placeholder"), ("3:background", "forbidden_pattern"), ("4:line", "wrong_particle"), ("5:why", "unpolished_connection")}
