@@ -270,14 +270,6 @@ def a4_gold_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return m.select("*", rate(F.col("tp"), F.col("fp")).alias("precision"), rate(F.col("tp"), F.col("fn")).alias("recall"))
 
 
-@query(f"""WITH {CAND}, t AS (SELECT seq, chapter, unnest({TOKENS.format('title')}) AS token FROM c), g AS (SELECT token, count(*) AS n, arg_max(chapter, seq) AS category FROM t GROUP BY token)
-SELECT token, n, category FROM g ORDER BY n DESC, token LIMIT 20""")
-def a5_trending(spark: SparkSession, sf: str) -> DataFrame:
-    words = F.array_distinct(F.regexp_extract_all(F.lower("title"), F.lit("([가-힣a-z0-9]{2,})"), F.lit(1)))
-    t = candidates(spark, sf).select("seq", "chapter", F.explode(words).alias("token"))
-    return t.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.max_by("chapter", "seq").alias("category")).orderBy(F.desc("n"), "token").limit(20)
-
-
 @query("SELECT n_name AS registry, count(*) AS sources, count(DISTINCT s_name) AS names, count(*) - count(DISTINCT s_suppkey) AS duplicate_ids FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY n_name")
 def a6_registry_counts(spark: SparkSession, sf: str) -> DataFrame:
     s = table(spark, sf, "supplier").join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
@@ -484,7 +476,7 @@ def u3_distinct_in_order(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _all() -> None:
-    from gazette.plans import audits, choosing, desk, editions, evidence, intake_plans, providers, readers, reports, rules  # noqa: F401  (each registers its queries)
+    from gazette.plans import audits, choosing, desk, editions, evidence, intake_plans, media, providers, readers, reports, rules  # noqa: F401  (each registers its queries)
 
 
 def queries() -> dict[str, Query]:

@@ -78,17 +78,6 @@ def _kind() -> Column:
     return F.when(k == 0, "image/png").when(k == 1, "image/jpeg").when(k == 2, "image/svg+xml").otherwise("text/html")
 
 
-@query(f"""WITH {IMG} SELECT page_id, CASE WHEN http_status NOT IN (200, 206) THEN 'HTTP_' || http_status WHEN kind NOT LIKE 'image/%' THEN 'NOT_IMAGE' WHEN kind = 'image/svg+xml' THEN 'NOT_RASTER' WHEN octet_length(encode(html)) < 1024 THEN 'TOO_SMALL' ELSE 'VERIFIED' END AS status,
-sha256(encode(html)[1:96000]) AS content_hash FROM i""")
-def e6_raster_images(spark: SparkSession, sf: str) -> DataFrame:
-    body, kind = F.encode("html", "UTF-8"), _kind()
-    status = (
-        F.when(~F.col("http_status").isin(200, 206), F.concat(F.lit("HTTP_"), F.col("http_status").cast("string"))).when(~kind.startswith("image/"), "NOT_IMAGE").when(kind == "image/svg+xml", "NOT_RASTER")
-        .when(F.octet_length(body) < 1024, "TOO_SMALL").otherwise("VERIFIED")
-    )
-    return fetch_log(spark, sf).select("page_id", status.alias("status"), F.sha2(F.substring(body, 1, 96_000), 256).alias("content_hash"))
-
-
 @query(f"""WITH {IMG}, m AS (SELECT *, CASE WHEN page_id % 5 = 0 THEN 'guess' WHEN page_id % 5 = 1 THEN 'twitter:image' ELSE 'og:image' END AS method, CASE WHEN page_id % 7 = 0 THEN '' ELSE sha256(html) END AS hash, CASE WHEN page_id % 23 = 0 THEN url || '#x' ELSE url END AS page_url FROM i)
 SELECT page_id, CASE WHEN http_status <> 200 THEN 'NO_CANDIDATE' WHEN url IS NULL OR page_url <> url THEN 'PAGE_URL_MISMATCH' WHEN method = 'guess' THEN 'UNSUPPORTED_DECLARATION' WHEN kind NOT LIKE 'image/%' OR kind = 'image/svg+xml' THEN 'INVALID_IMAGE_CONTENT_TYPE'
 WHEN length(hash) <> 64 THEN 'MISSING_CONTENT_HASH' ELSE 'VERIFIED_PROVENANCE' END AS decision FROM m""")

@@ -86,14 +86,6 @@ def s10_trends_top20(spark: SparkSession, sf: str) -> DataFrame:
     return r.join(full, "edition", "left_semi").select("edition", "key", "rank")
 
 
-@query("""WITH p AS (SELECT user_id, event_id, event_type, (epoch(TIMESTAMP '2024-01-25 00:00:00') - epoch(ts)) / 86400.0 AS age FROM events WHERE user_id IN (SELECT c_custkey FROM customer WHERE c_nationkey < 10))
-SELECT event_id, 'cached_verified' AS tag FROM p WHERE age BETWEEN -0.25 AND 7""")
-def s11_cached_candidates(spark: SparkSession, sf: str) -> DataFrame:
-    policy = table(spark, sf, "customer").filter("c_nationkey < 10").select(F.col("c_custkey").alias("user_id"))
-    age = (F.unix_micros(F.lit("2024-01-25 00:00:00 UTC").cast("timestamp")) - F.unix_micros(F.col("ts").cast("timestamp"))) / 86_400_000_000
-    return table(spark, sf, "events").filter(age.between(-0.25, 7)).join(policy, "user_id", "left_semi").select("event_id", F.lit("cached_verified").alias("tag"))
-
-
 @query("""WITH w AS (SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, event_type, count(*) AS attempts, count(*) FILTER (value >= 10) AS good FROM events WHERE ts IS NOT NULL GROUP BY ALL)
 SELECT *, CASE WHEN good = attempts THEN 'HEALTHY' WHEN good > 0 THEN 'DEGRADED' ELSE 'UNAVAILABLE' END AS health FROM w WHERE window_start < (SELECT time_bucket(INTERVAL 1 DAY, max(ts)) FROM events)""")
 def st2_rolling_health(spark: SparkSession, sf: str) -> DataFrame:
