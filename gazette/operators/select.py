@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -207,63 +208,72 @@ def arbitrate(df: DataFrame, key: str, chapter: str, title: str, seq: str, terms
 
 
 def refill(
-    kept: DataFrame, ranked: DataFrame, chapter: str, key: str, order: list[str], target: int, caps: dict[str, int], likeness: Callable[[Column, Column], Column], chapters: list[str],
+    kept: DataFrame, ranked: DataFrame, chapter: str, key: str, order: list[str], target: int, caps: dict[str, int], likeness: Callable[[Column, Column], Column], chapters: list[str], edition: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Chapters filled up after an arbitration: the rows with mode (kept, backfill, rebuilt) and pick; and chapter, reason, n of what was passed over.
+    """Chapters filled up after an arbitration: the rows with mode (kept, backfill, rebuilt) and pick; and (edition,) chapter, reason, n of what was passed over.
 
-    ``kept`` has columns of ``ranked``. Chapters take their turn in the order of ``chapters`` (a short list). A row is
-    passed over if its ``key`` is used anywhere (global_url), its caps are full (domain_cap), or it is like a chosen row
-    (same_event). A chapter that cannot be filled beside what it kept is built anew from its whole pool; reasons of
-    this second walk begin with resolve_.
+    ``kept`` has columns of ``ranked``. Chapters take their turn in the order of ``chapters`` (a short list), those of all
+    editions together: there are as many passes as chapters, however many editions. A row is passed over if its ``key`` is
+    used anywhere in its edition (global_url), its caps are full (domain_cap), or it is like a chosen row (same_event). A
+    chapter that cannot be filled beside what it kept is built anew from its whole pool; reasons of this second walk
+    begin with resolve_. Without ``edition`` all rows are one.
     """
-    used = settle(kept.select(chapter, key))
-    out: DataFrame | None = None
-    reasons: DataFrame | None = None
+    of = edition or "__edition"
+    columns = ranked.columns
+    if edition is None:
+        kept, ranked = kept.withColumn(of, F.lit(0)), ranked.withColumn(of, F.lit(0))
+    whole, group = [*columns, *([of] if edition is None else [])], [of, chapter]
+    kept, ranked = settle(kept.select(whole)), settle(ranked.select(whole))
+    used = kept.select(of, chapter, key)
+    outs: list[DataFrame] = []
+    reasons: list[DataFrame] = []
+    sizes = lambda df: df.groupBy(of).agg(F.count(F.lit(1)).alias("__n"))
     for name in chapters:
-        mine = settle(kept.filter(F.col(chapter) == name).select(ranked.columns))
-        pool = settle(ranked.filter(F.col(chapter) == name))
-        got, passed, n = mine.withColumns({"pick": F.lit(0), "mode": F.lit("kept")}), None, mine.count()
-        if n < target:
-            free = pool.join(used.select(key).distinct(), key, "left_anti").select(ranked.columns)
-            got = settle(greedy_select(free, [chapter], order, target, {**caps, key: 1}, likeness=likeness, seed=mine))
-            got = got.join(mine.select(key, F.lit("kept").alias("mode")), key, "left").select(*ranked.columns, "pick", F.coalesce("mode", F.lit("backfill")).alias("mode"))
-            passed = passed_over(pool, got, used, chapter, key, order, caps, likeness, target, "")
-            if got.count() < target:
-                others = used.filter(F.col(chapter) != name)
-                free = pool.join(others.select(key).distinct(), key, "left_anti").select(ranked.columns)
-                got = greedy_select(free, [chapter], order, target, {**caps, key: 1}, likeness=likeness).withColumn("mode", F.lit("rebuilt"))
-                got = settle(got)
-                passed = passed.unionByName(passed_over(pool, got, others, chapter, key, order, caps, likeness, target, "resolve_"))
-                used = others
-        used = settle(used.unionByName(got.filter("mode <> 'kept'").select(chapter, key)))
-        got = settle(got.select(*ranked.columns, "pick", "mode"))
-        out = got if out is None else out.unionByName(got)
-        if passed is not None:
-            reasons = passed if reasons is None else reasons.unionByName(passed)
-    return out, reasons
+        mine, pool = kept.filter(F.col(chapter) == name), ranked.filter(F.col(chapter) == name)
+        # Editions whose chapter is not full: those that have kept fewer, or nothing though there is a pool.
+        open_ = settle(pool.select(of).union(mine.select(of)).distinct().join(sizes(mine), of, "left").filter(F.coalesce("__n", F.lit(0)) < target).select(of))
+        full = mine.join(open_, of, "left_anti").select(*whole, F.lit(0).alias("pick"), F.lit("kept").alias("mode"))
+        mine, pool = mine.join(open_, of, "left_semi"), pool.join(open_, of, "left_semi")
+        free = pool.join(used.select(of, key).distinct(), [of, key], "left_anti").select(whole)
+        got = greedy_select(free, group, order, target, {**caps, key: 1}, likeness=likeness, seed=mine.select(whole))
+        got = settle(got.join(mine.select(of, key, F.lit("kept").alias("mode")), [of, key], "left").select(*whole, "pick", F.coalesce("mode", F.lit("backfill")).alias("mode")))
+        reasons.append(passed_over(pool, got, used, chapter, key, order, caps, likeness, target, "", of))
+        short = settle(open_.join(sizes(got), of, "left").filter(F.coalesce("__n", F.lit(0)) < target).select(of))
+        again = pool.join(short, of, "left_semi").select(whole)
+        others = used.filter(F.col(chapter) != name).join(short, of, "left_semi").select(used.columns)
+        free = again.join(others.select(of, key).distinct(), [of, key], "left_anti").select(whole)
+        new = settle(greedy_select(free, group, order, target, {**caps, key: 1}, likeness=likeness).select(*whole, "pick", F.lit("rebuilt").alias("mode")))
+        reasons.append(passed_over(again, new, others, chapter, key, order, caps, likeness, target, "resolve_", of))
+        got = got.join(short, of, "left_anti").select(new.columns).unionByName(new)
+        dropped = used.filter(F.col(chapter) == name).join(short, of, "left_semi").select(used.columns)
+        kept_on = used.join(dropped, used.columns, "left_anti").select(used.columns)
+        used = settle(kept_on.unionByName(got.filter("mode <> 'kept'").select(used.columns)))
+        outs += [full, got]
+    out, told = reduce(DataFrame.unionByName, outs), reduce(DataFrame.unionByName, reasons)
+    return out.select(*columns, "pick", "mode"), told if edition else told.drop(of)
 
 
 def passed_over(
-    pool: DataFrame, got: DataFrame, used: DataFrame, chapter: str, key: str, order: list[str], caps: dict[str, int], likeness: Callable[[Column, Column], Column], target: int, prefix: str,
+    pool: DataFrame, got: DataFrame, used: DataFrame, chapter: str, key: str, order: list[str], caps: dict[str, int], likeness: Callable[[Column, Column], Column], target: int, prefix: str, edition: str,
 ) -> DataFrame:
-    """chapter, reason, n: rows of ``pool`` that a walk in ``order`` passed over until it was full, and the first test that each failed.
+    """edition, chapter, reason, n: rows of ``pool`` that a walk in ``order`` passed over until it was full, and the first test that each failed.
 
-    Each row is compared with the chosen rows (``target`` a chapter at most) that were chosen before it.
+    Each row is compared with the chosen rows of its edition (``target`` a chapter at most) that were chosen before it.
     """
     rank = F.struct(*order)
-    held = got.select("mode", F.col(chapter).alias("__c"), F.col(key).alias("__key"), rank.alias("__rank"), *[F.col(c).alias(f"__{c}") for c in caps], F.col("tokens").alias("__tokens"))
-    full = got.groupBy(chapter).agg(F.count(F.lit(1)).alias("__n"), F.min(F.when(F.col("mode") != "kept", rank)).alias("__last"))
-    rows = pool.join(got.select(*order), order, "left_anti").join(full, chapter, "left").filter((F.coalesce("__n", F.lit(0)) < target) | F.col("__last").isNull() | (rank > F.col("__last")))
-    rows = rows.join(used.select(F.col(key).alias("__used")).distinct(), F.col(key) == F.col("__used"), "left")
+    held = got.select("mode", F.col(edition).alias("__e"), F.col(chapter).alias("__c"), F.col(key).alias("__key"), rank.alias("__rank"), *[F.col(c).alias(f"__{c}") for c in caps], F.col("tokens").alias("__tokens"))
+    full = got.groupBy(edition, chapter).agg(F.count(F.lit(1)).alias("__n"), F.min(F.when(F.col("mode") != "kept", rank)).alias("__last"))
+    rows = pool.join(got.select(edition, *order), [edition, *order], "left_anti").join(full, [edition, chapter], "left").filter((F.coalesce("__n", F.lit(0)) < target) | F.col("__last").isNull() | (rank > F.col("__last")))
+    rows = rows.join(used.select(F.col(edition).alias("__u"), F.col(key).alias("__used")).distinct(), (F.col(edition) == F.col("__u")) & (F.col(key) == F.col("__used")), "left")
     before = (F.col("mode") == "kept") | (F.col("__rank") > rank)
-    met = rows.join(F.broadcast(held), (F.col(chapter) == F.col("__c")) & before, "left")
+    met = rows.join(held, (F.col(edition) == F.col("__e")) & (F.col(chapter) == F.col("__c")) & before, "left")
     taken = F.max(F.coalesce(F.col("__key") == F.col(key), F.lit(False)) | F.col("__used").isNotNull())
     capped = F.lit(False)
     for c, cap in caps.items():
         capped = capped | (F.count_if(F.col(f"__{c}") == F.col(c)) >= cap)
     near = F.max(F.coalesce(likeness(F.col("__tokens"), F.col("tokens")), F.lit(False)))
-    told = met.groupBy(chapter, *order).agg(F.when(taken, "global_url").when(capped, "domain_cap").when(near, "same_event").alias("reason"))
-    return told.filter("reason IS NOT NULL").groupBy(chapter, F.concat(F.lit(prefix), "reason").alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+    told = met.groupBy(edition, chapter, *order).agg(F.when(taken, "global_url").when(capped, "domain_cap").when(near, "same_event").alias("reason"))
+    return told.filter("reason IS NOT NULL").groupBy(edition, chapter, F.concat(F.lit(prefix), "reason").alias("reason")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def at_least(df: DataFrame, group: list[str], column: str, least: int) -> DataFrame:

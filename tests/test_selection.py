@@ -65,6 +65,29 @@ def test_refill_equals_a_plain_walk(spark, seed):
     assert {(r.chapter, r.reason): r.n for r in reasons.collect()} == why
 
 
+def test_refill_of_two_editions_in_one_call_equals_two_calls(spark):
+    draw = random.Random(11)
+    kind = "ed int, chapter string, key int, score int, source string, tokens array<string>, turn int"
+    rows = [(e, c, k, draw.randint(0, 9), draw.choice("pqrstu"), draw.sample("ABCDEFGHI", 4), -k) for e in (1, 2) for c in "ab" for k in draw.sample(range(40), 16 if (e, c) != (2, "b") else 3)]
+    kept = [r for r in rows if r[2] % 9 == e0(r)]
+    args = ("chapter", "key", ["score", "turn"], 5, {"source": 2}, alike, ["a", "b", "c"])
+    mine = lambda rows, e: spark.createDataFrame([r for r in rows if e in (None, r[0])], kind)
+    got, why = select.refill(mine(kept, None), mine(rows, None), *args, edition="ed")
+    found = {(r.ed, r.chapter, r.key, r.mode) for r in got.collect()}
+    reasons = {(r.ed, r.chapter, r.reason, r.n) for r in why.collect()}
+    apart, told = set(), set()
+    for e in (1, 2):
+        one, two = select.refill(mine(kept, e), mine(rows, e), *args)
+        apart |= {(e, r.chapter, r.key, r.mode) for r in one.collect()}
+        told |= {(e, r.chapter, r.reason, r.n) for r in two.collect()}
+    assert found == apart and reasons == told and {f[0] for f in found} == {1, 2}
+
+
+def e0(row):
+    """Of each edition and chapter other rows are kept."""
+    return row[0] * 2 + (row[1] == "b")
+
+
 def test_the_fold_goes_on_in_rounds_where_its_rows_do_not_fill_a_group(spark, monkeypatch):
     draw = random.Random(5)
     rows = [(g, k, draw.randint(0, 9), draw.choice("ab" if k < 12 else "abcdef"), draw.sample("ABCDEFGH", 3)) for g in range(4) for k in range(40)]
