@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gazette.functions import urls
+from gazette.operators import audits
 from gazette.plans.catalogue import CAND, HOST, IMPORTANCE, KEY, _scored, first_stories, query
 from gazette.sources.tables import candidates, table
 
@@ -21,37 +22,92 @@ def gate(*rules: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, rules)
 
 
-@query(f"""WITH {CAND}, d AS (SELECT chapter, source, count(*) AS n FROM c GROUP BY ALL), t AS (SELECT chapter, CAST(sum(n) AS BIGINT) AS total, count(*) AS domains FROM d GROUP BY chapter)
-SELECT d.chapter AS edition, 'domain_share' AS rule, source AS detail FROM d JOIN t USING (chapter) WHERE n / total > 0.1 UNION ALL SELECT chapter, 'few_domains', CAST(domains AS VARCHAR) FROM t WHERE domains < 20
-UNION ALL SELECT chapter, 'generic_title', CAST(seq AS VARCHAR) FROM c WHERE length(title) < 4""")
-def g2_source_audit(spark: SparkSession, sf: str) -> DataFrame:
-    c = candidates(spark, sf).select("chapter", "source", "seq", F.length("title").alias("size"))
-    d = c.groupBy("chapter", "source").agg(F.count(F.lit(1)).alias("n"))
-    t = d.groupBy("chapter").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("domains"))
-    ch = F.col("chapter")
-    return gate(broken(d.join(t, "chapter").filter("n / total > 0.1"), ch, "domain_share", F.col("source")), broken(t.filter("domains < 20"), ch, "few_domains", F.col("domains")), broken(c.filter("size < 4"), ch, "generic_title", F.col("seq")))
+SOURCES = audits.Sources(most_share=0.3, most_wire=0.25, wire=("src1.example.com", "src3.example.com"), discovery=("src7.example.com",), generic=("/news",))
+STORY_SQL = f"""{CAND}, st AS (SELECT *, {HOST} AS domain FROM (SELECT chapter AS edition, 's' || seq % 15 AS section, seq % 16 = 1 AS studied, title, seq, row_number() OVER (PARTITION BY chapter, seq % 15 ORDER BY seq) AS r, row_number() OVER (PARTITION BY chapter, seq % 16 ORDER BY seq) AS q,
+CASE WHEN seq % 29 = 5 THEN NULL WHEN seq % 29 = 3 THEN 'ftp://' || source || '.example.com/x' WHEN seq % 31 = 6 THEN 'https://' || source || '.example.com/news' WHEN seq % 23 = 4 THEN 'https://www.' || source || '.example.com/same' ELSE link END AS url FROM c)),
+s AS (SELECT * FROM st WHERE r <= 10), rs AS (SELECT * FROM st WHERE studied AND q <= 10),
+b AS (SELECT edition, section, domain, count(*) AS n FROM s GROUP BY ALL), sec AS (SELECT edition, section, CAST(sum(n) AS BIGINT) AS items, count(domain) AS domains, coalesce(max(n) FILTER (domain IS NOT NULL), 0) AS most, CAST(coalesce(sum(n) FILTER (domain IN ('src1.example.com', 'src3.example.com')), 0) AS BIGINT) AS wire FROM b GROUP BY ALL),
+ed AS (SELECT edition, CAST(sum(items) AS BIGINT) AS stories, count(*) AS sections FROM sec GROUP BY edition), ro AS (SELECT edition, count(*) AS n, count(DISTINCT domain) AS domains FROM rs GROUP BY edition)"""
 
 
-@query(f"""WITH {CAND}, s AS (SELECT chapter, seq, source, link, title, row_number() OVER (PARTITION BY chapter ORDER BY CAST({IMPORTANCE} AS DOUBLE) DESC, seq) AS k FROM c), p AS (SELECT * FROM s WHERE k <= 10)
-SELECT chapter AS edition, 'per_domain_cap' AS rule, source AS detail FROM p GROUP BY chapter, source HAVING count(*) > 2 UNION ALL SELECT chapter, 'duplicate_url', link FROM p GROUP BY chapter, link HAVING count(*) > 1
-UNION ALL SELECT chapter, 'selected_count', CAST(count(*) AS VARCHAR) FROM p GROUP BY chapter HAVING count(*) <> 10 UNION ALL SELECT chapter, 'domains', CAST(count(DISTINCT source) AS VARCHAR) FROM p GROUP BY chapter HAVING count(DISTINCT source) < 9""")
-def g3_snapshot_audit(spark: SparkSession, sf: str) -> DataFrame:
-    s = _scored(spark, sf).withColumn("k", F.row_number().over(Window.partitionBy("chapter").orderBy(F.desc("score"), "seq"))).filter("k <= 10")
-    p = s.select("chapter", "seq", "source", F.format_string("https://%s.example.com/%s/%d", "source", "chapter", "seq").alias("link"))
-    ch, n = F.col("chapter"), F.count(F.lit(1)).alias("n")
-    return gate(
-        broken(p.groupBy("chapter", "source").agg(n).filter("n > 2"), ch, "per_domain_cap", F.col("source")), broken(p.groupBy("chapter", "link").agg(n).filter("n > 1"), ch, "duplicate_url", F.col("link")),
-        broken(p.groupBy("chapter").agg(n).filter("n <> 10"), ch, "selected_count", F.col("n")), broken(p.groupBy("chapter").agg(F.count_distinct("source").alias("n")).filter("n < 9"), ch, "domains", F.col("n")),
-    )
+def _told(rows: str, rule: str, key: str, detail: str = "NULL", severity: str = "error") -> str:
+    return f"SELECT edition, '{severity}' AS severity, '{rule}' AS rule, CAST({key} AS VARCHAR) AS key, CAST({detail} AS VARCHAR) AS detail FROM {rows}"
 
 
-@query(f"""WITH {CAND} SELECT chapter AS edition, 'not_ready' AS rule, CAST(seq AS VARCHAR) AS detail FROM c WHERE seq % 7 = 0 AND length(summary) < 60 UNION ALL SELECT chapter, 'id_format', CAST(seq AS VARCHAR) FROM c WHERE NOT regexp_matches('priority-' || lpad(CAST(seq AS VARCHAR), 6, '0'), '^priority-[0-9]{{6}}$')
-UNION ALL SELECT chapter, 'no_title', CAST(seq AS VARCHAR) FROM c WHERE trim(title) = ''""")
+@query(f"WITH {STORY_SQL} " + " UNION ALL ".join([
+    _told("ed WHERE stories <> 150", "story_count", "'stories'", "stories"), _told("ed WHERE sections <> 15", "section_count", "'sections'", "sections"), _told("(SELECT edition, url, count(*) AS n FROM s WHERE url IS NOT NULL GROUP BY ALL) WHERE n > 1", "duplicate_url", "url", "n"),
+    _told("sec WHERE items <> 10", "section_items", "section", "items"), _told("sec WHERE domains < 5", "few_domains", "section", "domains", "warning"), _told("sec WHERE most / items > 0.3", "domain_share", "section", "most", "warning"), _told("sec WHERE wire / items > 0.25", "wire_share", "section", "wire", "warning"),
+    _told("s WHERE url IS NULL", "missing_url", "title"), _told("s WHERE url LIKE 'ftp:%'", "non_http", "url", "title"), _told("s WHERE domain = 'src7.example.com'", "discovery_only", "url", "title", "warning"), _told("s WHERE url LIKE 'https://%/news'", "generic_url", "url", "title", "warning"),
+    _told("ro WHERE n <> 10", "research_items", "'research'", "n"), _told("ro WHERE domains < 5", "research_domains", "'research'", "domains"), _told("rs WHERE domain IS NULL", "research_url", "title"), _told("rs WHERE domain = 'src7.example.com'", "research_discovery", "url", "title"),
+]))
+def g2_source_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """An edition for each language: fifteen sections of its first ten documents, and ten records of research; some addresses are missing, of sections, or doubled."""
+    k = F.col("seq")
+    url = F.when(k % 29 == 5, None).when(k % 29 == 3, F.concat(F.lit("ftp://"), "source", F.lit(".example.com/x"))).when(k % 31 == 6, F.concat(F.lit("https://"), "source", F.lit(".example.com/news"))).when(k % 23 == 4, F.concat(F.lit("https://www."), "source", F.lit(".example.com/same"))).otherwise(F.col("link"))
+    c = candidates(spark, sf).select(F.col("chapter").alias("edition"), "seq", "title", F.concat(F.lit("s"), (k % 15).cast("string")).alias("section"), url.alias("url"))
+    first = lambda by: F.row_number().over(Window.partitionBy("edition", by).orderBy("seq"))
+    stories = c.withColumn("r", first("section")).filter("r <= 10").select("edition", "section", "title", "url")
+    research = c.filter(k % 16 == 1).withColumn("r", F.row_number().over(Window.partitionBy("edition").orderBy("seq"))).filter("r <= 10").select("edition", "title", "url")
+    return audits.source_faults(stories, research, SOURCES)
+
+
+SNAPSHOT = audits.Snapshot(schema="v2", status="AUDITED", algorithm="sha256", chapters=("a", "b", "c", "d"), discovery=("src7.example.com",), generic=("/news",))
+SNAP_SQL = f"""{CAND}, si AS (SELECT * FROM (SELECT chapter AS edition, ['a', 'b', 'c', 'd'][CAST(seq % 4 AS INTEGER) + 1] AS chapter, seq AS pos, source, title, CASE WHEN seq % 31 = 6 THEN 'https://' || source || '.example.com/news/' WHEN seq % 29 = 3 THEN '' ELSE link END AS address, source || '.example.com' AS domain,
+row_number() OVER (PARTITION BY chapter, seq % 4 ORDER BY seq) AS r FROM c) WHERE r <= 10), n AS (SELECT edition, count(*) AS there FROM si GROUP BY edition),
+bd AS (SELECT edition, chapter, domain, count(*) AS n FROM si GROUP BY ALL), ct AS (SELECT edition, chapter, CAST(sum(n) AS BIGINT) AS rows_, count(*) AS domains, max(n) AS most FROM bd GROUP BY ALL), wh AS (SELECT * FROM ct WHERE rows_ = 10)"""
+
+
+@query(f"WITH {SNAP_SQL} " + " UNION ALL ".join([
+    _told("n WHERE edition = 'fr'", "schema_version", "edition", "'v1'"), _told("n WHERE edition = 'fr'", "selected_files", "edition", "3"), _told("n WHERE there <> 40", "selected_count", "edition", "there"), _told("n WHERE edition = 'es'", "fingerprint", "edition"),
+    _told("si WHERE address = ''", "not_absolute", "pos", "address"), _told("(SELECT edition, address, count(*) AS n FROM si WHERE address <> '' GROUP BY ALL) WHERE n > 1", "duplicate_url", "address", "n"), _told("si WHERE title = ''", "missing_title", "pos"),
+    _told("(SELECT DISTINCT n.edition, v.chapter, coalesce(rows_, 0) AS k FROM n CROSS JOIN (VALUES ('a'), ('b'), ('c'), ('d')) v(chapter) LEFT JOIN ct ON ct.edition = n.edition AND ct.chapter = v.chapter) WHERE k <> 10", "chapter_rows", "chapter", "k"),
+    _told("wh WHERE domains < 5", "few_domains", "chapter", "domains"), _told("wh WHERE most > 2", "domain_cap", "chapter", "most"), _told("wh WHERE edition = 'de'", "report_domains", "chapter", "domains + 1"),
+    _told("si JOIN wh USING (edition, chapter) WHERE address LIKE '%/src7.example.com/%'", "discovery_only", "pos", "address"), _told("si JOIN wh USING (edition, chapter) WHERE address LIKE '%/news/'", "generic_url", "pos", "address"),
+]))
+def g3_snapshot_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """A snapshot for each language: four chapters of ten; the manifests of three of them differ in a file, the digest, and a count."""
+    k = F.col("seq")
+    address = F.when(k % 31 == 6, F.concat(F.lit("https://"), "source", F.lit(".example.com/news/"))).when(k % 29 == 3, "").otherwise(F.col("link"))
+    c = candidates(spark, sf).select(F.col("chapter").alias("edition"), F.element_at(F.array(*[F.lit(x) for x in "abcd"]), (k % 4 + 1).cast("int")).alias("chapter"), k.alias("pos"), "source", "title", F.lit("2024-01-08").alias("published"), F.concat("source", F.lit(".example.com")).alias("domain"), F.lit(None).cast("string").alias("canonical_url"), address.alias("url"))
+    items = c.withColumn("r", F.row_number().over(Window.partitionBy("edition", "chapter").orderBy("pos"))).filter("r <= 10").drop("r")
+    counts = items.groupBy("edition", "chapter", "domain").agg(F.count(F.lit(1)).alias("n")).groupBy("edition", "chapter").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("domains"), F.map_from_entries(F.collect_list(F.struct("domain", "n"))).alias("counts"))
+    report = F.struct(F.col("rows").alias("selected_count"), (F.col("domains") + F.when(F.col("edition") == "de", 1).otherwise(0)).alias("unique_domains"), F.col("counts").alias("domain_counts"), F.lit("PASS").alias("status"))
+    made = counts.groupBy("edition").agg(F.map_from_entries(F.collect_list(F.struct("chapter", report.alias("r")))).alias("chapter_report")).join(audits.fingerprints(items), "edition")
+    e = F.col("edition")
+    files = F.slice(F.array(*[F.lit(f"{x}.json") for x in "abcd"]), F.lit(1), F.when(e == "fr", 3).otherwise(4))
+    manifest = made.select(
+        e, F.when(e == "fr", "v1").otherwise("v2").alias("schema_version"), F.lit("AUDITED").alias("snapshot_status"), files.alias("selected_files"), F.lit(40).cast("long").alias("selected_count"), F.lit(10).cast("long").alias("target_per_chapter"), F.lit(5).cast("long").alias("minimum_unique_domains"),
+        F.lit(2).cast("long").alias("max_per_domain"), F.array().cast("array<string>").alias("cross_chapter_duplicate_urls"), F.lit("sha256").alias("fingerprint_algorithm"), F.when(e == "es", "0").otherwise(F.col("fingerprint")).alias("selection_fingerprint_sha256"), "chapter_report",
+    )
+    return audits.snapshot_faults(manifest, items, SNAPSHOT)
+
+
+STAGING = audits.Staging(schema="v1", chapters=("a", "b", "c", "d"), fields=("title", "summary"), local=("title",), statuses=("CONFIRMED", "UNVERIFIED"), script="[th]")
+STAGE_SQL = f"""{CAND}, sg AS (SELECT * FROM (SELECT chapter AS edition, ['a', 'b', 'c', 'd'][CAST(seq % 4 AS INTEGER) + 1] AS chapter, 'priority-' || lpad(CAST(seq AS VARCHAR), 6, '0') AS id, trim(title) AS title, trim(summary) AS summary, seq % 3 <> 0 AS verified, CASE WHEN seq % 29 = 3 THEN 'x' WHEN seq % 19 = 2 THEN 'https://same.example/' ELSE link END AS address,
+CASE seq % 5 WHEN 0 THEN '' WHEN 1 THEN 'SURE' ELSE 'CONFIRMED' END AS fact, seq % 7 = 0 AS review, row_number() OVER (PARTITION BY chapter, seq % 4 ORDER BY seq) AS r FROM c) WHERE r <= 10),
+rd AS (SELECT *, title <> '' AND summary <> '' AND regexp_matches(title, '[th]') AND fact = 'CONFIRMED' AND verified AND NOT review AS ready, concat_ws(',', CASE WHEN title = '' THEN 'title' END, CASE WHEN summary = '' THEN 'summary' END, CASE WHEN fact = '' THEN 'factcheck_status' END) AS missing FROM sg),
+hd AS (SELECT edition, count(*) AS n FROM sg GROUP BY edition), gc AS (SELECT edition, chapter, count(*) AS n FROM sg GROUP BY ALL)"""
+
+
+@query(f"WITH {STAGE_SQL} " + " UNION ALL ".join([
+    _told("hd WHERE edition = 'fr'", "schema_version", "edition", "'v0'"), _told("hd WHERE n <> 40", "record_count", "edition", "n"), _told("hd WHERE edition = 'de'", "production_ready", "edition"),
+    _told("(SELECT hd.edition, v.chapter, coalesce(gc.n, 0) AS k FROM hd CROSS JOIN (VALUES ('a'), ('b'), ('c'), ('d')) v(chapter) LEFT JOIN gc ON gc.edition = hd.edition AND gc.chapter = v.chapter) WHERE k <> 10", "chapter_records", "chapter", "k"),
+    _told("rd WHERE address = 'x'", "invalid_url", "id", "address"), _told("(SELECT edition, address, count(*) AS n FROM rd GROUP BY ALL) WHERE n > 1", "duplicate_url", "address", "n"), _told("rd WHERE NOT verified", "not_verified", "id", "'UNVERIFIED'", "warning"),
+    _told("rd WHERE fact = 'SURE'", "factcheck_status", "id", "fact"), _told("rd WHERE title <> '' AND NOT regexp_matches(title, '[th]')", "foreign_text", "id", "'title'"), _told("rd WHERE NOT ready", "not_ready", "id", "missing"),
+    _told("(SELECT edition, count(*) AS n, count(*) FILTER (ready) AS ready FROM rd GROUP BY edition) WHERE n <> ready", "ready_count", "'ALL'", "ready"),
+]))
 def g4_staging_audit(spark: SparkSession, sf: str) -> DataFrame:
-    c = candidates(spark, sf).select("chapter", "seq", F.length("summary").alias("size"), F.trim("title").alias("title"))
-    ch, s = F.col("chapter"), F.col("seq")
-    ids = F.concat(F.lit("priority-"), F.lpad(s.cast("string"), 6, "0"))
-    return gate(broken(c.filter((s % 7 == 0) & (F.col("size") < 60)), ch, "not_ready", s), broken(c.filter(~ids.rlike("^priority-[0-9]{6}$")), ch, "id_format", s), broken(c.filter("title = ''"), ch, "no_title", s))
+    """Staging records of four chapters of ten for each language, all of which have to be ready."""
+    k = F.col("seq")
+    c = candidates(spark, sf).select(
+        F.col("chapter").alias("edition"), F.element_at(F.array(*[F.lit(x) for x in "abcd"]), (k % 4 + 1).cast("int")).alias("chapter"), k.alias("seq"), F.concat(F.lit("priority-"), F.lpad(k.cast("string"), 6, "0")).alias("staging_id"), F.lit(None).cast("string").alias("final_url"), F.lit("").alias("canonical_url"),
+        F.when(k % 29 == 3, "x").when(k % 19 == 2, "https://same.example/").otherwise(F.col("link")).alias("source_url"), F.when(k % 3 != 0, "VERIFIED").otherwise("UNVERIFIED").alias("verification_status"), (k % 7 == 0).alias("image_review_required"),
+        F.when(k % 5 == 0, "").when(k % 5 == 1, "SURE").otherwise("CONFIRMED").alias("factcheck_status"), F.create_map(F.lit("title"), "title", F.lit("summary"), "summary").alias("editorial"),
+    )
+    records = c.withColumn("r", F.row_number().over(Window.partitionBy("edition", "chapter").orderBy("seq"))).filter("r <= 10").drop("r", "seq")
+    e = F.col("edition")
+    headers = records.select("edition").distinct().select(e, F.when(e == "fr", "v0").otherwise("v1").alias("schema_version"), (e == "de").alias("production_ready"))
+    return audits.staging_faults(records, headers, STAGING, require_ready=True)
 
 
 @query(f"""WITH o AS (SELECT o_orderstatus AS edition, o_orderkey, o_totalprice, o_custkey FROM orders) SELECT edition, 'no_customer' AS rule, CAST(o_orderkey AS VARCHAR) AS detail FROM o WHERE o_custkey NOT IN (SELECT c_custkey FROM customer) UNION ALL SELECT edition, 'too_dear', CAST(o_orderkey AS VARCHAR) FROM o WHERE o_totalprice > 400000
