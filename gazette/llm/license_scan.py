@@ -47,6 +47,11 @@ TEMPLATES = {
     "cc-by-nc": ("Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "Licensed under CC BY-NC-SA 4.0."),
     "cc0": ("Released under CC0 1.0 Universal.", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.", "This work is dedicated to the public domain under CC0."),
     "unlicense": ("This is free and unencumbered software released into the public domain.", "SPDX-License-Identifier: Unlicense"),
+    "other": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License v. 2.0.", "Licensed under the European Union Public Licence, version 1.2.", "Distributed under the Boost Software License, Version 1.0.",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.", "This is free software, licensed under the Artistic License 2.0.",
+        "This font software is licensed under the SIL Open Font License, Version 1.1.", "Licensed under the Microsoft Public License.", "SPDX-License-Identifier: Zlib",
+    ),
     "proprietary": ("All rights reserved.", "Copyright 2020 Example Company. All rights reserved.", "No part of this publication may be reproduced without the prior written permission of the copyright holder.", "Unauthorized copying of this file is strictly prohibited. Proprietary and confidential."),
 }
 #: Sentences that speak of licences and rights without granting any.
@@ -56,11 +61,17 @@ OTHER = (
     "A software license can be expensive.", "Which license should I choose for my project?", "The minister spoke about public libraries.", "The foundation gave free software to schools.",
     "He asked for permission to use the hall.", "The general public was invited.", "Version 2.0 of the program was released.", "Redistribution of income was debated.", "Their licence number is printed on the van.",
     "Copyright infringement is a growing problem.", "The license expired last year.", "Students at MIT built a robot.", "An Apache helicopter landed at noon.", "The new version 3.0 of the software is faster.", "You may use the hall for free.", "All rooms are reserved for the guests.", "See the report for details.", "They reserved all rooms in the hotel.", "This work was done in the morning.",
+    "All rights reserved by the hotel for guests.", "All rights reserved to the parties under the treaty.", "The rights reserved for members were listed in the annex.", "No rights were reserved by the seller.",
+)
+#: Ways to speak of a licence without granting it; with every name they teach what is no notice.
+SPOKEN = (
+    "The {} is discussed in chapter two.", "A history of the {}.", "The lecture compared the {} with others.", "Critics of the {} met in Paris.", "The committee wrote a report on the {}.", "Her thesis is about the {} and its reception.", "He explained the {} to the students.",
+    "What does the {} say about patents?", "The {} was first published long ago.",
 )
 #: Short names and identifiers of each licence family.
 NAMES = {
-    "apache": ("Apache License 2.0", "Apache-2.0", "Apache License", "Apache Software License", "Apache 2.0", "ASL 2.0"),
-    "mit": ("MIT License", "MIT licence", "MIT/X11 license", "Expat license"),
+    "apache": ("Apache", "Apache License 2.0", "Apache-2.0", "Apache License", "Apache Software License", "Apache 2.0", "ASL 2.0"),
+    "mit": ("MIT", "MIT License", "MIT licence", "MIT/X11 license", "Expat license"),
     "bsd": ("BSD License", "BSD-3-Clause", "BSD-2-Clause", "BSD 3-Clause License", "new BSD license", "3-clause BSD"),
     "gpl": ("GPL", "GPLv3", "GPLv2", "GPLv2+", "GPLv3+", "GNU GPL", "GPL-2.0-only", "GPL-3.0-only", "GPL-3.0-or-later", "GNU General Public License"),
     "lgpl": ("LGPL", "LGPLv3", "LGPLv2.1", "GNU LGPL", "LGPL-2.1-or-later", "LGPL-3.0-only", "GNU Lesser General Public License"),
@@ -72,9 +83,15 @@ NAMES = {
     "cc-by-nc": ("CC BY-NC 4.0", "CC-BY-NC-4.0", "CC-BY-NC", "CC BY-NC-SA 4.0", "Creative Commons Attribution-NonCommercial"),
     "cc0": ("CC0", "CC0 1.0", "CC0-1.0", "CC0 public domain dedication"),
     "unlicense": ("Unlicense", "The Unlicense"),
+    "other": (
+        "Eclipse Public License 2.0", "EPL-2.0", "EPL", "zlib License", "Zlib", "Artistic License", "Artistic-2.0", "Artistic License 2.0", "Boost Software License", "BSL-1.0", "EUPL", "EUPL-1.2", "OFL-1.1", "SIL Open Font License", "WTFPL", "PostgreSQL License",
+        "Python Software Foundation License", "PSF License", "MS-PL", "CDDL", "CDDL-1.0", "Common Development and Distribution License", "Academic Free License", "Open Software License", "Ruby License", "PHP License",
+    ),
 }
 #: Ways to name a licence, with which the classifier is taught.
 FORMS = ("{}", "License: {}", "Licensed under the {}.", "Released under the {}.", "Distributed under the terms of the {}.", "This work is licensed under {}.", "SPDX-License-Identifier: {}", "See the {} for details.")
+#: Ways to give a choice of two licences, and the families whose choices teach; each text speaks for both.
+CHOICES, CHOSEN = ("Licensed under {} or {}, at your option.", "{} OR {}", "Dual-licensed under the {} and the {}."), ("apache", "mit", "bsd", "gpl", "lgpl", "mpl")
 UNKNOWN = "unknown"
 #: Paragraphs with one of these words may be notices and teach nothing of what is no licence. All paragraphs are scanned.
 GATE = r"(?i)licen[cs]|copyright|spdx|creative commons|\bCC0\b|\bCC BY|public domain|rights reserved|redistribut|permission|unauthorized copying|\bGPL\b"
@@ -82,6 +99,8 @@ GATE = r"(?i)licen[cs]|copyright|spdx|creative commons|\bCC0\b|\bCC BY|public do
 TRAIN_PARAGRAPHS = 1_000
 #: Share of a template's word pairs that confirms it.
 CONFIRMED = 0.6
+#: Word pairs of a template that confirms a family by itself; a shorter one only confirms what the classifier says.
+ALONE = 5
 #: Words of a window of a longer paragraph, and from one window to the next; every template fits into half a window.
 WINDOW, STEP = 80, 40
 
@@ -116,15 +135,25 @@ def paragraphs(docs: DataFrame) -> DataFrame:
     return docs.filter("text IS NOT NULL").select("doc_id", F.posexplode(parts(F.col("text"))).alias("paragraph", "text"))
 
 
-def notices() -> list[tuple[str, str]]:
-    """(family, text): the templates, the two halves of longer ones, the names in every form, and sentences that are no notice."""
+def notices() -> list[tuple[str, str, int]]:
+    """(family, text, wording): the templates, the two halves of longer ones, the names in every form, and texts that are no notice.
+
+    Texts of one wording (a form, a template, a sentence) have one number, so that held-out rows can be of wordings that the
+    fit has not seen. ``other`` are licences of no listed family; sentences that only speak of one are no notice.
+    """
     out = [(family, text) for family, texts in TEMPLATES.items() for text in texts]
     for family, text in list(out):
         parts = text.split()
         if len(parts) >= 16:
             out += [(family, " ".join(parts[: len(parts) // 2])), (family, " ".join(parts[len(parts) // 2 :]))]
-    out += [(family, form.format(name)) for family, names in NAMES.items() for name in names for form in FORMS]
-    return out + [(UNKNOWN, text) for text in OTHER]
+    rows = [(family, text, k) for k, (family, text) in enumerate(out)]
+    named = [(family, name) for family, names in NAMES.items() for name in names]
+    for k, form in enumerate(FORMS + SPOKEN, len(rows)):
+        rows += [(family if form in FORMS else UNKNOWN, form.format(name), k) for family, name in named]
+    rows += [(UNKNOWN, text, k) for k, text in enumerate(OTHER, len(out) + len(FORMS) + len(SPOKEN))]
+    for k, form in enumerate(CHOICES, len(out) + len(FORMS) + len(SPOKEN) + len(OTHER)):
+        rows += [(family, form.format(NAMES[a][0], NAMES[b][0]), k) for a in CHOSEN for b in CHOSEN if a != b for family in (a, b)]
+    return rows
 
 
 @dataclass
@@ -171,8 +200,8 @@ def learn(docs: DataFrame, bound: int = TRAIN_PARAGRAPHS, confirmed: float = CON
     """Multinomial logistic regression on the n-grams of :func:`notices` and of about ``bound`` windows of the documents.
 
     Of as many documents, chosen by a hash of their texts, one window of one paragraph without a word of GATE is taken
-    as no notice. The temperature is the one under which a third of the rows, left out of a first fit, are likeliest; it
-    brings down the confidence of the final fit to what held-out rows bear out.
+    as no notice. The temperature is the one under which the rows of a third of all wordings, left out of a first fit, are
+    likeliest: forms, templates and sentences that the fit has not seen bring its confidence down to what they bear out.
     """
     spark = docs.sparkSession
     names = [*TEMPLATES, UNKNOWN]
@@ -182,8 +211,9 @@ def learn(docs: DataFrame, bound: int = TRAIN_PARAGRAPHS, confirmed: float = CON
     plain = chosen.select("h", F.element_at("ps", (F.col("h") % F.size("ps") + 1).cast("int")).alias("text")).filter(~F.col("text").rlike(GATE))
     several = windows(words(F.col("text")))
     plain = plain.select(F.lit(UNKNOWN).alias("family"), F.element_at(several, (F.col("h") % F.size(several) + 1).cast("int")).alias("tokens")).filter(F.size("tokens") > 0)
-    given = spark.createDataFrame(notices(), "family string, text string").select("family", words(F.col("text")).alias("tokens"))
-    rows = cut(given.withColumn("given", F.lit(True)).unionByName(plain.withColumn("given", F.lit(False))).select(label.alias("label"), "given", "tokens", ngrams(F.col("tokens")).alias("terms"), F.pmod(F.xxhash64("tokens"), F.lit(3)).alias("fold")))
+    given = spark.createDataFrame(notices(), "family string, text string, wording int").select("family", words(F.col("text")).alias("tokens"), F.pmod(F.xxhash64("wording"), F.lit(3)).alias("fold"))
+    plain = plain.withColumn("fold", F.pmod(F.xxhash64("tokens"), F.lit(3)))
+    rows = cut(given.withColumn("given", F.lit(True)).unionByName(plain.withColumn("given", F.lit(False))).select(label.alias("label"), "given", "tokens", ngrams(F.col("tokens")).alias("terms"), "fold"))
     own = rows.filter("given").select(F.explode("terms").alias("term"), "label").distinct().groupBy("term").agg(F.collect_set("label").alias("of"))
     had = {r.term: {int(x) for x in r.of} for r in own.collect()}  # of the fixed notices
     vocabulary = sorted(had)
@@ -195,7 +225,7 @@ def learn(docs: DataFrame, bound: int = TRAIN_PARAGRAPHS, confirmed: float = CON
     tested = first.transform(ready.filter("fold = 0")).select("label", vector_to_array("rawPrediction").alias("raw"))
     tested = tested.filter(F.col("label") < F.size("raw"))
     losses = []
-    for t in (0.5, 0.75, 1.0, 1.5, 2.0, 3.0, 4.0):
+    for t in (0.5, 0.75, 1.0, 1.5, 2.0, 3.0, 4.0, 6.0):
         sums = F.log(F.aggregate(F.transform("raw", lambda x: F.exp(x / t)), F.lit(0.0), lambda a, x: a + x))  # noqa: B023
         losses.append((F.avg(sums - F.element_at("raw", (F.col("label") + 1).cast("int")) / t), t))
     found_losses = tested.agg(*[x.alias(str(k)) for k, (x, _) in enumerate(losses)]).first()
@@ -225,13 +255,15 @@ def windows(tokens: Column) -> Column:
     return F.when(F.size(tokens) <= WINDOW, F.array(tokens)).otherwise(several)
 
 
-def scan(docs: DataFrame, bound: int = TRAIN_PARAGRAPHS, least: float = 0.5, confirmed: float = CONFIRMED, made: Classifier | None = None) -> DataFrame:
+def scan(docs: DataFrame, bound: int = TRAIN_PARAGRAPHS, least: float = 0.5, confirmed: float = CONFIRMED, made: Classifier | None = None, beside: float = 0.2) -> DataFrame:
     """doc_id, paragraph, family, probability, similarity, confirmed, text: paragraphs that are taken for a licence notice.
 
     similarity is the largest share of the word pairs of one of the family's templates that a window of the paragraph has.
-    Rows are those with a window whose likeliest class is a family with probability ``least`` or more, or that holds
-    ``confirmed`` of a template of any family: the family is that of the template then, unless a template of the
-    likeliest family is confirmed too. Of several windows the confirmed one, then the most probable one tells.
+    Rows are those with a window whose likeliest class is a family, all families having the probability ``least`` or more, or that holds
+    ``confirmed`` of a template (of ALONE word pairs) of any family: the family is that of the template then, if the
+    classifier says none. Of several windows the confirmed one, then the most probable one tells. Where a
+    window's likeliest class is a family, further families with ``beside`` of its probability have a row of their own:
+    a paragraph may grant a choice of licences.
 
     Every paragraph is judged. Texts and windows without any of the classifier's needed words cannot be positive (see
     :func:`needed_words`) and are left out first; this changes no result. Null and empty texts have no paragraphs;
@@ -256,23 +288,26 @@ def scan(docs: DataFrame, bound: int = TRAIN_PARAGRAPHS, least: float = 0.5, con
     templates = template_pairs(spark)
     known = F.array(*[F.lit(x) for x in sorted({x for r in templates.collect() for x in r[0]})])  # of the fixed templates
     scored = rows.select("row", "window", "share", called.alias("called"), F.array_intersect(pairs(F.col("tokens")), known).alias("own"))
-    said = (F.col("called") != UNKNOWN) & (F.array_max("share") >= least)
+    said = (F.col("called") != UNKNOWN) & (1 - F.element_at("share", -1) >= least)  # the last class is the unknown one
     scored = cut(scored.withColumn("said", said).filter("said OR size(own) > 0"))
     size = F.size("wanted").alias("size")
     wanted = templates.select(F.explode("wanted").alias("pair"), "template", "notice", size)
     held = scored.select("row", "window", F.explode("own").alias("pair")).join(F.broadcast(wanted), "pair")
-    held = held.groupBy("row", "window", "template", "notice").agg((F.count(F.lit(1)) / F.first("size")).alias("similarity"))
-    held = held.groupBy("row", "window", "template").agg(F.max("similarity").alias("similarity"))
-    spoken = scored.filter("said").select("row", "window", F.col("called").alias("template"), F.lit(0.0).alias("similarity"))
-    near = held.union(spoken).groupBy("row", "window", "template").agg(F.max("similarity").alias("similarity"))
-    near = near.join(scored.select("row", "window", "share", "called", "said"), ["row", "window"])
-    near = near.filter((F.col("similarity") >= confirmed) | (F.col("said") & (F.col("template") == F.col("called"))))
+    held = held.groupBy("row", "window", "template", "notice").agg((F.count(F.lit(1)) / F.first("size")).alias("similarity"), F.first("size").alias("size"))
+    held = held.groupBy("row", "window", "template").agg(F.max("similarity").alias("similarity"), F.max(F.when(F.col("size") >= ALONE, F.col("similarity")).otherwise(0.0)).alias("alone"))
+    names = F.array(*[F.lit(n) for n in made.names])
+    many = F.filter(F.zip_with(names, F.col("share"), lambda n, p: F.struct(n.alias("n"), p.alias("p"))), lambda x: (x.n != UNKNOWN) & (x.p >= beside * F.array_max("share")))
+    spoken = scored.filter("said").select("row", "window", F.explode(many).alias("x")).select("row", "window", F.col("x.n").alias("template"), F.lit(0.0).alias("similarity"), F.lit(0.0).alias("alone"))
+    near = held.union(spoken).groupBy("row", "window", "template").agg(F.max("similarity").alias("similarity"), F.max("alone").alias("alone"))
+    near = near.join(scored.select("row", "window", "share", "said"), ["row", "window"])
     places = F.create_map(*[x for k, n in enumerate(made.names) for x in (F.lit(n), F.lit(k + 1))])
-    found = F.struct(
-        (F.col("similarity") >= confirmed).alias("confirmed"), (F.col("template") == F.col("called")).alias("agreed"),
-        F.element_at("share", F.element_at(places, F.col("template"))).alias("probability"), "similarity", F.col("template").alias("family"),
-    )
-    best = near.groupBy("row").agg(F.max(found).alias("x"))
+    of = F.element_at("share", F.element_at(places, F.col("template")))
+    near = near.withColumns({"of": of, "agreed": F.col("said") & (of >= beside * F.array_max("share"))}).filter((F.col("alone") >= confirmed) | F.col("agreed"))
+    found = F.struct((F.col("similarity") >= confirmed).alias("confirmed"), "agreed", F.col("of").alias("probability"), "similarity", F.col("template").alias("family"))
+    # A window tells the families that the classifier says; one that a template alone speaks for tells the nearest.
+    told = near.groupBy("row", "window").agg(F.max("agreed").alias("any"), F.max(F.when(~F.col("agreed"), found)).alias("alone"), F.collect_list(F.when(F.col("agreed"), found)).alias("said"))
+    told = told.select("row", F.explode(F.when(F.col("any"), F.col("said")).otherwise(F.array("alone"))).alias("x"))  # as many as there are families at most
+    best = told.groupBy("row", "x.family").agg(F.max("x").alias("x")).select("row", "x")
     return paras.join(best, "row").select("doc_id", "paragraph", "x.family", "x.probability", "x.similarity", "x.confirmed", "text")
 
 

@@ -85,7 +85,7 @@ def test_license_scores_equal_plain_sums_and_nothing_is_lost_by_needed_words(spa
     fill = random.Random(3)
     sentences = [" ".join(fill.choice("river house light paper small town north the of and that water for to in was".split()) for _ in range(12)) + "." for _ in range(60)]
     texts = [(k, s) for k, s in enumerate(sentences)]
-    texts += [(100 + k, x) for k, (_, x) in enumerate(license_scan.notices()[:90])] + [(300, sentences[0] + " " + license_scan.TEMPLATES["isc"][0]), (301, None), (302, ""), (None, "Released under the MIT License."), (100, texts[0][1])]
+    texts += [(100 + k, x) for k, (_, x) in enumerate((f, t) for f, t, _ in license_scan.notices()[:90])] + [(300, sentences[0] + " " + license_scan.TEMPLATES["isc"][0]), (301, None), (302, ""), (None, "Released under the MIT License."), (100, texts[0][1])]
     df = spark.createDataFrame(texts, "doc_id long, text string")
     made = license_scan.learn(df)
     got = license_scan.scan(df, made=made)

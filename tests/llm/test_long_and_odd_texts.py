@@ -5,7 +5,7 @@ import time
 import numpy as np
 import pytest
 
-from gazette.llm import html_extract, packing, toxicity
+from gazette.llm import html_extract, license_scan, packing, toxicity
 
 
 @pytest.mark.parametrize("n", [1_000_000, 5_000_000])
@@ -71,3 +71,23 @@ def test_share_of_main_text_at_the_edges_of_its_meaning():
     texts = [x for x, t in zip(plain, tree.tag, strict=True) if t == "#"]
     out = [x for x, t in zip(model.marginals(tree), tree.tag, strict=True) if t == "#"]
     assert (out == texts) == (not 0.02 < max(texts) < 0.5) and all(0 <= a <= b <= 1 for a, b in zip(texts, out, strict=True))
+
+
+LINES = {
+    "Eclipse Public License 2.0": {"other"}, "This software is under the zlib License.": {"other"}, "Licensed under the Artistic License.": {"other"}, "Licensed under Apache or MIT, at your option.": {"apache", "mit"},
+    "The GNU General Public License is discussed in chapter two.": set(), "All rights reserved by the hotel for guests": set(), "Dual-licensed under the MIT License and the BSD License.": {"mit", "bsd"}, "Copyright 2021 Foo. All rights reserved.": {"proprietary"},
+    "This work is licensed under CC BY 4.0.": {"cc-by"}, "Her thesis is about the Mozilla Public License and its reception in law.": set(), "Students at MIT built a robot.": set(), "Todos los dias hay musica en la plaza.": set(),
+}
+
+
+def test_licences_that_are_not_listed_spoken_of_or_chosen_from(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    made = license_scan.learn(docs)
+    df = spark.createDataFrame(list(enumerate(LINES)), "doc_id long, text string")
+    got = {line: set() for line in LINES}
+    for r in license_scan.scan(df, made=made).collect():
+        got[list(LINES)[r.doc_id]].add(r.family)
+        assert 0 < r.probability <= 1 and (r.probability < 0.9999 or r.confirmed or r.family == "other")
+    assert got == LINES
+    assert made.heat > 1  # unseen wordings ask for less confidence than the fit has
+    assert license_scan.scan(df.limit(0), made=made).count() == 0
