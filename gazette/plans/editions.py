@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gazette.operators import gates
-from gazette.plans.catalogue import query
+from gazette.plans.catalogue import CAND, query
 from gazette.sources.tables import candidates, table
 
 
@@ -67,12 +67,33 @@ def g5_release_rules(spark: SparkSession, sf: str) -> DataFrame:
     return gates.contract_faults(e, stories(spark, sf), m, CONTRACT)
 
 
-@query()
+def _rows(rows: str, rule: str, detail: str) -> str:
+    return f"SELECT edition, '{rule}' AS rule, CAST({detail} AS VARCHAR) AS detail FROM {rows}"
+
+
+BUNDLES = f"""{CAND}, a AS (SELECT * FROM (SELECT chapter AS edition, seq AS id, link AS url, title, row_number() OVER (PARTITION BY chapter, source ORDER BY seq) AS r FROM c) WHERE r <= 10),
+s AS (SELECT *, k // 30 AS bundle FROM (SELECT *, row_number() OVER (PARTITION BY edition ORDER BY id) - 1 AS k FROM a) WHERE k < 150), z AS (SELECT edition, bundle, count(*) AS n FROM s GROUP BY ALL)"""
+
+
+@query(f"WITH {BUNDLES} " + " UNION ALL ".join([
+    _rows("z WHERE n <> 30", "bundle_size", "bundle || ':' || n"), _rows("(SELECT edition, count(*) AS n FROM z GROUP BY edition) WHERE n <> 5", "bundles", "n"), _rows("(SELECT edition, url FROM s GROUP BY ALL HAVING count(*) > 1)", "duplicate_story_url", "url"),
+    _rows("(SELECT edition, url FROM a GROUP BY ALL HAVING count(*) > 1)", "duplicate_article_url", "url"), _rows("(SELECT DISTINCT edition, url FROM a EXCEPT SELECT edition, url FROM s)", "article_without_story", "url"),
+    _rows("s WHERE NOT regexp_matches(url, '^https?://[^/?#]+')", "story_url", "url"), _rows("s WHERE id % 9 = 0", "freshness_note", "title"),
+]))
 def g8_bundle_rules(spark: SparkSession, sf: str) -> DataFrame:
     return gates.bundle_faults(editions(spark, sf), stories(spark, sf), CONTRACT)
 
 
-@query()
+REGISTRY = """s AS (SELECT n_name AS edition, CAST(s_suppkey AS VARCHAR) AS id, s_suppkey AS k, s_name AS name, 's' || s_suppkey % 400 || '.example.com' AS domain, s_suppkey % 6 AS tier, CASE s_suppkey % 3 WHEN 0 THEN ['api'] WHEN 1 THEN ['rss', 'web'] ELSE ['ftp'] END AS access FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+g AS (SELECT DISTINCT edition FROM s), ac AS (SELECT edition, unnest(access) AS v FROM s)"""
+
+
+@query(f"WITH {REGISTRY} " + " UNION ALL ".join([
+    _rows("s WHERE tier > 4", "tier", "id"), _rows("s WHERE k % 7 = 0", "missing_topics", "id"), _rows("s WHERE list_contains(access, 'ftp')", "access_mode", "id"), _rows("s WHERE coalesce(name, '') = ''", "missing_name", "id"), _rows("(SELECT edition, id FROM s GROUP BY ALL HAVING count(*) > 1)", "duplicate_id", "id"),
+    _rows("(SELECT edition, domain FROM s GROUP BY ALL HAVING count(DISTINCT id) > 1)", "domain_owned_twice", "domain"), _rows("(SELECT edition, v, (SELECT count(*) FROM s WHERE s.edition = g.edition AND s.tier = v) AS n FROM g, (VALUES (0), (1), (2)) w(v)) WHERE n < 1", "few_of_tier", "v"),
+    _rows("(SELECT edition, v, least_, (SELECT count(*) FROM ac WHERE ac.edition = g.edition AND ac.v = w.v) AS n FROM g, (VALUES ('api', 1), ('rss', 2)) w(v, least_)) WHERE n < least_", "few_of_access", "v"),
+    _rows("(SELECT edition, v FROM g, (VALUES ('1'), ('2')) w(v) WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.edition = g.edition AND s.id = v))", "missing_critical", "v"),
+]))
 def g7_registry_rules(spark: SparkSession, sf: str) -> DataFrame:
     n = table(spark, sf, "nation").select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("registry"))
     s, k = table(spark, sf, "supplier").join(n, "s_nationkey"), F.col("s_suppkey")
