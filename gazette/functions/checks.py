@@ -12,6 +12,14 @@ def must(df: DataFrame, holds: Column, said: Column | str) -> DataFrame:
     return df.filter(F.when(F.coalesce(holds, F.lit(False)), F.lit(True)).otherwise(F.raise_error(message)))
 
 
+def must_all(df: DataFrame, *rules: tuple[Column, Column | str]) -> DataFrame:
+    """``df``; the query stops at a row where one of the ``rules`` (condition, message) is not true, with the message of the first one. One filter, so that the order of rules holds."""
+    said = F.lit(None).cast("string")
+    for holds, message in reversed(rules):
+        said = F.when(F.coalesce(holds, F.lit(False)), said).otherwise(F.coalesce(F.lit(message) if isinstance(message, str) else message, F.lit("a row breaks a rule")))
+    return df.filter(F.when(said.isNull(), F.lit(True)).otherwise(F.raise_error(said)))
+
+
 def must_match(df: DataFrame, other: DataFrame, key: list[str], said: str) -> DataFrame:
     """``df`` joined to ``other`` by ``key``; a row without a match on either side stops the query, with ``said`` and its key.
 

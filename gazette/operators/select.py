@@ -20,7 +20,7 @@ PREFIX = 256
 
 def greedy_select(
     df: DataFrame, group: list[str], order: list[str], target: int, caps: dict[str, int] | None = None, conflict: Callable[[str, str], Column] | None = None, columns: list[str] | None = None,
-    seed: DataFrame | None = None, likeness: Callable[[Column, Column], Column] | None = None, on: str = "tokens",
+    seed: DataFrame | None = None, likeness: Callable[[Column, Column], Column] | None = None, on: str = "tokens", hashed: bool = False,
 ) -> DataFrame:
     """Of each group the first ``target`` rows by ``order`` (descending) that fit those chosen before; ``pick`` is their turn, from 1.
 
@@ -34,13 +34,15 @@ def greedy_select(
     i-th pick is the best row that fits picks 1..i-1, so at most ``target`` rounds do. Each takes the best row of each
     group by a partial aggregate and drops what no longer fits. ``df`` is read again for those rounds alone.
 
+    With ``hashed`` the fold compares 64-bit hashes of the elements of ``on``; ``likeness`` must not name elements then.
+
     Rows of ``seed`` (columns of ``df``, at most ``target`` a group) count as chosen before: they fill places, caps and
     conflicts, and come first in the result.
     """
     columns = columns or df.columns
     if likeness is not None:
         by_alias = lambda a, b: likeness(F.col(f"{a}.{on}"), F.col(f"{b}.{on}"))
-        chosen, rest = _folded(df, group, order, target, caps, likeness, on, seed)
+        chosen, rest = _folded(df, group, order, target, caps, likeness, on, seed, hashed)
         if rest.isEmpty():
             return chosen.select(*columns, "pick")
         open_groups = rest.select(*group).distinct()
@@ -54,18 +56,18 @@ def greedy_select(
 
 
 def _folded(
-    df: DataFrame, group: list[str], order: list[str], target: int, caps: dict[str, int] | None, likeness: Callable[[Column, Column], Column], on: str, seed: DataFrame | None,
+    df: DataFrame, group: list[str], order: list[str], target: int, caps: dict[str, int] | None, likeness: Callable[[Column, Column], Column], on: str, seed: DataFrame | None, hashed: bool,
 ) -> tuple[DataFrame, DataFrame]:
     """The picks among the first PREFIX rows of each group, with those of ``seed``; and the further rows of groups that are not full.
 
     The limit stands on the rank, so that partitions cut groups to it before they are shuffled; only these rows are
-    written. The fold walks over places, capped columns and 64-bit hashes of the elements of ``on``; the rows of its
+    written. The fold walks over places, capped columns and ``on`` (or hashes of its elements); the rows of its
     picks are joined back. Rows beyond are those below a group's last row walked through: a filter, no second rank.
     """
     best = [F.desc(o) for o in order]
     if seed is not None:
         df = df.join(seed.select(*group, *order), [*group, *order], "left_anti").select(df.columns)
-    hashes = F.transform(F.coalesce(on, F.array().cast("array<string>")), lambda t: F.xxhash64(t.cast("string")))
+    hashes = F.transform(on, lambda t: F.xxhash64(t)) if hashed else F.col(on)
     placed = df.withColumn("__place", F.row_number().over(Window.partitionBy(*group).orderBy(*best))).filter(F.col("__place") <= PREFIX)
     few = settle(placed.withColumn("__hashes", hashes))
     slim = F.struct("__place", *[F.col(f"`{c}`") for c in caps or {}], "__hashes")
@@ -254,12 +256,15 @@ def refill(
 
 
 def passed_over(
-    pool: DataFrame, got: DataFrame, used: DataFrame, chapter: str, key: str, order: list[str], caps: dict[str, int], likeness: Callable[[Column, Column], Column], target: int, prefix: str, edition: str,
+    pool: DataFrame, got: DataFrame, used: DataFrame, chapter: str, key: str, order: list[str], caps: dict[str, int], likeness: Callable[[Column, Column], Column], target: int, prefix: str, edition: str | None = None,
 ) -> DataFrame:
-    """edition, chapter, reason, n: rows of ``pool`` that a walk in ``order`` passed over until it was full, and the first test that each failed.
+    """(edition,) chapter, reason, n: rows of ``pool`` that a walk in ``order`` passed over until it was full, and the first test that each failed.
 
     Each row is compared with the chosen rows of its edition (``target`` a chapter at most) that were chosen before it.
     """
+    if edition is None:
+        one = lambda df: df.withColumn("__edition", F.lit(0))
+        return passed_over(one(pool), one(got), one(used), chapter, key, order, caps, likeness, target, prefix, "__edition").drop("__edition")
     rank = F.struct(*order)
     held = got.select("mode", F.col(edition).alias("__e"), F.col(chapter).alias("__c"), F.col(key).alias("__key"), rank.alias("__rank"), *[F.col(c).alias(f"__{c}") for c in caps], F.col("tokens").alias("__tokens"))
     full = got.groupBy(edition, chapter).agg(F.count(F.lit(1)).alias("__n"), F.min(F.when(F.col("mode") != "kept", rank)).alias("__last"))

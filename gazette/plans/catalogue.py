@@ -327,7 +327,7 @@ SELECT chapter, CAST(pick AS INTEGER) AS pick, g.seq AS seq, g.source AS source,
 def w1_diverse_top_k(spark: SparkSession, sf: str) -> DataFrame:
     """Fresh and relevant candidates of each chapter, best first: two of a publisher, no two alike, ten; ten of fewer than five publishers are none."""
     pool = eligible(spark, sf).withColumn("tokens", text.title_tokens(F.col("title"))).drop("title")
-    got = select.greedy_select(pool, ["chapter"], ["score", "turn"], 10, {"source": 2}, likeness=alike)
+    got = select.greedy_select(pool, ["chapter"], ["score", "turn"], 10, {"source": 2}, likeness=alike, hashed=True)
     full = got.groupBy("chapter").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("source").alias("publishers")).filter("n < 10 OR publishers >= 5").select("chapter")
     return got.join(full, "chapter", "left_semi").select("chapter", "pick", "seq", "source", F.round("score", 3).alias("score"))
 

@@ -41,10 +41,12 @@ def materialise(spark: SparkSession, folder: str, row: str) -> DataFrame:
     all_ = F.sum("n").over(Window.partitionBy("of_edition"))
     listed = listed.withColumns({"before": before, "all": all_})  # a row for each chapter
     chunks = spark.read.schema(f"of string, edition string, selected_count long, selected array<{row}>, chapter string").option("mode", "FAILFAST").json(f"{folder}/chunks")
-    both = checks.must_match(chunks, listed, ["chapter"], "chunk and manifest differ at")
-    named = lambda said: F.concat(F.lit(f"{said} of chunk "), F.coalesce("chapter", F.lit("null")))
-    both = checks.must(both, F.col("edition") == F.col("of_edition"), named("wrong edition"))
-    both = checks.must(both, F.col("of") == F.col("chapter"), named("wrong chapter"))
-    both = checks.must(both, (F.col("selected_count") == F.size("selected")) & (F.col("n") == F.size("selected")), named("wrong count"))
-    both = checks.must(both, F.col("sum") == F.col("all"), F.concat(F.lit("the manifest's sum is not "), F.col("all").cast("string")))
+    theirs = listed.withColumnRenamed("chapter", "listed")
+    met = chunks.join(theirs, F.col("chapter") == F.col("listed"), "full")
+    named = lambda said: F.concat(F.lit(f"{said} of chunk "), F.coalesce("chapter", "listed", F.lit("null")))
+    both = checks.must_all(
+        met, (F.col("chapter").isNotNull() & F.col("listed").isNotNull(), F.concat(F.lit("chunk and manifest differ at "), F.coalesce("chapter", "listed", F.lit("null")))),
+        (F.col("edition") == F.col("of_edition"), named("wrong edition")), (F.col("of") == F.col("chapter"), named("wrong chapter")),
+        ((F.col("selected_count") == F.size("selected")) & (F.col("n") == F.size("selected")), named("wrong count")), (F.col("sum") == F.col("all"), F.concat(F.lit("the manifest's sum is not "), F.col("all").cast("string"))),
+    )
     return both.select("chapter", "before", F.posexplode("selected").alias("at", "row")).select("chapter", (F.col("before") + F.col("at") + 1).cast("int").alias("pos"), "row")
