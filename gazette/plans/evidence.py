@@ -56,8 +56,7 @@ def fact_status(spark: SparkSession, sf: str) -> DataFrame:
     f = fetch_log(spark, sf).join(said, "page_id", "left")
     arts = f.select("page_id", F.col("url").alias("link"), F.when(k % 19 == 0, "agency").otherwise("src1").alias("source"), F.transform("x", lambda x: x.link).alias("evidence"))
     n = pages.independent_evidence(arts, "page_id", TRUST).groupBy("page_id").agg(F.count(F.lit(1)).alias("domains"))
-    log = fetch_log(spark, sf).groupBy("url").agg(F.max("http_status").alias("http_status"))
-    return pages.fact_check(arts, "page_id", TRUST, log).join(n, "page_id", "left").select("page_id", "status", F.coalesce("domains", F.lit(0)).alias("domains"), "evidence_type")
+    return pages.fact_check(arts, "page_id", TRUST, fetch_log(spark, sf).select("page_id", "http_status")).join(n, "page_id", "left").select("page_id", "status", F.coalesce("domains", F.lit(0)).alias("domains"), "evidence_type")
 
 
 @query(f"WITH {STATUS_SQL} SELECT page_id, status, domains FROM st")
@@ -127,7 +126,7 @@ def s5_title_likeness(spark: SparkSession, sf: str) -> DataFrame:
     """Documents against the pages of their numbers, as staging does; the tests hold the likeness against a plain one."""
     log = fetch_log(spark, sf).select("page_id", "url", F.lit(None).cast("string").alias("final_url"), "http_status", F.lit(None).cast("string").alias("error_class"), "html")
     arts = log.select("page_id", F.col("url").alias("link")).join(candidates(spark, sf).select(F.col("seq").alias("page_id"), "title"), "page_id")
-    return pages.verify_articles(arts, log.drop("page_id")).select("page_id", "title_similarity", "verification_status", "image_status")
+    return pages.verify_articles(arts, log, "page_id").select("page_id", "title_similarity", "verification_status", "image_status")
 
 
 @query(f"""WITH {EVENT_PAIRS}, x AS (SELECT l, r, rank, 'd' || r % 7 || '.example.org' AS domain FROM jk WHERE rank <= 3 AND r % 11 <> 0 AND 'd' || r % 7 || '.example.org' <> 'd' || l % 7 || '.example.org'),

@@ -2,10 +2,12 @@
 
 import json
 
+import duckdb
 from pyspark.sql import functions as F
 
 from gazette.functions import urls
 from gazette.operators import pages
+from gazette.plans import catalogue
 
 HEAD = """<html><head><title>The &amp; title</title><meta property="og:title" content="Shown title"><link rel='alternate' href='/no'><link rel="canonical" href="/real">
 <meta name="description" content="Second"><meta property='og:description' content='First  said'><meta itemprop="datePublished" content="2026-09-04T01:00:00Z"><time datetime="2020-01-01"></time>
@@ -80,3 +82,18 @@ def test_fact_check(spark):
         "agency": ("VERIFIED_PRIMARY", "wire_service"), "wire": ("VERIFIED_PRIMARY", "wire_service"), "none": ("UNVERIFIED", "unverified"), "blocked": ("ACCESS_BLOCKED", "network_blocked"),
     }
     assert got["multi"].verified_sources == ["khan.co.kr", "hani.co.kr"] and len(got["multi"].evidence_urls) == 2 and got["none"].evidence_urls == []
+
+
+def test_pages_that_share_an_address_have_their_own_fetches(spark, tmp_path):
+    """11 is not found, 13 fails, 17 is no HTML: none says anything of the others at the same address."""
+    told = "".join(f"<p>River bridge council opens again, paragraph {k} of a longer report on the bridge.</p>" for k in range(6))
+    rows = [(k, "https://a.example.com/news/1", f"<title>River bridge council opens</title>{told}{k}") for k in (1, 2, 11, 13, 17, 19)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    spark.createDataFrame([(k, "River bridge council opens\nx", "en", "src1", 9) for k, _, _ in rows], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    for name in ("e1_fact_status", "e1_status_counts"):
+        got = catalogue.queries()[name](spark, str(tmp_path))
+        assert sorted(map(tuple, got.collect())) == sorted(duck.execute(f"SELECT {', '.join(got.columns)} FROM ({catalogue.oracle_sql()[name]})").fetchall()), name
+    got = {r.page_id: r.verification_status for r in catalogue.queries()["s5_title_likeness"](spark, str(tmp_path)).collect()}
+    assert got == {1: "VERIFIED", 2: "VERIFIED", 11: "HTTP_404", 13: "HTTP_500", 17: "VERIFIED", 19: "VERIFIED"}
