@@ -92,7 +92,7 @@ def test_pages_that_share_an_address_have_their_own_fetches(spark, tmp_path):
     spark.createDataFrame([(k, "River bridge council opens\nx", "en", "src1", 9) for k, _, _ in rows], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
     duck = duckdb.connect()
     duck.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
-    for name in ("e1_fact_status", "e1_status_counts"):
+    for name in ("e1_fact_status", "e1_status_counts", "s6_body_extraction"):
         got = catalogue.queries()[name](spark, str(tmp_path))
         assert sorted(map(tuple, got.collect())) == sorted(duck.execute(f"SELECT {', '.join(got.columns)} FROM ({catalogue.oracle_sql()[name]})").fetchall()), name
     got = {r.page_id: r.verification_status for r in catalogue.queries()["s5_title_likeness"](spark, str(tmp_path)).collect()}
