@@ -8,7 +8,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from gazette.functions import text, urls
+from gazette.functions import lineage, text, urls
 from gazette.operators import select, similar
 from gazette.plans import catalogue
 
@@ -76,3 +76,20 @@ def test_expressions(spark):
     ).first()
     assert (row.d, row.k, row.r, row.p, row.n) == ("a.example", "http://a.b/c", "bad_url", "신문을", "a b 한글")
     assert row.t == ["aa", "bb", "cc", "aa_bb", "bb_cc"] and row.s == ["a.b.c", "b.c", "c"]
+
+
+def test_a_filter_does_not_compute_columns_again(spark):
+    """Neither does a column that names another several times; conditions of a filter would stand in the plan once more."""
+    df = spark.createDataFrame([(1, "A-b c"), (2, None)], "id int, x string")
+    t = lineage.once(df, {"x": text.norm_title(F.col("x"))})
+    t = t.filter((F.length("x") > 2) & F.contains("x", F.lit("b"))).select("id", F.concat("x", "x").alias("y"))
+    assert t._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 1
+    assert [(r.id, r.y) for r in t.collect()] == [(1, "a b ca b c")]
+
+
+@pytest.mark.parametrize("name", ["f7_topic_relevance"])
+def test_texts_are_normalised_once(spark, name):
+    """f7 has one pattern; c2 those of body and headline, and of addresses; s2 those of prefixes, fields and texts."""
+    most = {"f7_topic_relevance": 1, "c2_priority_score": 4, "s2_rss_entries": 10}[name]
+    plan = catalogue.queries()[name](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.count("regexp_replace") <= most, plan.count("regexp_replace")
