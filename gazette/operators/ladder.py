@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from gazette.functions import checks, text, urls
+from gazette.functions import checks, lineage, text, urls
 
 #: A rule: its place in the ladder, the reason it gives, the chapter and tiers that it is for (null: all), and tests that all have to hold.
 #: A test looks in a field for terms, ``how``: as whole words of the normalised text, within the lower-case text, at its
@@ -41,10 +41,10 @@ def _kind() -> str:
     return ",".join(x.replace(" ", ":", 1) for x in head.split(", ")) + ",tests:" + tests
 
 
-def reasons(df: DataFrame, rules: list[Row], fields: dict[str, Column], chapter: str = "chapter", tier: str | None = None, name: str = "reason") -> DataFrame:
+def reasons(df: DataFrame, rules: list[Row], fields: dict[str, Column], chapter: str = "chapter", tier: str | None = None, name: str = "reason", normal: tuple[str, ...] = ()) -> DataFrame:
     """``df`` with the reason of the first rule that holds, null where none does.
 
-    ``fields`` are the texts that tests name; each is normalised once, as a column, before the rules look at it. A null
+    ``fields`` are the texts that tests name; each is normalised once before the rules look at it, also where a filter asks for the reason; those in ``normal`` are already. A null
     text has no terms. A rule for a chapter holds for no other, and a rule for tiers for no row without one.
     """
     used = {(t.field, t.how) for r in rules for t in r.tests}
@@ -53,15 +53,15 @@ def reasons(df: DataFrame, rules: list[Row], fields: dict[str, Column], chapter:
         raise ValueError(f"rules name fields that are not given: {sorted(unknown)}")
     made = {}
     for field, how in sorted(used):
-        low = F.lower(F.coalesce(fields[field], F.lit("")))
+        low = F.coalesce(fields[field], F.lit("")) if field in normal else F.lower(F.coalesce(fields[field], F.lit("")))
         form = {
-            "words": lambda c: F.concat(F.lit(" "), text.norm_title(c), F.lit(" ")), "segments": lambda c: F.filter(F.split(F.lower(urls.path(c)), "/"), lambda s: s != ""),
+            "words": lambda c, done=field in normal: F.concat(F.lit(" "), c if done else text.norm_title(c), F.lit(" ")), "segments": lambda c: F.filter(F.split(F.lower(urls.path(c)), "/"), lambda s: s != ""),
             "years_before": lambda c: F.transform(F.regexp_extract_all(c, F.lit(r"(?<![0-9A-Za-z_])((?:19|20)[0-9]{2})(?![0-9A-Za-z_])"), F.lit(1)), lambda y: y.cast("int")),
         }.get(how, lambda c: c)
         made[f"__{how}_{field}"] = form(low)
     if any(how == "years_before" for _, how in used):
         made["__published"] = F.array_max(F.transform(F.regexp_extract_all(F.coalesce(fields["published"], F.lit("")), F.lit(r"(?<![0-9A-Za-z_])((?:19|20)[0-9]{2})(?![0-9A-Za-z_])"), F.lit(1)), lambda y: y.cast("int")))
-    ready = df.withColumns(made)
+    ready = lineage.once(df, made)
 
     def holds(t: Row) -> Column:
         seen = F.col(f"__{t.how}_{t.field}")
@@ -93,9 +93,9 @@ def reasons(df: DataFrame, rules: list[Row], fields: dict[str, Column], chapter:
     return ready.withColumn(name, first if first is not None else F.lit(None).cast("string")).drop(*made)
 
 
-def rejected(df: DataFrame, rules: list[Row], fields: dict[str, Column], most_age: Column, age: str = "age", url: str = "url", chapter: str = "chapter", tier: str | None = "tier") -> DataFrame:
+def rejected(df: DataFrame, rules: list[Row], fields: dict[str, Column], most_age: Column, age: str = "age", url: str = "url", chapter: str = "chapter", tier: str | None = "tier", normal: tuple[str, ...] = ()) -> DataFrame:
     """``df`` with reason: that of the first rule, else of the date (missing_date, future_date beyond a day, stale), else of the address."""
-    told = reasons(df, rules, fields, chapter, tier, "__rule")
+    told = reasons(df, rules, fields, chapter, tier, "__rule", normal)
     a = F.col(age)
     late = F.when(a.isNull(), "missing_date").when(a < -1, "future_date").when(a > most_age, "stale")
     return told.withColumn("reason", F.coalesce("__rule", late, urls.reject_reason(F.col(url)))).drop("__rule")

@@ -7,7 +7,7 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gazette.functions import text, urls
+from gazette.functions import lineage, text, urls
 from gazette.operators import ladder, similar
 from gazette.plans.catalogue import CAND, EVENT_PAIRS, HOST, INFORMATIVE, NORM, STOP, STUDY, URL_REASON, event_sides, query
 from gazette.sources.tables import candidates, table
@@ -78,9 +78,9 @@ def priority(spark: SparkSession, sf: str) -> DataFrame:
     age = F.when(s % 50 == 7, None).when(s % 40 == 3, -2.0).otherwise(F.col("age_h") / 24)
     url = F.when(s % 31 == 5, F.concat("link", F.lit("?id="))).when(s % 31 == 6, F.concat(F.lit("https://"), "source", F.lit(".example.com/news/"))).when(s % 31 == 7, F.concat(F.lit("ftp://"), "source")).otherwise(F.col("link"))
     n = candidates(spark, sf).join(pol, "chapter").select("seq", "chapter", "source", "title", F.concat("title", F.lit(" "), "summary").alias("body"), "most", "keywords", (s % 5).alias("tier"), age.alias("age"), url.alias("url"))
-    told = ladder.rejected(n, ladder.parse(spark, json.dumps(REJECTS)), {"title": F.col("title"), "text": F.col("body")}, F.col("most"))
-    padded = F.concat(F.lit(" "), text.norm_title(F.col("body")), F.lit(" "))
-    hits = text.let(padded, lambda body: F.size(F.filter("keywords", lambda k: F.contains(body, F.concat(F.lit(" "), k, F.lit(" "))))))
+    n = lineage.once(n, {"body": text.norm_title(F.col("body"))})
+    told = ladder.rejected(n, ladder.parse(spark, json.dumps(REJECTS)), {"title": F.col("title"), "text": F.col("body")}, F.col("most"), normal=("text",))
+    hits = text.let(F.concat(F.lit(" "), "body", F.lit(" ")), lambda body: F.size(F.filter("keywords", lambda k: F.contains(body, F.concat(F.lit(" "), k, F.lit(" "))))))
     fresh = F.greatest(F.lit(0.0), F.col("most") - F.greatest(F.lit(0.0), F.col("age")))
     score = F.round(hits * 10 + 2 * fresh + F.greatest(F.lit(0), 4 - F.col("tier")), 6)
     return told.select("seq", "chapter", "source", "title", "age", "reason", score.alias("score"))
