@@ -87,7 +87,7 @@ def test_a_filter_does_not_compute_columns_again(spark):
     assert [(r.id, r.y) for r in t.collect()] == [(1, "a b ca b c")]
 
 
-@pytest.mark.parametrize("name", ["f7_topic_relevance", "c2_priority_score"])
+@pytest.mark.parametrize("name", ["f7_topic_relevance", "c2_priority_score", "s2_rss_entries"])
 def test_texts_are_normalised_once(spark, name):
     """f7 has one pattern; c2 those of body and headline, and of addresses; s2 those of prefixes, fields and texts."""
     most = {"f7_topic_relevance": 1, "c2_priority_score": 4, "s2_rss_entries": 10}[name]
