@@ -43,8 +43,8 @@ def keep_first(events: DataFrame, key: list[str], time: str, most_age: str) -> D
     return events.withWatermark(time, most_age).dropDuplicatesWithinWatermark(key)
 
 
-#: Groups over which rows that need no state are spread.
-SPREAD = 128
+#: Groups over which rows that need no state are spread, and groups that keys share: each is one call of Python for a batch.
+SPREAD, SHARED = 128, 1024
 
 
 def admitted(events: DataFrame, key: list[str], published: str, arrived: str, horizon: Column, ahead: float = 0.25, skew: str = "3 days") -> DataFrame:
@@ -55,10 +55,11 @@ def admitted(events: DataFrame, key: list[str], published: str, arrived: str, ho
     are future; nothing is dropped unseen. Of the others the first of each key by arrival (then id) is kept, and those
     that arrive before its horizon has passed are duplicates; after that the key is free again.
 
-    The horizon's end is a key's only state. Event time is the time of arrival: a timer drops the state when the watermark,
-    ``skew`` behind the latest arrival, has passed it, so that state does not grow with the stream. Arrivals must be at
+    The horizon's end is a key's only state; the keys of a group are in one. Event time is the time of arrival: a key is dropped
+    when the watermark, ``skew`` behind the latest arrival, has passed its end, with a timer for groups without rows, so that
+    state does not grow with the stream. Arrivals must be at
     most ``skew`` behind those of earlier batches. Rows that need no state are spread over SPREAD groups, so that a hot
-    key's stale rows are no single task; of a key's fresh rows of one batch three numbers each are in memory.
+    key's stale rows are no single task; of a group's fresh rows of one batch the key and three numbers each are in memory.
     """
     day = 86_400_000_000
     at = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
@@ -67,35 +68,36 @@ def admitted(events: DataFrame, key: list[str], published: str, arrived: str, ho
     age = at(arrived) - at(published)
     told = F.when(age.isNull(), "missing_date").when(age < -ahead * day, "future").when(age > most, "stale")
     x = x.select("id", *key, arrived, at(arrived).alias("__at"), (at(published) + most).alias("__end"), told.alias("__told"))
-    x = x.withColumn("__spread", F.when(F.col("__told").isNull(), 0).otherwise(F.pmod(F.xxhash64("id"), F.lit(SPREAD)) + 1).cast("int"))
-    x = x.withColumns({f"__k{n}": F.when(F.col("__spread") == 0, F.col(k).cast("string")) for n, k in enumerate(key)})
+    names = F.to_json(F.array(*[F.col(k).cast("string") for k in key]))
+    fresh = F.col("__told").isNull()
+    x = x.withColumn("__key", F.when(fresh, names))
+    x = x.withColumn("__group", F.when(fresh, -1 - F.pmod(F.xxhash64("__key"), F.lit(SHARED))).otherwise(F.pmod(F.xxhash64("id"), F.lit(SPREAD))).cast("int"))
 
     def walk(group: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        if group[0]:  # told by the row alone
+        if not state.hasTimedOut and group[0] >= 0:  # told by the row alone
             for part in rows:
                 yield pd.DataFrame({"id": part["id"].to_numpy(), "outcome": part["__told"].to_numpy()})
             return
-        ids, at, ends = (np.concatenate(x) for x in zip(*((p["id"].to_numpy(), p["__at"].to_numpy(), p["__end"].to_numpy()) for p in rows), strict=True))
-        order = np.lexsort((ids, at))
-        end = state.get[0] if state.exists else None
-        outcomes = []
-        for arrival, over in zip(at[order].tolist(), ends[order].tolist(), strict=True):
-            kept = end is None or arrival >= end
-            end = int(over) if kept else end
-            outcomes.append("kept" if kept else "duplicate")
-        timer = end // 1_000 + 1
-        if timer > state.getCurrentWatermarkMs():
-            state.update((end,))
-            state.setTimeoutTimestamp(timer)
+        ends = dict(zip(*state.get, strict=True)) if state.exists else {}
+        if not state.hasTimedOut:
+            ids, at, over, keys = (np.concatenate(x) for x in zip(*((p["id"].to_numpy(), p["__at"].to_numpy(), p["__end"].to_numpy(), p["__key"].to_numpy()) for p in rows), strict=True))
+            order = np.lexsort((ids, at))
+            outcomes = []
+            for k, arrival, until in zip(keys[order].tolist(), at[order].tolist(), over[order].tolist(), strict=True):
+                kept = k not in ends or arrival >= ends[k]
+                if kept:
+                    ends[k] = until
+                outcomes.append("kept" if kept else "duplicate")
+            yield pd.DataFrame({"id": ids[order], "outcome": outcomes})
+        passed = state.getCurrentWatermarkMs()
+        ends = {k: end for k, end in ends.items() if end // 1_000 + 1 > passed}
+        if ends:
+            state.update((list(ends), list(ends.values())))
+            state.setTimeoutTimestamp(min(ends.values()) // 1_000 + 1)
         elif state.exists:
             state.remove()
-        yield pd.DataFrame({"id": ids[order], "outcome": outcomes})
 
-    groups = x.groupBy("__spread", *[f"__k{n}" for n in range(len(key))])
-    return groups.applyInPandasWithState(walk, "id long, outcome string", "end long", "append", GroupStateTimeout.EventTimeTimeout)
+    return x.groupBy("__group").applyInPandasWithState(walk, "id long, outcome string", "keys array<string>, ends array<long>", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def health(events: DataFrame, source: str, time: str, good: str, window: str, late: str) -> DataFrame:

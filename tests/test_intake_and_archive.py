@@ -66,6 +66,17 @@ def test_three_batches_keep_and_refuse_what_a_plain_loop_does_and_state_is_dropp
     assert max(sizes) > 5 and sizes[-1] <= 1  # sixty days later only the last key can have state
 
 
+def test_keys_share_groups_so_that_calls_do_not_grow_with_keys(spark, tmp_path):
+    day = lambda n: START + datetime.timedelta(days=n)
+    rows = [(k, "news", f"u{k % 1500}" if k % 1500 else None, day(0), day(1 if k < 1500 else 2)) for k in range(3_000)]
+    spark.createDataFrame(rows, EVENTS).coalesce(1).write.parquet(str(tmp_path / "in"))
+    told = intake.admitted(spark.readStream.schema(EVENTS).parquet(str(tmp_path / "in")), ["chapter", "url"], "published", "arrived", F.lit(3))
+    query = told.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "state")).option("path", str(tmp_path / "out")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert {r.id: r.outcome for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {k: "kept" if k < 1500 else "duplicate" for k in range(3_000)}
+    assert 0 < max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]) <= 1_024
+
+
 EDITION = "chapters array<struct<chapter:string,count:long,articles:array<struct<place:int,seq:long>>>>, articles long"
 
 
