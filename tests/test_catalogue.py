@@ -93,3 +93,9 @@ def test_texts_are_normalised_once(spark, name):
     most = {"f7_topic_relevance": 1, "c2_priority_score": 4, "s2_rss_entries": 10}[name]
     plan = catalogue.queries()[name](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
     assert 0 < plan.count("regexp_replace") <= most, plan.count("regexp_replace")
+
+
+def test_set_equality_is_one_grouping(spark, duck):
+    got = catalogue.queries()["j6_set_equality"](spark, DATA)
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, got.collect())) == sorted(duck.execute(catalogue.oracle_sql()["j6_set_equality"]).fetchall())
